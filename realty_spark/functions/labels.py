@@ -24,7 +24,7 @@ def normalize_postcode(c) -> Column:
     Accepts text ('75001', '75001.0') or numbers; junk that is not a number
     becomes NULL as well.
     """
-    as_int = F.try_cast(F.try_cast(_col(c).cast("string"), "double"), "bigint")
+    as_int = ((_col(c).cast("string")).try_cast("double")).try_cast("bigint")
     text = F.coalesce(as_int, F.lit(0).cast("bigint")).cast("string")
     padded = zfill(text, 5)
     return F.nullif(padded, F.lit("00000"))

@@ -29,10 +29,10 @@ def parse_locale_number(c, strict: bool = False) -> Column:
 
 
 def _try_double(c: Column) -> Column:
-    return F.try_cast(c, "double") if hasattr(F, "try_cast") else c.try_cast("double")
+    return c.try_cast("double")
 
 
 def parse_date(c, fmt: str = "yyyy-MM-dd", strict: bool = False) -> Column:
     """Fixed-format text -> DATE; malformed text -> NULL unless ``strict``."""
     c = _col(c).cast("string")
-    return F.to_date(c, fmt) if strict else F.try_to_date(c, F.lit(fmt))
+    return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)

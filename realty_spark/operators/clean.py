@@ -109,8 +109,7 @@ def convert_types(df: DataFrame, analysis: bool = False) -> DataFrame:
     if "code_postal" in cols:
         out["code_postal"] = normalize_postcode("code_postal")
     if "code_type_local" in cols:
-        out["code_type_local"] = F.try_cast(F.try_cast(F.col("code_type_local").cast("string"), "double"),
-                                            "bigint")
+        out["code_type_local"] = ((F.col("code_type_local").cast("string")).try_cast("double")).try_cast("bigint")
     for c in ("code_departement", "code_commune"):
         if c in cols:
             out[c] = F.col(c).cast("string")

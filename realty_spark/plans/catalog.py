@@ -25,9 +25,16 @@ ORACLE: dict[str, str] = {}
 ROUND = 6
 
 
+def _round_expr(c, scale: int = ROUND):
+    """floor(x * 10^s + 0.5) / 10^s: plain IEEE arithmetic, bit-identical in Spark and DuckDB
+    (Spark's ``round`` rounds the decimal text, DuckDB the binary value)."""
+    m = float(10 ** scale)
+    return F.when(F.abs(c) < 1e12, F.floor(c * m + 0.5).cast("double") / m).otherwise(c)
+
+
 def rounded(df: DataFrame, scale: int = ROUND) -> DataFrame:
     """Round every floating column (final projection only)."""
-    return df.select(*[F.round(F.col(f.name), scale).alias(f.name)
+    return df.select(*[_round_expr(F.col(f.name), scale).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -60,7 +67,8 @@ sales AS (SELECT *, valeur_fonciere / NULLIF(surface_reelle_bati, 0) AS prix_m2
 
 
 def r6(expr: str) -> str:
-    return f"round({expr}, {ROUND})"
+    m = f"{float(10 ** ROUND)}"
+    return f"(CASE WHEN abs({expr}) < 1e12 THEN floor(({expr}) * {m} + 0.5) / {m} ELSE ({expr}) END)"
 
 
 def clean_proxy(spark: SparkSession, sf_dir: str, zone_level: str = "region",
@@ -83,3 +91,261 @@ FROM z GROUP BY zone, annee_mois""")
 def q_monthly_panel(spark, sf_dir):
     """Monthly panel by zone: median/mean price per m2, count, median value (A7) [P1,P3,C7,P4,C16,C5]."""
     return panel.monthly_panel(zoned(spark, sf_dir))
+
+
+# ------------------------------------------------------ dataset build ------
+from realty_spark.functions.dates import add_calendar  # noqa: E402
+from realty_spark.functions.parse import parse_date, parse_locale_number  # noqa: E402
+from realty_spark.operators import association, district, profile  # noqa: E402
+from realty_spark.plans import build_dataset as B  # noqa: E402
+from realty_spark.sources.proxy import (  # noqa: E402
+    PROXY_CAPITAL, PROXY_CATEGORICAL, PROXY_MID_CATEGORICAL, PROXY_NUMERIC, table,
+)
+
+
+def built(spark, sf_dir, zone_level="region"):
+    raw = proxy_sales(spark, sf_dir, zone_level)
+    return B.build_dataset(raw, PROXY_DEPARTMENTS, capital=PROXY_CAPITAL)
+
+
+def labelled(spark, sf_dir):
+    sales = B.prepare_sales(proxy_sales(spark, sf_dir), PROXY_DEPARTMENTS)
+    return district.label_districts(sales, PROXY_CAPITAL)
+
+
+def train_rows(spark, sf_dir):
+    """Cleaned analysis dataset, train split (the reference's X_train / y_train rows)."""
+    ds = B.clean_dataset(built(spark, sf_dir), analysis=True)
+    return clean.split_by_year(ds, PROXY_TRAIN_YEARS, PROXY_TEST_YEARS).where(F.col("split") == "train")
+
+
+_LABELS_SQL = f"""
+cal AS (SELECT *, CAST(year(date_mutation) AS INTEGER) AS annee, CAST(month(date_mutation) AS INTEGER) AS mois,
+               CAST(quarter(date_mutation) AS INTEGER) AS trimestre,
+               CAST(year(date_mutation) AS VARCHAR) || '-T' || CAST(quarter(date_mutation) AS VARCHAR) AS annee_trimestre
+        FROM sales),
+lab AS (SELECT *, coalesce(nom_commune, '') || ' (' ||
+               coalesce(CASE WHEN length(code_postal) < 5 THEN lpad(code_postal, 5, '0') ELSE code_postal END, '')
+               || ')' AS quartier,
+               CASE WHEN code_departement = '{PROXY_CAPITAL}' THEN right(code_postal, 2) END AS arrondissement
+        FROM cal),
+lab2 AS (SELECT *, CASE WHEN arrondissement IS NOT NULL THEN 'Paris ' || arrondissement || 'e' ELSE quartier END
+                AS quartier_detaille FROM lab),
+med AS (SELECT quartier_detaille, annee_trimestre, median(prix_m2) AS prix_median_m2,
+               count(prix_m2) AS nb_transactions, avg(prix_m2) AS prix_moyen_m2
+        FROM lab2 WHERE quartier_detaille IS NOT NULL AND annee_trimestre IS NOT NULL
+        GROUP BY 1, 2 HAVING count(prix_m2) >= 5),
+ds AS (SELECT l.*, m.prix_median_m2,
+              (l.prix_m2 - m.prix_median_m2) / NULLIF(m.prix_median_m2, 0) * 100 AS ecart_prix_median_pct
+       FROM lab2 l LEFT JOIN med m USING (quartier_detaille, annee_trimestre)),
+first_med AS (SELECT quartier_detaille, arg_min(prix_median_m2, date_mutation) AS dm FROM ds
+              WHERE prix_median_m2 IS NOT NULL GROUP BY 1),
+imp AS (SELECT ds.* REPLACE (coalesce(ds.prix_median_m2, f.dm, ds.prix_m2) AS prix_median_m2) FROM ds
+        LEFT JOIN first_med f USING (quartier_detaille)),
+imp2 AS (SELECT * REPLACE ((prix_m2 - prix_median_m2) / NULLIF(prix_median_m2, 0) * 100 AS ecart_prix_median_pct)
+         FROM imp),
+typed AS (SELECT * REPLACE (
+              nullif(CASE WHEN length(CAST(coalesce(TRY_CAST(TRY_CAST(code_postal AS DOUBLE) AS BIGINT), 0) AS VARCHAR)) < 5
+                          THEN lpad(CAST(coalesce(TRY_CAST(TRY_CAST(code_postal AS DOUBLE) AS BIGINT), 0) AS VARCHAR), 5, '0')
+                          ELSE CAST(coalesce(TRY_CAST(TRY_CAST(code_postal AS DOUBLE) AS BIGINT), 0) AS VARCHAR) END,
+                     '00000') AS code_postal),
+              make_date(annee, 1, 1) AS annee_date
+          FROM imp2),
+tr AS (SELECT *, CASE WHEN annee IN ({TRAIN_SQL}) THEN 'train' WHEN annee IN ({TEST_SQL}) THEN 'test' END AS split
+       FROM typed)"""
+
+
+@register("clean_sales", sql=f"""
+WITH {_clean_cte()}
+SELECT date_mutation, code_departement, valeur_fonciere, surface_reelle_bati, nombre_pieces_principales,
+       {r6('prix_m2')} AS prix_m2 FROM sales""")
+def q_clean_sales(spark, sf_dir):
+    """Department, quality and outlier filters with price per m2."""
+    return clean_proxy(spark, sf_dir).select("date_mutation", "code_departement", "valeur_fonciere",
+                                             "surface_reelle_bati", "nombre_pieces_principales", "prix_m2")
+
+
+@register("district_label", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT DISTINCT code_departement, nom_commune, code_postal, quartier, arrondissement, quartier_detaille FROM lab2""")
+def q_district_label(spark, sf_dir):
+    """District label, capital arrondissement and detailed label."""
+    return labelled(spark, sf_dir).select("code_departement", "nom_commune", "code_postal", "quartier",
+                                          "arrondissement", "quartier_detaille").distinct()
+
+
+@register("district_quarter_median", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT quartier_detaille, annee_trimestre, {r6('prix_median_m2')} AS prix_median_m2, nb_transactions,
+       {r6('prix_moyen_m2')} AS prix_moyen_m2 FROM med""")
+def q_district_quarter_median(spark, sf_dir):
+    """Median/count/mean price per (district, quarter), HAVING >= 5 sales."""
+    return district.district_quarter_median(labelled(spark, sf_dir))
+
+
+@register("median_gap", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT date_mutation, quartier_detaille, annee_trimestre, {r6('prix_m2')} AS prix_m2,
+       {r6('prix_median_m2')} AS prix_median_m2, {r6('ecart_prix_median_pct')} AS ecart_prix_median_pct FROM ds""")
+def q_median_gap(spark, sf_dir):
+    """Group median joined back onto every sale and % gap (J1, C11): the built dataset."""
+    return built(spark, sf_dir).select("date_mutation", "quartier_detaille", "annee_trimestre", "prix_m2",
+                                       "prix_median_m2", "ecart_prix_median_pct")
+
+
+@register("impute_median", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT date_mutation, quartier_detaille, {r6('prix_m2')} AS prix_m2, {r6('prix_median_m2')} AS prix_median_m2,
+       {r6('ecart_prix_median_pct')} AS ecart_prix_median_pct FROM imp2""")
+def q_impute_median(spark, sf_dir):
+    """Missing medians filled with the district's first median, else own price; gap recomputed."""
+    ds = clean.drop_columns(built(spark, sf_dir), ["annee_trimestre"])
+    return district.impute_median(ds).select("date_mutation", "quartier_detaille", "prix_m2", "prix_median_m2",
+                                            "ecart_prix_median_pct")
+
+
+@register("drop_and_cast", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT date_mutation, code_postal, code_departement, mois, trimestre, annee_date, quartier_detaille,
+       {r6('prix_median_m2')} AS prix_median_m2 FROM typed""")
+def q_drop_and_cast(spark, sf_dir):
+    """Column drop, imputation and the type battery: postcode, domains, year date."""
+    ds = B.clean_dataset(built(spark, sf_dir), analysis=True)
+    assert "annee_trimestre" not in ds.columns and "arrondissement" not in ds.columns
+    return ds.select("date_mutation", "code_postal", "code_departement", "mois", "trimestre", "annee_date",
+                     "quartier_detaille", "prix_median_m2")
+
+
+@register("parse_locale_number", sql="""
+SELECT l_orderkey, l_linenumber,
+       TRY_CAST(replace(trim(CASE WHEN l_returnflag = 'R' AND l_linenumber = 3 THEN 'abc'
+                                  ELSE replace(CAST(l_extendedprice AS VARCHAR), '.', ',') END), ',', '.') AS DOUBLE)
+       AS valeur_fonciere
+FROM lineitem""")
+def q_parse_locale_number(spark, sf_dir):
+    """Decimal-comma text -> double, junk -> NULL (C6, T8) over every lineitem price."""
+    li = table(spark, sf_dir, "lineitem")
+    text = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 3), F.lit("abc")) \
+        .otherwise(F.regexp_replace(F.col("l_extendedprice").cast("string"), r"\.", ","))
+    return li.select("l_orderkey", "l_linenumber", parse_locale_number(text).alias("valeur_fonciere"))
+
+
+@register("parse_dates", sql="""
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'xx'
+                                   WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d')
+                                   ELSE strftime(o_orderdate, '%d/%m/%Y') END AS txt FROM orders),
+d AS (SELECT o_orderkey, CAST(try_strptime(txt, '%d/%m/%Y') AS DATE) AS date_mutation FROM t)
+SELECT o_orderkey, date_mutation, CAST(year(date_mutation) AS INTEGER) AS annee,
+       CAST(month(date_mutation) AS INTEGER) AS mois, CAST(quarter(date_mutation) AS INTEGER) AS trimestre,
+       CAST(year(date_mutation) AS VARCHAR) || '-T' || CAST(quarter(date_mutation) AS VARCHAR) AS annee_trimestre,
+       CAST(date_trunc('month', date_mutation) AS DATE) AS annee_mois
+FROM d""")
+def q_parse_dates(spark, sf_dir):
+    """dd/MM/yyyy text -> DATE with malformed text -> NULL; year, month, quarter, labels."""
+    o = table(spark, sf_dir, "orders")
+    txt = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("xx"))
+           .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.date_format("o_orderdate", "yyyy-MM-dd"))
+           .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")))
+    d = o.select("o_orderkey", parse_date(txt, "dd/MM/yyyy").alias("date_mutation"))
+    return add_calendar(d, "date_mutation", with_month_start=True)
+
+
+@register("train_test_split", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT split, date_mutation, quartier_detaille, {r6('prix_m2')} AS prix_m2 FROM tr WHERE split IS NOT NULL""")
+def q_train_test_split(spark, sf_dir):
+    """Year-membership split of the cleaned dataset; target kept in-row."""
+    ds = clean.split_by_year(B.clean_dataset(built(spark, sf_dir)), PROXY_TRAIN_YEARS, PROXY_TEST_YEARS)
+    feats, target = clean.features_target(ds, "prix_m2", drop=["annee"])
+    assert target not in feats
+    return ds.select("split", "date_mutation", "quartier_detaille", target)
+
+
+@register("split_summary", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL},
+t AS (SELECT * FROM tr WHERE split IS NOT NULL),
+py AS (SELECT split, annee, count(*) AS nb_annee FROM t GROUP BY 1, 2),
+ps AS (SELECT split, count(*) AS nb_lignes, avg(prix_m2) AS cible_moyenne, min(prix_m2) AS cible_min,
+              max(prix_m2) AS cible_max FROM t GROUP BY 1),
+ps2 AS (SELECT *, nb_lignes * 100.0 / sum(nb_lignes) OVER () AS part_pct FROM ps)
+SELECT py.split, py.annee, py.nb_annee, ps2.nb_lignes, {r6('ps2.cible_moyenne')} AS cible_moyenne,
+       {r6('ps2.cible_min')} AS cible_min, {r6('ps2.cible_max')} AS cible_max, {r6('ps2.part_pct')} AS part_pct
+FROM py JOIN ps2 USING (split)""")
+def q_split_summary(spark, sf_dir):
+    """Rows per split and year, split share, target mean/min/max."""
+    ds = clean.split_by_year(B.clean_dataset(built(spark, sf_dir)), PROXY_TRAIN_YEARS, PROXY_TEST_YEARS)
+    return profile.split_summary(ds)
+
+
+_NULL_COLS = ("date_mutation", "code_departement", "nom_commune", "code_postal", "valeur_fonciere",
+              "surface_reelle_bati", "nombre_pieces_principales", "l_returnflag", "p_type")
+
+
+@register("null_profile", sql="WITH raw AS (" + proxy_sales_sql(inject_nulls=True) + ")\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS variable, count(*) FILTER (WHERE {c} IS NULL) AS nb_null FROM raw" for c in _NULL_COLS))
+def q_null_profile(spark, sf_dir):
+    """Null count per column in one pass, on the proxy with injected NULL values (A5)."""
+    return profile.null_profile(proxy_sales(spark, sf_dir, inject_nulls=True), _NULL_COLS)
+
+
+def _long_sql(cols, value_type="DOUBLE", src="t", keep=""):
+    keep = f"{keep}, " if keep else ""
+    return "\nUNION ALL\n".join(
+        f"SELECT {keep}'{c}' AS variable, CAST({c} AS {value_type}) AS value FROM {src}" for c in cols)
+
+
+_TRAIN_SQL = f"WITH {_clean_cte()}, {_LABELS_SQL}, t AS (SELECT * FROM tr WHERE split = 'train')"
+
+
+@register("numeric_profile", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(PROXY_NUMERIC)})
+SELECT variable, count(value) AS nb, {r6('min(value)')} AS min, {r6('quantile_cont(value, 0.25)')} AS q1,
+       {r6('median(value)')} AS mediane, {r6('avg(value)')} AS moyenne, {r6('quantile_cont(value, 0.75)')} AS q3,
+       {r6('max(value)')} AS max, {r6('stddev_samp(value)')} AS ecart_type,
+       count(*) FILTER (WHERE value IS NULL) AS nb_nan
+FROM long GROUP BY variable""")
+def q_numeric_profile(spark, sf_dir):
+    """Descriptive statistics of every numeric column of the train split."""
+    return profile.numeric_profile(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+_CATS = PROXY_CATEGORICAL + PROXY_MID_CATEGORICAL
+
+
+@register("category_profile", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(_CATS, 'VARCHAR')}),
+c AS (SELECT variable, value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY 1, 2),
+pv AS (SELECT variable, count(*) AS nb_categories, sum(n) AS nn FROM c GROUP BY 1),
+nu AS (SELECT variable, count(*) FILTER (WHERE value IS NULL) AS nb_valeurs_manquantes FROM long GROUP BY 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY n DESC, value ASC) AS rang FROM c)
+SELECT r.variable, CAST(r.rang AS INTEGER) AS rang, r.value, r.n AS effectif,
+       {r6('r.n * 100.0 / pv.nn')} AS pourcentage, pv.nb_categories, nu.nb_valeurs_manquantes
+FROM r JOIN pv USING (variable) JOIN nu USING (variable) WHERE r.rang <= 10""")
+def q_category_profile(spark, sf_dir):
+    """Levels, nulls, top-10 counts and shares per categorical column."""
+    return profile.category_profile(train_rows(spark, sf_dir), _CATS)
+
+
+@register("level_gate", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(_CATS, 'VARCHAR')}),
+pv AS (SELECT variable, count(DISTINCT value) AS nb_categories FROM long GROUP BY 1)
+SELECT variable, nb_categories, nb_categories <= 20 AS graphique, nb_categories < 100 AS test FROM pv""")
+def q_level_gate(spark, sf_dir):
+    """Distinct levels per categorical column with the chart (<= 20) and test (< 100) gates."""
+    return profile.level_gate(train_rows(spark, sf_dir), _CATS)
+
+
+_TBC = PROXY_CATEGORICAL + ("mois", "trimestre")
+
+
+@register("target_by_category", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(_TBC, 'VARCHAR', keep='prix_m2')}),
+l AS (SELECT variable, value AS level, prix_m2 FROM long WHERE value IS NOT NULL)
+SELECT variable, level, count(prix_m2) AS count, round_even(avg(prix_m2), 2) AS mean,
+       round_even(median(prix_m2), 2) AS median, round_even(stddev_samp(prix_m2), 2) AS std,
+       round_even(min(prix_m2), 2) AS min, round_even(max(prix_m2), 2) AS max
+FROM l GROUP BY 1, 2""")
+def q_target_by_category(spark, sf_dir):
+    """Price statistics per level of each categorical column, half-even rounded; month/quarter domains."""
+    doms = {"mois": range(1, 13), "trimestre": range(1, 5)}
+    return profile.target_by_category(train_rows(spark, sf_dir), _TBC, domains=doms)
