@@ -139,3 +139,16 @@ def classify_columns(df: DataFrame, categorical: Iterable[str] = ("mois", "trime
         elif isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType)):
             dates.append(f.name)
     return {"numeriques": num, "categoriques": cat, "dates": dates}
+
+
+def keep_mask(df: DataFrame, departments: Iterable[str] | None = K.IDF_DEPARTMENTS,
+              value: str = "valeur_fonciere", surface: str = "surface_reelle_bati",
+              rooms: str = "nombre_pieces_principales"):
+    """Boolean Column: the row survives ``clean_sales`` (for one-pass retention counts, A18)."""
+    v, s, r = F.col(value), F.col(surface), F.col(rooms)
+    price = safe_div(v, s)
+    m = ((v > K.MIN_VALUE) & (s > K.MIN_SURFACE) & (s < K.MAX_SURFACE) & (r >= K.MIN_ROOMS)
+         & (r <= K.MAX_ROOMS) & (price > K.MIN_PRICE_M2) & (price < K.MAX_PRICE_M2))
+    if departments is not None:
+        m = m & F.col("code_departement").isin(list(departments))
+    return F.coalesce(m, F.lit(False))

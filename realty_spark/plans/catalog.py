@@ -349,3 +349,269 @@ def q_target_by_category(spark, sf_dir):
     """Price statistics per level of each categorical column, half-even rounded; month/quarter domains."""
     doms = {"mois": range(1, 13), "trimestre": range(1, 5)}
     return profile.target_by_category(train_rows(spark, sf_dir), _TBC, domains=doms)
+
+
+# -------------------------------------------------------- association ------
+def _assoc_long_sql(cols, typ):
+    return f"""long AS ({_long_sql(cols, typ, keep='prix_m2')})"""
+
+
+_CAT_L = f"""{_TRAIN_SQL}, {_assoc_long_sql(PROXY_CATEGORICAL, 'VARCHAR')},
+l AS (SELECT variable, value AS level, prix_m2 AS y FROM long WHERE value IS NOT NULL AND prix_m2 IS NOT NULL)"""
+_NUM_L = f"""{_TRAIN_SQL}, {_assoc_long_sql(PROXY_NUMERIC, 'DOUBLE')},
+l AS (SELECT variable, value AS x, prix_m2 AS y FROM long WHERE value IS NOT NULL AND NOT isnan(value)
+      AND prix_m2 IS NOT NULL)"""
+
+
+@register("anova_f", sql=f"""{_CAT_L},
+g AS (SELECT variable, level, count(y) AS n, avg(y) AS m, var_pop(y) AS v FROM l GROUP BY 1, 2),
+v AS (SELECT variable, count(*) AS k, CAST(sum(n) AS BIGINT) AS N, sum(n * m) / sum(n) AS gm, sum(n * v) AS ssw
+      FROM g GROUP BY 1),
+b AS (SELECT g.variable, sum(g.n * (g.m - v.gm) * (g.m - v.gm)) AS ssb FROM g JOIN v USING (variable) GROUP BY 1)
+SELECT variable, k, N, {r6("CASE WHEN k > 1 THEN (ssb / (k - 1)) / NULLIF(ssw / NULLIF(N - k, 0), 0) ELSE 0.0 END")}
+       AS f_stat FROM v JOIN b USING (variable)""")
+def q_anova_f(spark, sf_dir):
+    """One-way ANOVA F of price across the levels of every categorical column (H1)."""
+    return association.anova(train_rows(spark, sf_dir), PROXY_CATEGORICAL, with_p=False)
+
+
+@register("kruskal_h", sql=f"""{_CAT_L},
+r AS (SELECT variable, level, y, rank() OVER (PARTITION BY variable ORDER BY y)
+             + (count(*) OVER (PARTITION BY variable, y) - 1) / 2.0 AS rk FROM l),
+rs AS (SELECT variable, level, count(*) AS n, sum(rk) AS R FROM r GROUP BY 1, 2),
+per AS (SELECT variable, count(*) AS k, CAST(sum(n) AS BIGINT) AS N, sum(R * R / n) AS s FROM rs GROUP BY 1),
+tv AS (SELECT variable, y, CAST(count(*) AS DOUBLE) AS t FROM l GROUP BY 1, 2),
+ties AS (SELECT variable, sum(t * t * t - t) AS tt FROM tv GROUP BY 1)
+SELECT variable, k, N, {r6("CASE WHEN k > 1 THEN (12.0 / (CAST(N AS DOUBLE) * (N + 1)) * s - 3.0 * (N + 1)) / NULLIF(1 - tt / (CAST(N AS DOUBLE) * N * N - N), 0) ELSE 0.0 END")}
+       AS h_stat FROM per JOIN ties USING (variable)""")
+def q_kruskal_h(spark, sf_dir):
+    """Kruskal-Wallis H with tie correction per categorical column, distributed average ranks (H2)."""
+    return association.kruskal(train_rows(spark, sf_dir), PROXY_CATEGORICAL, with_p=False)
+
+
+@register("pearson_target", sql=f"""{_NUM_L}
+SELECT variable, count(*) AS n,
+       {r6("CASE WHEN var_pop(x) * var_pop(y) > 0 THEN covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y)) END")}
+       AS pearson FROM l GROUP BY 1""")
+def q_pearson_target(spark, sf_dir):
+    """Pearson r of each numeric column with price over pairwise complete rows, |r| order."""
+    return association.order_by_abs(association.pearson(train_rows(spark, sf_dir), PROXY_NUMERIC, with_p=False))
+
+
+@register("spearman_target", sql=f"""{_NUM_L},
+r AS (SELECT variable,
+             rank() OVER (PARTITION BY variable ORDER BY x) + (count(*) OVER (PARTITION BY variable, x) - 1) / 2.0 AS rx,
+             rank() OVER (PARTITION BY variable ORDER BY y) + (count(*) OVER (PARTITION BY variable, y) - 1) / 2.0 AS ry
+      FROM l)
+SELECT variable, count(*) AS n,
+       {r6("CASE WHEN var_pop(rx) * var_pop(ry) > 0 THEN covar_pop(rx, ry) / sqrt(var_pop(rx) * var_pop(ry)) END")}
+       AS spearman FROM r GROUP BY 1""")
+def q_spearman_target(spark, sf_dir):
+    """Spearman rho of each numeric column with price from distributed average ranks (H4)."""
+    return association.spearman(train_rows(spark, sf_dir), PROXY_NUMERIC, with_p=False)
+
+
+def _corr_sql(a, b):
+    if a == b:
+        return f"CASE WHEN var_pop({a}) > 0 THEN 1.0 END"
+    va = f"var_pop(CASE WHEN {b} IS NOT NULL THEN {a} END)"
+    vb = f"var_pop(CASE WHEN {a} IS NOT NULL THEN {b} END)"
+    return f"CASE WHEN {va} * {vb} > 0 THEN covar_pop({a}, {b}) / sqrt({va} * {vb}) END"
+
+
+_CM_COLS = PROXY_NUMERIC + ("prix_m2",)
+_CM_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, {r6(_corr_sql(a, b))} AS r FROM t"
+    for i, a in enumerate(_CM_COLS) for b in _CM_COLS[i:])
+_CM_SQL_MIRROR = "\nUNION ALL\n".join(
+    f"SELECT '{b}' AS var1, '{a}' AS var2, {r6(_corr_sql(a, b))} AS r FROM t"
+    for i, a in enumerate(_CM_COLS) for b in _CM_COLS[i + 1:])
+
+
+@register("corr_matrix", sql=f"""{_TRAIN_SQL}
+{_CM_SQL}
+UNION ALL
+{_CM_SQL_MIRROR}""")
+def q_corr_matrix(spark, sf_dir):
+    """Pairwise Pearson matrix of the numeric columns and price in one aggregation (H6)."""
+    return association.corr_matrix(train_rows(spark, sf_dir), PROXY_NUMERIC, "prix_m2")
+
+
+@register("jarque_bera", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(PROXY_NUMERIC)}),
+l AS (SELECT * FROM long WHERE value IS NOT NULL AND NOT isnan(value)),
+m AS (SELECT variable, avg(value) AS mu FROM l GROUP BY 1),
+c AS (SELECT l.variable, l.value - m.mu AS d FROM l JOIN m USING (variable)),
+s AS (SELECT variable, count(*) AS n, avg(d * d) AS m2, avg(d * d * d) AS m3, avg(d * d * d * d) AS m4 FROM c GROUP BY 1),
+k AS (SELECT variable, n, m3 / pow(m2, 1.5) AS skew, m4 / (m2 * m2) - 3 AS kurt FROM s),
+j AS (SELECT *, n / 6.0 * (skew * skew + kurt * kurt / 4.0) AS jb FROM k)
+SELECT variable, n, {r6('skew')} AS skew, {r6('kurt')} AS kurt, {r6('jb')} AS jb, {r6('exp(-jb / 2.0)')} AS jb_p,
+       CASE WHEN exp(-jb / 2.0) > 0.05 THEN 'Oui' ELSE 'Non' END AS normal FROM j""")
+def q_jarque_bera(spark, sf_dir):
+    """Jarque-Bera normality test of every numeric column on the full data (H5, scalable companion)."""
+    return association.jarque_bera(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+@register("shapiro")
+def q_shapiro(spark, sf_dir):
+    """Shapiro-Wilk W and p (Royston) on a seeded bounded sample per numeric column."""
+    return association.shapiro(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+@register("assoc_report")
+def q_assoc_report(spark, sf_dir):
+    """ANOVA + Kruskal-Wallis with p-values and significance for gated categorical columns (H7)."""
+    return association.association_report(train_rows(spark, sf_dir), _CATS)
+
+
+@register("correlation_report")
+def q_correlation_report(spark, sf_dir):
+    """Pearson, Spearman with two-sided p-values and the Shapiro normal flag per numeric column (H3-H5)."""
+    return association.correlation_report(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+# --------------------------------------------------------- panels ----------
+def _split_sql(expr):
+    return f"CASE WHEN year({expr}) IN ({TRAIN_SQL}) THEN 'train' WHEN year({expr}) IN ({TEST_SQL}) THEN 'test' END"
+
+
+@register("retention_rate", sql=f"""
+WITH raw AS ({proxy_sales_sql()}),
+t AS (SELECT *, {_split_sql('date_mutation')} AS split,
+             coalesce(code_departement IN ({DEPTS_SQL}) AND valeur_fonciere > 1000 AND surface_reelle_bati > 9
+                      AND surface_reelle_bati < 1000 AND nombre_pieces_principales >= 1
+                      AND nombre_pieces_principales <= 15
+                      AND valeur_fonciere / NULLIF(surface_reelle_bati, 0) > 500
+                      AND valeur_fonciere / NULLIF(surface_reelle_bati, 0) < 20000, false) AS keep FROM raw)
+SELECT split, count(*) AS nb_brut, count(*) FILTER (WHERE keep) AS nb_propre,
+       {r6('count(*) FILTER (WHERE keep) * 100.0 / count(*)')} AS taux_conservation_pct
+FROM t WHERE split IS NOT NULL GROUP BY split""")
+def q_retention_rate(spark, sf_dir):
+    """Share of raw rows kept by the cleaning filters, per split, in one pass."""
+    raw = proxy_sales(spark, sf_dir)
+    y = F.year("date_mutation")
+    raw = raw.withColumn("split", F.when(y.isin(list(PROXY_TRAIN_YEARS)), "train")
+                         .when(y.isin(list(PROXY_TEST_YEARS)), "test")).where(F.col("split").isNotNull())
+    return profile.retention_rate(raw, clean.keep_mask(raw, PROXY_DEPARTMENTS))
+
+
+def split_panel_proxy(spark, sf_dir, extended=False, zone_level="region"):
+    sales = zoned(spark, sf_dir, zone_level) if zone_level == "region" else \
+        panel.with_zone(clean_proxy(spark, sf_dir, zone_level, departments=None))
+    return panel.split_panel(sales, PROXY_TRAIN_YEARS, PROXY_TEST_YEARS, extended=extended)
+
+
+def _zone_cte(zone_level="region"):
+    return f"""{_clean_cte(zone_level, departments=zone_level == 'region')},
+z AS (SELECT 'Dept ' || code_departement AS zone, CAST(date_trunc('month', date_mutation) AS DATE) AS annee_mois, *
+      FROM sales WHERE year(date_mutation) IN ({TRAIN_SQL}, {TEST_SQL}))"""
+
+
+def _panel_cte(zone_level="region"):
+    return f"""{_zone_cte(zone_level)},
+p AS (SELECT zone, annee_mois, median(prix_m2) AS prix_median_m2, avg(prix_m2) AS prix_moyen_m2,
+             stddev_samp(prix_m2) AS prix_std_m2, median(valeur_fonciere) AS valeur_mediane,
+             avg(nombre_pieces_principales) AS nb_pieces_moy, avg(surface_reelle_bati) AS surface_moy,
+             count(*) AS nb_transactions,
+             CASE WHEN year(annee_mois) IN ({TRAIN_SQL}) THEN 'train' ELSE 'test' END AS split
+      FROM z GROUP BY zone, annee_mois)"""
+
+
+@register("monthly_panel_ext", sql=f"""
+WITH {_panel_cte()}
+SELECT zone, annee_mois, split, {r6('prix_median_m2')} AS prix_median_m2, {r6('prix_moyen_m2')} AS prix_moyen_m2,
+       {r6('prix_std_m2')} AS prix_std_m2, {r6('valeur_mediane')} AS valeur_mediane,
+       {r6('nb_pieces_moy')} AS nb_pieces_moy, {r6('surface_moy')} AS surface_moy, nb_transactions FROM p""")
+def q_monthly_panel_ext(spark, sf_dir):
+    """Extended monthly panel (std, mean rooms, mean surface) tagged train/test."""
+    return split_panel_proxy(spark, sf_dir, extended=True)
+
+
+@register("panel_span", sql=f"""
+WITH {_panel_cte()}
+SELECT split, min(annee_mois) AS mois_min, max(annee_mois) AS mois_max, count(DISTINCT zone) AS nb_zones
+FROM p GROUP BY split""")
+def q_panel_span(spark, sf_dir):
+    """First/last month and distinct zones per split."""
+    return panel.panel_span(split_panel_proxy(spark, sf_dir))
+
+
+@register("series_gate", sql=f"""
+WITH {_panel_cte('nation')},
+st AS (SELECT split, zone, count(*) AS n, min(prix_median_m2) AS y_min, max(prix_median_m2) AS y_max,
+              avg(prix_median_m2) AS y_mean FROM p GROUP BY 1, 2),
+tr AS (SELECT * FROM st WHERE split = 'train'), te AS (SELECT * FROM st WHERE split = 'test')
+SELECT tr.zone, tr.n AS nb_train, {r6('tr.y_min')} AS train_min, {r6('tr.y_max')} AS train_max,
+       {r6('tr.y_mean')} AS train_mean, coalesce(te.n, 0) AS nb_test,
+       CASE WHEN tr.n < 24 THEN 'skipped' WHEN coalesce(te.n, 0) = 0 THEN 'skipped' ELSE 'ok' END AS status,
+       CASE WHEN tr.n < 24 THEN 'train series shorter than minimum' WHEN coalesce(te.n, 0) = 0 THEN 'no test month' END
+       AS reason
+FROM tr LEFT JOIN te USING (zone)""")
+def q_series_gate(spark, sf_dir):
+    """Per-zone eligibility (>= 24 train months, >= 1 test month) with train min/max/mean."""
+    return panel.series_gate(split_panel_proxy(spark, sf_dir, zone_level="nation"))
+
+
+_FEAT_W = "PARTITION BY zone ORDER BY annee_mois"
+
+
+def _feat_sql(target="prix_median_m2"):
+    y = target
+    parts = [f"lag({y}, {k}) OVER w AS lag_{k}" for k in (1, 2, 3, 6, 12)]
+    for k in (3, 6, 12):
+        fr = f"({_FEAT_W} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        parts.append(f"CASE WHEN count({y}) OVER {fr} = {k} THEN avg({y}) OVER {fr} END AS ma_{k}")
+    for k in (3, 6):
+        fr = f"({_FEAT_W} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        parts.append(f"CASE WHEN count({y}) OVER {fr} = {k} THEN stddev_samp({y}) OVER {fr} END AS std_{k}")
+    parts.append(f"{y} - lag({y}, 1) OVER w AS tendance")
+    return ",\n       ".join(parts)
+
+
+@register("panel_features", sql=f"""
+WITH {_panel_cte()},
+tr AS (SELECT zone, annee_mois, prix_median_m2 FROM p WHERE split = 'train'),
+ft AS (SELECT zone, annee_mois, prix_median_m2, CAST(month(annee_mois) AS INTEGER) AS mois,
+             CAST(year(annee_mois) AS INTEGER) AS annee, CAST(row_number() OVER w - 1 AS INTEGER) AS mois_depuis_debut,
+             count(*) OVER (PARTITION BY zone) AS n_,
+             {_feat_sql()}
+      FROM tr WINDOW w AS ({_FEAT_W}))
+SELECT zone, annee_mois, {r6('prix_median_m2')} AS prix_median_m2, mois, annee, mois_depuis_debut,
+       {', '.join(r6(c) + ' AS ' + c for c in ['lag_1', 'lag_2', 'lag_3', 'lag_6', 'lag_12', 'ma_3', 'ma_6', 'ma_12', 'std_3', 'std_6', 'tendance'])},
+       (lag_1 IS NOT NULL OR n_ <= 1) AND (lag_2 IS NOT NULL OR n_ <= 2) AND (lag_3 IS NOT NULL OR n_ <= 3)
+       AND (lag_6 IS NOT NULL OR n_ <= 6) AND (lag_12 IS NOT NULL OR n_ <= 12) AND (ma_3 IS NOT NULL OR n_ <= 3)
+       AND (ma_6 IS NOT NULL OR n_ <= 6) AND (ma_12 IS NOT NULL OR n_ <= 12) AND (std_3 IS NOT NULL OR n_ <= 3)
+       AND (std_6 IS NOT NULL OR n_ <= 6) AND (tendance IS NOT NULL OR n_ <= 1) AS complete
+FROM ft""")
+def q_panel_features(spark, sf_dir):
+    """Lags 1-12, full-window rolling means/stds, trend, calendar features per zone."""
+    p = split_panel_proxy(spark, sf_dir).where(F.col("split") == "train")
+    return panel.panel_features(p)
+
+
+@register("chrono_split", sql=f"""
+WITH {_panel_cte()},
+tr AS (SELECT zone, annee_mois, prix_median_m2 FROM p WHERE split = 'train'),
+ft AS (SELECT zone, annee_mois, count(*) OVER (PARTITION BY zone) AS n_,
+              lag(prix_median_m2, 12) OVER w AS l12
+       FROM tr WINDOW w AS ({_FEAT_W})),
+c AS (SELECT zone, annee_mois FROM ft WHERE l12 IS NOT NULL OR n_ <= 12)
+SELECT zone, annee_mois,
+       row_number() OVER ({_FEAT_W}) > floor(count(*) OVER (PARTITION BY zone) * 0.85) AS is_validation FROM c""")
+def q_chrono_split(spark, sf_dir):
+    """Chronological 85/15 fit/validation split of each zone's complete feature rows."""
+    p = split_panel_proxy(spark, sf_dir).where(F.col("split") == "train")
+    feats = panel.panel_features(p).where(F.col("complete"))
+    return panel.chrono_split(feats).select("zone", "annee_mois", "is_validation")
+
+
+@register("fallback_forecast", sql=f"""
+WITH {_panel_cte()},
+tr AS (SELECT zone, prix_median_m2, row_number() OVER (PARTITION BY zone ORDER BY annee_mois DESC) AS rk
+       FROM p WHERE split = 'train'),
+m AS (SELECT zone, CASE WHEN count(*) = 6 THEN avg(prix_median_m2) END AS yhat FROM tr WHERE rk <= 6 GROUP BY zone),
+te AS (SELECT zone, annee_mois, CAST(row_number() OVER ({_FEAT_W}) AS INTEGER) AS step FROM p WHERE split = 'test')
+SELECT te.zone, te.step, te.annee_mois, {r6('m.yhat')} AS yhat FROM te JOIN m USING (zone)""")
+def q_fallback_forecast(spark, sf_dir):
+    """Trailing-6 mean of each zone's train series repeated over its test months."""
+    return panel.fallback_forecast(split_panel_proxy(spark, sf_dir), "prix_median_m2")
