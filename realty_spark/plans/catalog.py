@@ -615,3 +615,106 @@ SELECT te.zone, te.step, te.annee_mois, {r6('m.yhat')} AS yhat FROM te JOIN m US
 def q_fallback_forecast(spark, sf_dir):
     """Trailing-6 mean of each zone's train series repeated over its test months."""
     return panel.fallback_forecast(split_panel_proxy(spark, sf_dir), "prix_median_m2")
+
+
+# ------------------------------------------------------- evaluation --------
+from realty_spark.operators import evaluate  # noqa: E402
+
+
+def _eval_base(spark, sf_dir):
+    p = split_panel_proxy(spark, sf_dir)
+    gate = panel.series_gate(p, "prix_median_m2")
+    fb = panel.fallback_forecast(p, "prix_median_m2")
+    return p, gate, fb
+
+
+def drift_forecast(p: DataFrame, target: str) -> DataFrame:
+    """Drift input for the guard/compare queries: last + step * (last - first) / (n - 1)."""
+    tr = p.where(F.col("split") == "train")
+    s = tr.groupBy("zone").agg(F.max_by(target, "annee_mois").alias("_last"),
+                               F.min_by(target, "annee_mois").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    return (panel.test_steps(p).join(s, "zone")
+            .select("zone", "step", "annee_mois",
+                    (F.col("_last") + F.col("step") * safe_div(F.col("_last") - F.col("_first"), F.col("_n") - 1))
+                    .alias("yhat")))
+
+
+from realty_spark.functions.numeric import safe_div  # noqa: E402
+
+_EVAL_CTE = f"""{_panel_cte()},
+tr AS (SELECT zone, annee_mois, prix_median_m2, row_number() OVER (PARTITION BY zone ORDER BY annee_mois DESC) AS rk
+       FROM p WHERE split = 'train'),
+fbm AS (SELECT zone, CASE WHEN count(*) = 6 THEN avg(prix_median_m2) END AS yhat FROM tr WHERE rk <= 6 GROUP BY zone),
+te AS (SELECT zone, annee_mois, prix_median_m2 AS y, row_number() OVER ({_FEAT_W}) AS step FROM p WHERE split = 'test'),
+st AS (SELECT zone, min(prix_median_m2) AS train_min, max(prix_median_m2) AS train_max, count(*) AS n,
+              arg_max(prix_median_m2, annee_mois) AS last_, arg_min(prix_median_m2, annee_mois) AS first_
+       FROM p WHERE split = 'train' GROUP BY zone),
+fb AS (SELECT te.zone, te.step, te.y, fbm.yhat FROM te JOIN fbm USING (zone)),
+dr AS (SELECT te.zone, te.step, te.y, st.last_ + te.step * (st.last_ - st.first_) / NULLIF(st.n - 1, 0) AS yhat
+       FROM te JOIN st USING (zone)),
+both_ AS (SELECT 'fallback' AS model, * FROM fb UNION ALL SELECT 'drift' AS model, * FROM dr),
+zm AS (SELECT model, zone, count(*) AS n, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(abs(y - yhat)) AS mae,
+              avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100 AS mape,
+              CASE WHEN var_pop(y) * count(y) > 0 THEN 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y))
+                   WHEN sum((y - yhat) * (y - yhat)) = 0 THEN 1.0 ELSE 0.0 END AS r2
+       FROM both_ GROUP BY model, zone)"""
+
+
+def _zone_metrics(spark, sf_dir):
+    p, gate, fb = _eval_base(spark, sf_dir)
+    al = [evaluate.align_forecast(fb, p, "prix_median_m2").withColumn("model", F.lit("fallback")),
+          evaluate.align_forecast(drift_forecast(p, "prix_median_m2"), p, "prix_median_m2")
+          .withColumn("model", F.lit("drift"))]
+    return evaluate.regression_metrics(al[0].unionByName(al[1]), ["model", "zone"])
+
+
+@register("forecast_guard", sql=f"""WITH {_EVAL_CTE},
+g AS (SELECT dr.zone, dr.step, dr.yhat, fb.yhat AS fb, st.train_min, st.train_max,
+             coalesce(NOT isfinite(dr.yhat) OR abs(dr.yhat) > st.train_max * 1.5 OR dr.yhat < st.train_min * 0.5, true)
+             AS bad FROM dr JOIN st USING (zone) LEFT JOIN fb USING (zone, step)),
+h AS (SELECT *, max(CAST(bad AS INTEGER)) OVER (PARTITION BY zone) = 1 AS fallback FROM g)
+SELECT zone, CAST(step AS INTEGER) AS step, {r6('yhat')} AS yhat_brut, fallback,
+       {r6('greatest(train_min * 0.5, least(train_max * 1.5, CASE WHEN fallback THEN fb ELSE yhat END))')} AS yhat
+FROM h""")
+def q_forecast_guard(spark, sf_dir):
+    """Price sanity guard on a drift forecast: whole-horizon fallback on any bad step, then clip."""
+    p, gate, fb = _eval_base(spark, sf_dir)
+    return evaluate.forecast_guard(drift_forecast(p, "prix_median_m2"), gate, fb, kind="price")
+
+
+@register("regression_metrics", sql=f"""WITH {_EVAL_CTE}
+SELECT 'fallback' AS model, 'TEST' AS dataset, count(*) AS n, {r6('sqrt(avg((y - yhat) * (y - yhat)))')} AS rmse,
+       {r6('avg(abs(y - yhat))')} AS mae,
+       {r6('CASE WHEN var_pop(y) > 0 THEN 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y)) WHEN sum((y - yhat) * (y - yhat)) = 0 THEN 1.0 ELSE 0.0 END')} AS r2,
+       {r6('avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100')} AS mape
+FROM fb""")
+def q_regression_metrics(spark, sf_dir):
+    """Pooled RMSE / MAE / R^2 / zero-guarded MAPE of the fallback forecast on the test months."""
+    p, gate, fb = _eval_base(spark, sf_dir)
+    m = evaluate.regression_metrics(evaluate.align_forecast(fb, p, "prix_median_m2"))
+    return evaluate.comparison_table(m.withColumns({"model": F.lit("fallback"), "dataset": F.lit("test")}))
+
+
+@register("zone_metrics", sql=f"""WITH {_EVAL_CTE}
+SELECT model, zone, n, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('mape')} AS mape, {r6('r2')} AS r2 FROM zm""")
+def q_zone_metrics(spark, sf_dir):
+    """Per (model, zone) metrics of the fallback and drift forecasts, by ascending MAPE."""
+    return _zone_metrics(spark, sf_dir).orderBy("model", "mape")
+
+
+@register("metrics_summary", sql=f"""WITH {_EVAL_CTE},
+gate AS (SELECT st.zone, CASE WHEN st.n < 24 THEN 'skipped'
+                              WHEN NOT EXISTS (SELECT 1 FROM te WHERE te.zone = st.zone) THEN 'skipped'
+                              ELSE 'ok' END AS status FROM st)
+SELECT model, {r6('avg(mape)')} AS mape_moyen, {r6('avg(r2)')} AS r2_moyen, {r6('avg(mae)')} AS mae_moyen,
+       arg_min(zone, (mape, zone)) AS meilleure_zone, count(*) AS nb_zones_evaluees,
+       {r6('median(mape)')} AS mape_mediane,
+       (SELECT count(*) FILTER (WHERE status = 'ok') * 1.0 / count(*) FROM gate) AS taux_succes
+FROM zm GROUP BY model""")
+def q_metrics_summary(spark, sf_dir):
+    """Mean/median MAPE, mean R^2 and MAE, best zone and success ratio per model."""
+    p, gate, fb = _eval_base(spark, sf_dir)
+    zm = _zone_metrics(spark, sf_dir)
+    st = gate.select("status")
+    statuses = st.withColumn("model", F.lit("fallback")).unionByName(st.withColumn("model", F.lit("drift")))
+    return evaluate.metrics_summary(zm, statuses)
