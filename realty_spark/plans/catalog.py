@@ -718,3 +718,162 @@ def q_metrics_summary(spark, sf_dir):
     st = gate.select("status")
     statuses = st.withColumn("model", F.lit("fallback")).unionByName(st.withColumn("model", F.lit("drift")))
     return evaluate.metrics_summary(zm, statuses)
+
+
+@register("segment_errors", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL},
+e AS (SELECT quartier_detaille, abs(prix_m2 - prix_median_m2) AS ea,
+             abs((prix_m2 - prix_median_m2) / NULLIF(prix_m2, 0)) * 100 AS er FROM imp2
+      WHERE quartier_detaille IS NOT NULL),
+g AS (SELECT quartier_detaille, round_even(avg(ea), 2) AS MAE, round_even(median(ea), 2) AS Mediane_erreur,
+             round_even(stddev_samp(ea), 2) AS Std_erreur, round_even(avg(er), 2) AS MAPE,
+             round_even(median(er), 2) AS Mediane_MAPE, count(*) AS Nb_observations FROM e GROUP BY 1)
+SELECT * FROM g ORDER BY MAE DESC, quartier_detaille LIMIT 10""")
+def q_segment_errors(spark, sf_dir):
+    """Error of the district-median predictor per district, worst 10 by MAE."""
+    ds = district.impute_median(clean.drop_columns(built(spark, sf_dir), ["annee_trimestre"]))
+    e = ds.select("quartier_detaille", F.col("prix_m2").alias("y"), F.col("prix_median_m2").alias("yhat"))
+    return evaluate.segment_errors(e, "quartier_detaille", top_n=10)
+
+
+@register("compare_models", sql=f"""WITH {_EVAL_CTE},
+a AS (SELECT zone, mape AS mape_a FROM zm WHERE model = 'fallback'),
+b AS (SELECT zone, mape AS mape_b FROM zm WHERE model = 'drift')
+SELECT coalesce(a.zone, b.zone) AS zone, {r6('mape_a')} AS mape_a, {r6('mape_b')} AS mape_b,
+       {r6('mape_a - mape_b')} AS difference FROM a FULL OUTER JOIN b ON a.zone = b.zone""")
+def q_compare_models(spark, sf_dir):
+    """Per-zone MAPE of two models side by side with the difference, ascending."""
+    return evaluate.compare_models(_zone_metrics(spark, sf_dir), "fallback", "drift")
+
+
+@register("union_periods", sql=f"""
+WITH raw AS ({proxy_sales_sql()}),
+u AS (SELECT CAST(year(date_mutation) AS INTEGER) AS annee, p_brand FROM raw WHERE year(date_mutation) <= 1997
+      UNION ALL
+      SELECT CAST(year(date_mutation) AS INTEGER) AS annee, NULL AS p_brand FROM raw WHERE year(date_mutation) > 1997)
+SELECT annee, count(*) AS n, count(*) FILTER (WHERE p_brand IS NULL) AS nb_sans_marque FROM u GROUP BY annee""")
+def q_union_periods(spark, sf_dir):
+    """Period extracts with a drifting column stacked by name, missing column NULL."""
+    from realty_spark.sources.readers import union_periods
+    raw = proxy_sales(spark, sf_dir).withColumn("annee", F.year("date_mutation"))
+    early = raw.where(F.col("annee") <= 1997)
+    late = raw.where(F.col("annee") > 1997).drop("p_brand")
+    u = union_periods([early, late])
+    return u.groupBy("annee").agg(F.count(F.lit(1)).alias("n"),
+                                  F.count_if(F.col("p_brand").isNull()).alias("nb_sans_marque"))
+
+
+# ------------------------------------------------------- chart data --------
+from realty_spark.operators import chartdata  # noqa: E402
+
+_NUM_LONG = f"""{_TRAIN_SQL}, long AS ({_long_sql(PROXY_NUMERIC)}),
+l AS (SELECT * FROM long WHERE value IS NOT NULL AND NOT isnan(value))"""
+
+
+@register("histogram", sql=f"""{_NUM_LONG},
+r AS (SELECT variable, min(value) AS lo, (max(value) - min(value)) / 50 AS w FROM l GROUP BY 1),
+b AS (SELECT l.variable, CASE WHEN w > 0 THEN least(floor((value - lo) / w), 49) ELSE 0 END AS bin, lo, w
+      FROM l JOIN r USING (variable))
+SELECT variable, CAST(bin AS INTEGER) AS bin, {r6('lo + bin * w')} AS "left", {r6('lo + (bin + 1) * w')} AS "right",
+       count(*) AS count FROM b GROUP BY variable, bin, lo, w""")
+def q_histogram(spark, sf_dir):
+    """50-bin histograms of every numeric column, last bin closed (V1, V9)."""
+    return chartdata.histogram(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+@register("boxplot", sql=f"""{_NUM_LONG},
+qq AS (SELECT variable, quantile_cont(value, 0.25) AS q1, median(value) AS mediane, quantile_cont(value, 0.75) AS q3
+      FROM l GROUP BY 1),
+j AS (SELECT l.*, qq.q1, qq.mediane, qq.q3, value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1) AS inside
+      FROM l JOIN qq USING (variable))
+SELECT variable, {r6('any_value(q1)')} AS q1, {r6('any_value(mediane)')} AS mediane, {r6('any_value(q3)')} AS q3,
+       {r6('min(value) FILTER (WHERE inside)')} AS moustache_basse,
+       {r6('max(value) FILTER (WHERE inside)')} AS moustache_haute,
+       count(*) FILTER (WHERE NOT inside) AS nb_aberrants, count(*) AS n FROM j GROUP BY variable""")
+def q_boxplot(spark, sf_dir):
+    """Box-plot data (quartiles, whiskers, outlier counts) of every numeric column (V2)."""
+    return chartdata.boxplot_columns(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+@register("boxplot_by_category", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(PROXY_CATEGORICAL, 'VARCHAR', keep='prix_m2')}),
+l AS (SELECT variable, value AS level, prix_m2 FROM long WHERE value IS NOT NULL AND prix_m2 IS NOT NULL),
+qq AS (SELECT variable, level, quantile_cont(prix_m2, 0.25) AS q1, median(prix_m2) AS mediane,
+             quantile_cont(prix_m2, 0.75) AS q3 FROM l GROUP BY 1, 2),
+j AS (SELECT l.*, q1, mediane, q3, prix_m2 >= q1 - 1.5 * (q3 - q1) AND prix_m2 <= q3 + 1.5 * (q3 - q1) AS inside
+      FROM l JOIN qq USING (variable, level))
+SELECT variable, level, {r6('any_value(q1)')} AS q1, {r6('any_value(mediane)')} AS mediane, {r6('any_value(q3)')} AS q3,
+       {r6('min(prix_m2) FILTER (WHERE inside)')} AS moustache_basse,
+       {r6('max(prix_m2) FILTER (WHERE inside)')} AS moustache_haute,
+       count(*) FILTER (WHERE NOT inside) AS nb_aberrants, count(*) AS n FROM j GROUP BY variable, level""")
+def q_boxplot_by_category(spark, sf_dir):
+    """Box-plot data of price per level of each categorical column (V2)."""
+    return chartdata.boxplot_by_category(train_rows(spark, sf_dir), PROXY_CATEGORICAL)
+
+
+@register("scatter_bins", sql=f"""{_TRAIN_SQL}, long AS ({_long_sql(PROXY_NUMERIC, keep='prix_m2')}),
+l AS (SELECT variable, value AS x, prix_m2 AS y FROM long WHERE value IS NOT NULL AND NOT isnan(value)
+      AND prix_m2 IS NOT NULL),
+r AS (SELECT variable, min(x) AS lx, (max(x) - min(x)) / 50 AS wx, min(y) AS ly, (max(y) - min(y)) / 50 AS wy
+      FROM l GROUP BY 1)
+SELECT variable,
+       CAST(CASE WHEN wx > 0 THEN least(floor((x - lx) / wx), 49) ELSE 0 END AS INTEGER) AS bin_x,
+       CAST(CASE WHEN wy > 0 THEN least(floor((y - ly) / wy), 49) ELSE 0 END AS INTEGER) AS bin_y,
+       count(*) AS count FROM l JOIN r USING (variable) GROUP BY 1, 2, 3""")
+def q_scatter_bins(spark, sf_dir):
+    """2-D binned counts of each numeric column against price (V3)."""
+    return chartdata.scatter_bins(train_rows(spark, sf_dir), PROXY_NUMERIC)
+
+
+@register("top_levels_chart", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(_CATS, 'VARCHAR')}),
+c AS (SELECT variable, value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY n DESC, value ASC) AS rang FROM c),
+t20 AS (SELECT * FROM r WHERE rang <= 20)
+SELECT variable, value, n, CAST(rang AS INTEGER) AS rang,
+       {r6("CASE WHEN rang <= 10 THEN n * 100.0 / sum(CASE WHEN rang <= 10 THEN n END) OVER (PARTITION BY variable) END")}
+       AS part_camembert_pct FROM t20""")
+def q_top_levels_chart(spark, sf_dir):
+    """Top-20 bar and top-10 pie data (share of the top-10 total) per categorical column (V4)."""
+    return chartdata.top_levels_chart(profile.level_counts(train_rows(spark, sf_dir), _CATS))
+
+
+@register("mean_bar", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(_CATS, 'VARCHAR', keep='prix_m2')}),
+s AS (SELECT variable, value AS level, round_even(avg(prix_m2), 2) AS mean FROM long WHERE value IS NOT NULL
+      GROUP BY 1, 2),
+o AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY level) AS ordre FROM s)
+SELECT variable, CAST(ordre AS INTEGER) AS ordre, level, mean FROM o WHERE ordre <= 20""")
+def q_mean_bar(spark, sf_dir):
+    """Mean price of the first 20 levels of each categorical column (V5)."""
+    return chartdata.mean_bar(profile.target_by_category(train_rows(spark, sf_dir), _CATS))
+
+
+@register("corr_chart", sql=f"""{_NUM_L},
+c AS (SELECT variable,
+             CASE WHEN var_pop(x) * var_pop(y) > 0 THEN covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y)) END AS pearson
+      FROM l GROUP BY 1)
+SELECT variable, {r6('pearson')} AS pearson,
+       CAST(row_number() OVER (ORDER BY abs(pearson) DESC NULLS LAST, variable) AS INTEGER) AS ordre FROM c""")
+def q_corr_chart(spark, sf_dir):
+    """Pearson bar-chart data ordered by |r| (V6)."""
+    return chartdata.corr_chart(association.pearson(train_rows(spark, sf_dir), PROXY_NUMERIC, with_p=False))
+
+
+@register("qq_points")
+def q_qq_points(spark, sf_dir):
+    """Normal Q-Q data of the district-median predictor residuals on a 200-point grid (V7)."""
+    ds = district.impute_median(clean.drop_columns(built(spark, sf_dir), ["annee_trimestre"]))
+    res = ds.select((F.col("prix_m2") - F.col("prix_median_m2")).alias("residu"))
+    return chartdata.qq_points(res, "residu")
+
+
+@register("forecast_overview", sql=f"""WITH {_EVAL_CTE},
+fc AS (SELECT te.zone, te.annee_mois, fbm.yhat FROM te JOIN fbm USING (zone))
+SELECT zone, annee_mois, 'historique' AS kind, {r6('prix_median_m2')} AS value FROM p WHERE split = 'train'
+UNION ALL SELECT zone, annee_mois, 'reel' AS kind, {r6('prix_median_m2')} AS value FROM p WHERE split = 'test'
+UNION ALL SELECT zone, annee_mois, 'prevision' AS kind, {r6('yhat')} AS value FROM fc""")
+def q_forecast_overview(spark, sf_dir):
+    """Per-zone history / actual / forecast long table for the overview figure (V8)."""
+    p, gate, fb = _eval_base(spark, sf_dir)
+    return chartdata.forecast_overview(p, fb, "prix_median_m2")
