@@ -877,3 +877,48 @@ def q_forecast_overview(spark, sf_dir):
     """Per-zone history / actual / forecast long table for the overview figure (V8)."""
     p, gate, fb = _eval_base(spark, sf_dir)
     return chartdata.forecast_overview(p, fb, "prix_median_m2")
+
+
+# ---------------------------------------------------------- models ---------
+from realty_spark.operators import forecast  # noqa: E402
+
+
+@register("sarima_grid")
+def q_sarima_grid(spark, sf_dir):
+    """AIC of the 144 seasonal ARIMA candidates of every eligible zone, best per zone flagged (M2)."""
+    p = split_panel_proxy(spark, sf_dir)
+    g = forecast.sarima_grid(p, "nb_transactions")
+    best = forecast.best_orders(g).select("zone", F.col("cid").alias("_best"))
+    return g.join(best, "zone", "left").withColumn("meilleur", F.col("cid") == F.col("_best")).drop("_best")
+
+
+@register("sarima_forecast")
+def q_sarima_forecast(spark, sf_dir):
+    """Seasonal ARIMA volume forecast per zone with the volume guard and per-zone failure isolation."""
+    return forecast.sarima_forecast(split_panel_proxy(spark, sf_dir), "nb_transactions", kind="volume")
+
+
+@register("sarima_price_forecast")
+def q_sarima_price_forecast(spark, sf_dir):
+    """Seasonal ARIMA median-price forecast per zone with the price guard."""
+    return forecast.sarima_forecast(split_panel_proxy(spark, sf_dir), "prix_median_m2", kind="price")
+
+
+@register("seasonal_trend_forecast")
+def q_seasonal_trend_forecast(spark, sf_dir):
+    """Multiplicative trend + yearly seasonality + regressors per zone, 80 % interval."""
+    return forecast.seasonal_trend_forecast(split_panel_proxy(spark, sf_dir, extended=True))
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf_dir):
+    """Pooled boosted-tree price model with a recursive forecast of every test month (M5, M6)."""
+    fc, _ = forecast.gbt_forecast(split_panel_proxy(spark, sf_dir), "prix_median_m2")
+    return fc
+
+
+@register("gbt_importance")
+def q_gbt_importance(spark, sf_dir):
+    """Top-5 feature importances of the pooled boosted-tree price model."""
+    _, imp = forecast.gbt_forecast(split_panel_proxy(spark, sf_dir), "prix_median_m2")
+    return forecast.top_importances(imp, 5)
