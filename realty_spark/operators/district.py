@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from realty_spark import constants as K
 from realty_spark.functions.labels import arrondissement, detailed_district, district
 from realty_spark.functions.numeric import safe_div
-from realty_spark.operators.quantiles import group_quantiles
+from realty_spark.operators.quantiles import group_stats
 
 MEDIAN_KEYS = ("quartier_detaille", "annee_trimestre")
 
@@ -28,10 +28,10 @@ def district_quarter_median(sales: DataFrame, min_sales: int = K.MIN_SALES_PER_M
     base = sales
     for k in keys:
         base = base.where(F.col(k).isNotNull())
-    stats = (base.groupBy(*keys).agg(F.count(price).alias("nb_transactions"), F.avg(price).alias("prix_moyen_m2"))
-             .where(F.col("nb_transactions") >= min_sales))
-    med = group_quantiles(base, keys, {"prix_median_m2": (price, 0.5)}, partitions=partitions)
-    return stats.join(med, keys, "left").select(*keys, "prix_median_m2", "nb_transactions", "prix_moyen_m2")
+    st = group_stats(base, keys, {"prix_median_m2": (price, 0.5)},
+                     {"nb_transactions": (price, "count"), "prix_moyen_m2": (price, "avg")}, partitions=partitions)
+    return (st.where(F.col("nb_transactions") >= min_sales)
+            .select(*keys, "prix_median_m2", "nb_transactions", "prix_moyen_m2"))
 
 
 def with_median_gap(df: DataFrame, price: str = "prix_m2", median: str = "prix_median_m2") -> DataFrame:

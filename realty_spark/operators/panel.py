@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from realty_spark import constants as K
 from realty_spark.functions.dates import month_start
 from realty_spark.functions.labels import zone_label
-from realty_spark.operators.quantiles import group_quantiles
+from realty_spark.operators.quantiles import group_stats
 
 PANEL_KEYS = ("zone", "annee_mois")
 
@@ -35,21 +35,18 @@ def monthly_panel(sales: DataFrame, price: str = "prix_m2", value: str = "valeur
     """
     keys = list(PANEL_KEYS)
     base = sales.where(F.col("zone").isNotNull() & F.col("annee_mois").isNotNull())
-    aggs = [F.avg(price).alias("prix_moyen_m2")]
+    # every row of the cleaned sales has a price (price filter), so the price
+    # count is the row count of the group
+    moments = {"prix_moyen_m2": (price, "avg"), "nb_transactions": (price, "count")}
     if extended:
-        aggs += [F.stddev_samp(price).alias("prix_std_m2"),
-                 F.avg("nombre_pieces_principales").alias("nb_pieces_moy"),
-                 F.avg("surface_reelle_bati").alias("surface_moy"),
-                 F.count(F.lit(1)).alias("nb_transactions")]
-    else:
-        aggs += [F.count(price).alias("nb_transactions")]
-    stats = base.groupBy(*keys).agg(*aggs)
-    med = group_quantiles(base, keys, {"prix_median_m2": (price, 0.5), "valeur_mediane": (value, 0.5)},
-                          partitions=partitions)
+        moments.update({"prix_std_m2": (price, "stddev_samp"), "nb_pieces_moy": ("nombre_pieces_principales", "avg"),
+                        "surface_moy": ("surface_reelle_bati", "avg")})
+    st = group_stats(base, keys, {"prix_median_m2": (price, 0.5), "valeur_mediane": (value, 0.5)}, moments,
+                     partitions=partitions)
     cols = ["zone", "annee_mois", "prix_median_m2", "prix_moyen_m2"]
     cols += (["prix_std_m2", "valeur_mediane", "nb_pieces_moy", "surface_moy", "nb_transactions"]
              if extended else ["nb_transactions", "valeur_mediane"])
-    return stats.join(med, keys, "left").select(*cols)
+    return st.select(*cols)
 
 
 def panel_span(panel: DataFrame) -> DataFrame:

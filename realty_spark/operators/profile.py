@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from realty_spark import constants as K
 from realty_spark.functions.numeric import round_half_even, safe_div
-from realty_spark.operators.quantiles import group_quantiles
+from realty_spark.operators.quantiles import group_stats
 
 
 def to_long(df: DataFrame, columns: Sequence[str], value_type: str = "double", keep: Sequence[str] = (),
@@ -44,14 +44,13 @@ def split_summary(df: DataFrame, target: str = "prix_m2", year: str = "annee") -
 def numeric_profile(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Per numeric column: min, Q1, median, mean, Q3, max, std (n-1), NaN count, count."""
     long = to_long(df, columns)
-    stats = long.groupBy("variable").agg(
-        F.min("value").alias("min"), F.avg("value").alias("moyenne"), F.max("value").alias("max"),
-        F.stddev_samp("value").alias("ecart_type"), F.count_if(F.col("value").isNull()).alias("nb_nan"),
-        F.count("value").alias("nb"))
-    q = group_quantiles(long, ["variable"], {"q1": ("value", 0.25), "mediane": ("value", 0.5),
-                                             "q3": ("value", 0.75)}, partitions=partitions)
-    return stats.join(q, "variable", "left").select(
-        "variable", "nb", "min", "q1", "mediane", "moyenne", "q3", "max", "ecart_type", "nb_nan")
+    st = group_stats(long, ["variable"], {"q1": ("value", 0.25), "mediane": ("value", 0.5), "q3": ("value", 0.75)},
+                     {"min": ("value", "min"), "moyenne": ("value", "avg"), "max": ("value", "max"),
+                      "ecart_type": ("value", "stddev_samp"), "nb": ("value", "count")}, partitions=partitions)
+    nulls = null_profile(df, columns).withColumnRenamed("nb_null", "nb_nan")
+    return nulls.join(st, "variable", "left").select(
+        "variable", F.coalesce("nb", F.lit(0)).alias("nb"), "min", "q1", "mediane", "moyenne", "q3", "max",
+        "ecart_type", "nb_nan")
 
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -100,11 +99,9 @@ def target_by_category(df: DataFrame, columns: Sequence[str], target: str = "pri
     statistics (categorical group-by of the reference, T4).
     """
     long = to_long(df, columns, "string", keep=[target], value="level").where(F.col("level").isNotNull())
-    stats = long.groupBy("variable", "level").agg(
-        F.count(target).alias("count"), F.avg(target).alias("mean"), F.stddev_samp(target).alias("std"),
-        F.min(target).alias("min"), F.max(target).alias("max"))
-    med = group_quantiles(long, ["variable", "level"], {"median": (target, 0.5)}, partitions=partitions)
-    out = stats.join(med, ["variable", "level"], "left")
+    out = group_stats(long, ["variable", "level"], {"median": (target, 0.5)},
+                      {"count": (target, "count"), "mean": (target, "avg"), "std": (target, "stddev_samp"),
+                       "min": (target, "min"), "max": (target, "max")}, partitions=partitions)
     if domains:
         dom = F.broadcast(domain_frame(df.sparkSession, domains))
         declared = out.join(dom, ["variable", "level"], "right")

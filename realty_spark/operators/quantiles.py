@@ -4,8 +4,9 @@ Spark's ``percentile``/``median`` aggregate is exact, but its final merge keeps
 a value->count map of a whole group in one task: a group holding a third of
 100 TB cannot finish.  The operators here are exact and skew-proof:
 
-1. range-partition the (group, value) pairs on ``(group keys, value)`` so a hot
-   group is cut into many contiguous, sorted partitions;
+1. checkpoint the narrow (group, value) projection, then range-partition it
+   on ``(group keys, value, row id)`` so a hot group - even one whose values
+   are all equal - is cut into many contiguous, sorted partitions;
 2. sort within partitions and take ``monotonically_increasing_id`` (partition
    id in the upper 31 bits, position within partition in the lower 33);
 3. materialise that indexed projection once with a reliable ``checkpoint()``
@@ -58,12 +59,23 @@ def _long_values(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str])
 
 
 def _indexed_runs(long: DataFrame, gkeys: list[str], partitions: int | None):
-    """Checkpointed sorted projection with positions, plus its per-partition runs."""
+    """Checkpointed sorted projection with positions, plus its per-partition runs.
+
+    The narrow (keys, _var, _v) projection is checkpointed first: the range
+    partitioner samples its input, so without it the whole upstream plan
+    (scans, joins, filters) would run once for sampling and again for the
+    shuffle.  Returns (long checkpoint, sorted checkpoint, runs, run count).
+    """
     spark = long.sparkSession
     ensure_checkpoint_dir(spark)
     p = _partitions(long, partitions)
-    srt = (long.repartitionByRange(p, *gkeys, "_v")
-           .sortWithinPartitions(*gkeys, "_v")
+    long = long.checkpoint(eager=True)
+    # Deterministic tie-breaker (positions in the checkpoint): a group whose
+    # values are all equal is still cut into many range partitions.
+    keyed = long.withColumn("_rid", F.monotonically_increasing_id())
+    srt = (keyed.repartitionByRange(p, *gkeys, "_v", "_rid")
+           .sortWithinPartitions(*gkeys, "_v", "_rid")
+           .drop("_rid")
            .withColumn("_mid", F.monotonically_increasing_id())
            .checkpoint(eager=True))
     runs = (srt.groupBy(*gkeys, F.shiftright("_mid", 33).alias("_pid"))
@@ -72,11 +84,29 @@ def _indexed_runs(long: DataFrame, gkeys: list[str], partitions: int | None):
     runs = (runs.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
             .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*gkeys)))
             .checkpoint(eager=True))
-    return srt, runs, runs.count()
+    return long, srt, runs, runs.count()
+
+
+_MOMENTS = {"count": F.count, "avg": F.avg, "stddev_samp": F.stddev_samp, "min": F.min, "max": F.max,
+            "sum": F.sum}
+
+
+def group_stats(df: DataFrame, keys: Sequence[str], quantiles: Mapping[str, tuple[str, float]],
+                moments: Mapping[str, tuple[str, str]] | None = None, partitions: int | None = None,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Exact quantiles and ordinary moments per group from a single evaluation of ``df``.
+
+    ``moments`` maps an output column to ``(value column, fn)`` with fn in
+    count/avg/stddev_samp/min/max/sum over non-null, non-NaN values; they are
+    partial aggregates over the checkpointed long projection, so the input
+    plan is not re-run for them.
+    """
+    return group_quantiles(df, keys, quantiles, partitions, broadcast_rows, moments=moments or {})
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[str, float]],
-                    partitions: int | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                    partitions: int | None = None, broadcast_rows: int = BROADCAST_ROWS,
+                    moments: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group (pandas/DuckDB ``quantile_cont``).
 
     ``measures`` maps an output column to ``(value column, q)``, e.g.
@@ -85,10 +115,11 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, t
     result onto the group table to get NULLs).
     """
     keys = list(keys)
-    value_cols = sorted({c for c, _ in measures.values()})
+    moments = dict(moments or {})
+    value_cols = sorted({c for c, _ in measures.values()} | {c for c, _ in moments.values()})
     long = _long_values(df, keys, value_cols)
     gkeys = keys + ["_var"]
-    srt, runs, n_runs = _indexed_runs(long, gkeys, partitions)
+    long, srt, runs, n_runs = _indexed_runs(long, gkeys, partitions)
     spark = df.sparkSession
     qdf = spark.createDataFrame([(c, name, float(q)) for name, (c, q) in measures.items()],
                                 "_var string, _name string, _q double")
@@ -109,6 +140,10 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, t
            .withColumn("_val", F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))))
     out = per.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_val"))).alias(name)
                                    for name in measures])
+    if moments:
+        mom = long.groupBy(*keys).agg(*[_MOMENTS[fn](F.when(F.col("_var") == c, F.col("_v"))).alias(name)
+                                        for name, (c, fn) in moments.items()])
+        out = mom.join(out, keys, "left") if measures else mom
     return out
 
 
@@ -122,7 +157,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, partitions: int
     keys = list(keys)
     long = _long_values(df, keys, [value])
     gkeys = keys + ["_var"]
-    srt, runs, n_runs = _indexed_runs(long, gkeys, partitions)
+    _, srt, runs, n_runs = _indexed_runs(long, gkeys, partitions)
     firsts = (srt.groupBy(*gkeys, "_v")
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_t"))
               .withColumn("_pid", F.shiftright("_first", 33)))

@@ -48,3 +48,22 @@ def test_ties_example(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 2.0), ("x", 4.0)], "g string, v double")
     got = sorted((r.v, r._rank) for r in value_ranks(df, ["g"], "v").collect())
     assert got == [(1.0, 1.0), (2.0, 2.5), (4.0, 4.0)]
+
+
+def test_hot_group_of_equal_values_is_split_and_exact(spark):
+    # 2000 identical values in one group: the range key's row-id tie-breaker must
+    # spread them over partitions while ranks and quantiles stay exact.
+    rows = [("hot", 3.0)] * 2000 + [("hot", 1.0), ("hot", 9.0), ("cold", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    q = {r.g: r for r in group_quantiles(df, ["g"], {"med": ("v", 0.5), "q0": ("v", 0.0)}, partitions=8).collect()}
+    assert q["hot"].med == 3.0 and q["hot"].q0 == 1.0 and q["cold"].med == 2.0
+    r = {(x.g, x.v): (x._rank, x._t) for x in value_ranks(df, ["g"], "v", partitions=8).collect()}
+    assert r[("hot", 1.0)] == (1.0, 1) and r[("hot", 3.0)] == (1001.5, 2000) and r[("hot", 9.0)] == (2002.0, 1)
+
+
+def test_group_stats_moments(spark):
+    from realty_spark.operators.quantiles import group_stats
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0)], "g string, v double")
+    out = {r.g: r for r in group_stats(df, ["g"], {"med": ("v", 0.5)},
+                                        {"n": ("v", "count"), "m": ("v", "avg"), "s": ("v", "stddev_samp")}).collect()}
+    assert (out["a"].med, out["a"].n, out["a"].m) == (2.0, 2, 2.0) and out["b"].s is None
