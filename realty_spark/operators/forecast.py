@@ -150,7 +150,8 @@ def forecast_sarima(fit: dict, steps: int) -> np.ndarray:
     return np.array(out)
 
 
-GRID_SCHEMA = "zone string, cid int, p int, d int, q int, sp int, sd int, sq int, aic double, error string"
+GRID_SCHEMA = ("zone string, cid int, p int, d int, q int, sp int, sd int, sq int, aic double, "
+               "admissible boolean, error string")
 
 
 def _score_batches(it):
@@ -159,12 +160,15 @@ def _score_batches(it):
         for r in pdf.itertuples(index=False):
             y = np.array([s["y"] for s in r.train], dtype=float)
             try:
-                aic = fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq))["aic"]
+                fit = fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq))
+                aic = fit["aic"]
+                admissible = all(sarima_checks(fit))
                 err = None if np.isfinite(aic) else "non-finite AIC"
             except (ValueError, np.linalg.LinAlgError) as ex:
-                aic, err = float("nan"), str(ex)
-            rows.append((r.zone, r.cid, r.p, r.d, r.q, r.sp, r.sd, r.sq, aic, err))
-        yield pd.DataFrame(rows, columns=["zone", "cid", "p", "d", "q", "sp", "sd", "sq", "aic", "error"])
+                aic, admissible, err = float("nan"), False, str(ex)
+            rows.append((r.zone, r.cid, r.p, r.d, r.q, r.sp, r.sd, r.sq, aic, admissible, err))
+        yield pd.DataFrame(rows, columns=["zone", "cid", "p", "d", "q", "sp", "sd", "sq", "aic", "admissible",
+                                          "error"])
 
 
 def sarima_grid(panel: DataFrame, target: str, partitions: int | None = None) -> DataFrame:
@@ -184,11 +188,17 @@ def sarima_grid(panel: DataFrame, target: str, partitions: int | None = None) ->
     return scored.withColumn("aic", F.when(~F.isnan("aic"), F.col("aic")))
 
 
-def best_orders(grid: DataFrame) -> DataFrame:
-    """Lowest AIC per zone; the first candidate in loop order wins ties (M2)."""
+def best_orders(grid: DataFrame, constrained: bool = True) -> DataFrame:
+    """Lowest AIC per zone; the first candidate in loop order wins ties (M2).
+
+    With ``constrained`` the order is chosen among candidates whose fit is
+    stationary and invertible (the reference's final fit enforces both); a
+    zone without such a candidate keeps its unconstrained best, whose final
+    forecast is then replaced by the fallback.
+    """
     ok = grid.where(F.col("aic").isNotNull())
-    best = ok.groupBy("zone").agg(F.min_by(F.struct("cid", "p", "d", "q", "sp", "sd", "sq", "aic"),
-                                           F.struct("aic", "cid")).alias("b"))
+    rank = F.struct((~F.col("admissible")).cast("int") if constrained else F.lit(0), F.col("aic"), F.col("cid"))
+    best = ok.groupBy("zone").agg(F.min_by(F.struct("cid", "p", "d", "q", "sp", "sd", "sq", "aic"), rank).alias("b"))
     return best.select("zone", "b.*")
 
 
@@ -419,3 +429,12 @@ def gbt_forecast(panel: DataFrame, target: str = "prix_median_m2", max_iter: int
 def top_importances(importances: DataFrame, k: int = 5) -> DataFrame:
     """Top-k feature importances."""
     return importances.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
+
+
+def seasonal_trend_frame(panel: DataFrame, target: str = "prix_median_m2", include_regressors: bool = True,
+                         regressors=REGRESSORS) -> DataFrame:
+    """(zone, split, ds, y, regressors...) layout of the seasonal-trend model; the test rows with their
+    observed regressors form the future frame (P12, P13)."""
+    cols = [F.col("annee_mois").alias("ds"), F.col(target).alias("y")]
+    cols += [F.col(c) for c in regressors] if include_regressors else []
+    return panel.select("zone", "split", *cols)
