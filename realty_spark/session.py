@@ -32,6 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -56,3 +57,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", scratch)
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``realty_spark`` importable in Python workers (like ``--py-files``), once per application.
+
+    Pandas UDFs and grouped functions reference library modules, so executors
+    need the package; it is zipped from the driver's copy and distributed with
+    ``addPyFile``.
+    """
+    import zipfile
+
+    import realty_spark
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(realty_spark.__file__)))
+    fd, path = tempfile.mkstemp(prefix="realty_spark-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "realty_spark")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
