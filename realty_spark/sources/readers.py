@@ -87,4 +87,4 @@ def write_splits(df: DataFrame, path: str) -> None:
 
 
 __all__ = ["read_geo_csv", "read_raw_txt", "canonical_raw", "read_dataset", "union_periods", "write_metrics",
-           "read_metrics", "write_splits", "K"]
+           "read_metrics", "write_splits"]
