@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from realty_spark.llm import near_dedup
+from realty_spark.llm.near_dedup import op1_near_dedup
 from realty_spark.llm.packing import op7_packing
 from realty_spark.llm.token_files import op2_token_files
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
     "op7_packing": op7_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_near_dedup": near_dedup.ORACLE,
+}
