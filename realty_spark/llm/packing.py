@@ -6,7 +6,8 @@ or, inside a sentence longer than a window, at fixed steps (``hard_penalty``).
 The program minimises padding plus penalties.  The padding of a window of
 length L is ``window - L``, which is linear in the cut positions, so the best
 predecessor within reach is the minimum of a monotone queue; windows whose
-length is a power of two need no padding and are tried besides.
+length is a power of two need no padding and are tried besides, from
+``SHORTEST`` tokens on.
 
 Null text counts as empty: its document is the end id alone.  Rows that share
 a doc_id are separate documents.  Null doc_ids are packed first.  An empty
@@ -31,6 +32,7 @@ WINDOW = 1024
 SENTENCE_PENALTY = 2
 HARD_PENALTY = 32
 HARD_STEP = 64
+SHORTEST = 64  # the shortest unpadded window that is tried on purpose
 SEGMENT_TOKENS = 1 << 20  # documents planned together; each segment ends with at most one padded window
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, `offset` long, "
@@ -58,7 +60,7 @@ def plan(at: list[int], penalty: list[float], window: int) -> list[int]:
     came = [0] * (total + 1)
     best[0] = 0.0
     queue: deque[tuple[int, float]] = deque([(0, 0.0)])  # positions with ascending best + position
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
+    powers = [1 << k for k in range(window.bit_length()) if min(SHORTEST, window) <= 1 << k <= window]
     for p, cost in zip(at, penalty):
         while queue[0][0] < p - window:
             queue.popleft()

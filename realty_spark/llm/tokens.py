@@ -11,13 +11,19 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from collections.abc import Iterator
 
 import numpy as np
 
 END_ID = 0
-CACHE_CHUNKS = 300_000  # bound of the chunk cache; it is emptied when full
+END = END_ID.to_bytes(4, "little")
+BLOCK = 50_000  # chunks of a long text taken at once
+GROUP = 1024  # texts whose unknown chunks are learned together
+CACHE_CHUNKS = 400_000  # bound of each of the cache's two generations; chunks in use move to the younger
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s |^ | $| \s")
+_RARE = re.compile(r"[^\S \n]")  # white space other than the space and the line break
+_TAIL = string.punctuation
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -34,7 +40,7 @@ def encoder(path: str) -> "Encoder":
 
 
 class Encoder:
-    """ids(text) gives a text's ids, without the end id, as little-endian unsigned 32-bit bytes."""
+    """Encodes texts with one tokenizer file."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -49,23 +55,45 @@ class Encoder:
             self.ends_sentence[i] = piece[-1] in ".!?" or "Ċ" in piece  # Ċ stands for a line break
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
-        """Encode unknown chunks, each with its leading space, as one text, and cut the ids at the chunks' byte ends."""
-        new = [p for p in set(parts) if p not in self.cache]
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode the unknown of the chunks.  Letters and the marks after them are separate pieces: a word is learned once for all marks."""
+        new = chunks.difference(self.cache)
+        if len(self.cache) + len(new) > CACHE_CHUNKS:
+            self.old, self.cache, new = self.cache, {}, chunks
+        again = new.intersection(self.old)
+        if again:
+            self.cache.update((p, self.old[p]) for p in again)
+            new = new.difference(again)
+        if not new:
+            return
+        marked = [(p, w) for p in new if p[-1:] in _TAIL and (w := p.rstrip(_TAIL)).isalpha()]
+        if marked:
+            new = new.difference([p for p, _ in marked])
+            new.update([w for _, w in marked])
+            known = [p for p in new if p in self.old and p not in self.cache]
+            self.cache.update((p, self.old[p]) for p in known)
+        self._encode([p for p in new if p not in self.cache])
+        for p, w in marked:
+            tail = p[len(w):]
+            if tail not in self.tails:
+                self.tails[tail] = self._plain(tail)
+            self.cache[p] = self.cache[w] + self.tails[tail]
+
+    def _encode(self, new: list[str]) -> None:
+        """Encode chunks, each with its leading space, as one text, and cut the ids at the chunks' byte ends."""
         if not new:
             return
-        if len(self.cache) + len(new) > CACHE_CHUNKS:
-            self.cache.clear()
-            new = list(set(parts))
         ids = np.asarray(self.tok.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
         token_ends = np.cumsum(self.n_bytes[ids])
         chunk_ends = np.cumsum([len(p.encode()) + 1 for p in new])
         cuts = np.searchsorted(token_ends, chunk_ends, side="left") + 1
-        if len(ids) and not np.array_equal(token_ends[cuts - 1], chunk_ends):  # a tokenizer that merges over spaces
+        if not np.array_equal(token_ends[np.minimum(cuts, len(ids)) - 1], chunk_ends):  # a tokenizer that merges over spaces
             for p in new:
                 self.cache[p] = self._plain(" " + p)
             return
@@ -74,30 +102,26 @@ class Encoder:
             self.cache[p] = raw[4 * begin:4 * end]
             begin = end
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(s in text for s in self.special):  # text that spells a special token: as the tokenizer takes it
-            return self._plain(text)
-        parts = _BETWEEN.split(text) if _ODD.search(text) else text.split(" ")
-        head, rest = parts[0], parts[1:]
-        out = [self._plain(head)]
-        for at in range(0, len(rest), 50_000):  # a very long text goes through the bounded cache in pieces
-            block = rest[at:at + 50_000]
-            try:
-                out.append(b"".join(map(self.cache.__getitem__, block)))
-            except KeyError:
-                self._learn(block)
-                out.append(b"".join(map(self.cache.__getitem__, block)))
-        return b"".join(out)
-
-    def batch(self, texts: list[str | None]) -> list[bytes]:
-        """ids() of many texts plus the end id; new chunks of the batch are learned together."""
-        for at in range(0, len(texts), 256):
-            seen: set[str] = set()
-            for t in texts[at:at + 256]:
-                if t and len(t) < 200_000 and not _ODD.search(t):
-                    seen.update(t.split(" ")[1:])
-            self._learn(list(seen))
-            for t in texts[at:at + 256]:
-                yield self.ids(t) + b"\0\0\0\0"
+    def _parts(self, text: str) -> list[str]:
+        """The text cut at each single space between two non-space characters."""
+        if ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE.search(text)):
+            return _BETWEEN.split(text)
+        return text.split(" ")
+
+    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit bytes, the end id appended; new chunks are learned together."""
+        for at in range(0, len(texts), GROUP):
+            group = [None if not t or any(s in t for s in self.special) else self._parts(t) for t in texts[at:at + GROUP]]
+            small = [g for g in group if g and len(g) < BLOCK]  # of texts already in memory
+            self._learn(set().union(*(g[1:] for g in small)))
+            for t, g in zip(texts[at:at + GROUP], group):
+                if g is None:  # empty, or it spells a special token: as the tokenizer takes it
+                    yield (self._plain(t) if t else b"") + END
+                    continue
+                out = [self._plain(g[0])]
+                for b in range(1, len(g), BLOCK):  # a very long text goes through the bounded cache in blocks
+                    block = g[b:b + BLOCK]
+                    if len(g) >= BLOCK:
+                        self._learn(set(block))
+                    out.append(b"".join(map(self.cache.__getitem__, block)))
+                yield b"".join(out) + END
