@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from realty_spark.llm import near_dedup
+from realty_spark.llm.language import op4_language_id
 from realty_spark.llm.near_dedup import op1_near_dedup
 from realty_spark.llm.packing import op7_packing
+from realty_spark.llm.quality import op6_quality
 from realty_spark.llm.token_files import op2_token_files
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
+    "op4_language_id": op4_language_id,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
 }
 
