@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from realty_spark.llm import near_dedup
+from realty_spark.llm import near_dedup, substring_dedup
 from realty_spark.llm.language import op4_language_id
 from realty_spark.llm.near_dedup import op1_near_dedup
 from realty_spark.llm.packing import op7_packing
 from realty_spark.llm.quality import op6_quality
+from realty_spark.llm.substring_dedup import op9_substring_dedup
 from realty_spark.llm.token_files import op2_token_files
 
 QUERIES = {
@@ -15,8 +16,10 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_near_dedup": near_dedup.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
 }
