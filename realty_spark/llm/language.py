@@ -169,25 +169,40 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Hierarchy(np.stack([np.frombuffer(r.x, dtype=np.float32) for r in rows]), [r.lang for r in rows])
 
 
+def classify(model: Hierarchy | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    known = [] if model is None else [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    for at in range(0, len(known), 256):
+        rows = known[at:at + 256]
+        got, scores[rows] = model.predict(np.stack([features(texts[i]) for i in rows]))
+        for i, name in zip(rows, got):
+            names[i] = name
+    return names, scores
+
+
 def identify(docs: DataFrame, model: Hierarchy | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row, from the whole text alone."""
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            known = [] if model is None else [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
-            for at in range(0, len(known), 256):
-                rows = known[at:at + 256]
-                got, s = model.predict(np.stack([features(texts[i]) for i in rows]))
-                scores[rows] = s
-                for i, name in zip(rows, got):
-                    names[i] = name
+            names, scores = classify(model, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)],
                                              names=["doc_id", "lang_pred", "score"])
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
         run, "doc_id long, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, model: Hierarchy | None, text_col: str = "text", least: float = 0.25) -> DataFrame:
+    """The rows, unchanged, whose language is known with a score of at least ``least``; all go if nothing could be learned."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            names, scores = classify(model, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores.tolist())], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document's whole text, learned outside the fold crc32(doc_id) mod 4 = 2."""
     docs = read_table(spark, sf_dir, "documents")

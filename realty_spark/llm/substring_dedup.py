@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from realty_spark.llm.common import id_text, land, read_table
 from realty_spark.llm.fm_index import least_document
@@ -57,17 +58,14 @@ def anchors(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, word_key, n_words) of (doc_id, text) rows."""
+    """Rows with a ``text``, plus word_key."""
+    at, schema = docs.columns.index("text"), StructType([*docs.schema.fields, StructField("word_key", BinaryType())])
+
     def run(batches):
         for batch in batches:
-            key, n = [], []
-            for t in batch.column(1).to_pylist():
-                w = split(t)
-                n.append(len(w))
-                key.append(xxhash.xxh3_128_digest(b" ".join(w)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(n, pa.int64())],
-                                             names=["doc_id", "text", "word_key", "n_words"])
-    return docs.mapInArrow(run, "doc_id long, text string, word_key binary, n_words long")
+            keys = [xxhash.xxh3_128_digest(b" ".join(split(t))) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=schema.names)
+    return docs.mapInArrow(run, schema)
 
 
 def anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -171,8 +169,10 @@ def spans(segs: DataFrame, found: DataFrame, window: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                   shard_words: int = SHARD_WORDS, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text, changed) of every row; kept_text: the kept words joined by one space."""
+                   shard_words: int = SHARD_WORDS, hot_segments: int = HOT_SEGMENTS, payload: list[str] | None = None) -> DataFrame:
+    """(doc_id, row, n_words, n_removed, kept_text) of every row; kept_text: the kept words joined by one space; row: the payload columns."""
+    carried = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"),
+                          F.struct(F.lit(1).alias("_"), *[docs[c] for c in payload or []]).alias("row"))
     docs = id_text(docs, id_col, text_col)
     base = land(anchored(docs, window, gram), "anchors")
     classes = base.where("doc_id is not null and n_words >= %d" % window).groupBy("word_key").agg(
@@ -201,10 +201,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     info = (classes.join(removed.select("word_key", "spans"), "word_key", "left")
             .where("rows > 1 or spans is not null").select("word_key", "rep", "spans"))
 
+    joined = keyed(carried).join(info, "word_key", "left").select("doc_id", "row", "text", "rep", "spans")
+    schema = StructType([*joined.schema.fields[:2], StructField("n_words", LongType()), StructField("n_removed", LongType()),
+                         StructField("kept_text", StringType())])
+
     def run(batches):
         for batch in batches:
-            ids, n_words, n_removed, kept = batch.column(0).to_pylist(), [], [], []
-            for i, text, rep, part in zip(ids, batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            n_words, n_removed, kept = [], [], []
+            for i, text, rep, part in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4))):
                 w = split(text)
                 keep = np.ones(len(w), dtype=bool)
                 if rep is not None and i is not None and i > rep:
@@ -215,10 +219,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
                 n_words.append(len(w))
                 n_removed.append(int(len(w) - keep.sum()))
                 kept.append(b" ".join(w if keep.all() else [x for x, k in zip(w, keep.tolist()) if k]).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                                              pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
-    joined = keyed(docs).join(info, "word_key", "left").select("doc_id", "text", "rep", "spans")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()),
+                                              pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=schema.names)
+    return joined.mapInArrow(run, schema)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
