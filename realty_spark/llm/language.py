@@ -61,6 +61,8 @@ def features(text: str, dims: int = DIMS) -> np.ndarray:
     mask, before = np.uint32(dims - 1), np.zeros(0, dtype=np.uint32)
     for at in range(0, len(text), CHUNK):
         part = _OTHER.sub(" ", text[at:at + CHUNK].lower())
+        if len(before) and before[-1] == 32 and part[:1] == " ":  # one run of other characters over the seam
+            part = part[1:]
         c = np.concatenate([before, np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype="<u4")])
         new = len(before)  # n-grams over the seam of two chunks are counted once
         h = c * np.uint32(0x9E3779B1)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from realty_spark.llm.common import land, read_table
 
-THRESHOLD = 0.7
+THRESHOLD = 0.8
 LICENCE_NAME = "(?i)^(licen[cs]e|copying|notice)([.].*)?$"
 
 # Short notices and opening sentences of public licences, by SPDX name.

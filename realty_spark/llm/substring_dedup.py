@@ -182,6 +182,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     runs = units.select("word_key", "rep", F.explode("anchors").alias("a")).select(
         "word_key", "rep", "a.anchor", "a.begin", "a.end")
     shared = runs.groupBy("anchor").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("anchor")
+    shared = land(shared, "shared-anchors")  # a plain shuffle on either side lets a frequent anchor's partition be split
     wanted = (runs.join(shared, "anchor").groupBy("word_key", "rep")
               .agg(F.collect_set(F.struct("anchor", "begin", "end")).alias("runs")))  # bounded by one text
     texts = keyed(docs.where("doc_id is not null")).join(wanted, "word_key").where("doc_id = rep")

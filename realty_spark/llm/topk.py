@@ -49,7 +49,7 @@ class SortedLists:
         used = np.flatnonzero(query)
         bound = self.largest * float(np.abs(query).max(initial=0.0)) * max(1, len(query))
         kind = np.float32 if bound < 2 ** 24 else np.float64 if bound < 2 ** 53 else object
-        rows, q = self._as(kind), query.astype(kind)
+        rows, q = self._as(kind), query.astype(np.int64).astype(object) if kind is object else query.astype(kind)
         plus, minus = used[query[used] > 0], used[query[used] < 0]
         met = np.zeros(n, dtype=bool)
         mine = np.searchsorted(self.ids, own)
