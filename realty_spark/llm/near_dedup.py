@@ -12,9 +12,12 @@
    linked with each other.  With D(x) the symmetric difference of x and c,
    |x ^ y| = |D(x)| + |D(y)| - 2|D(x) & D(y)|, so a linked pair of which not
    both are linked with c shares at least ``k`` differences, and any
-   |D(x)| - k + 1 differences of x contain one of y's.  Joining these few
-   differences, instead of all pairs in a bucket, finds every such pair of two
-   components; these too are confirmed on full sets.
+   |D(x)| - k + 1 differences of x contain one of y's.  Differences that all
+   lie in one component cannot join two; they come first among the
+   |D(x)| - k + 1, then the rarest, so that few are left to join on, instead of
+   all pairs in a bucket.  Pairs that meet are dropped where the parities of
+   their sets, in ``PARITIES`` classes, differ in more classes than a linked
+   pair has different shingles; the rest are confirmed on full sets.
 5. Components of the confirmed links give each class its component.
 
 At similarity 0.85 a pair shares no band with probability (1 - 0.85^5)^26 =
@@ -41,6 +44,8 @@ from realty_spark.llm.words import mix, shingle_set
 
 BANDS = 26
 ROWS = 5
+PARITIES = 256
+_P = [f"p{i}" for i in range(PARITIES // 64)]
 
 
 class Sketcher:
@@ -94,11 +99,13 @@ def star_edges(classes: DataFrame) -> DataFrame:
     """(c, x): in each bucket, its centre with each other member.  The centre shares most buckets; ties to the least id."""
     rows = classes.select("rep", F.explode("band_keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = land(shared, "shared")  # a plain shuffle on either side lets a crowded bucket's partition be split
     rows = land(rows.join(shared, "key"), "buckets")
     degree = rows.groupBy("rep").agg(F.sum("size").alias("degree"))
     ranked = rows.select("key", "rep").join(degree, "rep")
     centre = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("least"))).alias("top")).select(
         "key", (-F.col("top.least")).alias("c"))
+    centre = land(centre, "centres")
     return rows.select("key", F.col("rep").alias("x")).join(centre, "key").where("c <> x").select("c", "x").distinct()
 
 
@@ -125,15 +132,24 @@ def needed(diff: int, size: int, centre: int, num: int, den: int) -> int:
     return max(1, -(-(diff + other - reach) // 2))
 
 
+def parities(items: np.ndarray) -> np.ndarray:
+    """Whether each class of items (by their lowest bits) holds an odd number, as 64-bit integers.
+
+    Two sets differ in at least as many items as their parities differ in classes.
+    """
+    odd = np.bincount((items & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def confirm(edges: DataFrame, sets: DataFrame, num: int, den: int, differences: bool) -> DataFrame:
-    """(c, x, linked) for the edges; with ``differences`` also ``few`` (differences that meet any partner's) and ``all`` (unlinked: all)."""
+    """(c, x, linked) for the edges; with ``differences`` also x's size, parities, differences from c and how many meet any partner's."""
     left = sets.select(F.col("rep").alias("c"), F.col("items").alias("c_items"))
     right = sets.select(F.col("rep").alias("x"), F.col("items").alias("x_items"))
     joined = edges.join(right, "x").join(left, "c").select("c", "x", "c_items", "x_items")
 
     def run(batches):
         for batch in batches:
-            linked, few, every = [], [], []
+            linked, size, meeting, diffs, odd = [], [], [], [], []
             for a, b in zip(batch.column(2), batch.column(3)):
                 a, b = np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64)
                 found = np.searchsorted(a, b)
@@ -141,17 +157,44 @@ def confirm(edges: DataFrame, sets: DataFrame, num: int, den: int, differences:
                 both = int(same.sum())
                 linked.append(den * both >= num * (len(a) + len(b) - both))
                 if differences:
-                    own = b[~same]
                     lost = a[np.isin(a, b[same], assume_unique=True, invert=True)]
-                    diff = np.concatenate([own, lost]).view(np.int64)
-                    few.append(diff[:max(0, len(diff) - needed(len(diff), len(b), len(a), num, den) + 1)])
-                    every.append(None if linked[-1] else diff)
+                    diff = np.concatenate([b[~same], lost]).view(np.int64)
+                    size.append(len(b))
+                    diffs.append(diff)
+                    meeting.append(len(diff) - needed(len(diff), len(b), len(a), num, den) + 1)
+                    odd.append(parities(b))
             columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())]
             if differences:
-                columns += [pa.array(few, pa.list_(pa.int64())), pa.array(every, pa.list_(pa.int64()))]
+                table = np.array(odd, dtype=np.int64).reshape(-1, len(_P))
+                columns += [pa.array(size, pa.int64()), pa.array(meeting, pa.int64()), pa.array(diffs, pa.list_(pa.int64())),
+                            *(pa.array(table[:, i].copy(), pa.int64()) for i in range(len(_P)))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    names = ["c", "x", "linked"] + ["few", "all"] * differences
-    return joined.mapInArrow(run, "c long, x long, linked boolean" + ", few array<long>, all array<long>" * differences)
+    names = ["c", "x", "linked"] + ["size", "meeting", "diff", *_P] * differences
+    more = ", size long, meeting long, diff array<long>" + "".join(f", {p} long" for p in _P)
+    return joined.mapInArrow(run, "c long, x long, linked boolean" + more * differences)
+
+
+def pairs_outside_stars(checked: DataFrame, component: DataFrame, num: int, den: int) -> DataFrame:
+    """(c, x) pairs of two components that share a centre, at least one of them not linked with it, and may be linked with each other."""
+    of_x = component.select(F.col("node").alias("x"), "component")
+    tagged = land(checked.join(of_x, "x", "left").withColumn("component", F.coalesce("component", "x")), "differences")
+    items = tagged.select("c", "x", "component", F.explode("diff").alias("item"))
+    spanning = items.groupBy("c", "item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                              F.count("*").alias("n")).where("lo < hi").select("c", "item", "n")
+    spanning = land(spanning, "spanning")
+    held = (items.select("c", "x", "item").join(spanning, ["c", "item"]).groupBy("c", "x")
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "item"))), lambda s: s["item"]).alias("held")))  # bounded by one text
+    rest = (F.col("meeting") - (F.size("diff") - F.size("held"))).cast("int")
+    rows = land(tagged.join(held, ["c", "x"]).withColumn("rest", F.greatest(rest, F.lit(0))).drop("diff", "meeting"), "held")
+    few = rows.select("c", F.col("x").alias("a"), F.col("component").alias("a_component"), F.col("size").alias("a_size"),
+                      *[F.col(p).alias(f"a_{p}") for p in _P], F.explode(F.slice("held", F.lit(1), F.col("rest"))).alias("item"))
+    every = rows.where("not linked").select("c", F.col("x").alias("b"), F.col("component").alias("b_component"), F.col("size").alias("b_size"),
+                                            *[F.col(p).alias(f"b_{p}") for p in _P], F.explode("held").alias("item"))
+    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in _P), F.lit(0))
+    most = F.expr(f"({den - num} * (a_size + b_size)) div {den + num}")
+    met = few.join(every, (few["c"] == every["c"]) & (few["item"] == every["item"]) & (F.col("a_component") != F.col("b_component"))
+                   & (differ <= most))
+    return met.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("x")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -168,14 +211,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     linked = checked.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b"))
     first = components(linked)
 
-    of_x = first.select(F.col("node").alias("x"), F.col("component").alias("x_component"))
-    tagged = land(checked.select("c", "x", "few", "all").join(of_x, "x", "left")
-                  .withColumn("x_component", F.coalesce("x_component", "x")), "differences")
-    few = tagged.select("c", F.col("x").alias("a"), F.col("x_component").alias("a_component"), F.explode("few").alias("item"))
-    every = tagged.where("`all` is not null").select("c", F.col("x").alias("b"), F.col("x_component").alias("b_component"),
-                                                     F.explode("all").alias("item"))
-    more = (few.join(every, ["c", "item"]).where("a_component <> b_component")
-            .select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("x")).distinct())
+    more = pairs_outside_stars(checked, first, num, den)
     late = confirm(land(more, "late"), sets, num, den, differences=False)
     late = land(late.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")), "late-links")
     found = components(linked.union(late)) if late.limit(1).count() else first

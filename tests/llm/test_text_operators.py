@@ -228,3 +228,12 @@ def test_marginals_match_enumeration():
             good += np.exp(s) * np.array(path)
         assert np.allclose(got[at:at + n], good / total)
         at += n
+
+
+def test_parities_never_exceed_the_difference():
+    r = np.random.default_rng(8)
+    for _ in range(200):
+        x, y = (np.unique(r.integers(0, 2 ** 63, r.integers(1, 400)).astype(np.uint64)) for _ in range(2))
+        y = np.unique(np.concatenate([x[r.random(len(x)) < 0.9], y[:r.integers(0, 20)]]))
+        apart = int(np.bitwise_count((near_dedup.parities(x) ^ near_dedup.parities(y)).view(np.uint64)).sum())
+        assert apart <= len(np.setxor1d(x, y))
