@@ -14,9 +14,13 @@ def fold(n: int, id_col: str = "doc_id") -> Column:
 def bounded(rows: DataFrame, label: str, per_label: int, total: int, id_col: str = "doc_id") -> DataFrame:
     """At most ``per_label`` rows of each label and ``total`` rows in all, chosen by a hash of the id.
 
-    The rank filter is applied within each task first, so a frequent label sends few rows to its group.
+    Only hashes below 1.5 x per_label / count of the label (plus ten standard
+    deviations) are ranked, so a frequent label sends few rows to its group.
     """
-    order = F.xxhash64(F.col(id_col), F.lit(17))
-    first = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(label).orderBy(order, id_col))).where(
+    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
+    counts = rows.groupBy(label).agg(F.count("*").alias("_n"))
+    rate = (1.5 * per_label + 10.0 * per_label ** 0.5) / F.col("_n")
+    low = rows.withColumn("_draw", draw).join(counts, label).where(F.col("_draw") <= rate)
+    first = low.withColumn("_rank", F.row_number().over(Window.partitionBy(label).orderBy("_draw", id_col))).where(
         F.col("_rank") <= per_label)
-    return first.orderBy("_rank", label, id_col).limit(total).drop("_rank")
+    return first.orderBy("_rank", label, id_col).limit(total).drop("_rank", "_draw", "_n")
