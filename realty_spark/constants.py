@@ -8,9 +8,6 @@ They are listed plainly, in the reference's natural order.
 IDF_DEPARTMENTS = ("75", "77", "78", "91", "92", "93", "94", "95")
 
 # --- Fixed values: periods ---
-GEO_YEARS = ("2020", "2021", "2022", "2023", "2024", "2025")
-RAW_PERIODS_TRAIN = ("2020-S2", "2021", "2022", "2023", "2024")
-RAW_PERIODS_TEST = ("2025-S1",)
 TRAIN_YEARS = (2020, 2021, 2022, 2023, 2024)
 TEST_YEARS = (2025,)
 
@@ -32,18 +29,9 @@ CLEAN_DROP_COLUMNS = (
     "annee_trimestre",
 )
 
-# --- Fixed values: categorical columns (cleaning / analysis typing) ---
-CLEAN_CATEGORICAL = ("nature_mutation", "type_local", "adresse_nom_voie",
-                     "nom_commune", "quartier", "quartier_detaille")
-ANALYSIS_CATEGORICAL = ("nature_mutation", "type_local", "adresse_nom_voie",
-                        "nom_commune", "quartier", "quartier_detaille", "code_postal",
-                        "code_departement", "code_commune")
-
 # --- Fixed values: numeric columns parsed at ingest ---
 GEO_NUMERIC = ("valeur_fonciere", "surface_reelle_bati", "surface_terrain",
                "nombre_pieces_principales", "nombre_lots")
-RAW_NUMERIC = ("Valeur fonciere", "Surface reelle bati", "Surface terrain",
-               "Nombre pieces principales", "Nombre de lots")
 
 # --- Fixed values: quality and outlier thresholds ---
 MIN_VALUE = 1000.0            # value > 1000

@@ -30,8 +30,3 @@ def add_calendar(df: DataFrame, date_col: str = "date_mutation", with_month_star
     if with_month_start:
         df = df.withColumn("annee_mois", month_start(d))
     return df
-
-
-def year_start(year: Column) -> Column:
-    """Year -> 1 January of that year."""
-    return F.make_date(year.cast("int"), F.lit(1), F.lit(1))

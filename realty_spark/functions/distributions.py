@@ -1,15 +1,19 @@
 """Distribution functions for p-values, as Arrow-batched pandas UDFs.
 
-Spark SQL has no F, chi-square or Student t distribution functions and scipy
-is not available, so the regularised incomplete beta and gamma functions are
-evaluated with the classical continued-fraction / series expansions (Lentz's
-method), vectorised with numpy over each Arrow batch.  They only ever run on
-a handful of rows (one per tested variable).
+Spark SQL has no F, chi-square or Student t distribution and scipy is not
+available.  The incomplete beta and gamma functions are evaluated by their
+continued fractions (and the gamma series left of its mean) while the degrees
+of freedom allow it; beyond ``LARGE`` the limiting distributions take over:
+chi-square by the Wilson-Hilferty cube root, F by the chi-square or the cube
+roots of both sides, t by the normal.  A fraction that has not converged
+within its limit gives NaN, which becomes NULL.  The functions only ever run
+on a handful of rows (one per tested variable).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from statistics import NormalDist
 
 import numpy as np
@@ -17,123 +21,120 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_EPS = 1e-15
-_TINY = 1e-300
-_MAXIT = 500
-
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-
-
-def _betacf(a, b, x):
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < _TINY, _TINY, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, _MAXIT + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if np.all(np.abs(delta - 1.0) < _EPS):
-            break
-    return h
-
-
-def betainc_reg(a, b, x) -> np.ndarray:
-    """Regularised incomplete beta I_x(a, b) for arrays; NaN where undefined."""
-    a, b, x = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, x))
-    out = np.full(x.shape, np.nan)
-    ok = np.isfinite(a) & np.isfinite(b) & np.isfinite(x) & (a > 0) & (b > 0) & (x >= 0) & (x <= 1)
-    out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    mid = ok & (x > 0) & (x < 1)
-    if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbt = _lgamma(am + bm) - _lgamma(am) - _lgamma(bm) + am * np.log(xm) + bm * np.log1p(-xm)
-        bt = np.exp(lbt)
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if direct.any():
-            res[direct] = bt[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        if (~direct).any():
-            i = ~direct
-            res[i] = 1.0 - bt[i] * _betacf(bm[i], am[i], 1.0 - xm[i]) / bm[i]
-        out[mid] = np.clip(res, 0.0, 1.0)
-    return out
-
-
-def gammainc_upper_reg(a, x) -> np.ndarray:
-    """Regularised upper incomplete gamma Q(a, x) for arrays."""
-    a, x = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, x))
-    out = np.full(x.shape, np.nan)
-    ok = np.isfinite(a) & np.isfinite(x) & (a > 0) & (x >= 0)
-    out[ok & (x == 0)] = 1.0
-    for i in np.flatnonzero(ok & (x > 0)):
-        ai, xi = a[i], x[i]
-        gln = math.lgamma(ai)
-        if xi < ai + 1.0:                       # series for P(a, x)
-            ap, s, d = ai, 1.0 / ai, 1.0 / ai
-            for _ in range(_MAXIT):
-                ap += 1.0
-                d *= xi / ap
-                s += d
-                if abs(d) < abs(s) * _EPS:
-                    break
-            out[i] = 1.0 - s * math.exp(-xi + ai * math.log(xi) - gln)
-        else:                                   # continued fraction for Q(a, x)
-            b = xi + 1.0 - ai
-            c, d = 1.0 / _TINY, 1.0 / b
-            h = d
-            for n in range(1, _MAXIT + 1):
-                an = -n * (n - ai)
-                b += 2.0
-                d = an * d + b
-                d = _TINY if abs(d) < _TINY else d
-                c = b + an / c
-                c = _TINY if abs(c) < _TINY else c
-                d = 1.0 / d
-                delta = d * c
-                h *= delta
-                if abs(delta - 1.0) < _EPS:
-                    break
-            out[i] = math.exp(-xi + ai * math.log(xi) - gln) * h
-    return np.clip(out, 0.0, 1.0)
-
-
-def f_sf_np(f, d1, d2) -> np.ndarray:
-    f, d1, d2 = (np.asarray(v, dtype=float) for v in (f, d1, d2))
-    with np.errstate(invalid="ignore", divide="ignore"):
-        x = d2 / (d2 + d1 * f)
-    out = betainc_reg(d2 / 2.0, d1 / 2.0, x)
-    return np.where(np.isposinf(f), 0.0, out)
-
-
-def chi2_sf_np(x, k) -> np.ndarray:
-    x, k = np.asarray(x, dtype=float), np.asarray(k, dtype=float)
-    out = gammainc_upper_reg(k / 2.0, x / 2.0)
-    return np.where(np.isposinf(x), 0.0, out)
-
-
-def t_two_sided_np(t, df) -> np.ndarray:
-    t, df = np.asarray(t, dtype=float), np.asarray(df, dtype=float)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        x = df / (df + t * t)
-    out = betainc_reg(df / 2.0, np.full_like(df, 0.5), x)
-    return np.where(np.isinf(t), 0.0, out)
+LARGE = 1e6  # degrees of freedom from which the limits are used
+_CLOSE = 1e-15
+
+
+def _limit(size: float) -> int:
+    """Terms within which the expansions converge for parameters of this size, with room to spare."""
+    return 300 + int(30 * math.sqrt(size))
+
+
+def _fraction(term: Callable[[int], tuple[float, float]], limit: int) -> float:
+    """b0 + a1 / (b1 + a2 / (b2 + ...)) by forward products of the ratios of successive convergents; term(n) = (a_n, b_n)."""
+    value = above = term(0)[1] or 1e-300
+    below = 0.0
+    for n in range(1, limit):
+        a, b = term(n)
+        below = 1.0 / ((b + a * below) or 1e-300)
+        above = (b + a / above) or 1e-300
+        value *= above * below
+        if abs(above * below - 1.0) < _CLOSE:
+            return value
+    return math.nan
+
+
+def _beta(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta I_x(a, b)."""
+    if not (a > 0 and b > 0 and 0 <= x <= 1):
+        return math.nan
+    if x in (0.0, 1.0):
+        return x
+    if x > (a + 1) / (a + b + 2):  # the fraction converges fast left of the mean
+        return 1.0 - _beta(b, a, 1.0 - x)
+
+    def term(n: int) -> tuple[float, float]:
+        m = n // 2
+        if n < 2:
+            return 1.0, float(n)
+        k = n - 1
+        m = k // 2
+        if k % 2:
+            return -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), 1.0
+        return m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), 1.0
+    scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return min(1.0, max(0.0, math.exp(scale) / a * _fraction(term, _limit(max(a, b)))))
+
+
+def _gamma_upper(a: float, x: float) -> float:
+    """Regularised upper incomplete gamma Q(a, x)."""
+    if not (a > 0 and x >= 0):
+        return math.nan
+    if x == 0:
+        return 1.0
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x >= a + 1:
+        q = scale * _fraction(lambda n: (1.0, 0.0) if n == 0 else (1.0 if n == 1 else -(n - 1) * (n - 1 - a), x + 2 * n - 1 - a),
+                              _limit(a))
+    else:
+        total = part = 1.0 / a
+        for n in range(1, _limit(a)):
+            part *= x / (a + n)
+            total += part
+            if part < total * _CLOSE:
+                break
+        else:
+            return math.nan
+        q = 1.0 - scale * total
+    return min(1.0, max(0.0, q))
+
+
+def _normal_above(z: float) -> float:
+    return 0.5 * math.erfc(z / math.sqrt(2.0))
+
+
+def _chi2_above(x: float, k: float) -> float:
+    if not (x >= 0 and k > 0):
+        return math.nan
+    if math.isinf(x):
+        return 0.0
+    if k > LARGE:
+        v = 2.0 / (9.0 * k)
+        return _normal_above(((x / k) ** (1 / 3) - (1.0 - v)) / math.sqrt(v))
+    return _gamma_upper(k / 2.0, x / 2.0)
+
+
+def _f_above(f: float, d1: float, d2: float) -> float:
+    if not (f >= 0 and d1 > 0 and d2 > 0):
+        return math.nan
+    if math.isinf(f):
+        return 0.0
+    if d1 > LARGE and d2 > LARGE:
+        u, v = 2.0 / (9.0 * d1), 2.0 / (9.0 * d2)
+        r = f ** (1 / 3)
+        return _normal_above(((1.0 - v) * r - (1.0 - u)) / math.sqrt(u + v * r * r))
+    if d2 > LARGE:  # the denominator is its mean, to first order in 1 / d2
+        return _chi2_above(d1 * f / (1.0 + (d1 * f - d1 + 2.0) / (2.0 * d2)), d1)
+    if d1 > LARGE:
+        return 1.0 - _f_above(1.0 / f, d2, d1) if f > 0 else 1.0
+    return _beta(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+
+
+def _t_two_sided(t: float, df: float) -> float:
+    if not df > 0 or math.isnan(t):
+        return math.nan
+    if math.isinf(t):
+        return 0.0
+    if df > LARGE:  # z with the first-order correction in 1 / df
+        return 2.0 * _normal_above(abs(t) * (1.0 - 1.0 / (4.0 * df)) / math.sqrt(1.0 + t * t / (2.0 * df)))
+    return _beta(df / 2.0, 0.5, df / (df + t * t))
+
+
+f_sf_np = np.vectorize(_f_above, otypes=[float])
+chi2_sf_np = np.vectorize(_chi2_above, otypes=[float])
+t_two_sided_np = np.vectorize(_t_two_sided, otypes=[float])
+betainc_reg = np.vectorize(_beta, otypes=[float])
+gammainc_upper_reg = np.vectorize(_gamma_upper, otypes=[float])
 
 
 def corr_pvalue_np(r, n) -> np.ndarray:

@@ -18,11 +18,11 @@ def safe_div(a, b) -> Column:
 
 
 def clip(c, lo, hi) -> Column:
-    """greatest(lo, least(hi, c)); NULL bounds leave that side open."""
+    """greatest(lo, least(hi, c)); NULL bounds leave that side open, a NULL value stays NULL."""
     c = _col(c)
     lo = _col(lo) if not isinstance(lo, (int, float)) else F.lit(float(lo))
     hi = _col(hi) if not isinstance(hi, (int, float)) else F.lit(float(hi))
-    return F.greatest(lo, F.least(hi, c))
+    return F.when(c.isNotNull(), F.greatest(lo, F.least(hi, c)))
 
 
 def round_half_even(c, scale: int = 2) -> Column:

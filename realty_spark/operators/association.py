@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from realty_spark import constants as K
@@ -22,6 +22,7 @@ from realty_spark.functions.distributions import chi2_sf, corr_pvalue, f_sf, nor
 from realty_spark.functions.numeric import safe_corr, safe_div, significance_flag
 from realty_spark.operators.profile import to_long
 from realty_spark.operators.quantiles import value_ranks
+from realty_spark.session import ensure_checkpoint_dir
 
 
 def category_long(df: DataFrame, columns: Sequence[str], target: str = "prix_m2") -> DataFrame:
@@ -157,23 +158,25 @@ def jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------ Shapiro-Wilk --
-def hash_sample(df: DataFrame, keys: Sequence[str], size: int = K.SHAPIRO_MAX_SAMPLE, seed: int = 42,
-                slack: float = 1.5) -> DataFrame:
-    """Deterministic bounded sample: the ``size`` rows with the smallest seeded hash per group.
-
-    A Bernoulli pre-filter with rate ``slack * size / n`` (plus a margin of
-    many standard deviations) keeps about 1.5x size rows per group, so the
-    final ``row_number`` window sorts a bounded set, never a whole group.
+def row_sample(df: DataFrame, keys: Sequence[str], size: int = K.SHAPIRO_MAX_SAMPLE, seed: int = 42,
+               slack: float = 1.5) -> DataFrame:
+    """Seeded sample of min(n, ``size``) rows per group, drawn by row, so equal values are kept or left one by one.
+
+    The narrow rows are checkpointed; a row's place in the checkpoint is its
+    identity and, hashed with the seed, its draw.  Only draws below
+    ``slack * size / n`` (plus ten standard deviations) reach the
+    ``row_number`` window, which so sorts about 1.5 x size rows per group.
+    The counts have one row per group of profiled columns and are broadcast.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     keys = list(keys)
-    h = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
-    u = (F.pmod(h, F.lit(1 << 40)).cast("double") / float(1 << 40))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rate = F.least(F.lit(1.0), (F.lit(slack * size) + 10.0 * F.sqrt(F.lit(float(size)))) / F.col("_n"))
-    pre = df.withColumn("_u", u).join(counts, keys).where(F.col("_u") <= rate)
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy("_u")
-    return pre.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= size).drop("_rk", "_n")
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    draw = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(1 << 40)).cast("double") / float(1 << 40)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rate = (F.lit(slack * size) + 10.0 * F.sqrt(F.lit(float(size)))) / F.col("_n")
+    low = rows.withColumn("_u", draw).join(F.broadcast(counts), keys).where(F.col("_u") <= rate)
+    w = Window.partitionBy(*keys).orderBy("_u", "_row")
+    return low.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= size).drop("_rk", "_n", "_u", "_row")
 
 
 def shapiro_wilk_np(x: np.ndarray) -> tuple[float, float]:
@@ -234,7 +237,7 @@ def shapiro(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", size
     grouped call sees at most ``size`` rows.
     """
     long = numeric_long(df, columns, target).select("variable", "x")
-    sample = hash_sample(long, ["variable"], size, seed)
+    sample = row_sample(long, ["variable"], size, seed)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         w, p = shapiro_wilk_np(pdf["x"].to_numpy())
@@ -247,15 +250,26 @@ def shapiro(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", size
 
 
 def association_report(df: DataFrame, columns: Sequence[str], target: str = "prix_m2",
-                       max_levels: int = K.TEST_MAX_LEVELS, partitions: int | None = None) -> DataFrame:
-    """ANOVA + Kruskal-Wallis for every categorical column with fewer than ``max_levels`` levels (H7)."""
+                       max_levels: int | None = K.TEST_MAX_LEVELS, partitions: int | None = None) -> DataFrame:
+    """ANOVA + Kruskal-Wallis for every categorical column with fewer than ``max_levels`` levels (H7); None: no gate.
+
+    The gate's answer, one row per column, is fetched first: columns that fail it are not tested.
+    """
     from realty_spark.operators.profile import level_gate
-    gate = level_gate(df, columns, test_max=max_levels).where(F.col("test"))
-    a = anova(df, columns, target).select("variable", "f_stat", F.col("p_value").alias("p_anova"),
-                                          F.col("significatif").alias("sig_anova"))
-    k = kruskal(df, columns, target, partitions=partitions).select(
+    gate = level_gate(df, columns, test_max=K.TEST_MAX_LEVELS if max_levels is None else max_levels).select(
+        "variable", "nb_categories", "test")
+    verdicts = gate.collect()  # a row per named column
+    tested = [r["variable"] for r in verdicts if r["test"] or max_levels is None]
+    spark = df.sparkSession
+    listed = spark.createDataFrame([(r["variable"], r["nb_categories"]) for r in verdicts if r["variable"] in tested],
+                                   "variable string, nb_categories long")
+    if not tested:
+        tested = list(columns)[:1]  # an empty listing keeps the report's columns
+    a = anova(df, tested, target).select("variable", "f_stat", F.col("p_value").alias("p_anova"),
+                                         F.col("significatif").alias("sig_anova"))
+    k = kruskal(df, tested, target, partitions=partitions).select(
         "variable", "h_stat", F.col("p_value").alias("p_kruskal"), F.col("significatif").alias("sig_kruskal"))
-    return gate.select("variable", "nb_categories").join(a, "variable", "left").join(k, "variable", "left")
+    return listed.join(a, "variable", "left").join(k, "variable", "left")
 
 
 def correlation_report(df: DataFrame, columns: Sequence[str], target: str = "prix_m2",

@@ -17,6 +17,9 @@ from realty_spark.operators.profile import to_long
 from realty_spark.operators.quantiles import group_quantiles
 
 
+BROADCAST_GROUPS = 100_000
+
+
 def _bins(long: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
     """Attach the 0-based equal-width bin of ``value`` within [min, max] per group (last bin closed)."""
     keys = list(keys)
@@ -44,7 +47,9 @@ def boxplot(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataF
     q = group_quantiles(v, keys, {"q1": (value, 0.25), "mediane": (value, 0.5), "q3": (value, 0.75)})
     q = q.withColumns({"_lo_f": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "_hi_f": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    j = v.join(q, keys)
+    # one row per plotted group; counted before it is broadcast, else left to the optimizer
+    few = q.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    j = v.join(F.broadcast(q) if few else q, keys)
     inside = (F.col(value) >= F.col("_lo_f")) & (F.col(value) <= F.col("_hi_f"))
     agg = j.groupBy(*keys).agg(
         F.first("q1").alias("q1"), F.first("mediane").alias("mediane"), F.first("q3").alias("q3"),

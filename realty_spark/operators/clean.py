@@ -63,12 +63,6 @@ def split_by_year(df: DataFrame, train_years: Sequence[int] = K.TRAIN_YEARS,
     return tagged.where(F.col("split").isNotNull())
 
 
-def train_test(df: DataFrame, train_years=K.TRAIN_YEARS, test_years=K.TEST_YEARS,
-               year: str = "annee") -> tuple[DataFrame, DataFrame]:
-    """The reference's (train, test) pair as two filtered views of one plan."""
-    y = F.col(year)
-    return df.where(y.isin(list(train_years))), df.where(y.isin(list(test_years)))
-
 
 def features_target(df: DataFrame, target: str = "prix_m2", drop: Sequence[str] = ()) -> tuple[list[str], str]:
     """Feature column list and target name (P6); the target stays in the same row."""
@@ -76,14 +70,6 @@ def features_target(df: DataFrame, target: str = "prix_m2", drop: Sequence[str]
     return feats, target
 
 
-def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with any NULL (or NaN) among ``subset``."""
-    return df.na.drop("any", subset=list(subset) if subset else None)
-
-
-def pairwise_complete(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Rows where both x and y are present."""
-    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
 
 
 def domain_value(c: str, lo: int, hi: int):

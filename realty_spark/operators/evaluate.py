@@ -32,8 +32,10 @@ def regression_metrics(df: DataFrame, by: Sequence[str] = (), y: str = "y", yhat
 
     ``mape_zero='skip'`` ignores rows with y = 0 (NULL if none left);
     ``'propagate'`` returns +inf as soon as a y is 0 (numpy's unguarded mean).
-    R^2 on a constant y is 1.0 for a perfect prediction else 0.0.
+    R^2 on a constant y is 1.0 for a perfect prediction else 0.0.  Every term
+    is over rows with both an actual and a forecast; ``n`` counts them.
     """
+    df = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     e = F.col(y) - F.col(yhat)
     ape = F.abs(safe_div(e, F.col(y)))
     mape = F.avg(F.when(F.col(y) != 0, ape)) * 100.0
