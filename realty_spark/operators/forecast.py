@@ -12,7 +12,8 @@ reference's libraries is claimed:
 
 * ``sarima_*`` - seasonal ARIMA orders scored by two-stage Hannan-Rissanen
   least squares on the differenced series (long-AR residuals, then OLS on the
-  expanded seasonal AR/MA lag set), Gaussian AIC; forecasts by recursion with
+  expanded seasonal AR/MA lag set), Gaussian AIC on one sample for all orders,
+  refit of the winner on all months; forecasts by recursion with
   zero future shocks, then undifferencing.  Stationarity and invertibility
   are checked from the polynomial roots; a failing zone uses the fallback.
 * ``seasonal_trend_forecast`` - log-scale penalised least squares: piecewise
@@ -75,8 +76,32 @@ def _lags(p: int, sp: int, s: int) -> list[int]:
     return sorted({i + s * j for i in range(p + 1) for j in range(sp + 1)} - {0})
 
 
-def fit_sarima(y: np.ndarray, order, sorder, s: int = K.SEASONAL_PERIOD) -> dict:
-    """Two-stage Hannan-Rissanen fit; raises ValueError when the series is too short."""
+def _long_ar(n: int, s: int = K.SEASONAL_PERIOD) -> int:
+    """Order of the long autoregression of a differenced series of n values: alike for all candidates of one (d, D)."""
+    return min(s + 2, n // 3)
+
+
+def common_sample(n: int, s: int = K.SEASONAL_PERIOD) -> int:
+    """Scored observations of every candidate of a series of n months: what the greediest candidate leaves.
+
+    A candidate that cannot be scored on so few is compared on the last year
+    instead; 0 if not even that is left.
+    """
+    left = []
+    for p, d, q, sp, sd, sq in sarima_candidates():
+        m = n - d - s * sd
+        ar, ma = _lags(p, sp, s), _lags(q, sq, s)
+        left.append(m - (_long_ar(m) if ma else 0) - max(ar + ma, default=0))
+    least = min(left)
+    return least if least >= s else s if max(left) >= s else 0
+
+
+def fit_sarima(y: np.ndarray, order, sorder, s: int = K.SEASONAL_PERIOD, scored: int | None = None) -> dict:
+    """Two-stage Hannan-Rissanen fit; raises ValueError when the series is too short.
+
+    With ``scored`` the coefficients and the AIC come from the last so many
+    observations alone, so that AICs of different orders speak of one sample.
+    """
     p, d, q = order
     sp, sd, sq = sorder
     y = np.asarray(y, dtype=float)
@@ -88,7 +113,7 @@ def fit_sarima(y: np.ndarray, order, sorder, s: int = K.SEASONAL_PERIOD) -> dict
     e = np.zeros(n)
     start = 0
     if ma:
-        m = min(max(max(ar + ma), 12), n // 3)
+        m = _long_ar(n)
         if m < 1 or n - m < m + 5:
             raise ValueError("series too short for the long autoregression")
         xl = np.column_stack([w[m - k:n - k] for k in range(1, m + 1)] + [np.ones(n - m)])
@@ -96,6 +121,10 @@ def fit_sarima(y: np.ndarray, order, sorder, s: int = K.SEASONAL_PERIOD) -> dict
         e[m:] = w[m:] - xl @ b1
         start = m
     t0 = start + max(ar + ma, default=0)
+    if scored is not None:
+        if n - scored < t0 or not scored:
+            raise ValueError("series too short for this order")
+        t0 = n - scored
     neff = n - t0
     k = len(ar) + len(ma) + int(const)
     if neff < k + 3:
@@ -108,7 +137,7 @@ def fit_sarima(y: np.ndarray, order, sorder, s: int = K.SEASONAL_PERIOD) -> dict
     loglik = -0.5 * neff * (math.log(2 * math.pi * sigma2) + 1.0)
     e_fit = e.copy()
     e_fit[t0:] = resid
-    return {"beta": beta, "ar": ar, "ma": ma, "const": const, "aic": 2.0 * (k + 1) - 2.0 * loglik,
+    return {"beta": beta, "ar": ar, "ma": ma, "const": const, "aic": 2.0 * (k + 1) - 2.0 * loglik, "neff": neff,
             "sigma2": sigma2, "w": w, "e": e_fit, "poly": poly, "y": y}
 
 
@@ -160,7 +189,7 @@ def _score_batches(it):
         for r in pdf.itertuples(index=False):
             y = np.array([s["y"] for s in r.train], dtype=float)
             try:
-                fit = fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq))
+                fit = fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq), scored=common_sample(len(y)))
                 aic = fit["aic"]
                 admissible = all(sarima_checks(fit))
                 err = None if np.isfinite(aic) else "non-finite AIC"
@@ -174,6 +203,9 @@ def _score_batches(it):
 def sarima_grid(panel: DataFrame, target: str, partitions: int | None = None) -> DataFrame:
     """Score the 144 candidate orders of every eligible zone (M2).
 
+    All candidates of a zone are scored on the same last months
+    (``common_sample``), so that their AICs compare fits and not lost rows.
+
     Each zone row is fanned out over the fixed candidate list (a literal
     array of 144 structs, ``explode``), spread over tasks by (zone, candidate)
     and scored with ``mapInPandas``.  Returns every candidate with its AIC
@@ -183,8 +215,8 @@ def sarima_grid(panel: DataFrame, target: str, partitions: int | None = None) ->
                               F.lit(a).alias("sp"), F.lit(b).alias("sd"), F.lit(c).alias("sq"))
                      for i, (p, d, q, a, b, c) in enumerate(sarima_candidates())])
     s = zone_series(panel, target).select("zone", "train", F.explode(grid).alias("g")).select("zone", "train", "g.*")
-    n = partitions or int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = s.repartition(n, "zone", "cid").mapInPandas(_score_batches, GRID_SCHEMA)
+    dealt = s.repartition(partitions, "zone", "cid") if partitions else s.repartition("zone", "cid")
+    scored = dealt.mapInPandas(_score_batches, GRID_SCHEMA)
     return scored.withColumn("aic", F.when(~F.isnan("aic"), F.col("aic")))
 
 
@@ -293,9 +325,11 @@ def fit_seasonal_trend(days, y, regs, days_f, regs_f, params=K.SEASONAL_TREND_PA
     pen = np.zeros(a.shape[1])
     pen[2:2 + len(cps)] = s2 / params["changepoint_prior_scale"] ** 2
     pen[2 + len(cps):] = s2 / params["seasonality_prior_scale"] ** 2
-    beta = np.linalg.solve(a.T @ a + np.diag(pen) + 1e-9 * np.eye(a.shape[1]), a.T @ z)
+    normal = a.T @ a + np.diag(pen) + 1e-9 * np.eye(a.shape[1])
+    beta = np.linalg.solve(normal, a.T @ z)
     resid = z - a @ beta
-    sig = float(np.sqrt(np.sum(resid ** 2) / max(n - 2, 1))) * sd
+    used = float(np.trace(np.linalg.solve(normal, a.T @ a)))  # effective parameters: trace of the hat matrix
+    sig = float(np.sqrt(np.sum(resid ** 2) / max(n - used, 1.0))) * sd
     zq = float(norm_ppf_np([(1 + params["interval_width"]) / 2])[0])
     lf = mu + sd * (af @ beta)
     return np.exp(lf), np.exp(lf - zq * sig), np.exp(lf + zq * sig)
@@ -349,80 +383,117 @@ GBT_FEATURES = ("zone_idx", "mois", "annee", "mois_depuis_debut", "lag_1", "lag_
                 "ma_3", "ma_6", "ma_12", "std_3", "std_6", "tendance")
 
 
-def _gbt_features(history: DataFrame, target: str, zones: DataFrame) -> DataFrame:
-    from realty_spark.operators.panel import panel_features
-    f = panel_features(history, target, leak_free=True)
-    return f.join(zones, "zone")
+def best_count(errors: list[float], patience: int) -> int:
+    """Trees up to the least validation error before ``patience`` trees bring no lower one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_trees(rows: DataFrame, max_iter: int, patience: int, seed: int):
+    """Fit on the rows that are not validation, with as many trees as patience on the validation rows allows.
+
+    Fits double their trees until the least error is ``patience`` trees old
+    (a seeded fit begins with the trees of a shorter one), then the model is
+    refitted with the best count.
+    """
+    from pyspark.ml.regression import GBTRegressor
+    fit_rows, valid = rows.where(~F.col("is_validation")), rows.where("is_validation")
+    names = rows.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])
+    bins = max([32] + [len(a["vals"]) + 1 for a in names])
+
+    def fit(n: int):
+        return GBTRegressor(featuresCol="features", labelCol="label", maxIter=n, maxDepth=K.GBT_PARAMS["max_depth"],
+                            stepSize=K.GBT_PARAMS["learning_rate"], subsamplingRate=K.GBT_PARAMS["subsample"],
+                            featureSubsetStrategy=str(K.GBT_PARAMS["colsample_bytree"]), maxBins=bins,
+                            minInstancesPerNode=K.GBT_PARAMS["min_child_weight"], seed=seed).fit(fit_rows)
+    n = min(max_iter, 2 * patience)
+    while True:
+        model = fit(n)
+        errors = model.evaluateEachIteration(valid, "squared") if valid.limit(1).count() else [0.0] * n
+        best = best_count(errors, patience)
+        if best + patience <= n or n >= max_iter:
+            return model if best == n else fit(best)
+        n = min(max_iter, 2 * n)
 
 
 def gbt_forecast(panel: DataFrame, target: str = "prix_median_m2", max_iter: int = K.GBT_PARAMS["n_estimators"],
                  seed: int = K.GBT_PARAMS["seed"]):
     """Pooled gradient-boosted trees with recursive multi-step forecasts.
 
-    One Spark ML model for all zones (zone index as a feature) instead of a
-    per-zone loop.  Features are leak-free (statistics over strictly earlier
-    months) and the label is the change from the previous month, which trees
-    can extrapolate where a level cannot.  The last 15 % of each zone's
-    complete rows is the early-stopping validation set (W7).  The recursion
-    predicts every zone's next test month in one distributed step, clips to
-    [0.7 min, 1.3 max] of the zone's train series, appends the prediction to
-    the history and cuts the lineage with a reliable checkpoint.
+    One Spark ML model for all zones (the zone is a nominal feature) instead
+    of a per-zone loop.  Features are leak-free (statistics over strictly
+    earlier months) and the label is the change from the previous month, which
+    trees can extrapolate where a level cannot.  The last 15 % of each zone's
+    complete rows is the validation set (W7) for the number of trees.  The
+    recursion predicts every zone's next test month in one distributed step,
+    clips to [0.7 min, 1.3 max] of the zone's train series, appends the
+    prediction to the history and cuts the lineage with a reliable checkpoint.
+    Zones that fail the gate or have too few complete rows get one row that
+    says so.
 
     Returns ``(forecast, importances)`` DataFrames.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
 
-    from realty_spark.operators.panel import chrono_split
+    from realty_spark.operators.panel import chrono_split, panel_features
     from realty_spark.session import ensure_checkpoint_dir
 
     spark = panel.sparkSession
     ensure_checkpoint_dir(spark)
-    gate = series_gate(panel, target).where(F.col("status") == "ok")
-    # one row per eligible zone: a zone-level table, so the global ordering window is small
-    zones = gate.select("zone", (F.dense_rank().over(Window.orderBy("zone")) - 1).cast("double").alias("zone_idx"))
-    history = panel.where(F.col("split") == "train").select("zone", "annee_mois", target)
-    feats = _gbt_features(history, target, zones).where(F.col("complete"))
-    counts = feats.groupBy("zone").agg(F.count(F.lit(1)).alias("_rows"))
-    eligible = counts.where(F.col("_rows") >= K.MIN_FEATURE_ROWS).select("zone")
+    all_zones = series_gate(panel, target)
+    gate = all_zones.where(F.col("status") == "ok")
+    indexer = StringIndexer(inputCol="zone", outputCol="zone_idx", stringOrderType="alphabetAsc",
+                            handleInvalid="keep").fit(all_zones.select("zone"))
+    assembler = VectorAssembler(inputCols=list(GBT_FEATURES), outputCol="features")
+
+    def features(history: DataFrame) -> DataFrame:
+        return indexer.transform(panel_features(history, target, leak_free=True))
+
+    history = (panel.where(F.col("split") == "train").select("zone", "annee_mois", target)
+               .join(gate.select("zone"), "zone").checkpoint())
+    feats = features(history).where(F.col("complete"))
+    eligible = (feats.groupBy("zone").agg(F.count(F.lit(1)).alias("_rows"))
+                .where(F.col("_rows") >= K.MIN_FEATURE_ROWS).select("zone").checkpoint())
     train = chrono_split(feats.join(eligible, "zone"), K.VALIDATION_SHARE) \
         .withColumn("label", F.col(target) - F.col("lag_1"))
-    assembler = VectorAssembler(inputCols=list(GBT_FEATURES), outputCol="features")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
-                       maxDepth=K.GBT_PARAMS["max_depth"], stepSize=K.GBT_PARAMS["learning_rate"],
-                       subsamplingRate=K.GBT_PARAMS["subsample"],
-                       featureSubsetStrategy=str(K.GBT_PARAMS["colsample_bytree"]),
-                       minInstancesPerNode=K.GBT_PARAMS["min_child_weight"], seed=seed,
-                       validationIndicatorCol="is_validation")
-    model = gbt.fit(assembler.transform(train).select("features", "label", "is_validation").checkpoint())
+    rows = assembler.transform(train).select("features", "label", "is_validation").checkpoint()
+    model = None if eligible.limit(1).count() == 0 else fit_trees(
+        rows, max_iter, K.GBT_PARAMS["early_stopping_rounds"], seed)
 
     bounds = gate.select("zone", (F.col("train_min") * K.GBT_MIN_FACTOR).alias("_lo"),
                          (F.col("train_max") * K.GBT_MAX_FACTOR).alias("_hi"),
-                         F.col("train_mean").alias("_mean"))
-    steps = test_steps(panel).join(eligible, "zone")
+                         F.col("train_mean").alias("_mean")).checkpoint()
+    steps = test_steps(panel).join(eligible, "zone").checkpoint()
     horizon = steps.agg(F.max("step")).first()[0] or 0
-    preds = None
+    preds = spark.createDataFrame([], "zone string, annee_mois date, step int, yhat double")
     hist = history.join(eligible, "zone")
     for i in range(1, horizon + 1):
         nxt = steps.where(F.col("step") == i).select("zone", "annee_mois")
         frame = hist.unionByName(nxt.withColumn(target, F.lit(None).cast("double")))
-        f = _gbt_features(frame, target, zones).join(nxt, ["zone", "annee_mois"])
+        f = features(frame).join(nxt, ["zone", "annee_mois"])
         scored = model.transform(assembler.transform(f.fillna(0.0, subset=list(GBT_FEATURES)))) \
             .select("zone", "annee_mois", "complete", "lag_1", "prediction")
         step_rows = (scored.join(bounds, "zone")
                      .select("zone", "annee_mois", F.lit(i).alias("step"),
                              F.when(F.col("complete"), F.greatest(F.col("_lo"), F.least(
                                  F.col("_hi"), F.col("lag_1") + F.col("prediction"))))
-                             .otherwise(F.col("_mean")).alias("yhat")))
-        step_rows = step_rows.checkpoint()
-        preds = step_rows if preds is None else preds.unionByName(step_rows)
-        hist = hist.unionByName(step_rows.select("zone", "annee_mois", F.col("yhat").alias(target))).checkpoint()
-    if preds is None:
-        preds = spark.createDataFrame([], "zone string, annee_mois date, step int, yhat double")
+                             .otherwise(F.col("_mean")).alias("yhat"))).checkpoint()
+        preds = preds.unionByName(step_rows)
+        hist = hist.unionByName(step_rows.select("zone", "annee_mois", F.col("yhat").alias(target)))
     names = list(GBT_FEATURES)
-    imp = [(names[j], float(v)) for j, v in enumerate(model.featureImportances.toArray())]
+    imp = [(names[j], float(v)) for j, v in enumerate(model.featureImportances.toArray())] if model else []
     importances = spark.createDataFrame(imp, "feature string, importance double")
-    forecast_df = preds.withColumn("nb_arbres", F.lit(model.getNumTrees))
+    told = preds.select("zone", "annee_mois", "step", "yhat", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("message"))
+    few = (gate.join(eligible, "zone", "left_anti").select("zone", F.lit("skipped").alias("status"),
+                                                           F.lit("too few complete feature rows").alias("message")))
+    left_out = all_zones.where(F.col("status") != "ok").select("zone", "status", F.col("reason").alias("message")).unionByName(few)
+    forecast_df = told.unionByName(left_out, allowMissingColumns=True).withColumn(
+        "nb_arbres", F.lit(model.getNumTrees if model else None).cast("int"))
     return forecast_df, importances
 
 
@@ -430,11 +501,3 @@ def top_importances(importances: DataFrame, k: int = 5) -> DataFrame:
     """Top-k feature importances."""
     return importances.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
-
-def seasonal_trend_frame(panel: DataFrame, target: str = "prix_median_m2", include_regressors: bool = True,
-                         regressors=REGRESSORS) -> DataFrame:
-    """(zone, split, ds, y, regressors...) layout of the seasonal-trend model; the test rows with their
-    observed regressors form the future frame (P12, P13)."""
-    cols = [F.col("annee_mois").alias("ds"), F.col(target).alias("y")]
-    cols += [F.col(c) for c in regressors] if include_regressors else []
-    return panel.select("zone", "split", *cols)

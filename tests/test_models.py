@@ -63,10 +63,83 @@ def test_shapiro_normal_vs_skewed():
     assert p2 < 1e-6
 
 
-def test_hash_sample_bounded_and_seeded(spark):
-    df = spark.range(20000).selectExpr("CAST(id % 3 AS STRING) AS variable", "CAST(id AS DOUBLE) AS x")
-    a = association.hash_sample(df, ["variable"], size=500, seed=3)
-    counts = {r.variable: r["count"] for r in a.groupBy("variable").count().collect()}
-    assert counts == {"0": 500, "1": 500, "2": 500}
-    b = association.hash_sample(df, ["variable"], size=500, seed=3)
-    assert sorted(r.x for r in a.collect()) == sorted(r.x for r in b.collect())
+def test_row_sample_is_bounded_seeded_and_takes_ties_one_by_one(spark):
+    df = spark.range(60000).selectExpr("CASE WHEN id % 3 = 0 THEN 'unique' WHEN id % 3 = 1 THEN 'seven' ELSE 'small' END AS variable",
+                                       "CAST(CASE WHEN id % 3 = 0 THEN id WHEN id % 3 = 1 THEN id % 7 ELSE id END AS DOUBLE) AS x"
+                                       ).where("variable <> 'small' OR x < 200")
+    a = association.row_sample(df, ["variable"], size=500, seed=3).collect()
+    by = {}
+    for r in a:
+        by.setdefault(r.variable, []).append(r.x)
+    assert {k: len(v) for k, v in by.items()} == {"unique": 500, "seven": 500, "small": 66}
+    assert len(set(by["seven"])) == 7 and max(by["seven"].count(v) for v in range(7)) < 150
+    b = association.row_sample(df, ["variable"], size=500, seed=3).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_sample_plan_joins_by_broadcast(spark):
+    df = spark.range(1000).selectExpr("CAST(id % 2 AS STRING) AS variable", "CAST(id AS DOUBLE) AS x")
+    plan = association.row_sample(df, ["variable"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_large_degrees_of_freedom():
+    assert math.isclose(chi2_sf_np(1e6, 1e6), 0.49981, abs_tol=1e-5) and math.isclose(chi2_sf_np(1e5, 1e5), 0.49941, abs_tol=1e-5)
+    for d2 in (10, 1e4, 9e5, 2e6, 1e12):  # closed form for two numerator degrees of freedom
+        assert math.isclose(f_sf_np(3.0, 2, d2), math.exp(-d2 / 2 * math.log1p(6.0 / d2)), rel_tol=1e-7)
+    for k in (2, 4, 10):  # closed form for even degrees of freedom
+        x = 7.3
+        exact = math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
+        assert math.isclose(chi2_sf_np(x, k), exact, rel_tol=1e-12)
+    assert math.isclose(corr_pvalue_np(2e-6, 1e12 + 2), math.erfc(2 / math.sqrt(2)), rel_tol=1e-6)
+
+
+def _chosen(y):
+    scored = forecast.common_sample(len(y))
+    best = None
+    for c in forecast.sarima_candidates():
+        try:
+            fit = forecast.fit_sarima(y, c[:3], c[3:], scored=scored)
+        except ValueError:
+            continue
+        assert fit["neff"] == scored
+        if best is None or fit["aic"] < best[0]:
+            best = fit["aic"], c, fit
+    return best
+
+
+def test_order_search_prefers_few_terms_for_noise_and_finds_seasonal_lags():
+    terms = [sum(_chosen(100 + np.random.default_rng(s).normal(size=180))[1]) for s in range(6)]
+    assert np.mean(terms) <= 3
+    rng = np.random.default_rng(9)
+    y = np.zeros(240)
+    for t in range(12, 240):
+        y[t] = 0.85 * y[t - 12] + rng.normal()
+    _, c, _ = _chosen(y + 100)
+    assert c[3] or c[4] or c[5]
+
+
+def test_patience_counts_trees():
+    assert forecast.best_count([5, 4, 3, 3.5, 3.4, 2.9, 6], 2) == 3
+    assert forecast.best_count([5, 4, 3, 3.5, 2.9, 6], 2) == 5
+    assert forecast.best_count([1.0, 1.0], 20) == 1
+
+
+def test_boosted_trees_learn_and_report_skipped_zones(spark):
+    rng, rows = np.random.default_rng(4), []
+    for z, k in (("north", 3.0), ("south", -3.0), ("east", 0.0)):
+        level = 1000.0
+        for i in range(126):
+            level += k + 15 * np.sin(i * np.pi / 6) + 8 * np.sin(level / 20) + rng.normal()
+            rows.append((z, dt.date(2000 + i // 12, i % 12 + 1, 1), "train" if i < 120 else "test", float(level)))
+    rows += [("short", dt.date(2000, m, 1), "train", 10.0) for m in range(1, 6)] + [("short", dt.date(2001, 1, 1), "test", 10.0)]
+    p = spark.createDataFrame(rows, "zone string, annee_mois date, split string, prix_median_m2 double")
+    fc, imp = forecast.gbt_forecast(p, max_iter=40)
+    out = fc.collect()
+    truth = {(r[0], r[1]): r[3] for r in rows}
+    ok = [r for r in out if r.status == "ok"]
+    assert len(ok) == 18 and ok[0].nb_arbres > 1
+    errors = [abs(r.yhat - truth[r.zone, r.annee_mois]) for r in ok]
+    last = {z: truth[z, dt.date(2009, 12, 1)] for z in ("north", "south", "east")}
+    assert np.mean(errors) < 0.6 * np.mean([abs(last[r.zone] - truth[r.zone, r.annee_mois]) for r in ok])
+    assert [r.zone for r in out if r.status != "ok"] == ["short"] and imp.count() == len(forecast.GBT_FEATURES)
