@@ -31,15 +31,7 @@ from pyspark.sql import functions as F
 
 from realty_spark.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 2_000_000
-_LOW33 = (1 << 33) - 1
-
-
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
+BROADCAST_ROWS = 200_000
 
 def _join_small(big: DataFrame, small: DataFrame, on, small_rows: int, limit: int) -> DataFrame:
     small = F.broadcast(small) if small_rows <= limit else small
@@ -68,13 +60,14 @@ def _indexed_runs(long: DataFrame, gkeys: list[str], partitions: int | None):
     """
     spark = long.sparkSession
     ensure_checkpoint_dir(spark)
-    p = _partitions(long, partitions)
     long = long.checkpoint(eager=True)
     # Deterministic tie-breaker (positions in the checkpoint): a group whose
     # values are all equal is still cut into many range partitions.
     keyed = long.withColumn("_rid", F.monotonically_increasing_id())
-    srt = (keyed.repartitionByRange(p, *gkeys, "_v", "_rid")
-           .sortWithinPartitions(*gkeys, "_v", "_rid")
+    key = [*gkeys, "_v", "_rid"]
+    # without an explicit count the session's setting holds and AQE sizes the partitions
+    dealt = keyed.repartitionByRange(partitions, *key) if partitions else keyed.repartitionByRange(*key)
+    srt = (dealt.sortWithinPartitions(*gkeys, "_v", "_rid")
            .drop("_rid")
            .withColumn("_mid", F.monotonically_increasing_id())
            .checkpoint(eager=True))
@@ -119,7 +112,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, t
     value_cols = sorted({c for c, _ in measures.values()} | {c for c, _ in moments.values()})
     long = _long_values(df, keys, value_cols)
     gkeys = keys + ["_var"]
-    long, srt, runs, n_runs = _indexed_runs(long, gkeys, partitions)
+    long, srt, runs, _ = _indexed_runs(long, gkeys, partitions)
     spark = df.sparkSession
     qdf = spark.createDataFrame([(c, name, float(q)) for name, (c, q) in measures.items()],
                                 "_var string, _name string, _q double")
@@ -131,7 +124,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, t
                .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
                .select(*keys, "_name", "_pos", "_r",
                        (F.col("_start") + F.col("_r") - F.col("_off")).alias("_mid")))
-    n_targets = n_runs * 2 * max(1, len(measures))  # upper bound, no extra job
+    # each rank lies in one run: two rows per group and measure at most
+    n_targets = runs.where("_off = 0").count() * 2 * max(1, len(measures))
     picked = _join_small(srt.select("_mid", "_v"), targets, "_mid", n_targets, broadcast_rows)
     per = (picked.groupBy(*keys, "_name")
            .agg(F.first("_pos").alias("_pos"),
@@ -167,6 +161,3 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, partitions: int
     return joined.select(*keys, F.col("_v").alias(value), "_t",
                          (rank0 + (F.col("_t") + 1) / 2.0).alias("_rank"), "_n")
 
-
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str, **kw) -> DataFrame:
-    return group_quantiles(df, keys, {alias: (value, 0.5)}, **kw)

@@ -71,9 +71,11 @@ def write_dataset(df: DataFrame, path: str, partition_by: str = "annee", fmt: st
                   partitions: int | None = None) -> None:
     """Persist as Parquet partitioned by year, rows sorted by date inside each file.
 
-    Range partitioning on (year, date) spreads a large year over many tasks
-    (a hash on the year alone would write each year from a single task).
+    Range partitioning on (year, date) spreads a large year over many tasks; a
+    hash of the whole row at the key's end lets one busy date spread as well.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, partition_by, "date_mutation").sortWithinPartitions(partition_by, "date_mutation")
+    keys = [partition_by, "date_mutation"]
+    tailed = df.withColumn("_tail", F.xxhash64(*df.columns))
+    dealt = tailed.repartitionByRange(partitions, *keys, "_tail") if partitions else tailed.repartitionByRange(*keys, "_tail")
+    (dealt.sortWithinPartitions(*keys, "_tail").drop("_tail")
      .write.mode("overwrite").partitionBy(partition_by).format(fmt).save(path))

@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from realty_spark.sources.proxy import (
     PROXY_DEPARTMENTS, PROXY_TEST_YEARS, PROXY_TRAIN_YEARS, proxy_sales, proxy_sales_sql,
 )
+from realty_spark import constants as K
 from realty_spark.operators import clean, panel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,8 +115,12 @@ def labelled(spark, sf_dir):
 
 
 def train_rows(spark, sf_dir):
-    """Cleaned analysis dataset, train split (the reference's X_train / y_train rows)."""
-    ds = B.clean_dataset(built(spark, sf_dir), analysis=True)
+    """Cleaned analysis rows, train split (the reference's X_train / y_train rows), without the district medians.
+
+    The reports on these rows read no median, and adding or imputing medians
+    keeps every row, so the median job is left out of their plans.
+    """
+    ds = clean.convert_types(clean.drop_columns(labelled(spark, sf_dir), K.CLEAN_DROP_COLUMNS), analysis=True)
     return clean.split_by_year(ds, PROXY_TRAIN_YEARS, PROXY_TEST_YEARS).where(F.col("split") == "train")
 
 
@@ -674,7 +679,7 @@ g AS (SELECT dr.zone, dr.step, dr.yhat, fb.yhat AS fb, st.train_min, st.train_ma
              AS bad FROM dr JOIN st USING (zone) LEFT JOIN fb USING (zone, step)),
 h AS (SELECT *, max(CAST(bad AS INTEGER)) OVER (PARTITION BY zone) = 1 AS fallback FROM g)
 SELECT zone, CAST(step AS INTEGER) AS step, {r6('yhat')} AS yhat_brut, fallback,
-       {r6('greatest(train_min * 0.5, least(train_max * 1.5, CASE WHEN fallback THEN fb ELSE yhat END))')} AS yhat
+       CASE WHEN (CASE WHEN fallback THEN fb ELSE yhat END) IS NOT NULL THEN {r6('greatest(train_min * 0.5, least(train_max * 1.5, CASE WHEN fallback THEN fb ELSE yhat END))')} END AS yhat
 FROM h""")
 def q_forecast_guard(spark, sf_dir):
     """Price sanity guard on a drift forecast: whole-horizon fallback on any bad step, then clip."""
@@ -699,7 +704,7 @@ def q_regression_metrics(spark, sf_dir):
 SELECT model, zone, n, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('mape')} AS mape, {r6('r2')} AS r2 FROM zm""")
 def q_zone_metrics(spark, sf_dir):
     """Per (model, zone) metrics of the fallback and drift forecasts, by ascending MAPE."""
-    return _zone_metrics(spark, sf_dir).orderBy("model", "mape")
+    return _zone_metrics(spark, sf_dir).orderBy("model", "mape", "zone")
 
 
 @register("metrics_summary", sql=f"""WITH {_EVAL_CTE},
@@ -763,6 +768,81 @@ def q_union_periods(spark, sf_dir):
                                   F.count_if(F.col("p_brand").isNull()).alias("nb_sans_marque"))
 
 
+# ---------------------------------------------------------- round trips ----
+from realty_spark.session import scratch_path  # noqa: E402
+from realty_spark.sources import readers  # noqa: E402
+
+_INGEST = ("date_mutation", "code_departement", "valeur_fonciere", "surface_reelle_bati", "p_brand")
+
+
+def _extracts(spark, sf_dir, sep: str, names: dict[str, str]) -> str:
+    """The proxy sales as text extracts of two periods whose headers differ in order and in one column."""
+    raw = proxy_sales(spark, sf_dir).select(*_INGEST)
+    path, year = scratch_path(spark, "extracts"), F.year("date_mutation")
+    writer = {"header": True, "sep": sep}
+    raw.where(year <= 1995).withColumnsRenamed(names).write.options(**writer).csv(f"{path}/early")
+    (raw.where(year > 1995).select(*_INGEST[:1], *_INGEST[3:0:-1]).withColumnsRenamed(names)
+     .write.options(**writer).csv(f"{path}/late"))
+    return path
+
+
+_INGEST_SQL = f"""
+WITH raw AS ({proxy_sales_sql()})
+SELECT CAST(year(date_mutation) AS INTEGER) AS annee, count(*) AS n, {r6('sum(valeur_fonciere)')} AS valeur,
+       {r6('sum(surface_reelle_bati)')} AS surface, count(*) FILTER (WHERE year(date_mutation) <= 1995) AS avec_marque
+FROM raw GROUP BY 1"""
+
+
+def _ingest_summary(df):
+    return df.groupBy(F.year("date_mutation").alias("annee")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("valeur_fonciere").alias("valeur"), F.sum("surface_reelle_bati").alias("surface"),
+        F.count("p_brand").alias("avec_marque"))
+
+
+@register("ingest_geo_csv", sql=_INGEST_SQL)
+def q_ingest_geo_csv(spark, sf_dir):
+    """Comma extracts with drifting headers written, read back by column name, typed and summed."""
+    path = _extracts(spark, sf_dir, ",", {})
+    text = readers.read_geo_csv(spark, [f"{path}/early", f"{path}/late"], _INGEST)
+    typed = B.parse_numbers(text, ["valeur_fonciere", "surface_reelle_bati"])
+    return _ingest_summary(typed.withColumn("date_mutation", parse_date("date_mutation", "yyyy-MM-dd")))
+
+
+@register("ingest_raw_txt", sql=_INGEST_SQL)
+def q_ingest_raw_txt(spark, sf_dir):
+    """Pipe extracts with raw headers written, read back by column name, renamed, typed and summed."""
+    raw_names = {v: k for k, v in readers.RAW_TO_CANONICAL.items()}
+    path = _extracts(spark, sf_dir, "|", raw_names)
+    text = readers.read_raw_txt(spark, [f"{path}/early", f"{path}/late"], columns=[raw_names.get(c, c) for c in _INGEST])
+    return _ingest_summary(B.parse_numbers(readers.canonical_raw(text, "yyyy-MM-dd"), ["valeur_fonciere", "surface_reelle_bati"]))
+
+
+@register("dataset_round_trip", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT annee, quartier_detaille, count(*) AS n, {r6('sum(prix_m2)')} AS prix, {r6('sum(prix_median_m2)')} AS mediane
+FROM ds GROUP BY 1, 2""")
+def q_dataset_round_trip(spark, sf_dir):
+    """The built dataset written by year and read back."""
+    path = scratch_path(spark, "dataset")
+    B.write_dataset(built(spark, sf_dir), path)
+    return readers.read_dataset(spark, path).groupBy(F.col("annee").cast("int").alias("annee"), "quartier_detaille").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("prix_m2").alias("prix"), F.sum("prix_median_m2").alias("mediane"))
+
+
+@register("metrics_round_trip", sql=f"""WITH {_EVAL_CTE},
+a AS (SELECT zone, rmse AS rmse_a FROM zm WHERE model = 'fallback'),
+b AS (SELECT zone, rmse AS rmse_b FROM zm WHERE model = 'drift')
+SELECT coalesce(a.zone, b.zone) AS zone, {r6('rmse_a')} AS rmse_a, {r6('rmse_b')} AS rmse_b,
+       {r6('rmse_a - rmse_b')} AS difference FROM a FULL OUTER JOIN b ON a.zone = b.zone""")
+def q_metrics_round_trip(spark, sf_dir):
+    """Metrics of two models written one after the other, read back one by one and compared."""
+    path, zm = scratch_path(spark, "metrics"), _zone_metrics(spark, sf_dir).checkpoint()
+    for model in ("fallback", "drift"):
+        readers.write_metrics(zm.where(F.col("model") == model), path)
+    both = readers.read_metrics(spark, path, "fallback").unionByName(readers.read_metrics(spark, path, "drift"))
+    return evaluate.compare_models(both, "fallback", "drift", "rmse")
+
+
 # ------------------------------------------------------- chart data --------
 from realty_spark.operators import chartdata  # noqa: E402
 
@@ -860,6 +940,28 @@ def q_corr_chart(spark, sf_dir):
     return chartdata.corr_chart(association.pearson(train_rows(spark, sf_dir), PROXY_NUMERIC, with_p=False))
 
 
+_RESIDUALS = f"""
+WITH {_clean_cte()}, {_LABELS_SQL},
+e AS (SELECT prix_m2 AS reel, prix_median_m2 AS prevu, prix_m2 - prix_median_m2 AS residu FROM imp2
+      WHERE prix_m2 IS NOT NULL AND prix_median_m2 IS NOT NULL)"""
+
+
+def _residuals(spark, sf_dir):
+    ds = district.impute_median(clean.drop_columns(built(spark, sf_dir), ["annee_trimestre"]))
+    return ds.select(F.col("prix_m2").alias("reel"), F.col("prix_median_m2").alias("prevu"),
+                     (F.col("prix_m2") - F.col("prix_median_m2")).alias("residu")).where("residu IS NOT NULL")
+
+
+@register("residual_histogram", sql=f"""{_RESIDUALS},
+r AS (SELECT min(residu) AS lo, (max(residu) - min(residu)) / 50 AS w FROM e),
+b AS (SELECT CASE WHEN w > 0 THEN least(floor((residu - lo) / w), 49) ELSE 0 END AS bin, lo, w FROM e, r)
+SELECT 'residu' AS variable, CAST(bin AS INTEGER) AS bin, {r6('any_value(lo) + bin * any_value(w)')} AS "left",
+       {r6('any_value(lo) + (bin + 1) * any_value(w)')} AS "right", count(*) AS count FROM b GROUP BY bin""")
+def q_residual_histogram(spark, sf_dir):
+    """50-bin histogram of the residuals of the district-median predictor (V3, V1)."""
+    return chartdata.histogram(_residuals(spark, sf_dir), ["residu"])
+
+
 @register("qq_points")
 def q_qq_points(spark, sf_dir):
     """Normal Q-Q data of the district-median predictor residuals on a 200-point grid (V7)."""
@@ -922,3 +1024,27 @@ def q_gbt_importance(spark, sf_dir):
     """Top-5 feature importances of the pooled boosted-tree price model."""
     _, imp = forecast.gbt_forecast(split_panel_proxy(spark, sf_dir), "prix_median_m2")
     return forecast.top_importances(imp, 5)
+
+
+@register("model_scores")
+def q_model_scores(spark, sf_dir):
+    """Test-month metrics of every model and zone, with the unguarded MAPE, train / test months and the fitted form."""
+    target = "prix_median_m2"
+    p = split_panel_proxy(spark, sf_dir, extended=True).checkpoint()
+    gate = panel.series_gate(p, target)
+    sarima = forecast.sarima_forecast(p, target, kind="price").checkpoint()
+    trees = forecast.gbt_forecast(p, target)[0].checkpoint()
+    made = {"fallback": (panel.fallback_forecast(p, target), F.lit("moyenne des 6 derniers mois")),
+            "sarima": (sarima, F.col("ordre")),
+            "tendance_saison": (forecast.seasonal_trend_forecast(p, target), F.lit("tendance et saison")),
+            "arbres": (trees, F.concat(F.col("nb_arbres").cast("string"), F.lit(" arbres, "), F.lit(len(forecast.GBT_FEATURES)),
+                                       F.lit(" variables")))}
+    scores = []
+    for model, (fc, form) in made.items():
+        shape = fc.where("step IS NOT NULL").groupBy("zone").agg(F.max(form).alias("forme"))
+        aligned = evaluate.align_forecast(fc.where("step IS NOT NULL"), p, target)
+        guarded = evaluate.regression_metrics(aligned, ["zone"])
+        plain = evaluate.regression_metrics(aligned, ["zone"], mape_zero="propagate").select("zone", F.col("mape").alias("mape_brute"))
+        scores.append(guarded.join(plain, "zone").join(shape, "zone", "left").withColumn("model", F.lit(model)))
+    out = readers.union_periods(scores).join(gate.select("zone", "nb_train", "nb_test"), "zone", "left")
+    return out.orderBy("model", "mape", "zone")

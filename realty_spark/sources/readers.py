@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from realty_spark import constants as K
 from realty_spark.functions.parse import parse_date
@@ -33,17 +33,41 @@ METRICS_SCHEMA = ("model string, dataset string, zone string, n long, rmse doubl
                   "r2 double, mape double, params map<string,string>")
 
 
-def read_geo_csv(spark: SparkSession, paths: Sequence[str], schema: StructType | str | None = None) -> DataFrame:
-    """Comma CSV extracts (one per year) stacked in one scan, all columns text."""
-    r = spark.read.option("header", True).option("sep", ",").option("multiLine", False)
-    if schema is not None:
-        r = r.schema(schema).option("enforceSchema", False)
-    return r.csv(list(paths))
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files of the given paths (one row per file; contents are not read)."""
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path").collect()
+    return sorted(r["path"] for r in listed)
 
 
-def read_raw_txt(spark: SparkSession, paths: Sequence[str], split: str | None = None) -> DataFrame:
-    """Pipe-delimited raw extracts, all columns text, optionally tagged with a split."""
-    df = spark.read.option("header", True).option("sep", "|").csv(list(paths))
+def _read_by_name(spark: SparkSession, paths: Sequence[str], sep: str, columns: Sequence[str]) -> DataFrame:
+    """The named columns of all files, each file matched by its own header; a column that a file lacks is NULL there.
+
+    Files with equal headers are one scan with that header as explicit string
+    schema, checked against each file (``enforceSchema`` off).
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in _files(spark, paths):
+        line = spark.read.option("header", True).option("sep", sep).csv(path).columns  # the header alone is read
+        groups.setdefault(tuple(line), []).append(path)
+    frames = []
+    for header, files in groups.items():
+        schema = StructType([StructField(c, StringType()) for c in header])
+        frame = spark.read.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", False).csv(files)
+        frames.append(frame.select([F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns]))
+    if not frames:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))
+    return reduce(DataFrame.union, frames)
+
+
+def read_geo_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Comma CSV extracts (one per year) stacked by column name, all columns text."""
+    return _read_by_name(spark, paths, ",", columns)
+
+
+def read_raw_txt(spark: SparkSession, paths: Sequence[str], split: str | None = None,
+                 columns: Sequence[str] = tuple(RAW_TO_CANONICAL)) -> DataFrame:
+    """Pipe-delimited raw extracts stacked by column name, all columns text, optionally tagged with a split."""
+    df = _read_by_name(spark, paths, "|", columns)
     return df.withColumn("split", F.lit(split)) if split else df
 
 
@@ -66,8 +90,8 @@ def union_periods(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Metric table partitioned by model."""
-    metrics.write.mode("overwrite").partitionBy("model").parquet(path)
+    """Metric table partitioned by model; only the written models' results are replaced."""
+    metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str, model: str | None = None) -> DataFrame:

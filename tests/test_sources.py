@@ -17,17 +17,18 @@ def test_geo_csv_and_raw_txt(spark):
         f.write("2024-03-02,13,100000,40,2,13001,Marseille,x\n")
     with open(os.path.join(d, "DVF_2025.csv"), "w") as f:
         f.write("date_mutation,code_departement,valeur_fonciere,surface_reelle_bati,nombre_pieces_principales,"
-                "code_postal,nom_commune\n")
-        f.write("bad-date,92,300000,60,3,92100,Boulogne\n")
-    geo = readers.union_periods([readers.read_geo_csv(spark, [os.path.join(d, "DVF_2024.csv")]),
-                                 readers.read_geo_csv(spark, [os.path.join(d, "DVF_2025.csv")])])
+                "nom_commune,code_postal\n")
+        f.write("bad-date,92,300000,60,3,Boulogne,92100\n")
+    columns = ["date_mutation", "code_departement", "valeur_fonciere", "surface_reelle_bati", "nombre_pieces_principales",
+               "code_postal", "nom_commune", "numero_volume"]
+    geo = readers.read_geo_csv(spark, [d + "/DVF_202*.csv"], columns)
     out = B.build_dataset(geo, partitions=2).collect()
     assert len(out) == 2                                  # Marseille is outside the department list
     paris = [r for r in out if r.code_departement == "75"][0]
     assert paris.valeur_fonciere == 250000.5 and paris.quartier_detaille == "Paris 05e"
     assert "numero_volume" not in out[0].asDict()
     boulogne = [r for r in out if r.code_departement == "92"][0]
-    assert boulogne.date_mutation is None and boulogne.annee_trimestre is None
+    assert boulogne.quartier_detaille == "Boulogne (92100)" and boulogne.date_mutation is None and boulogne.annee_trimestre is None
 
     with open(os.path.join(d, "ValeursFoncieres-2025-S1.txt"), "w") as f:
         f.write("Date mutation|Code departement|Valeur fonciere|Surface reelle bati|Nombre pieces principales\n")
@@ -40,3 +41,19 @@ def test_geo_csv_and_raw_txt(spark):
 def test_missing_metrics_is_empty(spark):
     df = readers.read_metrics(spark, "/tmp/realty-no-such-metrics-dir", "sarima")
     assert df.count() == 0 and "mape" in df.columns
+
+
+def test_writing_one_model_keeps_the_others(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for model, zones in (("sarima", ["a", "b"]), ("gbt", ["a"]), ("gbt", ["c"])):
+        readers.write_metrics(spark.createDataFrame([(model, "price", z, 1.0) for z in zones], "model string, dataset string, zone string, mape double"), path)
+    assert sorted(r.zone for r in readers.read_metrics(spark, path, "sarima").collect()) == ["a", "b"]
+    assert [r.zone for r in readers.read_metrics(spark, path, "gbt").collect()] == ["c"]
+
+
+def test_dataset_write_spreads_a_busy_date(spark, tmp_path):
+    path = str(tmp_path / "dataset")
+    df = spark.range(4000).selectExpr("2024 AS annee", "DATE'2024-05-01' AS date_mutation", "id AS v")
+    B.write_dataset(df, path, partitions=4)
+    back = readers.read_dataset(spark, path)
+    assert back.count() == 4000 and len(os.listdir(os.path.join(path, "annee=2024"))) >= 6
