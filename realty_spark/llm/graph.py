@@ -19,19 +19,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         out = both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    out = out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    return out if large else out.distinct()
+
+
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and no smaller end is a larger end: then the smaller ends are the components."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    bad = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or (up > 0 and down > 0)")
+    return not bad.agg(F.count("*")).first()[0]
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """(node, component) for every node of the (a, b) pairs; component: the least node that it reaches."""
     edges = land(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = None
-    while True:
-        # a star forest: every larger end has one edge, and no smaller end is a larger end
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state or seen[0] == 0:
-            break
-        state = seen
+    while not _is_star_forest(edges):
         edges = land(_star(_star(edges, True), False), "edges")
     return land(edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
                 .union(edges.select("v", "v").distinct()), "components")

@@ -197,6 +197,17 @@ def pairs_outside_stars(checked: DataFrame, component: DataFrame, num: int, den:
     return met.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("x")).distinct()
 
 
+def merged(first: DataFrame, late: DataFrame) -> DataFrame:
+    """Components after more links: the few components that these join are joined, the others stay."""
+    label = first.select("node", "component")
+    ends = late.join(label.withColumnsRenamed({"node": "a", "component": "of_a"}), "a", "left").join(
+        label.withColumnsRenamed({"node": "b", "component": "of_b"}), "b", "left")
+    joined = components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    nodes = first.union(late.select("a", "a")).union(late.select("b", "b")).groupBy("node").agg(F.min("component").alias("component"))
+    renamed = joined.withColumnsRenamed({"node": "component", "component": "root"})
+    return nodes.join(renamed, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked where den * |intersection| >= num * |union| of k-word shingles."""
@@ -214,7 +225,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     more = pairs_outside_stars(checked, first, num, den)
     late = confirm(land(more, "late"), sets, num, den, differences=False)
     late = land(late.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")), "late-links")
-    found = components(linked.union(late)) if late.limit(1).count() else first
+    found = merged(first, late) if late.limit(1).count() else first
 
     of_class = (classes.select("class_key", "rep")
                 .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
