@@ -7,7 +7,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 FAST = ["monthly_panel", "clean_sales", "district_quarter_median", "impute_median", "numeric_profile",
-        "kruskal_h", "spearman_target", "panel_features", "zone_metrics", "boxplot", "segment_errors"]
+        "kruskal_h", "spearman_target", "panel_features", "zone_metrics", "boxplot", "segment_errors",
+        "ingest_geo_csv", "ingest_raw_txt", "dataset_round_trip", "metrics_round_trip", "residual_histogram"]
 TABLES = "region nation customer supplier part orders lineitem".split()
 
 
@@ -30,6 +31,13 @@ def test_entry_smoke(spark):
                                "valeur_mediane"}
 
 
+def test_reports_leave_out_unused_medians(spark):
+    """The association queries read no district median, so their plans hold no checkpointed median job."""
+    from realty_spark.plans.catalog import train_rows
+    plan = train_rows(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "prix_median_m2" not in plan and "LogicalRDD" not in plan
+
+
 def test_every_query_has_docstring():
     for name, fn in E.queries().items():
         assert fn.__doc__, name
