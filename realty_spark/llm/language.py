@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from realty_spark.llm.common import read_table
 from realty_spark.llm.sampling import bounded, fold
+from realty_spark.llm.worker import tidied
 
 UNKNOWN = "und"
 DIMS = 4096
@@ -191,7 +192,7 @@ def identify(docs: DataFrame, model: Hierarchy | None, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)],
                                              names=["doc_id", "lang_pred", "score"])
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double")
+        tidied(run), "doc_id long, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, model: Hierarchy | None, text_col: str = "text", least: float = 0.25) -> DataFrame:
@@ -202,7 +203,7 @@ def keep_known(docs: DataFrame, model: Hierarchy | None, text_col: str = "text",
         for batch in batches:
             names, scores = classify(model, batch.column(at).to_pylist())
             yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores.tolist())], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

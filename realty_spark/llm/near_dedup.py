@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from realty_spark.llm.common import id_text, land, read_table
 from realty_spark.llm.graph import components
+from realty_spark.llm.worker import tidied
 from realty_spark.llm.words import mix, shingle_set
 
 BANDS = 26
@@ -92,7 +93,7 @@ def sketches(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
                                               pa.array(keys, pa.list_(pa.int64()))],
                                              names=["doc_id", "n_shingles", "class_key", "band_keys"])
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class_key binary, band_keys array<long>")
+    return docs.mapInArrow(tidied(run), "doc_id long, n_shingles long, class_key binary, band_keys array<long>")
 
 
 def star_edges(classes: DataFrame) -> DataFrame:
@@ -117,7 +118,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                 [batch.column(0), pa.array([shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
                 names=["rep", "items"])
     wanted = docs.join(ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    return wanted.mapInArrow(run, "rep long, items binary")
+    return wanted.mapInArrow(tidied(run), "rep long, items binary")
 
 
 def least_outside(size: int, centre: int, num: int, den: int) -> int:
@@ -171,7 +172,7 @@ def confirm(edges: DataFrame, sets: DataFrame, num: int, den: int, differences:
             yield pa.RecordBatch.from_arrays(columns, names=names)
     names = ["c", "x", "linked"] + ["size", "meeting", "diff", *_P] * differences
     more = ", size long, meeting long, diff array<long>" + "".join(f", {p} long" for p in _P)
-    return joined.mapInArrow(run, "c long, x long, linked boolean" + more * differences)
+    return joined.mapInArrow(tidied(run), "c long, x long, linked boolean" + more * differences)
 
 
 def pairs_outside_stars(checked: DataFrame, component: DataFrame, num: int, den: int) -> DataFrame:

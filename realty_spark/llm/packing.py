@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from realty_spark.llm.common import by_id, id_text, read_table
 from realty_spark.llm.tokens import default_tokenizer, encoder
+from realty_spark.llm.worker import tidied
 
 WINDOW = 1024
 SENTENCE_PENALTY = 2
@@ -85,8 +86,8 @@ def plan(at: list[int], penalty: list[float], window: int) -> list[int]:
 
 
 def pack_partition(batches: Iterator[pa.RecordBatch], tokenizer: str, window: int, sentence_penalty: float,
-                   hard_penalty: float, segment_tokens: int) -> Iterator[pa.RecordBatch]:
-    enc = encoder(tokenizer)
+                   hard_penalty: float, segment_tokens: int, cache_chunks: int | None = None) -> Iterator[pa.RecordBatch]:
+    enc = encoder(tokenizer, cache_chunks)
     context = TaskContext.get()
     sequence = (context.partitionId() if context else 0) << 33
     cost = np.array([0.0, sentence_penalty, hard_penalty])
@@ -134,13 +135,16 @@ def pack_partition(batches: Iterator[pa.RecordBatch], tokenizer: str, window: in
 
 def pack_ordered(ordered: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
                  sentence_penalty: float = SENTENCE_PENALTY, hard_penalty: float = HARD_PENALTY,
-                 segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
-    """Pack (doc_id, text) rows in the order in which the partitions hold them; sequences never cross partitions."""
+                 segment_tokens: int = SEGMENT_TOKENS, cache_chunks: int | None = None) -> DataFrame:
+    """Pack (doc_id, text) rows in the order in which the partitions hold them; sequences never cross partitions.
+
+    ``cache_chunks`` bounds the encoder's cache where workers serve other operators as well.
+    """
     path = tokenizer or default_tokenizer()
 
     def run(batches):
-        return pack_partition(batches, path, window, sentence_penalty, hard_penalty, segment_tokens)
-    return ordered.select("doc_id", "text").mapInArrow(run, PIECES)
+        return pack_partition(batches, path, window, sentence_penalty, hard_penalty, segment_tokens, cache_chunks)
+    return ordered.select("doc_id", "text").mapInArrow(tidied(run), PIECES)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

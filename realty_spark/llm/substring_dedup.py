@@ -36,6 +36,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from realty_spark.llm.common import id_text, land, read_table
 from realty_spark.llm.fm_index import least_document
+from realty_spark.llm.worker import tidied, tidy
 from realty_spark.llm.words import grams, hashes, split
 
 WINDOW = 50
@@ -87,7 +88,7 @@ def anchored(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 [pa.array(c, pa.int64()) for c in cols], fields=list(kind.value_type)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, pa.binary()), pa.array(n, pa.int64()), lists],
                                              names=["doc_id", "word_key", "n_words", "anchors"])
-    return docs.mapInArrow(run, "doc_id long, word_key binary, n_words long, "
+    return docs.mapInArrow(tidied(run), "doc_id long, word_key binary, n_words long, "
                                 "anchors array<struct<anchor: long, `begin`: long, `end`: long>>")
 
 
@@ -138,6 +139,7 @@ def search_shards(distinct: DataFrame, window: int, shard_words: int) -> DataFra
     def run(table: pa.Table) -> pa.Table:
         sequences = [w.split(b" ") for w in table.column("words").to_pylist()]
         least = least_document(sequences, table.column("least_doc").to_pylist(), window)
+        tidy()
         return pa.Table.from_arrays([table.column("anchor").combine_chunks(), table.column("segment_key").combine_chunks(),
                                      pa.array([v.tolist() for v in least], pa.list_(pa.int64()))], schema=kind)
     rows = distinct.select("anchor", "segment_key", "words", "least_doc",
@@ -222,7 +224,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
                 kept.append(b" ".join(w if keep.all() else [x for x, k in zip(w, keep.tolist()) if k]).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()),
                                               pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=schema.names)
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidied(run), schema)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,10 +32,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str) -> "Encoder":
-    """The encoder of this Python worker for a tokenizer file."""
+def encoder(path: str, cache_chunks: int | None = None) -> "Encoder":
+    """The encoder of this Python worker for a tokenizer file; its cache stays from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].bound = cache_chunks or CACHE_CHUNKS
     return _ENCODERS[path]
 
 
@@ -54,6 +55,7 @@ class Encoder:
             self.n_bytes[i] = len(piece)  # one character stands for one byte
             self.ends_sentence[i] = piece[-1] in ".!?" or "Ċ" in piece  # Ċ stands for a line break
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.bound = CACHE_CHUNKS
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -64,7 +66,7 @@ class Encoder:
     def _learn(self, chunks: set[str]) -> None:
         """Encode the unknown of the chunks.  Letters and the marks after them are separate pieces: a word is learned once for all marks."""
         new = chunks.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_CHUNKS:
+        if len(self.cache) + len(new) > self.bound:
             self.old, self.cache, new = self.cache, {}, chunks
         again = new.intersection(self.old)
         if again:

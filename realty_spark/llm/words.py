@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 400_000  # bound of the word cache; it is emptied when full
+CACHE_WORDS = 200_000  # bound of the word cache; it is emptied when full
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _SHIFT = np.uint64(31)
@@ -22,6 +22,10 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def forget() -> None:
+    _hashes.clear()
+
+
 def split(text: str | None, lower: bool = False) -> list[bytes]:
     """The words [^\\x20\\x09-\\x0D]+ of a text, as UTF-8; ``lower`` maps A-Z alone."""
     raw = (text or "").encode("utf-8", "surrogatepass")
