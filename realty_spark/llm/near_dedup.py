@@ -201,11 +201,10 @@ def pairs_outside_stars(checked: DataFrame, component: DataFrame, num: int, den:
 def merged(first: DataFrame, late: DataFrame) -> DataFrame:
     """Components after more links: the few components that these join are joined, the others stay."""
     label = first.select("node", "component")
-    ends = late.join(label.withColumnsRenamed({"node": "a", "component": "of_a"}), "a", "left").join(
-        label.withColumnsRenamed({"node": "b", "component": "of_b"}), "b", "left")
+    ends = late.join(label.toDF("a", "of_a"), "a", "left").join(label.toDF("b", "of_b"), "b", "left")
     joined = components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
     nodes = first.union(late.select("a", "a")).union(late.select("b", "b")).groupBy("node").agg(F.min("component").alias("component"))
-    renamed = joined.withColumnsRenamed({"node": "component", "component": "root"})
+    renamed = joined.select(F.col("node").alias("component"), F.col("component").alias("root"))
     return nodes.join(renamed, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
 
 

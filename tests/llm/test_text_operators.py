@@ -237,3 +237,22 @@ def test_parities_never_exceed_the_difference():
         y = np.unique(np.concatenate([x[r.random(len(x)) < 0.9], y[:r.integers(0, 20)]]))
         apart = int(np.bitwise_count((near_dedup.parities(x) ^ near_dedup.parities(y)).view(np.uint64)).sum())
         assert apart <= len(np.setxor1d(x, y))
+
+
+def test_late_links_join_components(spark):
+    first = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (10, 10), (11, 10), (20, 20), (21, 20)], "node long, component long")
+    late = spark.createDataFrame([(11, 3), (50, 51), (21, 60)], "a long, b long")
+    got = {r.node: r.component for r in near_dedup.merged(first, late).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 20: 20, 21: 20, 60: 20, 50: 50, 51: 50}
+
+
+def test_pairs_outside_stars_are_found(spark):
+    base = list(range(200))
+    sets = {0: base, 1: base[:150] + [1000 + i for i in range(50)], 2: base[:152] + [1000 + i for i in range(48)], 3: base[:110] + [5000 + i for i in range(90)]}
+    mixed = {i: np.unique(grams(hashes([b"s%d" % v for v in s]), 1)) for i, s in sets.items()}
+    frame = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in mixed.items()], "rep long, items binary")
+    edges = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "c long, x long")
+    checked = near_dedup.land(near_dedup.confirm(edges, frame, 85, 100, differences=True), "checked")
+    assert checked.where("linked").count() == 0
+    none = spark.createDataFrame([], "node long, component long")
+    assert [tuple(r) for r in near_dedup.pairs_outside_stars(checked, none, 85, 100).collect()] == [(1, 2)]
