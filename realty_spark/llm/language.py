@@ -114,13 +114,13 @@ class OneVersusOne:
                 self.machines[a, b] = Machine(x[rows], np.where(labels[rows] == a, 1.0, -1.0))
 
     def shares(self, x: np.ndarray) -> np.ndarray:
-        """Of each class, its mean pairwise probability, scaled to sum one."""
+        """Of each class, the mean probability of its own machines: a clear class has nearly 1, however many classes there are."""
         out = np.zeros((len(x), len(self.classes)))
         for (a, b), m in self.machines.items():
             p = m.probability(x)
             out[:, self.classes.index(a)] += p
             out[:, self.classes.index(b)] += 1 - p
-        return out / max(1, len(self.machines)) if self.machines else np.ones_like(out)
+        return out / (len(self.classes) - 1) if self.machines else np.ones_like(out)
 
 
 class Hierarchy:
@@ -195,14 +195,14 @@ def identify(docs: DataFrame, model: Hierarchy | None, id_col: str = "doc_id", t
         tidied(run), "doc_id long, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Hierarchy | None, text_col: str = "text", least: float = 0.25) -> DataFrame:
-    """The rows, unchanged, whose language is known with a score of at least ``least``; all go if nothing could be learned."""
+def keep_known(docs: DataFrame, model: Hierarchy | None, text_col: str = "text") -> DataFrame:
+    """The rows, unchanged, whose language is known, whatever the score; all go if nothing could be learned."""
     at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            names, scores = classify(model, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores.tolist())], pa.bool_()))
+            names, _ = classify(model, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
     return docs.mapInArrow(tidied(run), docs.schema)
 
 

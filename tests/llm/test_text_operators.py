@@ -189,6 +189,21 @@ def test_language_edge_rows(spark):
     assert kept.columns == docs.columns and not {6, 7, 8, 17} & {r.doc_id for r in kept.collect()}
 
 
+def test_many_languages_are_kept_with_high_scores(spark):
+    r, rows = random.Random(6), []
+    langs = [lang for own in language.FAMILIES.values() for lang in own[:3]]
+    for k, lang in enumerate(langs):  # each language its own letters
+        words = ["".join(chr(0x4E00 + 40 * k + r.randrange(12)) for _ in range(r.randrange(2, 6))) for _ in range(30)]
+        rows += [(len(rows) + i, " ".join(r.choices(words, k=40)), lang) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(docs)
+    assert len(model.top.classes) == len(language.FAMILIES) == 10
+    assert {x.doc_id for x in language.keep_known(docs, model).collect()} == {i for i, *_ in rows}
+    got = {x.doc_id: x for x in language.identify(docs, model).collect()}
+    assert np.mean([got[i].lang_pred == lang for i, _, lang in rows]) > 0.97
+    assert np.median([x.score for x in got.values()]) > 0.7 and all(0 <= x.score <= 1 for x in got.values())
+
+
 def test_features_do_not_depend_on_chunks(monkeypatch):
     text = " ".join(edge.words(900, 8)) + " Grüße"
     whole = language.features(text)
