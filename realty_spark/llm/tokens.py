@@ -59,6 +59,7 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.turns = 0  # how often the cache began a new generation
 
     def _plain(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -68,6 +69,7 @@ class Encoder:
         new = chunks.difference(self.cache)
         if len(self.cache) + len(new) > self.bound:
             self.old, self.cache, new = self.cache, {}, chunks
+            self.turns += 1
         again = new.intersection(self.old)
         if again:
             self.cache.update((p, self.old[p]) for p in again)
@@ -116,10 +118,13 @@ class Encoder:
             group = [None if not t or any(s in t for s in self.special) else self._parts(t) for t in texts[at:at + GROUP]]
             small = [g for g in group if g and len(g) < BLOCK]  # of texts already in memory
             self._learn(set().union(*(g[1:] for g in small)))
+            turns = self.turns
             for t, g in zip(texts[at:at + GROUP], group):
                 if g is None:  # empty, or it spells a special token: as the tokenizer takes it
                     yield (self._plain(t) if t else b"") + END
                     continue
+                if self.turns != turns and len(g) < BLOCK:  # a long text before it turned the cache over
+                    self._learn(set(g[1:]))
                 out = [self._plain(g[0])]
                 for b in range(1, len(g), BLOCK):  # a very long text goes through the bounded cache in blocks
                     block = g[b:b + BLOCK]

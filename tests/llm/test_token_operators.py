@@ -36,6 +36,18 @@ def test_chunks_give_the_tokenizers_ids(tok, monkeypatch):
         assert got == want
 
 
+def test_long_texts_between_short_ones(tok, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK", 20)
+    texts = []
+    for k in range(6):
+        texts += [" ".join(edge.words(12, 60 + k)), " ".join(edge.words(90, 70 + k)) + ".", " ".join(edge.words(12, 60))]
+    want = [plain(tok, t) for t in texts]
+    for bound in (10, 40, 100, 300):  # long texts turn the cache over while short ones wait
+        e = tokens.Encoder(tokens.default_tokenizer())
+        e.bound = bound
+        assert [np.frombuffer(b, "<u4").tolist() for b in e.batch(texts)] == want
+
+
 def test_token_files_round_trip(spark, tok, tmp_path, monkeypatch):
     path = f"{tmp_path}/shards"
     docs = edge.frame(spark)
