@@ -1,25 +1,30 @@
 """Mixing sources to target weights: Pfair windows and earliest deadline first.
 
-Each source's documents, in doc_id order, form blocks.  Weights are whole
-numbers of slots in a period of Q slots.  Block j (from 1) of a source with n
-slots has the release floor((j - 1) Q / n) and the deadline ceil(j Q / n);
-each slot takes the released block with the earliest deadline (ties: the
-source's name).  After any number of slots each source has had less than one
-block more or less than its share.  All windows meet the period's end, so one
-period's schedule, of Q rows, gives every block's slot.
-
-A source that has run out leaves its slots unused: the others go on in their
-order.  No row is dropped or repeated.  A null source is a source of its own;
-null doc_ids come first in their source.  Rows that share a doc_id are
-separate rows.  An empty table gives no rows.  ``sources`` beyond
-``MAX_SOURCES`` raise an error, as the schedule must stay small.
+Each source's documents, in doc_id order, form blocks.  Block j (from 1) of a
+source with the share w of the slots has the release floor((j - 1) / w) and
+the deadline ceil(j / w); each slot takes the released block with the earliest
+deadline (ties: the source's name).  Shares are exact fractions of the target
+weights, so after any number of slots each source has had less than one block
+more or less than its target, however long the stream is.
+
+The schedule is a table of one row per block.  Slots follow from one another,
+so one task makes it from the sources' block counts, in memory for the sources
+alone; rows find their slot by a join.
+
+A source that has run out has no more blocks: the others go on within their
+windows, and slots in which none is released stay unused.  Sources of weight
+zero follow after all others, evenly.  No row is dropped or repeated.  A null
+source is a source of its own; null doc_ids come first in their source.  Rows
+that share a doc_id are separate rows.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from realty_spark.llm.common import join_small, land, read_table
+from realty_spark.llm.worker import tidied
 
 BLOCK_DOCS = 16
 PERIOD = 1024
-MAX_SOURCES = 10_000
+PLAN_ROWS = 10_000  # rows of the plan in one batch
 NO_SOURCE = "0"  # names get a leading "1", so no name equals it
 
 
@@ -84,24 +90,48 @@ def quotas(weights: dict[str, float], period: int = PERIOD) -> tuple[dict[str, i
     return out, period
 
 
-def schedule(slots: dict[str, int], period: int) -> list[tuple[str, int, int, int, int]]:
-    """(source, block from 0, release, deadline, slot) of one period, by slot."""
+def dealt(shares: dict[str, int], total: int, blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block from 0, release, deadline, slot) of all blocks, by slot; a source's share is its part of the total."""
     def job(name: str, j: int) -> tuple[int, int]:
-        n = slots[name]
-        return j * period // n, -(-(j + 1) * period // n)
-    waiting = sorted((job(n, 0)[0], n, 0) for n in slots)
-    heapq.heapify(waiting)
+        n = shares[name]
+        return j * total // n, -(-(j + 1) * total // n)
+    waiting = [(0, n, 0) for n in sorted(shares) if blocks[n]]
     ready: list[tuple[int, str, int, int]] = []
-    out = []
-    for t in range(period):
+    t = 0
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
         while waiting and waiting[0][0] <= t:
             release, name, j = heapq.heappop(waiting)
             heapq.heappush(ready, (job(name, j)[1], name, j, release))
         deadline, name, j, release = heapq.heappop(ready)
-        out.append((name, j, release, deadline, t))
-        if j + 1 < slots[name]:
+        yield name, j, release, deadline, t
+        if j + 1 < blocks[name]:
             heapq.heappush(waiting, (job(name, j + 1)[0], name, j + 1))
-    return out
+        t += 1
+
+
+def schedule(slots: dict[str, int], period: int) -> list[tuple[str, int, int, int, int]]:
+    """The blocks of one period of whole slots, by slot."""
+    return list(dealt(slots, period, slots))
+
+
+def whole(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    parts = {n: Fraction(w) for n, w in weights.items()}
+    unit = math.lcm(*{p.denominator for p in parts.values()})
+    return {n: int(p * unit) for n, p in parts.items()}
+
+
+def plan(weights: dict[str, float], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """The schedule of all blocks; sources of weight zero come after the others, evenly."""
+    base = 0
+    for part in ({n: w for n, w in weights.items() if w > 0}, {n: 1 for n, w in weights.items() if w == 0}):
+        shares, end = whole(part), base
+        for name, j, release, deadline, t in dealt(shares, sum(shares.values()), blocks):
+            end = base + t + 1
+            yield name, j, base + release, base + deadline, end - 1
+        base = end
 
 
 def source_key(column: str) -> Column:
@@ -109,35 +139,39 @@ def source_key(column: str) -> Column:
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source",
-        payload: list[str] | None = None, block_docs: int = BLOCK_DOCS, period: int = PERIOD) -> DataFrame:
+        payload: list[str] | None = None, block_docs: int = BLOCK_DOCS, period: int | None = None) -> DataFrame:
     """(doc_id, source, row, block, release, deadline, slot, position) of every row; ``row`` holds the payload columns.
 
     Without weights, a source's target is the square root of its share, which
     lifts small sources against large ones.  Sources that the weights lack get
-    the least weight.
+    the least weight.  With a period, weights are first rounded to whole slots
+    of it, at least one.
     """
     spark = docs.sparkSession
+    named = None if weights is None else {NO_SOURCE if k is None else f"1{k}": float(v) for k, v in weights.items()}
+    if named is not None and not all(0 <= v < math.inf for v in named.values()):
+        raise ValueError("weights must be finite and not negative")
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].alias("source"),
                        F.struct(F.lit(1).alias("_"), *[docs[c] for c in payload or []]).alias("row"))
     rows = rows.withColumn("key", source_key("source"))
-    counts = rows.groupBy("key").count().limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    if weights is None:
-        target = {r["key"]: float(r["count"]) ** 0.5 for r in counts}
-    else:
-        named = {NO_SOURCE if k is None else f"1{k}": float(v) for k, v in weights.items()}
-        target = {r["key"]: named.get(r["key"], min(named.values())) for r in counts}
-    slots, period = quotas(target, period) if target else ({}, period)
-    plan = [(name, j, release, deadline, t, slots[name]) for name, j, release, deadline, t in schedule(slots, period)] if slots else []
-    table = F.broadcast(spark.createDataFrame(plan, "key string, j long, release long, deadline long, at long, quota long"))  # Q rows
-    quota = F.broadcast(spark.createDataFrame(list(slots.items()), "key string, n long"))  # a row per source
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = {k: n for batch in batches for k, n in zip(*(c.to_pylist() for c in batch.columns))}
+        if named is None:
+            target = {k: float(n) ** 0.5 for k, n in count.items()}
+        else:
+            target = {k: named.get(k, min(named.values())) for k in count}
+        if period and target:
+            target = quotas(target, period)[0]
+        blocks = plan(target, {k: -(-n // block_docs) for k, n in count.items()})
+        while part := list(islice(blocks, PLAN_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*part))],
+                                             names=["key", "block", "release", "deadline", "slot"])
+    counts = rows.groupBy("key").agg(F.count("*").alias("n")).repartition(1)  # a row per source
+    table = land(counts.mapInArrow(tidied(run), "key string, block long, release long, deadline long, slot long"), "plan")
 
     ranked = number_rows(rows, ["key", "doc_id"], "nth", "key").withColumn("block", F.expr(f"nth div {block_docs}"))
-    placed = ranked.join(quota, "key").withColumn("j", F.expr("block % n")).withColumn("base", F.expr(f"(block div n) * {period}"))
-    placed = placed.join(table, ["key", "j"]).select(
-        "doc_id", "source", "row", "nth", "block", *[(F.col(c) + F.col("base")).alias(o) for c, o in
-                                                     (("release", "release"), ("deadline", "deadline"), ("at", "slot"))])
+    placed = join_small(ranked, table, ["key", "block"]).select("doc_id", "source", "row", "nth", "block", "release", "deadline", "slot")
     return number_rows(placed, ["slot", "nth"], "position").drop("nth")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -111,6 +112,37 @@ def test_schedule_stays_within_a_block():
             assert all(abs(had[n] - (t + 1) * slots[n] / period) < 1 for n in slots)
 
 
+def furthest(weights, slots):
+    """Greatest deviation, in blocks, of what a source has had from its target after any number of slots."""
+    w, worst = np.array([weights[n] for n in sorted(weights)]), 0.0
+    w, at, counts = w / w.sum(), {n: k for k, n in enumerate(sorted(weights))}, np.zeros(len(weights))
+    for t, name in enumerate(slots):
+        counts[at[name]] += 1
+        worst = max(worst, float(np.abs(counts - (t + 1) * w).max()))
+    return worst
+
+
+def test_stream_keeps_to_its_weights(spark):
+    for weights in ({"big": 0.999, "small": 0.001}, {"half": 0.5, **{f"s{i:04d}": 0.5 / 999 for i in range(999)}}, {"a": 3 ** 0.5, "b": 7 ** 0.5, "c": 1e-3}):
+        order = [p[0] for p in islice(mixing.plan(weights, dict.fromkeys(weights, 10 ** 9)), 12_000)]
+        assert furthest(weights, order) < 1 + 1e-6
+    rows = [(i, "small" if i % 2000 == 7 else "big") for i in range(8000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights={"big": 0.999, "small": 0.001}, block_docs=1).collect()
+    assert sorted(g.slot for g in got if g.source == "small") == [pytest.approx(1000 * k + 500, abs=500) for k in range(4)]
+
+
+def test_sources_without_weight_come_last():
+    got = list(mixing.plan({"a": 1.0, "none": 0.0, "b": 3.0, "nil": 0}, {"a": 2, "b": 1, "none": 2, "nil": 1}))
+    assert [(p[0], p[1]) for p in got] == [("b", 0), ("a", 0), ("a", 1), ("nil", 0), ("none", 0), ("none", 1)]
+    assert all(r <= t < d for _, _, r, d, t in got) and len({p[4] for p in got}) == 6
+    assert list(mixing.plan({}, {})) == []
+
+
+def test_mixing_takes_any_number_of_sources(spark):
+    got = mixing.mix(spark.range(10_050).selectExpr("id as doc_id", "cast(id as string) as source"))
+    assert sorted(r.position for r in got.select("position").collect()) == list(range(10_050))
+
+
 def test_mixing_places_every_row(spark):
     r = random.Random(1)
     rows = [(i, "t", "en", r.choice(["big"] * 6 + ["mid"] * 2 + ["small", None, ""]), 1, *("x",) * 17) for i in range(700)]
