@@ -7,6 +7,14 @@ template has the idf of document frequency 0.  A unit whose terms cover less
 than the squared threshold of a template's squared length cannot reach the
 threshold (Cauchy-Schwarz), so only the others are unfolded into terms.
 
+A file without a licence by these units is compared by its runs: as many terms
+as a template has, over line ends and comment marks, from each of the
+template's terms on.  So wrapped notices are found, those inside long
+paragraphs, and full licence texts, by the sentences they hold.  Licence files
+are compared with the titles of full texts too, and all files with the notices
+of kindred licences, which keep the templates' licences apart from theirs.  Texts are cut into overlapping
+pieces of bounded length first; every run lies whole in one.
+
 A file's own licence is the template of greatest cosine at or above the
 threshold (ties: the smaller template number).  A file without one inherits
 from the nearest ancestor directory, its own included, that has a licence file
@@ -50,6 +58,36 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+# Notices of kindred licences, compared by runs only, so that their wrapped headers are not taken for the templates' licences.
+KINDRED = [(name, f"This {work} is free software; you can redistribute it and/or modify it under the terms of the {licence} "
+                  f"as published by the Free Software Foundation; either version {version} of the License, or any later version.")
+           for name, work, licence, version in (
+               ("GPL-1.0", "program", "GNU General Public License", "1"),
+               ("GPL-2.0", "program", "GNU General Public License", "2"),
+               ("LGPL-2.0", "library", "GNU Library General Public License", "2"),
+               ("LGPL-2.1", "library", "GNU Lesser General Public License", "2.1"),
+               ("LGPL-3.0", "library", "GNU Lesser General Public License", "3"),
+               ("AGPL-3.0", "program", "GNU Affero General Public License", "3"))]
+KINDRED.append(("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1; you may not use this file "
+                           "except in compliance with the License."))
+
+# Titles of full texts, for licence files.
+TITLES = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("GPL-1.0", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-2.0", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+]
+PIECE_TERMS = 512
+
 
 def template_weights(templates: list[tuple[str, str]]) -> tuple[list[dict[str, float]], dict[str, float], float]:
     """(weights of each template scaled to length one, idf of each term, idf of a term in no template)."""
@@ -70,7 +108,6 @@ def _terms(text: Column) -> Column:
 
 def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
     """(id, template, similarity) of each (id, path, text) file with a licence of its own."""
-    spark = files.sparkSession
     weights, idf, other = template_weights(templates)
     base = F.regexp_extract("path", "([^/]*)$", 1)
     lines = files.select("id", F.posexplode(F.split("text", "\n")).alias("line", "unit_text"))
@@ -81,27 +118,69 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold:
     covered = [sum((F.when(F.array_contains("hits", t), F.lit(v * v)).otherwise(F.lit(0.0)) for t, v in sorted(w.items())), F.lit(0.0))
                for w in weights]
     near = units.where(F.greatest(*covered) >= threshold * threshold - 1e-9).select("id", "line", "terms")
+    return _best(near, weights, idf, other, threshold)
+
 
-    counted = near.select("id", "line", F.explode("terms").alias("term")).groupBy("id", "line", "term").agg(F.count("*").alias("n"))
+def _best(near: DataFrame, weights: list[dict[str, float]], idf: dict[str, float], other: float, threshold: float) -> DataFrame:
+    """(id, template, similarity) of each id's best unit; of a unit with a template of its own only that one counts."""
+    spark = near.sparkSession
+    keys = [c for c in near.columns if c != "terms"]
+    counted = near.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
     idfs = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))  # the templates' terms
     weighed = counted.join(idfs, "term", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.lit(other)))
     table = [(t, i, v) for i, w in enumerate(weights) for t, v in sorted(w.items())]
     by_term = F.broadcast(spark.createDataFrame(table, "term string, template int, v double"))
-    lengths = weighed.groupBy("id", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dots = weighed.join(by_term, "term").groupBy("id", "line", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    cosine = dots.join(lengths, ["id", "line"]).withColumn("similarity", F.round(F.col("dot") / F.col("length"), 6))
+    lengths = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    dots = weighed.join(by_term, ["term", "template"] if "template" in keys else ["term"])
+    dots = dots.groupBy(*dict.fromkeys([*keys, "template"])).agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    cosine = dots.join(lengths, keys).withColumn("similarity", F.round(F.col("dot") / F.col("length"), 6))
     best = cosine.where(F.col("similarity") >= threshold).groupBy("id").agg(
         F.max(F.struct("similarity", (-F.col("template")).alias("less"))).alias("top"))
     return best.select("id", (-F.col("top.less")).alias("template"), F.col("top.similarity").alias("similarity"))
 
 
+def _cover(terms: Column, weight: dict[str, float]) -> Column:
+    return sum((F.when(F.array_contains(terms, t), F.lit(v * v)).otherwise(F.lit(0.0)) for t, v in sorted(weight.items())), F.lit(0.0))
+
+
+def run_licences(files: DataFrame, templates: list[tuple[str, str]], titles: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """(id, template, similarity) of each (id, path, text) file by its runs of terms; titles are numbered after the templates."""
+    weights, idf, other = template_weights(templates + titles)
+    sizes = [len(re.findall("[a-z0-9]+", text.lower())) for _, text in templates + titles]
+    named = F.coalesce(F.regexp_extract("path", "([^/]*)$", 1).rlike(LICENCE_NAME), F.lit(False))
+    pieces = files.select("id", F.xxhash64("text").alias("of"), named.alias("named"), _terms(F.col("text")).alias("all")).where(F.size("all") > 0)
+    begins = F.sequence(F.lit(0), F.size("all") - 1, F.lit(PIECE_TERMS))
+    pieces = pieces.select("id", "of", "named", F.posexplode(F.transform(
+        begins, lambda b: F.slice(F.col("all"), b + 1, PIECE_TERMS + max(sizes)))).alias("piece", "terms"))
+    hits = F.array_intersect("terms", F.array(*[F.lit(t) for t in sorted(idf)]))
+    pieces = pieces.withColumn("hits", hits).where(F.size("hits") > 0)
+    least = threshold * threshold - 1e-9
+    found = F.array(*[F.when((_cover(F.col("hits"), w) >= least) & (F.lit(i < len(templates)) | F.col("named")), F.lit(i)) for i, w in enumerate(weights)])
+    near = pieces.withColumn("template", F.explode(F.array_compact(found)))
+    words = F.element_at(F.array(*[F.array(*[F.lit(t) for t in sorted(w)]) for w in weights]), F.col("template") + 1)
+    size = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("template") + 1)
+    near = near.withColumn("words", words).withColumn("size", size)
+    # a run begins with a term of its template; one that begins in the next piece is left to that piece
+    starts = F.filter(F.sequence(F.lit(1), F.least(F.size("terms"), F.lit(PIECE_TERMS))),
+                      lambda at: F.array_contains("words", F.element_at("terms", at)))
+    near = near.withColumn("begin", F.explode(starts)).withColumn("terms", F.expr("slice(terms, begin, size)"))
+    cover = F.lit(0.0)
+    for i, w in enumerate(weights):
+        cover = F.when(F.col("template") == i, _cover(F.col("terms"), w)).otherwise(cover)
+    near = near.where(cover >= least).select("id", "of", "piece", "template", "begin", "terms")  # `of`: rows may share an id
+    return _best(near, weights, idf, other, threshold)
+
+
 def scan(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",
-         templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+         templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+         kindred: list[tuple[str, str]] = KINDRED, titles: list[tuple[str, str]] = TITLES) -> DataFrame:
     """(id, path, licence, similarity, from_dir) of every file; from_dir is null for a file's own licence."""
     spark = files.sparkSession
     files = files.select(files[id_col].alias("id"), files[path_col].alias("path"), files[text_col].alias("text"))
-    names = F.broadcast(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(templates)], "template int, licence string"))
+    names = F.broadcast(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(templates + kindred + titles)], "template int, licence string"))
     own = land(own_licences(files, templates, threshold).join(names, "template").select("id", "licence", "similarity"), "own")
+    others = run_licences(files.join(own.select("id"), "id", "left_anti"), templates + kindred, titles, threshold)
+    own = own.unionByName(land(others.join(names, "template").select("id", "licence", "similarity"), "own-runs"))
     listed = files.select("id", "path").withColumn("dir", F.regexp_replace(F.col("path"), "/?[^/]*$", ""))
     listed = listed.join(own, "id", "left")
 

@@ -182,6 +182,65 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Copyright (c) 2020, Somebody. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software.
+"""
+GPL = """/* This {work} is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU {kind}General Public License as published by
+ * the Free Software Foundation, either version {version} of the License, or
+ * (at your option) any later version.
+ */
+int main() {{ return 0; }}
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance
+# with the License.  You may obtain a copy of the License at
+import os
+"""
+CC = """Attribution-ShareAlike 4.0 International
+Creative Commons Attribution-ShareAlike
+4.0 International Public License
+By exercising the Licensed Rights"""
+
+
+def test_wrapped_notices_and_full_texts(spark):
+    filler = " ".join(edge.words(600, 9))
+    texts = {("m/LICENSE", MIT): "MIT", ("b/LICENSE.txt", BSD): "BSD-3-Clause", ("src/a.py", "".join(f"# {x}\n" for x in MIT.splitlines())): "MIT",
+             ("src/b.py", "".join(f"// {x}\n" for x in BSD.splitlines())): "BSD-3-Clause", ("src/c.py", APACHE): "Apache-2.0",
+             ("src/d.c", GPL.format(work="program", kind="", version=3)): "GPL-3.0", ("src/e.c", GPL.format(work="program", kind="", version=2)): "GPL-2.0",
+             ("src/f.c", GPL.format(work="library", kind="Lesser ", version=3)): "LGPL-3.0", ("c/LICENSE", CC): "CC-BY-SA-4.0", ("src/g.txt", CC): None,
+             ("g/COPYING", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nPreamble " + filler): "GPL-3.0",
+             ("src/h.txt", filler + " " + MIT.replace("\n", " ") + filler): "MIT", ("src/i.txt", filler): None, (None, MIT): "MIT"}
+    for k in range(470, 530, 7):  # over the seam of two pieces
+        texts[f"src/seam{k}.txt", " ".join(edge.words(k, 9)) + "\n" + APACHE] = "Apache-2.0"
+    rows = [(i, p, t) for i, (p, t) in enumerate(texts)]
+    got = {r.id: r for r in licences.scan(spark.createDataFrame(rows + [(99, "m/x/y.py", "import os"), (0, "m/LICENSE", "other words")],
+                                                                "id long, path string, text string")).collect()}
+    assert [got[i].licence for i, *_ in rows] == list(texts.values())
+    assert (got[99].licence, got[99].from_dir) == ("MIT", "m")
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = edge.frame(spark)
     columns, ids = docs.columns, Counter(r[0] for r in edge.documents())
