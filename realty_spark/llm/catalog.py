@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from realty_spark.llm import licences, near_dedup, substring_dedup, topk
+from realty_spark.llm import licences, line_dedup, near_dedup, substring_dedup, topk
 from realty_spark.llm.hnsw import op10_neighbours
 from realty_spark.llm.language import op4_language_id
 from realty_spark.llm.licences import op5_licences
+from realty_spark.llm.line_dedup import op12_line_dedup
 from realty_spark.llm.mixing import op8_mixing
 from realty_spark.llm.near_dedup import op1_near_dedup
 from realty_spark.llm.packing import op7_packing
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_neighbours": op10_neighbours,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +34,5 @@ ORACLE: dict[str, str] = {
     "op3_top_k": topk.ORACLE,
     "op5_licences": licences.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
 }
