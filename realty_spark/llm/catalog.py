@@ -14,6 +14,7 @@ from realty_spark.llm.quality import op6_quality
 from realty_spark.llm.substring_dedup import op9_substring_dedup
 from realty_spark.llm.token_files import op2_token_files
 from realty_spark.llm.topk import op3_top_k
+from realty_spark.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_neighbours": op10_neighbours,
     "op12_line_dedup": op12_line_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
