@@ -11,6 +11,7 @@ from realty_spark.llm.mixing import op8_mixing
 from realty_spark.llm.near_dedup import op1_near_dedup
 from realty_spark.llm.packing import op7_packing
 from realty_spark.llm.quality import op6_quality
+from realty_spark.llm.spelling import op11_spelling_variants
 from realty_spark.llm.substring_dedup import op9_substring_dedup
 from realty_spark.llm.token_files import op2_token_files
 from realty_spark.llm.topk import op3_top_k
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_neighbours": op10_neighbours,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_line_dedup": op12_line_dedup,
     "op13_whitening": op13_whitening,
 }
