@@ -211,7 +211,7 @@ def integers(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataF
 def deviations(x: np.ndarray, n: int, sums: list[int]) -> list[int | None]:
     """The exact sum over dimensions of (n * x - S)^2 of each row; null beyond 64 bits."""
     s = np.array(sums, dtype=object)
-    far = n * int(np.abs(x).max(initial=0)) + max(map(abs, sums))
+    far = n * max(int(x.max(initial=0)), -int(x.min(initial=0))) + max(map(abs, sums))
     if far * far * len(sums) < 1 << 63:
         return ((n * x - s.astype(np.int64)) ** 2).sum(axis=1).tolist()
     exact = [int(v) for v in ((n * x.astype(object) - s) ** 2).sum(axis=1)]

@@ -269,7 +269,7 @@ def test_pipeline_stages(spark, tmp_path):
 def test_every_operator_is_registered():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert set(entry.oracle_sql()) <= set(names)
 
