@@ -165,7 +165,7 @@ def drop_shared_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: in
               .withColumnsRenamed({"doc_id": "of_doc", "text_key": "of_text"}))
     places = land(places, "dropped-lines")
     keyed = carried.withColumn("text_key", F.xxhash64("text"))
-    joined = keyed.join(places, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text")), "left")
+    joined = keyed.join(places.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text")), "left")
     all_lines = split_lines(F.col("text"))
     cut = joined.select("doc_id", "row", "text", "places", F.when(F.col("places").isNotNull(), all_lines).alias("lines"),
                         F.size(all_lines).cast("long").alias("n_lines"))
