@@ -2,9 +2,10 @@
 
 All categorical (or numeric) columns are tested in the same jobs through a
 long ``(variable, level|x, y)`` table.  Group statistics are partial
-aggregates; ranks come from the skew-proof ``value_ranks`` (no global window,
-no group collected in one task).  p-values are computed on the one-row-per-
-variable results with Arrow-batched pandas UDFs.
+aggregates.  The rank tests share one table of the target's distinct values,
+which holds a value's average rank among the rows of every tested column; a
+column is reduced to counts of (level or x, y) before it meets that table, so
+no raw row is joined or ranked.  p-values are column expressions.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from realty_spark import constants as K
 from realty_spark.functions.distributions import chi2_sf, corr_pvalue, f_sf, norm_cdf_np, norm_ppf_np
 from realty_spark.functions.numeric import safe_corr, safe_div, significance_flag
 from realty_spark.operators.profile import to_long
-from realty_spark.operators.quantiles import value_ranks
+from realty_spark.operators.quantiles import average_rank, running_counts
 from realty_spark.session import ensure_checkpoint_dir
 
 
@@ -59,23 +60,50 @@ def anova(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", with_p
     return out
 
 
+class TargetRanks:
+    """Average ranks of the target's distinct values among the complete rows of each of several columns.
+
+    One range sort of (y, rows per column) serves all columns, whatever their
+    null patterns.  ``table`` has (y, ranks), ranks being an array in the
+    columns' order; ``n`` and ``ties`` hold each column's rows and sum of
+    t^3 - t over its tied values (one number per column, fetched).
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], target: str, numeric: bool, partitions: int | None = None):
+        y = F.col(target).cast("double")
+        counts = [f"_t{i}" for i in range(len(columns))]
+        present = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) if numeric else F.col(c).isNotNull() for c in columns]
+        cells = (df.select(y.alias("y"), *[p.cast("long").alias(t) for p, t in zip(present, counts)])
+                 .where(F.col("y").isNotNull() & ~F.isnan("y")).groupBy("y").agg(*[F.sum(t).alias(t) for t in counts]))
+        table = running_counts(cells, [], "y", counts, partitions)
+        cubes = [(F.pow(F.col(t).cast("double"), F.lit(3.0)) - F.col(t)) for t in counts]
+        totals = table.agg(*[F.sum(t).alias(t) for t in counts], *[F.sum(c).alias(f"c{t}") for c, t in zip(cubes, counts)]).first()
+        self.columns = list(columns)
+        self.n = {c: totals[t] or 0 for c, t in zip(columns, counts)}
+        self.ties = {c: totals[f"c{t}"] or 0.0 for c, t in zip(columns, counts)}
+        self.table = table.select("y", F.array(*[average_rank(t) for t in counts]).alias("ranks"))
+
+    def of(self, per_column: dict) -> Column:
+        """The value of ``per_column`` for the row's variable."""
+        return F.element_at(F.create_map(*[x for c in self.columns for x in (F.lit(c), F.lit(per_column[c]))]), F.col("variable"))
+
+    def ranked(self, cells: DataFrame) -> DataFrame:
+        """``cells`` (variable, .., y, c) with ``ry``, the average rank of y among the variable's rows."""
+        at = self.of({c: i for i, c in enumerate(self.columns)})
+        return cells.join(self.table, "y").withColumn("ry", F.col("ranks")[at]).drop("ranks")
+
+
 def kruskal(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", with_p: bool = True,
             partitions: int | None = None) -> DataFrame:
     """Kruskal-Wallis H with tie correction per column (H2)."""
-    long = category_long(df, columns, target)
-    ranks = value_ranks(long, ["variable"], "y", partitions=partitions)
-    cells = long.groupBy("variable", "level", "y").agg(F.count(F.lit(1)).alias("c"))
-    rs = (cells.join(ranks.select("variable", "y", "_rank"), ["variable", "y"])
-          .groupBy("variable", "level").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("_rank")).alias("R")))
-    per = rs.groupBy("variable").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"),
-                                     F.sum(F.col("R") * F.col("R") / F.col("n")).alias("s"))
-    ties = ranks.groupBy("variable").agg(
-        F.sum(F.col("_t").cast("double") ** 3 - F.col("_t").cast("double")).alias("tt"))
+    ranks = TargetRanks(df, columns, target, numeric=False, partitions=partitions)
+    cells = category_long(df, columns, target).groupBy("variable", "level", F.col("y").cast("double").alias("y")).agg(F.count(F.lit(1)).alias("c"))
+    rs = ranks.ranked(cells).groupBy("variable", "level").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("ry")).alias("R"))
+    per = rs.groupBy("variable").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"), F.sum(F.col("R") * F.col("R") / F.col("n")).alias("s"))
     nd = F.col("N").cast("double")
     h0 = F.lit(12.0) / (nd * (nd + 1)) * F.col("s") - 3.0 * (nd + 1)
-    h = safe_div(h0, F.lit(1.0) - safe_div(F.col("tt"), nd ** 3 - nd))
-    out = per.join(ties, "variable").select("variable", "k", "N",
-                                            F.when(F.col("k") > 1, h).otherwise(F.lit(0.0)).alias("h_stat"))
+    h = safe_div(h0, F.lit(1.0) - safe_div(ranks.of(ranks.ties), nd ** 3 - nd))
+    out = per.select("variable", "k", "N", F.when(F.col("k") > 1, h).otherwise(F.lit(0.0)).alias("h_stat"))
     if with_p:
         p = F.when(F.col("k") > 1, chi2_sf(F.col("h_stat"), F.col("k") - 1)).otherwise(F.lit(1.0))
         out = out.withColumn("p_value", p).withColumn("significatif", significance_flag("p_value"))
@@ -107,18 +135,20 @@ def order_by_abs(df: DataFrame, col: str = "pearson") -> DataFrame:
 
 def spearman(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", with_p: bool = True,
              partitions: int | None = None) -> DataFrame:
-    """Spearman rho: Pearson on average ranks, centred for precision (H4)."""
-    long = numeric_long(df, columns, target)
-    rx = value_ranks(long, ["variable"], "x", partitions=partitions).select(
-        "variable", "x", F.col("_rank").alias("rx"), "_n")
-    ry = value_ranks(long, ["variable"], "y", partitions=partitions).select("variable", "y", F.col("_rank").alias("ry"))
-    pairs = long.groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("c"))
-    j = pairs.join(rx, ["variable", "x"]).join(ry, ["variable", "y"])
-    mid = (F.col("_n") + 1) / 2.0
-    dx, dy = F.col("rx") - mid, F.col("ry") - mid
-    agg = j.groupBy("variable").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * dx * dy).alias("sxy"),
-        F.sum(F.col("c") * dx * dx).alias("sxx"), F.sum(F.col("c") * dy * dy).alias("syy"))
+    """Spearman rho: Pearson on average ranks, centred for precision (H4).
+
+    Per (variable, x) the centred target ranks are summed first; the distinct x
+    are ranked afterwards, so that a column of few distinct values joins few rows.
+    """
+    ranks = TargetRanks(df, columns, target, numeric=True, partitions=partitions)
+    cells = numeric_long(df, columns, target).groupBy("variable", "x", F.col("y").cast("double").alias("y")).agg(F.count(F.lit(1)).alias("c"))
+    dy = F.col("ry") - (ranks.of(ranks.n) + 1) / 2.0
+    per_x = ranks.ranked(cells).groupBy("variable", "x").agg(
+        F.sum("c").alias("c"), F.sum(F.col("c") * dy).alias("sy"), F.sum(F.col("c") * dy * dy).alias("syy"))
+    per_x = running_counts(per_x, ["variable"], "x", ["c"], partitions)
+    dx = average_rank("c") - (ranks.of(ranks.n) + 1) / 2.0
+    agg = per_x.groupBy("variable").agg(F.sum("c").alias("n"), F.sum(dx * F.col("sy")).alias("sxy"),
+                                        F.sum(F.col("c") * dx * dx).alias("sxx"), F.sum("syy").alias("syy"))
     den = F.sqrt(F.col("sxx") * F.col("syy"))
     out = agg.select("variable", "n", F.when(den > 0, F.col("sxy") / den).alias("spearman"))
     if with_p:
@@ -273,9 +303,11 @@ def association_report(df: DataFrame, columns: Sequence[str], target: str = "pri
 
 
 def correlation_report(df: DataFrame, columns: Sequence[str], target: str = "prix_m2",
-                       partitions: int | None = None) -> DataFrame:
-    """Pearson, Spearman (with p) and the Shapiro normality flag per numeric column (reference layout)."""
+                       partitions: int | None = None, normality: bool = True) -> DataFrame:
+    """Pearson, Spearman (with p) and, with ``normality``, the Shapiro flag per numeric column (reference layout)."""
     p = pearson(df, columns, target)
     s = spearman(df, columns, target, partitions=partitions).drop("n")
+    if not normality:
+        return p.join(s, "variable", "left")
     sh = shapiro(df, columns, target).select("variable", "normal")
     return p.join(s, "variable", "left").join(sh, "variable", "left")

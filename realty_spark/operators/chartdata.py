@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from realty_spark import constants as K
 from realty_spark.functions.distributions import norm_ppf
 from realty_spark.operators.profile import to_long
-from realty_spark.operators.quantiles import group_quantiles
+from realty_spark.operators.quantiles import group_quantiles, quantile_rows
 
 
 BROADCAST_GROUPS = 100_000
@@ -108,11 +108,10 @@ def qq_points(df: DataFrame, value: str, keys: Sequence[str] = (), points: int =
     fit of sample on theoretical quantiles.
     """
     keys = list(keys)
-    probs = {f"p{i:04d}": (value, (i - 0.5) / points) for i in range(1, points + 1)}
-    q = group_quantiles(df, keys, probs)
-    long = q.unpivot(keys, list(probs), "_p", "sample_q") if keys else q.unpivot([], list(probs), "_p", "sample_q")
-    prob = (F.substring("_p", 2, 4).cast("double") - 0.5) / points
-    out = long.withColumn("prob", prob).withColumn("theoretical_q", norm_ppf(F.col("prob"))).drop("_p")
+    probs = [(i - 0.5) / points for i in range(1, points + 1)]
+    rows = quantile_rows(df, keys, [value], probs)
+    out = rows.select(*keys, F.col("_at").alias("sample_q"), ((F.col("q") + 0.5) / points).alias("prob"))
+    out = out.withColumn("theoretical_q", norm_ppf(F.col("prob")))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
     return out.withColumns({
         "pente": F.regr_slope("sample_q", "theoretical_q").over(wk),

@@ -22,14 +22,14 @@ def label_districts(df: DataFrame, capital: str = K.CAPITAL_DEPARTMENT,
 
 
 def district_quarter_median(sales: DataFrame, min_sales: int = K.MIN_SALES_PER_MEDIAN,
-                            price: str = "prix_m2", keys=MEDIAN_KEYS, partitions: int | None = None) -> DataFrame:
+                            price: str = "prix_m2", keys=MEDIAN_KEYS) -> DataFrame:
     """Median, count and mean of price per (district, quarter), groups with >= min_sales (A1, A2)."""
     keys = list(keys)
     base = sales
     for k in keys:
         base = base.where(F.col(k).isNotNull())
     st = group_stats(base, keys, {"prix_median_m2": (price, 0.5)},
-                     {"nb_transactions": (price, "count"), "prix_moyen_m2": (price, "avg")}, partitions=partitions)
+                     {"nb_transactions": (price, "count"), "prix_moyen_m2": (price, "avg")})
     return (st.where(F.col("nb_transactions") >= min_sales)
             .select(*keys, "prix_median_m2", "nb_transactions", "prix_moyen_m2"))
 

@@ -27,7 +27,7 @@ def with_zone(df: DataFrame, department: str = "code_departement") -> DataFrame:
 
 
 def monthly_panel(sales: DataFrame, price: str = "prix_m2", value: str = "valeur_fonciere",
-                  extended: bool = False, partitions: int | None = None) -> DataFrame:
+                  extended: bool = False) -> DataFrame:
     """Per (zone, month): median/mean price per m2, sale count, median sale value.
 
     ``extended=True`` adds price std (n-1), mean rooms, mean surface (A8).
@@ -41,8 +41,7 @@ def monthly_panel(sales: DataFrame, price: str = "prix_m2", value: str = "valeur
     if extended:
         moments.update({"prix_std_m2": (price, "stddev_samp"), "nb_pieces_moy": ("nombre_pieces_principales", "avg"),
                         "surface_moy": ("surface_reelle_bati", "avg")})
-    st = group_stats(base, keys, {"prix_median_m2": (price, 0.5), "valeur_mediane": (value, 0.5)}, moments,
-                     partitions=partitions)
+    st = group_stats(base, keys, {"prix_median_m2": (price, 0.5), "valeur_mediane": (value, 0.5)}, moments)
     cols = ["zone", "annee_mois", "prix_median_m2", "prix_moyen_m2"]
     cols += (["prix_std_m2", "valeur_mediane", "nb_pieces_moy", "surface_moy", "nb_transactions"]
              if extended else ["nb_transactions", "valeur_mediane"])
@@ -157,8 +156,7 @@ def test_steps(panel: DataFrame) -> DataFrame:
     return te.select("zone", "annee_mois", F.row_number().over(w).alias("step"))
 
 
-def split_panel(sales: DataFrame, train_years, test_years, extended: bool = False,
-                partitions: int | None = None) -> DataFrame:
+def split_panel(sales: DataFrame, train_years, test_years, extended: bool = False) -> DataFrame:
     """Monthly panel of the train and test periods, tagged by ``split``.
 
     The reference aggregates train and test files separately; the two periods
@@ -167,6 +165,6 @@ def split_panel(sales: DataFrame, train_years, test_years, extended: bool = Fals
     y = F.year("annee_mois")
     tagged = sales.withColumn("split", F.when(y.isin(list(train_years)), F.lit("train"))
                               .when(y.isin(list(test_years)), F.lit("test"))).where(F.col("split").isNotNull())
-    p = monthly_panel(tagged, extended=extended, partitions=partitions)
+    p = monthly_panel(tagged, extended=extended)
     return p.withColumn("split", F.when(F.year("annee_mois").isin(list(train_years)), F.lit("train"))
                         .otherwise(F.lit("test")))

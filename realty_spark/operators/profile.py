@@ -41,12 +41,12 @@ def split_summary(df: DataFrame, target: str = "prix_m2", year: str = "annee") -
     return per_year.join(per_split, "split")
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per numeric column: min, Q1, median, mean, Q3, max, std (n-1), NaN count, count."""
     long = to_long(df, columns)
     st = group_stats(long, ["variable"], {"q1": ("value", 0.25), "mediane": ("value", 0.5), "q3": ("value", 0.75)},
                      {"min": ("value", "min"), "moyenne": ("value", "avg"), "max": ("value", "max"),
-                      "ecart_type": ("value", "stddev_samp"), "nb": ("value", "count")}, partitions=partitions)
+                      "ecart_type": ("value", "stddev_samp"), "nb": ("value", "count")})
     nulls = null_profile(df, columns).withColumnRenamed("nb_null", "nb_nan")
     return nulls.join(st, "variable", "left").select(
         "variable", F.coalesce("nb", F.lit(0)).alias("nb"), "min", "q1", "mediane", "moyenne", "q3", "max",
@@ -91,8 +91,7 @@ def domain_frame(spark, domains: Mapping[str, Sequence]) -> DataFrame:
 
 
 def target_by_category(df: DataFrame, columns: Sequence[str], target: str = "prix_m2",
-                       domains: Mapping[str, Sequence] | None = None, scale: int = 2,
-                       partitions: int | None = None) -> DataFrame:
+                       domains: Mapping[str, Sequence] | None = None, scale: int = 2) -> DataFrame:
     """Per (column, level): count, mean, median, std, min, max of the target, half-even rounded.
 
     Levels of a declared domain with no rows appear with count 0 and NULL
@@ -101,7 +100,7 @@ def target_by_category(df: DataFrame, columns: Sequence[str], target: str = "pri
     long = to_long(df, columns, "string", keep=[target], value="level").where(F.col("level").isNotNull())
     out = group_stats(long, ["variable", "level"], {"median": (target, 0.5)},
                       {"count": (target, "count"), "mean": (target, "avg"), "std": (target, "stddev_samp"),
-                       "min": (target, "min"), "max": (target, "max")}, partitions=partitions)
+                       "min": (target, "min"), "max": (target, "max")})
     if domains:
         dom = F.broadcast(domain_frame(df.sparkSession, domains))
         declared = out.join(dom, ["variable", "level"], "right")

@@ -1,41 +1,44 @@
-"""Exact order statistics without gathering a group in one task.
+"""Exact order statistics without gathering a group in one task and without copies of the data.
 
 Spark's ``percentile``/``median`` aggregate is exact, but its final merge keeps
 a value->count map of a whole group in one task: a group holding a third of
-100 TB cannot finish.  The operators here are exact and skew-proof:
-
-1. checkpoint the narrow (group, value) projection, then range-partition it
-   on ``(group keys, value, row id)`` so a hot group - even one whose values
-   are all equal - is cut into many contiguous, sorted partitions;
-2. sort within partitions and take ``monotonically_increasing_id`` (partition
-   id in the upper 31 bits, position within partition in the lower 33);
-3. materialise that indexed projection once with a reliable ``checkpoint()``
-   (shared checkpoint folder, survives executor loss) so that both passes
-   below see identical positions;
-4. aggregate per (group, partition) runs -> a table with at most
-   ``groups + partitions`` rows, cumulative offsets by a window over it;
-5. quantiles: pick only the rows at the wanted ranks (2 per quantile per
-   group); ranks: turn the first position of every distinct value into its
-   average rank.
-
-The small tables are joined with a broadcast only after their row count was
-checked against ``broadcast_rows``; above it a shuffle join is used.
+100 TB cannot finish.  ``group_stats`` is exact, lazy and skew-proof instead:
+
+1. one aggregate per group, combined map-side: its count, the ordinary moments
+   and a mergeable quantile summary (``percentile_approx``, rank error 1 /
+   ``accuracy`` of the group) that brackets each wanted rank by two values of
+   the group.  Groups of up to ``small`` values are bracketed by their extremes;
+2. one counting pass: a value inside a bracket stands for itself, all values
+   between two brackets for one cell, and the cells are counted, again
+   map-side combined, so a hot group leaves some thousandths of its distinct
+   values, and equal values leave one;
+3. running counts of a group's cells give the wanted ranks exactly.  A rank
+   outside its bracket, which the summary's bound excludes, raises an error.
+
+Rows meet their group's brackets by a join that the optimizer may turn into a
+broadcast at its measured size, and whose skewed partitions AQE can split
+otherwise.  Nothing is checkpointed, nothing runs before an action, and what a
+query does not read is not computed.
+
+``running_counts`` serves ranks: distinct values, counted first, are cut into
+sorted ranges, landed by a reliable ``checkpoint()`` (so that ranges stay as
+they are), and offset by the ranges before them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from realty_spark.session import ensure_checkpoint_dir
 
+ACCURACY = 10_000  # of the summary: ranks are within 1 / ACCURACY of a group's size
+SMALL = 10_000  # groups of so many values are bracketed by their extremes
 BROADCAST_ROWS = 200_000
 
-def _join_small(big: DataFrame, small: DataFrame, on, small_rows: int, limit: int) -> DataFrame:
-    small = F.broadcast(small) if small_rows <= limit else small
-    return big.join(small, on)
+_MOMENTS = {"count": F.count, "avg": F.avg, "stddev_samp": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum}
 
 
 def _long_values(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
@@ -50,114 +53,131 @@ def _long_values(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str])
     return long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
-def _indexed_runs(long: DataFrame, gkeys: list[str], partitions: int | None):
-    """Checkpointed sorted projection with positions, plus its per-partition runs.
-
-    The narrow (keys, _var, _v) projection is checkpointed first: the range
-    partitioner samples its input, so without it the whole upstream plan
-    (scans, joins, filters) would run once for sampling and again for the
-    shuffle.  Returns (long checkpoint, sorted checkpoint, runs, run count).
-    """
-    spark = long.sparkSession
-    ensure_checkpoint_dir(spark)
-    long = long.checkpoint(eager=True)
-    # Deterministic tie-breaker (positions in the checkpoint): a group whose
-    # values are all equal is still cut into many range partitions.
-    keyed = long.withColumn("_rid", F.monotonically_increasing_id())
-    key = [*gkeys, "_v", "_rid"]
-    # without an explicit count the session's setting holds and AQE sizes the partitions
-    dealt = keyed.repartitionByRange(partitions, *key) if partitions else keyed.repartitionByRange(*key)
-    srt = (dealt.sortWithinPartitions(*gkeys, "_v", "_rid")
-           .drop("_rid")
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .checkpoint(eager=True))
-    runs = (srt.groupBy(*gkeys, F.shiftright("_mid", 33).alias("_pid"))
-            .agg(F.min("_mid").alias("_start"), F.count(F.lit(1)).alias("_cnt")))
-    before = Window.partitionBy(*gkeys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (runs.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-            .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*gkeys)))
-            .checkpoint(eager=True))
-    return long, srt, runs, runs.count()
-
-
-_MOMENTS = {"count": F.count, "avg": F.avg, "stddev_samp": F.stddev_samp, "min": F.min, "max": F.max,
-            "sum": F.sum}
+def _bracketed(long: DataFrame, gkeys: list[str], qs: Sequence[float], accuracy: int, small: int) -> DataFrame:
+    """(group, _brackets): for each quantile two values of the group with its rank between them, ascending."""
+    wide = 3.0 / accuracy  # the summary's own error, and room for a rank that lies between two rows
+    probes = [max(0.0, q - wide) for q in qs] + [min(1.0, q + wide) for q in qs]
+    sketch = long.groupBy(*gkeys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        F.percentile_approx("_v", probes, accuracy).alias("_p"))
+    k = len(qs)
+    some = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.struct(F.col("_p")[i].alias("lo"), F.col("_p")[i + k].alias("hi")))
+    whole = F.array(F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi")))
+    return sketch.select(*gkeys, F.when(F.col("_n") <= small, whole).otherwise(some).alias("_brackets"))
+
+
+def _cells(long: DataFrame, gkeys: list[str], brackets: DataFrame) -> DataFrame:
+    """(group, _v, _inside, _before, _count, _n): values inside brackets, and what lies between brackets as one row each, counted on."""
+    key = F.xxhash64(*gkeys)  # with a key of its own the join shuffles both sides, so that AQE can split a hot group
+    rows = long.withColumn("_key", key).join(brackets.withColumn("_key", key), [*gkeys, "_key"])
+    below = F.size(F.filter("_brackets", lambda b: b["lo"] <= F.col("_v")))
+    marked = rows.select(*gkeys, "_v", "_brackets", below.alias("_below"))
+    # both ends ascend, so a value lies in a bracket if it lies in the last that begins below it
+    inside = F.when(F.col("_below") > 0, F.col("_v") <= F.get("_brackets", F.col("_below") - 1)["hi"]).otherwise(False)
+    marked = marked.select(*gkeys, "_v", "_below", inside.alias("_inside"))
+    cells = marked.groupBy(*gkeys, "_inside", F.when(F.col("_inside"), F.col("_v")).alias("_value"),
+                           F.when(~F.col("_inside"), F.col("_below")).alias("_gap")).agg(
+        F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_v"))
+    group = Window.partitionBy(*gkeys)
+    return cells.select(*gkeys, "_v", "_inside", "_count", F.sum("_count").over(group).alias("_n"),
+                        (F.sum("_count").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_count")).alias("_before"))
+
+
+def quantile_rows(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str], qs: Sequence[float],
+                  accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
+    """(keys, _var, q, _at): the quantile of index ``q`` in the ascending ``qs`` of each value column and group."""
+    long = _long_values(df, keys, value_cols)
+    gkeys = [*keys, "_var"]
+    cells = _cells(long, gkeys, _bracketed(long, gkeys, qs, accuracy, small))
+
+    def ends_of(q: Column, i: Column) -> Column:
+        pos = q * (F.col("_n") - 1)
+        return F.array(*[F.struct(i.alias("q"), pos.alias("pos"), F.lit(high).alias("high"), (F.ceil if high else F.floor)(pos).alias("rank"))
+                         for high in (False, True)])
+    targets = F.flatten(F.transform(F.array(*map(F.lit, qs)), ends_of))
+    met = F.filter(targets, lambda t: (t["rank"] >= F.col("_before")) & (t["rank"] < F.col("_before") + F.col("_count")))
+    value = F.when(F.col("_inside"), F.col("_v")).otherwise(
+        F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double"))
+    picked = cells.select(*gkeys, "_inside", "_v", F.explode(met).alias("_t")).select(*gkeys, "_t.*", value.alias("_v"))
+    ends = picked.groupBy(*gkeys, "q").agg(
+        F.first("pos").alias("pos"), F.max(F.when(~F.col("high"), F.col("_v"))).alias("lo"), F.max(F.when(F.col("high"), F.col("_v"))).alias("hi"))
+    return ends.select(*gkeys, "q", (F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))).alias("_at"))
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], quantiles: Mapping[str, tuple[str, float]],
-                moments: Mapping[str, tuple[str, str]] | None = None, partitions: int | None = None,
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Exact quantiles and ordinary moments per group from a single evaluation of ``df``.
-
-    ``moments`` maps an output column to ``(value column, fn)`` with fn in
-    count/avg/stddev_samp/min/max/sum over non-null, non-NaN values; they are
-    partial aggregates over the checkpointed long projection, so the input
-    plan is not re-run for them.
+                moments: Mapping[str, tuple[str, str]] | None = None, accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas/DuckDB ``quantile_cont``) and ordinary moments per group.
+
+    ``quantiles`` maps an output column to ``(value column, q)``, e.g.
+    ``{"prix_median_m2": ("prix_m2", 0.5)}``; ``moments`` maps one to ``(value
+    column, fn)`` with fn in count/avg/stddev_samp/min/max/sum.  NULL/NaN
+    values are skipped, NULL keys dropped; groups without any value are absent
+    (left-join the result onto the group table to get NULLs).
     """
-    return group_quantiles(df, keys, quantiles, partitions, broadcast_rows, moments=moments or {})
+    keys, moments = list(keys), dict(moments or {})
+    out = None
+    if quantiles:
+        qs = sorted({float(q) for _, q in quantiles.values()})
+        rows = quantile_rows(df, keys, sorted({c for c, _ in quantiles.values()}), qs, accuracy, small)
+        out = rows.groupBy(*keys).agg(*[
+            F.max(F.when((F.col("_var") == c) & (F.col("q") == qs.index(float(q))), F.col("_at"))).alias(name) for name, (c, q) in quantiles.items()])
+    if moments:
+        present = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in sorted({c for c, _ in [*moments.values(), *quantiles.values()]})])
+        for k in keys:
+            present = present.where(F.col(k).isNotNull())
+        valid = {c: F.when(F.col(c).isNotNull() & ~F.isnan(c), F.col(c)) for c in present.columns[len(keys):]}
+        per = present.groupBy(*keys).agg(*[_MOMENTS[fn](valid[c]).alias(name) for name, (c, fn) in moments.items()],
+                                         F.max(F.coalesce(*valid.values()).isNotNull()).alias("_any"))
+        per = per.where("_any").drop("_any")
+        if out is None:
+            return per
+        out = per.join(out, keys, "left") if keys else per.crossJoin(out)  # one row each without keys
+    return out
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[str, float]],
-                    partitions: int | None = None, broadcast_rows: int = BROADCAST_ROWS,
-                    moments: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles per group (pandas/DuckDB ``quantile_cont``).
-
-    ``measures`` maps an output column to ``(value column, q)``, e.g.
-    ``{"prix_median_m2": ("prix_m2", 0.5)}``.  NULL/NaN values are skipped,
-    NULL keys dropped; groups without any value are absent (left-join the
-    result onto the group table to get NULLs).
+                    accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
+    """``group_stats`` without moments."""
+    return group_stats(df, keys, measures, accuracy=accuracy, small=small)
+
+
+# ----------------------------------------------------------------- ranks ----
+def running_counts(cells: DataFrame, keys: Sequence[str], value: str, counts: Sequence[str], partitions: int | None = None,
+                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``cells`` (one row per keys and value) with ``<count>_before``: each count summed over the group's smaller values.
+
+    The cells are range-partitioned by (keys, value) and landed once; ranges
+    are offset by the ranges before them, a table of at most groups + ranges
+    rows, which is broadcast only if it was counted to be small.
     """
+    ensure_checkpoint_dir(cells.sparkSession)
     keys = list(keys)
-    moments = dict(moments or {})
-    value_cols = sorted({c for c, _ in measures.values()} | {c for c, _ in moments.values()})
-    long = _long_values(df, keys, value_cols)
-    gkeys = keys + ["_var"]
-    long, srt, runs, _ = _indexed_runs(long, gkeys, partitions)
-    spark = df.sparkSession
-    qdf = spark.createDataFrame([(c, name, float(q)) for name, (c, q) in measures.items()],
-                                "_var string, _name string, _q double")
-    # rank targets per (group, measure): pos = q (n - 1); rows lo = floor, hi = ceil.
-    targets = (runs.join(F.broadcast(qdf), "_var")
-               .withColumn("_pos", F.col("_q") * (F.col("_n") - 1))
-               .withColumn("_r", F.explode(F.array_distinct(F.array(
-                   F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))))
-               .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
-               .select(*keys, "_name", "_pos", "_r",
-                       (F.col("_start") + F.col("_r") - F.col("_off")).alias("_mid")))
-    # each rank lies in one run: two rows per group and measure at most
-    n_targets = runs.where("_off = 0").count() * 2 * max(1, len(measures))
-    picked = _join_small(srt.select("_mid", "_v"), targets, "_mid", n_targets, broadcast_rows)
-    per = (picked.groupBy(*keys, "_name")
-           .agg(F.first("_pos").alias("_pos"),
-                F.max(F.when(F.col("_r") == F.floor("_pos"), F.col("_v"))).alias("_lo"),
-                F.max(F.when(F.col("_r") == F.ceil("_pos"), F.col("_v"))).alias("_hi"))
-           .withColumn("_val", F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))))
-    out = per.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_val"))).alias(name)
-                                   for name in measures])
-    if moments:
-        mom = long.groupBy(*keys).agg(*[_MOMENTS[fn](F.when(F.col("_var") == c, F.col("_v"))).alias(name)
-                                        for name, (c, fn) in moments.items()])
-        out = mom.join(out, keys, "left") if measures else mom
-    return out
+    order = [*keys, value]
+    dealt = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
+    landed = dealt.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    ranges = landed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_{c}") for c in counts])
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(*keys, "_range", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in counts]).checkpoint(eager=True)
+    offsets = F.broadcast(offsets) if offsets.count() <= broadcast_rows else offsets
+    within = Window.partitionBy("_range", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    summed = landed.select("*", *[(F.sum(c).over(within) - F.col(c)).alias(f"{c}_before") for c in counts])
+    joined = summed.join(offsets, [*keys, "_range"])
+    return joined.select(*cells.columns, *[(F.col(f"{c}_before") + F.col(f"_{c}")).alias(f"{c}_before") for c in counts])
+
+
+def average_rank(count: str) -> Column:
+    """The tie-aware 1-based average rank of a value from its count and the count before it."""
+    return F.col(f"{count}_before") + (F.col(count) + 1) / 2.0
 
 
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None,
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Average (tie-aware) ranks of ``value`` within each group, 1-based.
 
-    Returns one row per distinct (keys, value): ``keys, value, _t`` (tie count),
-    ``_rank`` (average rank) and ``_n`` (non-null count of the group).
+    Returns one row per distinct (keys, value): ``keys, value, _t`` (tie count)
+    and ``_rank`` (average rank).
     """
     keys = list(keys)
-    long = _long_values(df, keys, [value])
-    gkeys = keys + ["_var"]
-    _, srt, runs, n_runs = _indexed_runs(long, gkeys, partitions)
-    firsts = (srt.groupBy(*gkeys, "_v")
-              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_t"))
-              .withColumn("_pid", F.shiftright("_first", 33)))
-    small = runs.select(*gkeys, "_pid", "_start", "_off", "_n")
-    joined = _join_small(firsts, small, gkeys + ["_pid"], n_runs, broadcast_rows)
-    rank0 = F.col("_off") + (F.col("_first") - F.col("_start"))
-    return joined.select(*keys, F.col("_v").alias(value), "_t",
-                         (rank0 + (F.col("_t") + 1) / 2.0).alias("_rank"), "_n")
-
+    cells = _long_values(df, keys, [value]).groupBy(*keys, F.col("_v").alias(value)).agg(F.count(F.lit(1)).alias("_t"))
+    ranked = running_counts(cells, keys, value, ["_t"], partitions, broadcast_rows)
+    return ranked.select(*keys, value, "_t", average_rank("_t").alias("_rank"))

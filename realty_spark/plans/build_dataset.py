@@ -53,10 +53,10 @@ def prepare_sales(raw: DataFrame, departments: Iterable[str] | None = K.IDF_DEPA
 
 def build_dataset(raw: DataFrame, departments: Iterable[str] | None = K.IDF_DEPARTMENTS,
                   capital: str = K.CAPITAL_DEPARTMENT, capital_label: str = K.CAPITAL_LABEL,
-                  date_format: str = "yyyy-MM-dd", partitions: int | None = None) -> DataFrame:
+                  date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Cleaned sales with district labels, the (district, quarter) median and the % gap."""
     sales = district.label_districts(prepare_sales(raw, departments, date_format), capital, capital_label)
-    medians = district.district_quarter_median(sales, partitions=partitions)
+    medians = district.district_quarter_median(sales)
     return district.attach_median(sales, medians)
 
 

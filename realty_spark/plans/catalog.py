@@ -42,7 +42,8 @@ def rounded(df: DataFrame, scale: int = ROUND) -> DataFrame:
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir, _fn=fn: rounded(_fn(spark, sf_dir))
+        # only what is compared with SQL is rounded
+        QUERIES[name] = (lambda spark, sf_dir, _fn=fn: rounded(_fn(spark, sf_dir))) if sql is not None else fn
         QUERIES[name].__doc__ = fn.__doc__
         if sql is not None:
             ORACLE[name] = sql
@@ -463,7 +464,72 @@ def q_shapiro(spark, sf_dir):
     return association.shapiro(train_rows(spark, sf_dir), PROXY_NUMERIC)
 
 
-@register("assoc_report")
+def f_sf_sql(f: str, d1: str, d2: str) -> str:
+    """F's survival function in SQL, by Simpson's rule over the angle whose squared sine is d2 / (d2 + d1 f)."""
+    top, n = f"asin(sqrt({d2} / ({d2} + {d1} * {f})))", 20_000
+    at = f"(({top}) * i / {n})"
+    weight = f"(CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+    log_b = f"(lgamma(({d1} + {d2}) / 2.0) - lgamma({d1} / 2.0) - lgamma({d2} / 2.0))"
+    part = f"CASE WHEN i = 0 THEN 0.0 ELSE 2 * exp({log_b} + ({d2} - 1) * ln(sin({at})) + ({d1} - 1) * ln(cos({at}))) END"
+    return f"(list_sum(list_transform(range(0, {n + 1}), lambda i: {weight} * ({part}))) * ({top}) / {n} / 3)"
+
+
+def chi2_sf_sql(x: str, k: str) -> str:
+    """Chi-square's survival function in SQL, by Simpson's rule over the square root, as far as the density is felt."""
+    n = 20_000
+    at = f"(sqrt({x}) + (40 + sqrt({k})) * i / {n})"
+    weight = f"(CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+    part = f"exp(ln(2.0) * (1 - {k} / 2.0) + ({k} - 1) * ln({at}) - {at} * {at} / 2 - lgamma({k} / 2.0))"
+    return f"(list_sum(list_transform(range(0, {n + 1}), lambda i: {weight} * ({part}))) * (40 + sqrt({k})) / {n} / 3)"
+
+
+_RHO_SQL = "CASE WHEN var_pop({x}) * var_pop({y}) > 0 THEN covar_pop({x}, {y}) / sqrt(var_pop({x}) * var_pop({y})) END"
+
+
+def _corr_p_sql(r: str) -> str:
+    square = f"((n - 2) * {r} * {r} / ((1.0 - {r}) * (1.0 + {r})))"
+    return f"CASE WHEN n > 2 AND abs({r}) < 1 THEN {f_sf_sql(square, '1.0', '(n - 2.0)')} WHEN n > 2 AND abs({r}) >= 1 THEN 0.0 END"
+
+
+@register("correlation_tests", sql=f"""{_NUM_L},
+r AS (SELECT *,
+             rank() OVER (PARTITION BY variable ORDER BY x) + (count(*) OVER (PARTITION BY variable, x) - 1) / 2.0 AS rx,
+             rank() OVER (PARTITION BY variable ORDER BY y) + (count(*) OVER (PARTITION BY variable, y) - 1) / 2.0 AS ry
+      FROM l),
+c AS (SELECT variable, count(*) AS n, {_RHO_SQL.format(x='x', y='y')} AS pearson, {_RHO_SQL.format(x='rx', y='ry')} AS spearman
+      FROM r GROUP BY 1)
+SELECT variable, n, {r6('pearson')} AS pearson, {r6(_corr_p_sql('pearson'))} AS pearson_p, {r6('spearman')} AS spearman,
+       {r6(_corr_p_sql('spearman'))} AS spearman_p FROM c""")
+def q_correlation_tests(spark, sf_dir):
+    """Pearson and Spearman coefficients of each numeric column with price and their two-sided p-values."""
+    return association.correlation_report(train_rows(spark, sf_dir), PROXY_NUMERIC, normality=False)
+
+
+_REPORT_L = f"""{_TRAIN_SQL}, {_assoc_long_sql(_CATS, 'VARCHAR')},
+gate AS (SELECT variable, count(DISTINCT value) AS nb_categories FROM long GROUP BY 1 HAVING count(DISTINCT value) < {K.TEST_MAX_LEVELS}),
+l AS (SELECT variable, value AS level, prix_m2 AS y FROM long JOIN gate USING (variable) WHERE value IS NOT NULL AND prix_m2 IS NOT NULL)"""
+
+
+@register("assoc_report", sql=f"""{_REPORT_L},
+gl AS (SELECT variable, level, count(y) AS n, avg(y) AS m, var_pop(y) AS v FROM l GROUP BY 1, 2),
+v AS (SELECT variable, CAST(count(*) AS DOUBLE) AS k, CAST(sum(n) AS DOUBLE) AS N, sum(n * m) / sum(n) AS gm, sum(n * v) AS ssw FROM gl GROUP BY 1),
+b AS (SELECT gl.variable, sum(gl.n * (gl.m - v.gm) * (gl.m - v.gm)) AS ssb FROM gl JOIN v USING (variable) GROUP BY 1),
+ft AS (SELECT variable, k, N, CASE WHEN k > 1 THEN (ssb / (k - 1)) / NULLIF(ssw / NULLIF(N - k, 0), 0) ELSE 0.0 END AS f_stat
+      FROM v JOIN b USING (variable)),
+r AS (SELECT variable, level, y, rank() OVER (PARTITION BY variable ORDER BY y)
+             + (count(*) OVER (PARTITION BY variable, y) - 1) / 2.0 AS rk FROM l),
+rs AS (SELECT variable, level, count(*) AS n, sum(rk) AS R FROM r GROUP BY 1, 2),
+per AS (SELECT variable, sum(R * R / n) AS s FROM rs GROUP BY 1),
+tv AS (SELECT variable, y, CAST(count(*) AS DOUBLE) AS t FROM l GROUP BY 1, 2),
+ties AS (SELECT variable, sum(t * t * t - t) AS tt FROM tv GROUP BY 1),
+h AS (SELECT variable, k, N, f_stat, CASE WHEN k > 1 THEN (12.0 / (N * (N + 1)) * s - 3.0 * (N + 1)) / NULLIF(1 - tt / (N * N * N - N), 0)
+             ELSE 0.0 END AS h_stat FROM ft JOIN per USING (variable) JOIN ties USING (variable)),
+p AS (SELECT variable, f_stat, h_stat, CASE WHEN k > 1 THEN {f_sf_sql('f_stat', '(k - 1)', '(N - k)')} ELSE 1.0 END AS p_anova,
+             CASE WHEN k > 1 THEN {chi2_sf_sql('h_stat', '(k - 1)')} ELSE 1.0 END AS p_kruskal FROM h)
+SELECT variable, nb_categories, {r6('f_stat')} AS f_stat, {r6('p_anova')} AS p_anova,
+       CASE WHEN p_anova < {K.SIGNIFICANCE} THEN '{K.YES}' ELSE '{K.NO}' END AS sig_anova, {r6('h_stat')} AS h_stat,
+       {r6('p_kruskal')} AS p_kruskal, CASE WHEN p_kruskal < {K.SIGNIFICANCE} THEN '{K.YES}' ELSE '{K.NO}' END AS sig_kruskal
+FROM gate JOIN p USING (variable)""")
 def q_assoc_report(spark, sf_dir):
     """ANOVA + Kruskal-Wallis with p-values and significance for gated categorical columns (H7)."""
     return association.association_report(train_rows(spark, sf_dir), _CATS)

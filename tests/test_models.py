@@ -6,14 +6,75 @@ import math
 import numpy as np
 import pytest
 
-from realty_spark.functions.distributions import chi2_sf_np, corr_pvalue_np, f_sf_np
+from pyspark.sql import functions as F
+
+from realty_spark.functions import distributions
 from realty_spark.operators import association, forecast
 
 
-def test_published_pvalues():
-    assert math.isclose(f_sf_np([3.0], [2], [10])[0], 0.0954, abs_tol=5e-5)
-    assert math.isclose(chi2_sf_np([7.81], [3])[0], 0.0501, abs_tol=5e-5)
-    assert math.isclose(corr_pvalue_np([0.5], [20])[0], 0.0247, abs_tol=5e-4)
+def _values(spark, function, *rows):
+    """A distribution function over rows of arguments."""
+    names = [f"a{i}" for i in range(len(rows[0]))]
+    df = spark.createDataFrame([tuple(None if v is None else float(v) for v in r) for r in rows], ", ".join(f"{n} double" for n in names)).coalesce(1)
+    return [r.p for r in df.select(function(*map(F.col, names)).alias("p")).collect()]
+
+
+def test_published_pvalues(spark):
+    assert math.isclose(_values(spark, distributions.f_sf, (3.0, 2, 10))[0], 0.0954, abs_tol=5e-5)
+    assert math.isclose(_values(spark, distributions.chi2_sf, (7.81, 3))[0], 0.0501, abs_tol=5e-5)
+    assert math.isclose(_values(spark, distributions.corr_pvalue, (0.5, 20))[0], 0.0247, abs_tol=5e-4)
+
+
+def test_pvalues_need_no_python_worker(spark):
+    df = spark.range(3).selectExpr("CAST(id AS DOUBLE) AS x")
+    out = df.select(distributions.f_sf(F.col("x"), F.lit(3.0), F.lit(9.0)), distributions.chi2_sf(F.col("x"), F.lit(3.0)),
+                    distributions.corr_pvalue(F.col("x") / 4, F.lit(9)), distributions.norm_ppf(F.col("x") / 4), distributions.normal_above(F.col("x")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and len(out.collect()) == 3
+
+
+def test_invalid_arguments_give_null(spark):
+    nan, inf = math.nan, math.inf
+    assert _values(spark, distributions.f_sf, (nan, 2, 2), (-1, 2, 2), (1, 0, 2), (1, 2, None), (inf, 2, 2), (0, 2, 2)) == [None] * 4 + [0.0, 1.0]
+    assert _values(spark, distributions.chi2_sf, (nan, 2), (-1, 2), (1, 0), (None, 2), (inf, 2), (0, 2)) == [None] * 4 + [0.0, 1.0]
+    assert _values(spark, distributions.corr_pvalue, (nan, 9), (None, 9), (0.5, 2), (1, 9), (-1, 9), (0, 9)) == [None] * 3 + [0.0, 0.0, 1.0]
+    assert _values(spark, distributions.norm_ppf, (0,), (1,), (None,), (0.5,)) == [None] * 3 + [0.0]
+
+
+def test_f_and_t_match_sums_for_integer_halves(spark):
+    """Closed forms: F with even d1 or even d2 is a finite sum, t with odd or even df a finite cosine series."""
+    def f_even_d1(f, d1, d2):
+        x, a = d2 / (d2 + d1 * f), d2 / 2
+        return x ** a * sum(math.gamma(a + i) / math.gamma(a) / math.factorial(i) * (1 - x) ** i for i in range(int(d1) // 2))
+
+    def t_two_sided(t, df):
+        angle, c = math.atan(t / math.sqrt(df)), math.cos(math.atan(t / math.sqrt(df)))
+        if df % 2:
+            term, total = c, 0.0
+            for j in range(1, (df - 1) // 2 + 1):
+                total += term
+                term *= c * c * (2 * j) / (2 * j + 1)
+            return 1 - 2 / math.pi * (angle + math.sin(angle) * total)
+        term, total = 1.0, 0.0
+        for j in range(df // 2):
+            total += term
+            term *= c * c * (2 * j + 1) / (2 * j + 2)
+        return 1 - math.sin(angle) * total
+    rows = [(f, d1, d2) for f in (0.2, 1.0, 4.5) for d1 in (2, 4, 10) for d2 in (1, 3, 8, 51)]
+    for got, row in zip(_values(spark, distributions.f_sf, *rows), rows):
+        assert math.isclose(got, f_even_d1(*row), rel_tol=1e-11)
+    rows = [(r, n) for r in (-0.7, 0.05, 0.4) for n in (3, 4, 9, 30, 101)]
+    for got, (r, n) in zip(_values(spark, distributions.corr_pvalue, *rows), rows):
+        assert math.isclose(got, t_two_sided(abs(r) * math.sqrt((n - 2) / (1 - r * r)), n - 2), rel_tol=1e-9, abs_tol=1e-14)
+
+
+def test_normal_quantiles_match_the_standard_library(spark):
+    from statistics import NormalDist
+    probs = [1e-300, 1e-20, 1e-8, 0.001, 0.07, 0.075, 0.3, 0.5, 0.77, 0.925, 0.99, 1 - 1e-9]
+    for got, p in zip(_values(spark, distributions.norm_ppf, *[(p,) for p in probs]), probs):
+        assert math.isclose(got, NormalDist().inv_cdf(p), rel_tol=1e-14, abs_tol=1e-15)
+    for got, z in zip(_values(spark, distributions.normal_above, (-3,), (0,), (0.5,), (9,), (30,)), (-3, 0, 0.5, 9, 30)):
+        assert math.isclose(got, 0.5 * math.erfc(z / math.sqrt(2)), rel_tol=1e-11)
 
 
 def test_sarima_recovers_ar1():
@@ -83,15 +144,20 @@ def test_sample_plan_joins_by_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_large_degrees_of_freedom():
-    assert math.isclose(chi2_sf_np(1e6, 1e6), 0.49981, abs_tol=1e-5) and math.isclose(chi2_sf_np(1e5, 1e5), 0.49941, abs_tol=1e-5)
+def test_large_degrees_of_freedom(spark):
+    def f_sf(*row):
+        return _values(spark, distributions.f_sf, row)[0]
+
+    def chi2_sf(*row):
+        return _values(spark, distributions.chi2_sf, row)[0]
+    assert math.isclose(chi2_sf(1e6, 1e6), 0.49981, abs_tol=1e-5) and math.isclose(chi2_sf(1e5, 1e5), 0.49941, abs_tol=1e-5)
     for d2 in (10, 1e4, 9e5, 2e6, 1e12):  # closed form for two numerator degrees of freedom
-        assert math.isclose(f_sf_np(3.0, 2, d2), math.exp(-d2 / 2 * math.log1p(6.0 / d2)), rel_tol=1e-7)
+        assert math.isclose(f_sf(3.0, 2, d2), math.exp(-d2 / 2 * math.log1p(6.0 / d2)), rel_tol=1e-7)
     for k in (2, 4, 10):  # closed form for even degrees of freedom
         x = 7.3
         exact = math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
-        assert math.isclose(chi2_sf_np(x, k), exact, rel_tol=1e-12)
-    assert math.isclose(corr_pvalue_np(2e-6, 1e12 + 2), math.erfc(2 / math.sqrt(2)), rel_tol=1e-6)
+        assert math.isclose(chi2_sf(x, k), exact, rel_tol=1e-12)
+    assert math.isclose(_values(spark, distributions.corr_pvalue, (2e-6, 1e12 + 2))[0], math.erfc(2 / math.sqrt(2)), rel_tol=1e-6)
 
 
 def _chosen(y):

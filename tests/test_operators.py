@@ -117,3 +117,34 @@ def test_category_profile_top_and_share(spark):
     assert [(r.value, r.effectif) for r in out] == [("a", 3), ("b", 2)]
     assert math.isclose(out[0].pourcentage, 50.0) and out[0].nb_valeurs_manquantes == 1
     assert out[0].nb_categories == 3
+
+
+def test_shared_target_ranks_follow_each_columns_nulls(spark):
+    """Kruskal and Spearman of columns with different null patterns equal those of each column alone; one range sort ranks the target."""
+    import numpy as np
+    import pandas as pd
+
+    from realty_spark.operators import association
+    rng = np.random.default_rng(8)
+    n = 400
+    pdf = pd.DataFrame({"prix_m2": np.round(rng.normal(3000, 900, n), -2), "a": rng.integers(0, 3, n).astype(float), "b": np.round(rng.normal(size=n), 1) + 0.0,
+                        "c": [None] * n, "d": [7.0] * n})
+    pdf.loc[::3, "a"] = np.nan
+    pdf.loc[5:90, "b"] = np.nan
+    pdf.loc[200:210, "prix_m2"] = np.nan
+    rows = [tuple(None if v is None or v != v else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "prix_m2 double, a double, b double, c double, d double").repartition(5)
+    rho = {r.variable: (r.n, r.spearman) for r in association.spearman(df, ["a", "b", "c", "d"], with_p=False).collect()}
+    for c in "ab":
+        both = pdf[["prix_m2", c]].dropna()
+        exp = np.corrcoef(both["prix_m2"].rank(), both[c].astype(float).rank())[0, 1]
+        assert rho[c][0] == len(both) and abs(rho[c][1] - exp) < 1e-12
+    assert "c" not in rho and rho["d"][1] is None
+    h = {r.variable: r for r in association.kruskal(df, ["a", "b"], with_p=False).collect()}
+    for c in "ab":
+        both = pdf[["prix_m2", c]].dropna()
+        ranks, t = both["prix_m2"].rank(), both["prix_m2"].value_counts()
+        m = len(both)
+        s = (ranks.groupby(both[c]).sum() ** 2 / both.groupby(c).size()).sum()
+        exp = (12 / (m * (m + 1)) * s - 3 * (m + 1)) / (1 - ((t ** 3 - t).sum()) / (m ** 3 - m))
+        assert h[c].N == m and abs(h[c].h_stat - exp) < 1e-9
