@@ -103,51 +103,70 @@ def orthonormal(columns: np.ndarray, *against: np.ndarray) -> np.ndarray:
 
 def leading(times: Callable[[np.ndarray], np.ndarray], dims: int, wanted: int, seed: int = 0,
             inner_steps: int = INNER_STEPS, outer_steps: int = OUTER_STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """(values, vectors) of the ``wanted`` largest eigenpairs of the symmetric operator ``times``, by falling value."""
+    """(values, vectors) of the ``wanted`` largest eigenpairs of the symmetric operator ``times``, by falling value.
+
+    Every product has ``wanted`` columns at most: the start, the new columns of
+    the space, those of an inner step, and the pairs that are about to be
+    locked, whose residual is taken from a product of their own.
+    """
     wanted = min(wanted, dims)
     least, most = min(dims, 2 * wanted + 2), min(dims, 6 * wanted + 2)
-    space = orthonormal(np.random.default_rng(seed).standard_normal((dims, least)))
+    space = orthonormal(np.random.default_rng(seed).standard_normal((dims, wanted)))
+    product = times(space)
     locked, values = np.zeros((dims, 0)), np.zeros(0)
     lowest, still = np.inf, 0
     for _ in range(outer_steps):
-        product = times(space)
         small = space.T @ product
         theta, s = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(-theta)
         theta, s = theta[order], s[:, order]
         ritz, image = space @ s, product @ s
         open_pairs = wanted - locked.shape[1]
-        residual = image[:, :open_pairs] - ritz[:, :open_pairs] * theta[:open_pairs]
-        residual = residual - locked @ (locked.T @ residual)
-        size = np.linalg.norm(residual, axis=0)
         scale = max(theta[0], values[0] if len(values) else 0.0, np.finfo(np.float64).tiny)
-        close = size <= 16 * EPS * scale * np.sqrt(dims)
+
+        def residuals(n: int) -> tuple[np.ndarray, np.ndarray]:
+            r = image[:, :n] - ritz[:, :n] * theta[:n]
+            r = r - locked @ (locked.T @ r)
+            return r, np.linalg.norm(r, axis=0)
+
+        def leading_close(size: np.ndarray) -> int:
+            close = size <= 16 * EPS * scale * np.sqrt(dims)
+            close[0] |= still >= 3
+            return int(np.argmin(close)) if not close.all() else len(close)
+        residual, size = residuals(open_pairs)
         # a residual at the products' own rounding falls no further
         still = still + 1 if size[0] > 0.5 * lowest and size[0] <= 1e-10 * scale else 0
         lowest = min(lowest, size[0])
-        if still >= 3:
-            close[0] = True
-        done = int(np.argmin(close)) if not close.all() else len(close)
+        done = leading_close(size)
+        if done:
+            image[:, :done] = times(ritz[:, :done])
+            residual, size = residuals(open_pairs)
+            done = leading_close(size)
         if done:
             locked, values = np.hstack([locked, ritz[:, :done]]), np.append(values, theta[:done])
-            ritz, theta, residual, size = ritz[:, done:], theta[done:], residual[:, done:], size[done:]
+            ritz, image, theta, residual = ritz[:, done:], image[:, done:], theta[done:], residual[:, done:]
             lowest, still = np.inf, 0
             if locked.shape[1] == wanted:
                 order = np.argsort(-values, kind="stable")
                 return values[order], locked[:, order]
         open_pairs = wanted - locked.shape[1]
         if ritz.shape[1] + open_pairs > most:  # restart from the best Ritz vectors
-            ritz = ritz[:, :least]
-        q = np.hstack([locked, ritz[:, :open_pairs]])
-        shift = theta[:open_pairs]
-
-        def projected(v: np.ndarray) -> np.ndarray:
-            v = v - q @ (q.T @ v)
-            out = times(v) - v * shift
-            return out - q @ (q.T @ out)
-        more = minres_block(projected, -(residual - q @ (q.T @ residual)), inner_steps, INNER_FALL)
-        ritz = orthonormal(ritz, locked)
-        space = np.hstack([ritz, orthonormal(more, locked, ritz)])
+            ritz, image = ritz[:, :least], image[:, :least]
+        if residual.shape[1]:
+            q = np.hstack([locked, ritz[:, :open_pairs]])
+            shift = theta[:residual.shape[1]]
+
+            def projected(v: np.ndarray) -> np.ndarray:
+                v = v - q @ (q.T @ v)
+                out = times(v) - v * shift
+                return out - q @ (q.T @ out)
+            more = minres_block(projected, -(residual - q @ (q.T @ residual)), inner_steps, INNER_FALL)
+        else:  # every pair of the space is locked
+            more = np.random.default_rng(locked.shape[1]).standard_normal((dims, open_pairs))
+        new = orthonormal(more, locked, ritz)
+        if not new.shape[1]:
+            new = orthonormal(np.random.default_rng(locked.shape[1]).standard_normal((dims, open_pairs)), locked, ritz)
+        space, product = np.hstack([ritz, new]), np.hstack([image, times(new)]) if new.shape[1] else image
     raise ArithmeticError(f"the components' residuals did not reach rounding level within {outer_steps} steps")
 
 
