@@ -12,9 +12,11 @@ reference's libraries is claimed:
 
 * ``sarima_*`` - seasonal ARIMA orders scored by two-stage Hannan-Rissanen
   least squares on the differenced series (long-AR residuals, then OLS on the
-  expanded seasonal AR/MA lag set), Gaussian AIC on one sample for all orders,
-  refit of the winner on all months; forecasts by recursion with
-  zero future shocks, then undifferencing.  Stationarity and invertibility
+  expanded seasonal AR/MA lag set), Gaussian AIC on one sample for all orders.
+  The sums of products of a differenced series' lags come from one Spark
+  aggregate; residual lags are linear in them, so that every order is solved
+  from a block of one small matrix.  The winner is refitted on all months;
+  forecasts by recursion with zero future shocks, then undifferencing.  Stationarity and invertibility
   are checked from the polynomial roots; a failing zone uses the fallback.
 * ``seasonal_trend_forecast`` - log-scale penalised least squares: piecewise
   linear trend with hinge changepoints in the first 80 % of the history,
@@ -30,7 +32,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from realty_spark import constants as K
@@ -183,43 +185,138 @@ GRID_SCHEMA = ("zone string, cid int, p int, d int, q int, sp int, sd int, sq in
                "admissible boolean, error string")
 
 
-def _score_batches(it):
+def _last_lag(s: int = K.SEASONAL_PERIOD) -> int:
+    """The furthest lag that a candidate's residual lags reach: the long autoregression's behind the seasonal ones."""
+    return 2 * (s + max(K.SARIMA_P + K.SARIMA_Q))
+
+
+def lag_products(panel: DataFrame, target: str, s: int = K.SEASONAL_PERIOD) -> DataFrame:
+    """Sums of products of the lags of every eligible zone's differenced series, the shared design of the order search (M2).
+
+    One row per (zone, d, sd, i, j), i <= j: lags 0 to ``_last_lag`` and a
+    constant behind them.  ``long_sum`` runs over the months of the long
+    autoregression, ``scored_sum`` over the common scored months; a sum is NULL
+    where a lag is missing in one of its months.  The undifferenced series is
+    taken from its mean's whole part, which a constant absorbs.  ``n`` months,
+    ``n_w`` differenced ones, ``m`` the long autoregression's order, ``scored``
+    the months of ``common_sample``.
+    """
+    last = _last_lag(s)
+    gate = series_gate(panel, target).where(F.col("status") == "ok").select("zone", F.floor("train_mean").alias("shift"))
+    zone = Window.partitionBy("zone").orderBy("annee_mois")
+    y = F.col(target).cast("double")
+    months = (panel.where(F.col("split") == "train").join(gate, "zone")
+              .select("zone", "annee_mois", "shift", y.alias("y"), *[F.lag(y, k).over(zone).alias(f"y{k}") for k in (1, s, s + 1)],
+                      F.count(F.lit(1)).over(Window.partitionBy("zone")).alias("n")))
+    forms = [(0, 0, F.col("y") - F.col("shift")), (1, 0, F.col("y") - F.col("y1")), (0, 1, F.col("y") - F.col(f"y{s}")),
+             (1, 1, F.col("y") - F.col("y1") - F.col(f"y{s}") + F.col(f"y{s + 1}"))]
+    w = months.select("zone", "annee_mois", "n", F.explode(F.array(*[
+        F.struct(F.lit(d).alias("d"), F.lit(sd).alias("sd"), value.alias("w")) for d, sd, value in forms])).alias("f"))
+    w = w.select("zone", "annee_mois", "n", "f.*").where(F.col("w").isNotNull())
+    series = Window.partitionBy("zone", "d", "sd")
+    lags = F.reverse(F.collect_list("w").over(series.orderBy("annee_mois").rowsBetween(-last, 0)))
+    rows = w.select("zone", "d", "sd", "n", F.count(F.lit(1)).over(series).alias("n_w"),
+                    (F.row_number().over(series.orderBy("annee_mois")) - 1).alias("t"), lags.alias("x"))
+    least = F.col("n") - s - 1 - F.least(F.lit(s + 2), F.floor((F.col("n") - s - 1) / 3)) - (s + 2)
+    rows = rows.withColumns({"m": F.least(F.lit(s + 2), F.floor(F.col("n_w") / 3)).cast("int"),
+                             "scored": F.when(least >= s, least).when(F.col("n") >= s, F.lit(s)).otherwise(F.lit(0)).cast("int")})
+    value = f"CASE WHEN {{0}} > {last} THEN 1.0 ELSE get(x, {{0}}) END"
+    pairs = F.expr(f"flatten(transform(sequence(0, {last + 1}), i -> transform(sequence(i, {last + 1}), "
+                   f"j -> named_struct('i', i, 'j', j, 'p', ({value.format('i')}) * ({value.format('j')})))))")
+    each = rows.select("zone", "d", "sd", "n", "n_w", "m", "scored", "t", F.explode(pairs).alias("e")).select("*", "e.*").drop("e")
+    in_long, in_scored = F.col("t") >= F.col("m"), F.col("t") >= F.col("n_w") - F.col("scored")
+
+    def whole(inside):
+        return F.when(F.count_if(inside & F.col("p").isNull()) == 0, F.sum(F.when(inside, F.col("p"))))
+    return each.groupBy("zone", "d", "sd", "n", "n_w", "m", "scored", "i", "j").agg(
+        whole(in_long).alias("long_sum"), whole(in_scored).alias("scored_sum"))
+
+
+def solve_orders(d: int, sd: int, n_w: int, m: int, scored: int, long_sums: np.ndarray, scored_sums: np.ndarray,
+                 s: int = K.SEASONAL_PERIOD) -> list[tuple]:
+    """(p, q, sp, sq, aic, admissible, error) of the orders of one differencing, each from its block of the lag products."""
+    last, const = _last_lag(s), d + sd == 0
+    one = last + 1
+    change = {}  # residual lags in terms of the series' lags
+    if m >= 1 and n_w - m >= m + 5:
+        own = [*range(1, m + 1), one]
+        b = np.linalg.lstsq(long_sums[np.ix_(own, own)], long_sums[own, 0], rcond=None)[0]
+        for lag in range(1, s + 3):
+            column = np.zeros(last + 2)
+            column[lag], column[one] = 1.0, -b[-1]
+            column[lag + 1:lag + m + 1] = -b[:-1]
+            change[lag] = column
+    out = []
+    for p, q, sp, sq in product(K.SARIMA_P, K.SARIMA_Q, K.SARIMA_SP, K.SARIMA_SQ):
+        ar, ma = _lags(p, sp, s), _lags(q, sq, s)
+        k = len(ar) + len(ma) + int(const)
+        try:
+            if ma and not change:
+                raise ValueError("series too short for the long autoregression")
+            first = (m if ma else 0) + max(ar + ma, default=0)
+            if not scored or n_w - scored < first or scored < k + 3:
+                raise ValueError("series too short for this order")
+            units = np.eye(last + 2)
+            design = np.column_stack([units[:, 0]] + [units[:, l] for l in ar] + [change[l] for l in ma] + ([units[:, one]] if const else []))
+            used = np.flatnonzero(design.any(axis=1))
+            sums = scored_sums[np.ix_(used, used)]
+            if np.isnan(sums).any():
+                raise ValueError("series too short for this order")
+            block = design[used].T @ sums @ design[used]
+            scale = np.sqrt(np.maximum(np.diag(block), 1e-300))
+            block = block / np.outer(scale, scale)
+            beta = np.linalg.lstsq(block[1:, 1:], block[1:, 0], rcond=1e-13)[0] if k else np.zeros(0)
+            rss = (block[0, 0] - 2 * beta @ block[1:, 0] + beta @ block[1:, 1:] @ beta) * scale[0] ** 2 if k else block[0, 0] * scale[0] ** 2
+            sigma2 = max(float(rss) / scored, 1e-300)
+            aic = 2.0 * (k + 1) + scored * (math.log(2 * math.pi * sigma2) + 1.0)
+            beta = beta * scale[0] / scale[1:] if k else beta
+            fit = {"ar": ar, "ma": ma, "beta": beta}
+            out.append((p, q, sp, sq, aic, all(sarima_checks(fit)), None if np.isfinite(aic) else "non-finite AIC"))
+        except (ValueError, np.linalg.LinAlgError) as ex:
+            out.append((p, q, sp, sq, math.nan, False, str(ex)))
+    return out
+
+
+def _solve_batches(it):
+    number = {c: i for i, c in enumerate(sarima_candidates())}
+    size = _last_lag() + 2
     for pdf in it:
         rows = []
         for r in pdf.itertuples(index=False):
-            y = np.array([s["y"] for s in r.train], dtype=float)
-            try:
-                fit = fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq), scored=common_sample(len(y)))
-                aic = fit["aic"]
-                admissible = all(sarima_checks(fit))
-                err = None if np.isfinite(aic) else "non-finite AIC"
-            except (ValueError, np.linalg.LinAlgError) as ex:
-                aic, admissible, err = float("nan"), False, str(ex)
-            rows.append((r.zone, r.cid, r.p, r.d, r.q, r.sp, r.sd, r.sq, aic, admissible, err))
-        yield pd.DataFrame(rows, columns=["zone", "cid", "p", "d", "q", "sp", "sd", "sq", "aic", "admissible",
-                                          "error"])
-
-
-def sarima_grid(panel: DataFrame, target: str, partitions: int | None = None) -> DataFrame:
+            long_sums, scored_sums = np.full((size, size), np.nan), np.full((size, size), np.nan)
+            for e in r.entries:
+                long_sums[e["i"], e["j"]] = long_sums[e["j"], e["i"]] = math.nan if e["long_sum"] is None else e["long_sum"]
+                scored_sums[e["i"], e["j"]] = scored_sums[e["j"], e["i"]] = math.nan if e["scored_sum"] is None else e["scored_sum"]
+            for p, q, sp, sq, *told in solve_orders(r.d, r.sd, r.n_w, r.m, r.scored, long_sums, scored_sums):
+                rows.append((r.zone, number[p, r.d, q, sp, r.sd, sq], p, r.d, q, sp, r.sd, sq, *told))
+        yield pd.DataFrame(rows, columns=["zone", "cid", "p", "d", "q", "sp", "sd", "sq", "aic", "admissible", "error"])
+
+
+def sarima_grid(panel: DataFrame, target: str) -> DataFrame:
     """Score the 144 candidate orders of every eligible zone (M2).
 
     All candidates of a zone are scored on the same last months
     (``common_sample``), so that their AICs compare fits and not lost rows.
-
-    Each zone row is fanned out over the fixed candidate list (a literal
-    array of 144 structs, ``explode``), spread over tasks by (zone, candidate)
-    and scored with ``mapInPandas``.  Returns every candidate with its AIC
+    Each (zone, d, D) is one row of a few hundred sums (``lag_products``), of
+    which its 36 orders are solved.  Returns every candidate with its AIC
     (NULL + error text when the fit is impossible: the reference skips those).
     """
-    grid = F.array(*[F.struct(F.lit(i).alias("cid"), F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"),
-                              F.lit(a).alias("sp"), F.lit(b).alias("sd"), F.lit(c).alias("sq"))
-                     for i, (p, d, q, a, b, c) in enumerate(sarima_candidates())])
-    s = zone_series(panel, target).select("zone", "train", F.explode(grid).alias("g")).select("zone", "train", "g.*")
-    dealt = s.repartition(partitions, "zone", "cid") if partitions else s.repartition("zone", "cid")
-    scored = dealt.mapInPandas(_score_batches, GRID_SCHEMA)
+    sums = lag_products(panel, target).groupBy("zone", "d", "sd", "n_w", "m", "scored").agg(
+        F.collect_list(F.struct("i", "j", "long_sum", "scored_sum")).alias("entries"))
+    scored = sums.mapInPandas(_solve_batches, GRID_SCHEMA)
     return scored.withColumn("aic", F.when(~F.isnan("aic"), F.col("aic")))
 
 
+def _rank(constrained: bool) -> Column:
+    return F.struct((~F.col("admissible")).cast("int") if constrained else F.lit(0), F.col("aic"), F.col("cid"))
+
+
+def flag_best(grid: DataFrame, constrained: bool = True) -> DataFrame:
+    """The grid with ``meilleur``: whether a candidate is its zone's best (``best_orders``); the grid is scored once."""
+    best = F.min(F.when(F.col("aic").isNotNull(), _rank(constrained))).over(Window.partitionBy("zone"))
+    return grid.withColumn("meilleur", F.coalesce(F.col("aic").isNotNull() & (best["cid"] == F.col("cid")), F.lit(False)))
+
+
 def best_orders(grid: DataFrame, constrained: bool = True) -> DataFrame:
     """Lowest AIC per zone; the first candidate in loop order wins ties (M2).
 
@@ -229,8 +326,7 @@ def best_orders(grid: DataFrame, constrained: bool = True) -> DataFrame:
     forecast is then replaced by the fallback.
     """
     ok = grid.where(F.col("aic").isNotNull())
-    rank = F.struct((~F.col("admissible")).cast("int") if constrained else F.lit(0), F.col("aic"), F.col("cid"))
-    best = ok.groupBy("zone").agg(F.min_by(F.struct("cid", "p", "d", "q", "sp", "sd", "sq", "aic"), rank).alias("b"))
+    best = ok.groupBy("zone").agg(F.min_by(F.struct("cid", "p", "d", "q", "sp", "sd", "sq", "aic"), _rank(constrained)).alias("b"))
     return best.select("zone", "b.*")
 
 
@@ -238,14 +334,13 @@ FC_SCHEMA = ("zone string, step int, yhat double, stationary boolean, invertible
              "status string, message string")
 
 
-def sarima_forecast(panel: DataFrame, target: str = "prix_median_m2", kind: str = "price",
-                    partitions: int | None = None) -> DataFrame:
+def sarima_forecast(panel: DataFrame, target: str = "prix_median_m2", kind: str = "price") -> DataFrame:
     """Order search, final fit per zone, forecast of every test month, sanity guard.
 
     Output: zone, step, annee_mois, yhat (guarded), yhat_brut, fallback, order
     text, aic, status ('ok' / 'error' / 'skipped'), message.
     """
-    best = best_orders(sarima_grid(panel, target, partitions))
+    best = best_orders(sarima_grid(panel, target))
     series = zone_series(panel, target)
     j = series.join(best, "zone", "left")
 

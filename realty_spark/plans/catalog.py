@@ -1054,10 +1054,35 @@ from realty_spark.operators import forecast  # noqa: E402
 @register("sarima_grid")
 def q_sarima_grid(spark, sf_dir):
     """AIC of the 144 seasonal ARIMA candidates of every eligible zone, best per zone flagged (M2)."""
-    p = split_panel_proxy(spark, sf_dir)
-    g = forecast.sarima_grid(p, "nb_transactions")
-    best = forecast.best_orders(g).select("zone", F.col("cid").alias("_best"))
-    return g.join(best, "zone", "left").withColumn("meilleur", F.col("cid") == F.col("_best")).drop("_best")
+    return forecast.flag_best(forecast.sarima_grid(split_panel_proxy(spark, sf_dir), "nb_transactions"))
+
+
+_LAST = forecast._last_lag()
+
+
+@register("lag_products", sql=f"""WITH {_panel_cte()},
+st AS (SELECT zone, count(*) FILTER (WHERE split = 'train') AS n, count(*) FILTER (WHERE split = 'test') AS nt,
+              floor(avg(nb_transactions) FILTER (WHERE split = 'train')) AS shift FROM p GROUP BY 1),
+yy AS (SELECT zone, annee_mois, n, shift, CAST(nb_transactions AS DOUBLE) AS y, lag(nb_transactions, 1) OVER o AS y1,
+             lag(nb_transactions, 12) OVER o AS y12, lag(nb_transactions, 13) OVER o AS y13
+      FROM p JOIN st USING (zone) WHERE split = 'train' AND n >= {K.MIN_TRAIN_MONTHS} AND nt > 0 WINDOW o AS (PARTITION BY zone ORDER BY annee_mois)),
+w AS (SELECT zone, annee_mois, n, 0 AS d, 0 AS sd, y - shift AS w FROM yy UNION ALL SELECT zone, annee_mois, n, 1, 0, y - y1 FROM yy
+      UNION ALL SELECT zone, annee_mois, n, 0, 1, y - y12 FROM yy UNION ALL SELECT zone, annee_mois, n, 1, 1, y - y1 - y12 + y13 FROM yy),
+r AS (SELECT *, count(*) OVER (PARTITION BY zone, d, sd) AS n_w, row_number() OVER (PARTITION BY zone, d, sd ORDER BY annee_mois) - 1 AS t
+      FROM w WHERE w IS NOT NULL),
+m AS (SELECT *, least(14, n_w // 3) AS m, CASE WHEN n - 13 - least(14, (n - 13) // 3) - 14 >= 12 THEN n - 13 - least(14, (n - 13) // 3) - 14
+             WHEN n >= 12 THEN 12 ELSE 0 END AS scored FROM r),
+x AS (SELECT m.zone, m.d, m.sd, m.n, m.n_w, m.m, m.scored, m.t, k.k AS lag, CASE WHEN k.k = {_LAST + 1} THEN 1.0 ELSE b.w END AS v
+      FROM m CROSS JOIN range(0, {_LAST + 2}) k(k) LEFT JOIN m b ON b.zone = m.zone AND b.d = m.d AND b.sd = m.sd AND b.t = m.t - k.k AND k.k <= {_LAST}),
+qq AS (SELECT a.zone, a.d, a.sd, a.n, a.n_w, a.m, a.scored, a.t, a.lag AS i, c.lag AS j, a.v * c.v AS p
+      FROM x a JOIN x c ON c.zone = a.zone AND c.d = a.d AND c.sd = a.sd AND c.t = a.t AND a.lag <= c.lag)
+SELECT zone, d, sd, n, n_w, CAST(m AS INTEGER) AS m, CAST(scored AS INTEGER) AS scored, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+       CASE WHEN count(*) FILTER (WHERE t >= m AND p IS NULL) = 0 THEN sum(p) FILTER (WHERE t >= m) END AS long_sum,
+       CASE WHEN count(*) FILTER (WHERE t >= n_w - scored AND p IS NULL) = 0 THEN sum(p) FILTER (WHERE t >= n_w - scored) END AS scored_sum
+FROM qq GROUP BY ALL""")
+def q_lag_products(spark, sf_dir):
+    """Sums of lag products of every zone's differenced volume series: the design shared by the 144 orders (M2)."""
+    return forecast.lag_products(split_panel_proxy(spark, sf_dir), "nb_transactions")
 
 
 @register("sarima_forecast")

@@ -209,3 +209,58 @@ def test_boosted_trees_learn_and_report_skipped_zones(spark):
     last = {z: truth[z, dt.date(2009, 12, 1)] for z in ("north", "south", "east")}
     assert np.mean(errors) < 0.6 * np.mean([abs(last[r.zone] - truth[r.zone, r.annee_mois]) for r in ok])
     assert [r.zone for r in out if r.status != "ok"] == ["short"] and imp.count() == len(forecast.GBT_FEATURES)
+
+
+def _products(y, d, sd, s=12):
+    """The lag products of one differenced series in numpy."""
+    y = np.asarray(y, float)
+    w = np.convolve(y - (math.floor(y.mean()) if not d + sd else 0), forecast._diff_poly(d, sd, s), mode="valid")
+    n, last = len(w), forecast._last_lag()
+    m, scored = forecast._long_ar(n), forecast.common_sample(len(y))
+    x = np.full((n, last + 2), np.nan)
+    for k in range(last + 1):
+        x[k:, k] = w[:max(0, n - k)]
+    x[:, -1] = 1.0
+    return n, m, scored, x[m:].T @ x[m:], x[n - scored:].T @ x[n - scored:]
+
+
+@pytest.mark.parametrize(("n", "level"), [(60, 3000.0), (84, 40.0), (50, 10.0), (30, 5.0), (240, 0.0)])
+def test_orders_solved_from_lag_products_match_regressions(n, level):
+    rng = np.random.default_rng(n)
+    y = level + np.cumsum(rng.normal(size=n)) + 3 * np.sin(np.arange(n) * np.pi / 6)
+    scored = forecast.common_sample(n)
+    for d in (0, 1):
+        for sd in (0, 1):
+            n_w, m, got_scored, long_sums, scored_sums = _products(y, d, sd)
+            for p, q, sp, sq, aic, admissible, error in forecast.solve_orders(d, sd, n_w, m, got_scored, long_sums, scored_sums):
+                try:
+                    fit = forecast.fit_sarima(y, (p, d, q), (sp, sd, sq), scored=scored)
+                except ValueError:
+                    assert error
+                    continue
+                if fit["neff"] >= len(fit["beta"]) + 4 and fit["sigma2"] > 1e-6:
+                    assert error is None and abs(aic - fit["aic"]) < 1e-4 * max(1, abs(fit["aic"])), (d, sd, p, q, sp, sq)
+
+
+def test_common_sample_follows_its_closed_form():
+    for n in range(12, 300):
+        least = n - 13 - min(14, (n - 13) // 3) - 14
+        assert forecast.common_sample(n) == (least if least >= 12 else 12)
+
+
+def test_order_search_has_one_python_node_and_flags_one_best(spark):
+    rng = np.random.default_rng(5)
+    rows = [(z, dt.date(2000 + i // 12, i % 12 + 1, 1), "train" if i < 72 else "test", float(100 + 10 * np.sin(i * np.pi / 6) + rng.normal()))
+            for z in ("a", "b") for i in range(78)]
+    p = spark.createDataFrame(rows, "zone string, annee_mois date, split string, prix_median_m2 double")
+    grid = forecast.flag_best(forecast.sarima_grid(p, "prix_median_m2"))
+    assert grid._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+    out = grid.collect()
+    assert len(out) == 288 and sorted(r.zone for r in out if r.meilleur) == ["a", "b"]
+    best = {r.zone: r.cid for r in forecast.best_orders(forecast.sarima_grid(p, "prix_median_m2")).collect()}
+    assert best == {r.zone: r.cid for r in out if r.meilleur}
+    y = np.array([r[3] for r in rows if r[0] == "a" and r[2] == "train"])
+    for r in out:
+        if r.zone == "a" and r.aic is not None:
+            fit = forecast.fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq), scored=forecast.common_sample(72))
+            assert abs(fit["aic"] - r.aic) < 1e-4 * abs(fit["aic"])
