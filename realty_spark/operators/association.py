@@ -23,7 +23,6 @@ from realty_spark.functions.distributions import chi2_sf, corr_pvalue, f_sf, nor
 from realty_spark.functions.numeric import safe_corr, safe_div, significance_flag
 from realty_spark.operators.profile import to_long
 from realty_spark.operators.quantiles import average_rank, running_counts
-from realty_spark.session import ensure_checkpoint_dir
 
 
 def category_long(df: DataFrame, columns: Sequence[str], target: str = "prix_m2") -> DataFrame:
@@ -188,25 +187,34 @@ def jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------ Shapiro-Wilk --
-def row_sample(df: DataFrame, keys: Sequence[str], size: int = K.SHAPIRO_MAX_SAMPLE, seed: int = 42,
+def row_sample(df: DataFrame, keys: Sequence[str], row_key: Sequence[str], size: int = K.SHAPIRO_MAX_SAMPLE, seed: int = 42,
                slack: float = 1.5) -> DataFrame:
-    """Seeded sample of min(n, ``size``) rows per group, drawn by row, so equal values are kept or left one by one.
+    """Seeded sample of min(n, ``size``) rows per group: those of least md5 of "<row key>|..|<seed>".
 
-    The narrow rows are checkpointed; a row's place in the checkpoint is its
-    identity and, hashed with the seed, its draw.  Only draws below
-    ``slack * size / n`` (plus ten standard deviations) reach the
-    ``row_number`` window, which so sorts about 1.5 x size rows per group.
-    The counts have one row per group of profiled columns and are broadcast.
+    Any engine draws the same rows.  Only hashes below ``slack * size / n``
+    (plus ten standard deviations, so that fewer than ``size`` are below with a
+    probability under 1e-100) reach the window, which so sorts about 1.5 x size
+    rows per group.  The counts have one row per group of profiled columns and
+    are broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = list(keys)
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
-    draw = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    draw = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in row_key], F.lit(str(seed))))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     rate = (F.lit(slack * size) + 10.0 * F.sqrt(F.lit(float(size)))) / F.col("_n")
-    low = rows.withColumn("_u", draw).join(F.broadcast(counts), keys).where(F.col("_u") <= rate)
-    w = Window.partitionBy(*keys).orderBy("_u", "_row")
-    return low.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= size).drop("_rk", "_n", "_u", "_row")
+    low = df.withColumn("_draw", draw).join(F.broadcast(counts), keys).where(
+        F.conv(F.substring("_draw", 1, 12), 16, 10).cast("double") / float(1 << 48) <= rate)
+    w = Window.partitionBy(*keys).orderBy("_draw", *row_key)
+    return low.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= size).select(df.columns)
+
+
+def shapiro_sample(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", row_key: Sequence[str] | None = None,
+                   size: int = K.SHAPIRO_MAX_SAMPLE, seed: int = 42) -> DataFrame:
+    """(variable, row key.., x): the pairwise complete rows that ``shapiro`` tests; the row key is the whole row where none is named."""
+    if row_key is None:
+        df, row_key = df.withColumn("_row", F.xxhash64(*df.columns)), ["_row"]
+    long = to_long(df, columns, "double", keep=[target, *row_key], value="x")
+    whole = F.col("x").isNotNull() & ~F.isnan("x") & F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double"))
+    return row_sample(long.where(whole).select("variable", *row_key, "x"), ["variable"], row_key, size, seed)
 
 
 def shapiro_wilk_np(x: np.ndarray) -> tuple[float, float]:
@@ -260,14 +268,13 @@ def shapiro_wilk_np(x: np.ndarray) -> tuple[float, float]:
 
 
 def shapiro(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", size: int = K.SHAPIRO_MAX_SAMPLE,
-            seed: int = 42) -> DataFrame:
+            seed: int = 42, row_key: Sequence[str] | None = None) -> DataFrame:
     """Shapiro-Wilk on a seeded sample of at most ``size`` pairwise-complete values per column (H5).
 
     The reference samples without a seed; this sample is reproducible.  Each
     grouped call sees at most ``size`` rows.
     """
-    long = numeric_long(df, columns, target).select("variable", "x")
-    sample = row_sample(long, ["variable"], size, seed)
+    sample = shapiro_sample(df, columns, target, row_key, size, seed).select("variable", "x")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         w, p = shapiro_wilk_np(pdf["x"].to_numpy())
@@ -303,11 +310,11 @@ def association_report(df: DataFrame, columns: Sequence[str], target: str = "pri
 
 
 def correlation_report(df: DataFrame, columns: Sequence[str], target: str = "prix_m2",
-                       partitions: int | None = None, normality: bool = True) -> DataFrame:
+                       partitions: int | None = None, normality: bool = True, row_key: Sequence[str] | None = None) -> DataFrame:
     """Pearson, Spearman (with p) and, with ``normality``, the Shapiro flag per numeric column (reference layout)."""
     p = pearson(df, columns, target)
     s = spearman(df, columns, target, partitions=partitions).drop("n")
     if not normality:
         return p.join(s, "variable", "left")
-    sh = shapiro(df, columns, target).select("variable", "normal")
+    sh = shapiro(df, columns, target, row_key=row_key).select("variable", "normal")
     return p.join(s, "variable", "left").join(sh, "variable", "left")

@@ -6,9 +6,9 @@ all columns at once; no raw points are shipped to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from realty_spark import constants as K
@@ -69,13 +69,42 @@ def boxplot_by_category(df: DataFrame, columns: Sequence[str], target: str = "pr
     return boxplot(long, ["variable", "level"], target)
 
 
+def grid_counts(df: DataFrame, grids: Mapping[str, tuple[Column, Column]], bins: int = K.HIST_BINS,
+                same_range: Collection[str] = (), labels: tuple[str, str, str] = ("graphique", "bin_x", "bin_y")) -> DataFrame:
+    """2-D binned counts of several (x, y) pairs of columns: one aggregate for all extents, one binning pass for all grids.
+
+    A grid's rows are those with both values; its extents are theirs, or in
+    ``same_range`` the common extent of x and y (the square around y = x).
+    Extents are a few numbers per grid and travel as literals.
+    """
+    name, bin_x, bin_y = labels
+    pairs = {g: (x.cast("double"), y.cast("double")) for g, (x, y) in grids.items()}
+    whole = {g: x.isNotNull() & ~F.isnan(x) & y.isNotNull() & ~F.isnan(y) for g, (x, y) in pairs.items()}
+    ends = df.agg(*[f(F.when(whole[g], v)).alias(f"{g}\u0001{axis}\u0001{end}") for g, xy in pairs.items()
+                    for axis, v in zip("xy", xy) for end, f in (("lo", F.min), ("hi", F.max))]).first()
+
+    def place(g: str, axis: str, v: Column) -> Column:
+        at = lambda a, end: ends[f"{g}\u0001{a}\u0001{end}"]
+        lo, hi = at(axis, "lo"), at(axis, "hi")
+        if g in same_range and lo is not None:
+            lo, hi = min(at("x", "lo"), at("y", "lo")), max(at("x", "hi"), at("y", "hi"))
+        if lo is None or not hi > lo:
+            return F.lit(0)
+        return F.least(F.floor((v - lo) / ((hi - lo) / bins)), F.lit(bins - 1)).cast("int")
+    cells = F.explode(F.array(*[F.when(whole[g], F.struct(F.lit(g).alias(name), place(g, "x", x).alias(bin_x), place(g, "y", y).alias(bin_y)))
+                                for g, (x, y) in pairs.items()])).alias("c")
+    return df.select(cells).where("c IS NOT NULL").select("c.*").groupBy(name, bin_x, bin_y).agg(F.count(F.lit(1)).alias("count"))
+
+
 def scatter_bins(df: DataFrame, columns: Sequence[str], target: str = "prix_m2", bins: int = K.HIST_BINS) -> DataFrame:
     """2-D binned counts of each column against the target: a scatter plot at any scale (V3)."""
-    long = (to_long(df, columns, keep=[target], value="x")
-            .where(F.col("x").isNotNull() & ~F.isnan("x") & F.col(target).isNotNull()))
-    bx = _bins(long, ["variable"], "x", bins).withColumnRenamed("bin", "bin_x").drop("_lo", "_hi", "_w")
-    by = _bins(bx, ["variable"], target, bins).withColumnRenamed("bin", "bin_y")
-    return by.groupBy("variable", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("count"))
+    return grid_counts(df, {c: (F.col(c), F.col(target)) for c in columns}, bins, labels=("variable", "bin_x", "bin_y"))
+
+
+def prediction_grids(df: DataFrame, y: str = "y", yhat: str = "yhat", bins: int = K.HIST_BINS) -> DataFrame:
+    """The evaluation figure's two scatters as counts (V3): predicted against actual on one range for both axes, and residual against predicted."""
+    return grid_counts(df, {"predit_reel": (F.col(y), F.col(yhat)), "residu_predit": (F.col(yhat), F.col(y) - F.col(yhat))}, bins,
+                       same_range=("predit_reel",))
 
 
 def top_levels_chart(counts: DataFrame, bar_top: int = 20, pie_top: int = 10) -> DataFrame:
@@ -118,11 +147,15 @@ def qq_points(df: DataFrame, value: str, keys: Sequence[str] = (), points: int =
         "ordonnee": F.regr_intercept("sample_q", "theoretical_q").over(wk)})
 
 
-def forecast_overview(panel: DataFrame, forecast: DataFrame, target: str) -> DataFrame:
-    """Long table for the per-zone overview figure: history, actual and forecast rows (V8)."""
-    hist = panel.where(F.col("split") == "train").select("zone", "annee_mois", F.lit("historique").alias("kind"),
-                                                          F.col(target).alias("value"))
-    act = panel.where(F.col("split") == "test").select("zone", "annee_mois", F.lit("reel").alias("kind"),
-                                                        F.col(target).alias("value"))
-    fc = forecast.select("zone", "annee_mois", F.lit("prevision").alias("kind"), F.col("yhat").alias("value"))
-    return hist.unionByName(act).unionByName(fc)
+def forecast_overview(panel: DataFrame, forecasts: DataFrame, best: DataFrame, target: str) -> DataFrame:
+    """Long table for the per-zone overview figure: history, actual and each model's forecast with its interval (V8).
+
+    ``forecasts`` has (model, zone, annee_mois, yhat, lo, hi), ``best`` the
+    (model, zone, meilleure_zone) whose detail the figure shows.
+    """
+    series = panel.select("zone", "annee_mois", F.when(F.col("split") == "train", "historique").otherwise("reel").alias("kind"),
+                          F.col(target).alias("value"))
+    made = forecasts.join(best, ["model", "zone"], "left").select(
+        "model", "zone", "annee_mois", F.lit("prevision").alias("kind"), F.col("yhat").alias("value"), "lo", "hi",
+        F.coalesce("meilleure_zone", F.lit(False)).alias("meilleure_zone"))
+    return made.unionByName(series, allowMissingColumns=True)

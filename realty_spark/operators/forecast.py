@@ -334,13 +334,15 @@ FC_SCHEMA = ("zone string, step int, yhat double, stationary boolean, invertible
              "status string, message string")
 
 
-def sarima_forecast(panel: DataFrame, target: str = "prix_median_m2", kind: str = "price") -> DataFrame:
+def sarima_forecast(panel: DataFrame, target: str = "prix_median_m2", kind: str = "price", orders: DataFrame | None = None) -> DataFrame:
     """Order search, final fit per zone, forecast of every test month, sanity guard.
 
+    ``orders`` (the columns of ``best_orders``) replaces the search.
+
     Output: zone, step, annee_mois, yhat (guarded), yhat_brut, fallback, order
     text, aic, status ('ok' / 'error' / 'skipped'), message.
     """
-    best = best_orders(sarima_grid(panel, target))
+    best = best_orders(sarima_grid(panel, target)) if orders is None else orders
     series = zone_series(panel, target)
     j = series.join(best, "zone", "left")
 
@@ -369,10 +371,10 @@ def sarima_forecast(panel: DataFrame, target: str = "prix_median_m2", kind: str
     ok = raw.where(F.col("status") == "ok").select("zone", "step", "yhat")
     guarded = forecast_guard(ok, gate, fb, kind=kind)
     steps = test_steps(panel)
-    orders = best.select("zone", F.format_string("(%d,%d,%d)(%d,%d,%d,12)", "p", "d", "q", "sp", "sd", "sq")
+    texts = best.select("zone", F.format_string("(%d,%d,%d)(%d,%d,%d,12)", "p", "d", "q", "sp", "sd", "sq")
                          .alias("ordre"), "aic")
     res = (raw.join(guarded, ["zone", "step"], "left").join(steps, ["zone", "step"], "left")
-           .join(orders, "zone", "left")
+           .join(texts, "zone", "left")
            .select("zone", "step", "annee_mois", F.coalesce(guarded["yhat"], F.lit(None)).alias("yhat"),
                    "yhat_brut", "fallback", "ordre", "aic", "status", "message"))
     skipped = (gate.where(F.col("status") != "ok")
@@ -516,76 +518,121 @@ def fit_trees(rows: DataFrame, max_iter: int, patience: int, seed: int):
         n = min(max_iter, 2 * n)
 
 
+STATE_MONTHS = max(*K.FEATURE_LAGS, *K.FEATURE_MEANS, *K.FEATURE_STDS)
+
+
+def last_values(history: DataFrame, target: str) -> DataFrame:
+    """(zone, state, known): a zone's last ``STATE_MONTHS`` values in month order and how many months it has; a zone's months are few."""
+    months = F.sort_array(F.collect_list(F.struct("annee_mois", F.col(target).cast("double").alias("y"))))
+    return history.groupBy("zone").agg(F.slice(F.transform(months, lambda s: s["y"]), -F.least(F.count(F.lit(1)), F.lit(STATE_MONTHS)).cast("int"),
+                                               STATE_MONTHS).alias("state"), F.count(F.lit(1)).alias("known"))
+
+
+def state_features(rows: DataFrame) -> DataFrame:
+    """The leak-free features of ``panel_features`` for the month that follows a state, from (state, known, annee_mois)."""
+    state, size = F.col("state"), F.size("state")
+    lag = lambda k: F.get(state, size - k)
+    features = {"mois": F.month("annee_mois"), "annee": F.year("annee_mois"), "mois_depuis_debut": F.col("known").cast("int")}
+    exists = {}
+    for k in K.FEATURE_LAGS:
+        features[f"lag_{k}"], exists[f"lag_{k}"] = F.when(size >= k, lag(k)), k
+
+    def window(k, value):
+        part = F.slice(state, size - k + 1, k)
+        return F.when(size >= k, F.when(F.forall(part, lambda v: v.isNotNull()), value(part)))
+    mean = lambda part: F.aggregate(part, F.lit(0.0), lambda acc, v: acc + v) / F.size(part)
+    for k in K.FEATURE_MEANS:
+        features[f"ma_{k}"], exists[f"ma_{k}"] = window(k, mean), k
+    for k in K.FEATURE_STDS:
+        features[f"std_{k}"], exists[f"std_{k}"] = window(k, lambda part: F.sqrt(F.aggregate(
+            F.transform(part, lambda v: (v - mean(part)) * (v - mean(part))), F.lit(0.0), lambda acc, v: acc + v) / (F.size(part) - 1))), k
+    features["tendance"], exists["tendance"] = F.when(size >= 2, lag(1) - lag(2)), 1
+    out = rows.withColumns(features)
+    complete = F.lit(True)
+    for c, k in exists.items():
+        complete = complete & (F.col(c).isNotNull() | (F.col("known") + 1 <= k))
+    return out.withColumn("complete", complete)
+
+
+class PooledTrees:
+    """One boosted-tree model for all zones of a history: (zone, annee_mois, target) rows up to some month.
+
+    The zone is a nominal feature; the label is the change from the previous
+    month, which trees can extrapolate where a level cannot; the last 15 % of
+    each zone's complete rows is the validation set (W7) for the number of
+    trees.  ``eligible`` zones have enough complete rows; ``model`` is None without one.
+    """
+
+    def __init__(self, history: DataFrame, zones: DataFrame, target: str, max_iter: int, seed: int):
+        from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+        from realty_spark.operators.panel import chrono_split, panel_features
+        from realty_spark.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(history.sparkSession)
+        self.indexer = StringIndexer(inputCol="zone", outputCol="zone_idx", stringOrderType="alphabetAsc", handleInvalid="keep").fit(zones.select("zone"))
+        self.assembler = VectorAssembler(inputCols=list(GBT_FEATURES), outputCol="features")
+        feats = self.indexer.transform(panel_features(history, target, leak_free=True)).where(F.col("complete"))
+        self.eligible = (feats.groupBy("zone").agg(F.count(F.lit(1)).alias("_rows"))
+                         .where(F.col("_rows") >= K.MIN_FEATURE_ROWS).select("zone").checkpoint())
+        train = chrono_split(feats.join(self.eligible, "zone"), K.VALIDATION_SHARE).withColumn("label", F.col(target) - F.col("lag_1"))
+        rows = self.assembler.transform(train).select("features", "label", "is_validation").checkpoint()
+        self.model = None if self.eligible.limit(1).count() == 0 else fit_trees(rows, max_iter, K.GBT_PARAMS["early_stopping_rounds"], seed)
+
+    def roll(self, states: DataFrame) -> DataFrame:
+        """(other columns.., step, annee_mois, yhat) for every month of (zone, state, known, months, train_min, train_max, train_mean, ..) rows.
+
+        A row is a zone with its last values; each step predicts its next
+        month, clips it to [0.7 min, 1.3 max] of the train series and shifts
+        it into the state.  Only narrow expressions work on the rows, whose
+        size stays the same; a reliable checkpoint a step cuts the plan.
+        """
+        kept = [c for c in states.columns if c not in ("state", "known", "months", "train_min", "train_max", "train_mean")]
+        now = states.withColumn("path", F.array().cast("array<double>")).checkpoint()
+        horizon = now.agg(F.max(F.size("months"))).first()[0] or 0
+        columns = now.columns
+        lo, hi = F.col("train_min") * K.GBT_MIN_FACTOR, F.col("train_max") * K.GBT_MAX_FACTOR
+        for i in range(horizon if self.model else 0):
+            at = self.indexer.transform(state_features(now.withColumn("annee_mois", F.get("months", F.lit(i))))).withColumn("_last", F.col("lag_1"))
+            scored = self.model.transform(self.assembler.transform(at.fillna(0.0, subset=list(GBT_FEATURES))))
+            yhat = F.when(F.col("complete"), F.greatest(lo, F.least(hi, F.col("_last") + F.col("prediction")))).otherwise(F.col("train_mean"))
+            shifted = F.concat(F.when(F.size("state") >= STATE_MONTHS, F.slice("state", 2, STATE_MONTHS)).otherwise(F.col("state")), F.array("yhat"))
+            moved = scored.withColumn("yhat", yhat).withColumns({
+                "path": F.when(F.size("months") > i, F.concat("path", F.array("yhat"))).otherwise(F.col("path")), "state": shifted, "known": F.col("known") + 1})
+            now = moved.select(columns).checkpoint()
+        told = now.select(*kept, F.explode(F.arrays_zip(F.col("months").alias("m"), F.col("path").alias("p"), F.sequence(F.lit(1), F.greatest(
+            F.size("months"), F.lit(1))).alias("s"))).alias("e")) if self.model else now.select(*kept, F.explode(F.array(
+                F.struct(F.lit(None).cast("date").alias("m"), F.lit(None).cast("double").alias("p"), F.lit(0).alias("s")))).alias("e")).limit(0)
+        return told.select(*kept, F.col("e.s").alias("step"), F.col("e.m").alias("annee_mois"), F.col("e.p").alias("yhat")).where("annee_mois IS NOT NULL")
+
+
+def forecast_states(panel: DataFrame, gate: DataFrame, target: str) -> DataFrame:
+    """(zone, state, known, months, train_min, train_max, train_mean) of the gated zones: what ``PooledTrees.roll`` starts from."""
+    months = test_steps(panel).groupBy("zone").agg(F.sort_array(F.collect_list("annee_mois")).alias("months"))
+    history = panel.where(F.col("split") == "train").select("zone", "annee_mois", target)
+    return (last_values(history, target).join(gate.select("zone", "train_min", "train_max", "train_mean"), "zone").join(months, "zone"))
+
+
 def gbt_forecast(panel: DataFrame, target: str = "prix_median_m2", max_iter: int = K.GBT_PARAMS["n_estimators"],
                  seed: int = K.GBT_PARAMS["seed"]):
     """Pooled gradient-boosted trees with recursive multi-step forecasts.
 
-    One Spark ML model for all zones (the zone is a nominal feature) instead
-    of a per-zone loop.  Features are leak-free (statistics over strictly
-    earlier months) and the label is the change from the previous month, which
-    trees can extrapolate where a level cannot.  The last 15 % of each zone's
-    complete rows is the validation set (W7) for the number of trees.  The
-    recursion predicts every zone's next test month in one distributed step,
-    clips to [0.7 min, 1.3 max] of the zone's train series, appends the
-    prediction to the history and cuts the lineage with a reliable checkpoint.
+    One Spark ML model for all zones (``PooledTrees``) instead of a per-zone
+    loop.  Features are leak-free (statistics over strictly earlier months).
     Zones that fail the gate or have too few complete rows get one row that
-    says so.
-
-    Returns ``(forecast, importances)`` DataFrames.
+    says so.  Returns ``(forecast, importances)`` DataFrames.
     """
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-
-    from realty_spark.operators.panel import chrono_split, panel_features
-    from realty_spark.session import ensure_checkpoint_dir
-
     spark = panel.sparkSession
-    ensure_checkpoint_dir(spark)
     all_zones = series_gate(panel, target)
     gate = all_zones.where(F.col("status") == "ok")
-    indexer = StringIndexer(inputCol="zone", outputCol="zone_idx", stringOrderType="alphabetAsc",
-                            handleInvalid="keep").fit(all_zones.select("zone"))
-    assembler = VectorAssembler(inputCols=list(GBT_FEATURES), outputCol="features")
-
-    def features(history: DataFrame) -> DataFrame:
-        return indexer.transform(panel_features(history, target, leak_free=True))
-
-    history = (panel.where(F.col("split") == "train").select("zone", "annee_mois", target)
-               .join(gate.select("zone"), "zone").checkpoint())
-    feats = features(history).where(F.col("complete"))
-    eligible = (feats.groupBy("zone").agg(F.count(F.lit(1)).alias("_rows"))
-                .where(F.col("_rows") >= K.MIN_FEATURE_ROWS).select("zone").checkpoint())
-    train = chrono_split(feats.join(eligible, "zone"), K.VALIDATION_SHARE) \
-        .withColumn("label", F.col(target) - F.col("lag_1"))
-    rows = assembler.transform(train).select("features", "label", "is_validation").checkpoint()
-    model = None if eligible.limit(1).count() == 0 else fit_trees(
-        rows, max_iter, K.GBT_PARAMS["early_stopping_rounds"], seed)
-
-    bounds = gate.select("zone", (F.col("train_min") * K.GBT_MIN_FACTOR).alias("_lo"),
-                         (F.col("train_max") * K.GBT_MAX_FACTOR).alias("_hi"),
-                         F.col("train_mean").alias("_mean")).checkpoint()
-    steps = test_steps(panel).join(eligible, "zone").checkpoint()
-    horizon = steps.agg(F.max("step")).first()[0] or 0
-    preds = spark.createDataFrame([], "zone string, annee_mois date, step int, yhat double")
-    hist = history.join(eligible, "zone")
-    for i in range(1, horizon + 1):
-        nxt = steps.where(F.col("step") == i).select("zone", "annee_mois")
-        frame = hist.unionByName(nxt.withColumn(target, F.lit(None).cast("double")))
-        f = features(frame).join(nxt, ["zone", "annee_mois"])
-        scored = model.transform(assembler.transform(f.fillna(0.0, subset=list(GBT_FEATURES)))) \
-            .select("zone", "annee_mois", "complete", "lag_1", "prediction")
-        step_rows = (scored.join(bounds, "zone")
-                     .select("zone", "annee_mois", F.lit(i).alias("step"),
-                             F.when(F.col("complete"), F.greatest(F.col("_lo"), F.least(
-                                 F.col("_hi"), F.col("lag_1") + F.col("prediction"))))
-                             .otherwise(F.col("_mean")).alias("yhat"))).checkpoint()
-        preds = preds.unionByName(step_rows)
-        hist = hist.unionByName(step_rows.select("zone", "annee_mois", F.col("yhat").alias(target)))
-    names = list(GBT_FEATURES)
+    history = panel.where(F.col("split") == "train").select("zone", "annee_mois", target).join(gate.select("zone"), "zone")
+    trees = PooledTrees(history, all_zones, target, max_iter, seed)
+    preds = trees.roll(forecast_states(panel, gate, target).join(trees.eligible, "zone"))
+    names, model = list(GBT_FEATURES), trees.model
     imp = [(names[j], float(v)) for j, v in enumerate(model.featureImportances.toArray())] if model else []
     importances = spark.createDataFrame(imp, "feature string, importance double")
     told = preds.select("zone", "annee_mois", "step", "yhat", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("message"))
-    few = (gate.join(eligible, "zone", "left_anti").select("zone", F.lit("skipped").alias("status"),
-                                                           F.lit("too few complete feature rows").alias("message")))
+    few = (gate.join(trees.eligible, "zone", "left_anti").select("zone", F.lit("skipped").alias("status"),
+                                                                 F.lit("too few complete feature rows").alias("message")))
     left_out = all_zones.where(F.col("status") != "ok").select("zone", "status", F.col("reason").alias("message")).unionByName(few)
     forecast_df = told.unionByName(left_out, allowMissingColumns=True).withColumn(
         "nb_arbres", F.lit(model.getNumTrees if model else None).cast("int"))

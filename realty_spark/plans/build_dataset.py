@@ -8,6 +8,7 @@ partitioned by year, sorted by date within files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,8 @@ from realty_spark import constants as K
 from realty_spark.functions.dates import add_calendar
 from realty_spark.functions.parse import nan_to_null, parse_date, parse_locale_number
 from realty_spark.operators import clean, district
+from realty_spark.operators.quantiles import BROADCAST_ROWS
+from realty_spark.session import ensure_checkpoint_dir, scratch_path
 
 
 def parse_numbers(df: DataFrame, columns: Iterable[str] = K.GEO_NUMERIC, strict: bool = False) -> DataFrame:
@@ -51,12 +54,30 @@ def prepare_sales(raw: DataFrame, departments: Iterable[str] | None = K.IDF_DEPA
     return clean.price_filter(clean.with_price_m2(clean.quality_filter(df)))
 
 
+def land_sales(sales: DataFrame, by: str = "quartier_detaille", buckets: int | None = None) -> DataFrame:
+    """``sales`` written once into the checkpoint folder as a table bucketed by district, and read back.
+
+    Medians, first medians and joins on the district find the rows of a
+    district together, so they shuffle no sale again.
+    """
+    spark = sales.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"sales_{uuid.uuid4().hex}"
+    sales.write.option("path", scratch_path(spark, "sales")).bucketBy(buckets, by).saveAsTable(name)
+    return spark.table(name)
+
+
 def build_dataset(raw: DataFrame, departments: Iterable[str] | None = K.IDF_DEPARTMENTS,
                   capital: str = K.CAPITAL_DEPARTMENT, capital_label: str = K.CAPITAL_LABEL,
-                  date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Cleaned sales with district labels, the (district, quarter) median and the % gap."""
+                  date_format: str = "yyyy-MM-dd", landed: bool = False) -> DataFrame:
+    """Cleaned sales with district labels, the (district, quarter) median and the % gap; ``landed``: by way of ``land_sales``."""
     sales = district.label_districts(prepare_sales(raw, departments, date_format), capital, capital_label)
+    sales = land_sales(sales) if landed else sales
     medians = district.district_quarter_median(sales)
+    if landed:  # a row per district and quarter, counted before it may be broadcast
+        ensure_checkpoint_dir(sales.sparkSession)
+        medians = medians.checkpoint()
+        medians = F.broadcast(medians) if medians.count() <= BROADCAST_ROWS else medians
     return district.attach_median(sales, medians)
 
 

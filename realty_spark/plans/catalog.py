@@ -18,7 +18,8 @@ from realty_spark.sources.proxy import (
     PROXY_DEPARTMENTS, PROXY_TEST_YEARS, PROXY_TRAIN_YEARS, proxy_sales, proxy_sales_sql,
 )
 from realty_spark import constants as K
-from realty_spark.operators import clean, panel
+from realty_spark.functions.distributions import NORMAL_QUANTILE
+from realty_spark.operators import clean, forecast, panel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,7 +108,7 @@ from realty_spark.sources.proxy import (  # noqa: E402
 
 def built(spark, sf_dir, zone_level="region"):
     raw = proxy_sales(spark, sf_dir, zone_level)
-    return B.build_dataset(raw, PROXY_DEPARTMENTS, capital=PROXY_CAPITAL)
+    return B.build_dataset(raw, PROXY_DEPARTMENTS, capital=PROXY_CAPITAL, landed=True)
 
 
 def labelled(spark, sf_dir):
@@ -121,8 +122,13 @@ def train_rows(spark, sf_dir):
     The reports on these rows read no median, and adding or imputing medians
     keeps every row, so the median job is left out of their plans.
     """
+    return typed_rows(spark, sf_dir).where(F.col("split") == "train")
+
+
+def typed_rows(spark, sf_dir):
+    """Cleaned, typed rows of both splits, without the district medians."""
     ds = clean.convert_types(clean.drop_columns(labelled(spark, sf_dir), K.CLEAN_DROP_COLUMNS), analysis=True)
-    return clean.split_by_year(ds, PROXY_TRAIN_YEARS, PROXY_TEST_YEARS).where(F.col("split") == "train")
+    return clean.split_by_year(ds, PROXY_TRAIN_YEARS, PROXY_TEST_YEARS).where(F.col("split").isNotNull())
 
 
 _LABELS_SQL = f"""
@@ -279,8 +285,7 @@ SELECT py.split, py.annee, py.nb_annee, ps2.nb_lignes, {r6('ps2.cible_moyenne')}
 FROM py JOIN ps2 USING (split)""")
 def q_split_summary(spark, sf_dir):
     """Rows per split and year, split share, target mean/min/max."""
-    ds = clean.split_by_year(B.clean_dataset(built(spark, sf_dir)), PROXY_TRAIN_YEARS, PROXY_TEST_YEARS)
-    return profile.split_summary(ds)
+    return profile.split_summary(typed_rows(spark, sf_dir))
 
 
 _NULL_COLS = ("date_mutation", "code_departement", "nom_commune", "code_postal", "valeur_fonciere",
@@ -458,10 +463,23 @@ def q_jarque_bera(spark, sf_dir):
     return association.jarque_bera(train_rows(spark, sf_dir), PROXY_NUMERIC)
 
 
+ROW_KEY = ("l_orderkey", "l_linenumber")
+
+
 @register("shapiro")
 def q_shapiro(spark, sf_dir):
     """Shapiro-Wilk W and p (Royston) on a seeded bounded sample per numeric column."""
-    return association.shapiro(train_rows(spark, sf_dir), PROXY_NUMERIC)
+    return association.shapiro(train_rows(spark, sf_dir), PROXY_NUMERIC, row_key=ROW_KEY)
+
+
+@register("shapiro_sample", sql=f"""{_TRAIN_SQL},
+long AS ({_long_sql(PROXY_NUMERIC, keep='prix_m2, l_orderkey, l_linenumber')}),
+r AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY md5(l_orderkey || '|' || l_linenumber || '|42'), l_orderkey, l_linenumber) AS rk
+      FROM long WHERE value IS NOT NULL AND NOT isnan(value) AND prix_m2 IS NOT NULL)
+SELECT variable, l_orderkey, l_linenumber, {r6('value')} AS x FROM r WHERE rk <= {K.SHAPIRO_MAX_SAMPLE}""")
+def q_shapiro_sample(spark, sf_dir):
+    """The rows that the Shapiro-Wilk test draws per numeric column: at most 5,000 of least seeded hash."""
+    return association.shapiro_sample(train_rows(spark, sf_dir), PROXY_NUMERIC, row_key=ROW_KEY)
 
 
 def f_sf_sql(f: str, d1: str, d2: str) -> str:
@@ -538,7 +556,7 @@ def q_assoc_report(spark, sf_dir):
 @register("correlation_report")
 def q_correlation_report(spark, sf_dir):
     """Pearson, Spearman with two-sided p-values and the Shapiro normal flag per numeric column (H3-H5)."""
-    return association.correlation_report(train_rows(spark, sf_dir), PROXY_NUMERIC)
+    return association.correlation_report(train_rows(spark, sf_dir), PROXY_NUMERIC, row_key=ROW_KEY)
 
 
 # --------------------------------------------------------- panels ----------
@@ -753,6 +771,43 @@ def q_forecast_guard(spark, sf_dir):
     return evaluate.forecast_guard(drift_forecast(p, "prix_median_m2"), gate, fb, kind="price")
 
 
+@register("volume_guard", sql=f"""WITH {_EVAL_CTE},
+vs AS (SELECT zone, min(nb_transactions) AS lo, max(nb_transactions) AS hi, count(*) AS n, arg_max(nb_transactions, annee_mois) AS l,
+              arg_min(nb_transactions, annee_mois) AS f FROM p WHERE split = 'train' GROUP BY 1),
+vr AS (SELECT zone, nb_transactions AS v, row_number() OVER (PARTITION BY zone ORDER BY annee_mois DESC) AS rk FROM p WHERE split = 'train'),
+vf AS (SELECT zone, CASE WHEN count(*) = 6 THEN avg(v) END AS fb FROM vr WHERE rk <= 6 GROUP BY 1),
+g AS (SELECT te.zone, te.step, 8 * (vs.l + te.step * (vs.l - vs.f) / CAST(NULLIF(vs.n - 1, 0) AS DOUBLE)) * (te.step % 2 - 0.4::DOUBLE) AS yhat, vf.fb, vs.hi
+      FROM te JOIN vs USING (zone) LEFT JOIN vf USING (zone) WHERE te.zone <> 'Dept ASIA'
+      UNION ALL SELECT te.zone, te.step, vs.l + te.step * (vs.l - vs.f) / CAST(NULLIF(vs.n - 1, 0) AS DOUBLE), vf.fb, vs.hi
+      FROM te JOIN vs USING (zone) LEFT JOIN vf USING (zone) WHERE te.zone = 'Dept ASIA'),
+h AS (SELECT *, max(CAST(coalesce(NOT isfinite(yhat) OR abs(yhat) > hi * 3.0, true) AS INTEGER)) OVER (PARTITION BY zone) = 1 AS fallback FROM g)
+SELECT zone, CAST(step AS INTEGER) AS step, {r6('yhat')} AS yhat_brut, fallback,
+       CASE WHEN (CASE WHEN fallback THEN fb ELSE yhat END) IS NOT NULL THEN {r6('greatest(0.0, least(hi * 3.0, CASE WHEN fallback THEN fb ELSE yhat END))')} END AS yhat
+FROM h""")
+def q_volume_guard(spark, sf_dir):
+    """Volume sanity guard on a drift forecast that is made to swing in all zones but one: whole-horizon fallback beyond three times the maximum."""
+    target, p = "nb_transactions", split_panel_proxy(spark, sf_dir)
+    swing = F.when(F.col("zone") == "Dept ASIA", F.lit(1.0)).otherwise(8 * (F.col("step") % 2 - F.lit(0.4)))
+    fc = drift_forecast(p, target).withColumn("yhat", F.col("yhat") * swing)
+    return evaluate.forecast_guard(fc, panel.series_gate(p, target), panel.fallback_forecast(p, target), kind="volume")
+
+
+@register("unguarded_metrics", sql=f"""WITH {_EVAL_CTE},
+zz AS (SELECT model, zone, CASE WHEN step = 1 AND zone = 'Dept ASIA' THEN 0.0 ELSE y END AS y, yhat FROM both_)
+SELECT model, zone, count(*) AS n, {r6('sqrt(avg((y - yhat) * (y - yhat)))')} AS rmse, {r6('avg(abs(y - yhat))')} AS mae,
+       CASE WHEN count(*) FILTER (WHERE y = 0) > 0 THEN CAST('inf' AS DOUBLE) ELSE {r6('avg(CASE WHEN y <> 0 THEN abs((y - yhat) / y) END) * 100')} END AS mape,
+       {r6('CASE WHEN var_pop(y) * count(y) > 0 THEN 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y)) WHEN sum((y - yhat) * (y - yhat)) = 0 THEN 1.0 ELSE 0.0 END')} AS r2
+FROM zz GROUP BY 1, 2""")
+def q_unguarded_metrics(spark, sf_dir):
+    """Zone metrics with the unguarded MAPE, which a zero actual (put into one zone's first month) makes infinite."""
+    p, _, fb = _eval_base(spark, sf_dir)
+    rows = [evaluate.align_forecast(fc, p, "prix_median_m2").withColumn("model", F.lit(name))
+            for name, fc in (("fallback", fb), ("drift", drift_forecast(p, "prix_median_m2")))]
+    zero = (F.col("step") == 1) & (F.col("zone") == "Dept ASIA")
+    both = rows[0].unionByName(rows[1]).withColumn("y", F.when(zero, F.lit(0.0)).otherwise(F.col("y")))
+    return evaluate.regression_metrics(both, ["model", "zone"], mape_zero="propagate")
+
+
 @register("regression_metrics", sql=f"""WITH {_EVAL_CTE}
 SELECT 'fallback' AS model, 'TEST' AS dataset, count(*) AS n, {r6('sqrt(avg((y - yhat) * (y - yhat)))')} AS rmse,
        {r6('avg(abs(y - yhat))')} AS mae,
@@ -895,6 +950,30 @@ def q_dataset_round_trip(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum("prix_m2").alias("prix"), F.sum("prix_median_m2").alias("mediane"))
 
 
+@register("split_round_trip", sql=f"""
+WITH {_clean_cte()}, {_LABELS_SQL}
+SELECT split, annee, count(*) AS n, {r6('sum(prix_m2)')} AS prix FROM tr WHERE split IS NOT NULL GROUP BY 1, 2""")
+def q_split_round_trip(spark, sf_dir):
+    """Cleaned rows written with their split, one folder per split, and read back."""
+    path = scratch_path(spark, "splits")
+    readers.write_splits(typed_rows(spark, sf_dir), path)
+    return readers.read_dataset(spark, path).groupBy("split", "annee").agg(F.count(F.lit(1)).alias("n"), F.sum("prix_m2").alias("prix"))
+
+
+@register("schema_null_profile", sql=f"""{_TRAIN_SQL}
+""" + "\nUNION ALL\n".join(f"SELECT '{kind}' AS nature, '{c}' AS variable, count(*) FILTER (WHERE {c} IS NULL) AS nb_null FROM t"
+                            for kind, cs in (("numeriques", ("valeur_fonciere", "surface_reelle_bati", "nombre_pieces_principales", "l_discount", "l_tax",
+                                                             "p_retailprice", "l_orderkey", "l_linenumber", "annee", "prix_m2")),
+                                             ("dates", ("date_mutation", "annee_date"))) for c in cs))
+def q_schema_null_profile(spark, sf_dir):
+    """Null counts of the columns that the schema classifies as numbers and dates (P10, A5)."""
+    rows = train_rows(spark, sf_dir)
+    kinds = clean.classify_columns(rows)
+    nature = {c: kind for kind in ("numeriques", "dates") for c in kinds[kind]}
+    counts = profile.null_profile(rows, list(nature))
+    return counts.withColumn("nature", F.element_at(F.create_map(*[F.lit(x) for c, k in nature.items() for x in (c, k)]), F.col("variable")))
+
+
 @register("metrics_round_trip", sql=f"""WITH {_EVAL_CTE},
 a AS (SELECT zone, rmse AS rmse_a FROM zm WHERE model = 'fallback'),
 b AS (SELECT zone, rmse AS rmse_b FROM zm WHERE model = 'drift')
@@ -910,7 +989,7 @@ def q_metrics_round_trip(spark, sf_dir):
 
 
 # ------------------------------------------------------- chart data --------
-from realty_spark.operators import chartdata  # noqa: E402
+from realty_spark.operators import chartdata, intervals  # noqa: E402
 
 _NUM_LONG = f"""{_TRAIN_SQL}, long AS ({_long_sql(PROXY_NUMERIC)}),
 l AS (SELECT * FROM long WHERE value IS NOT NULL AND NOT isnan(value))"""
@@ -1028,7 +1107,44 @@ def q_residual_histogram(spark, sf_dir):
     return chartdata.histogram(_residuals(spark, sf_dir), ["residu"])
 
 
-@register("qq_points")
+def _grid_sql(name: str, x: str, y: str, same_range: bool = False) -> str:
+    ends = f"least(min({x}), min({y})) AS lx, greatest(max({x}), max({y})) AS hx, least(min({x}), min({y})) AS ly, greatest(max({x}), max({y})) AS hy" \
+        if same_range else f"min({x}) AS lx, max({x}) AS hx, min({y}) AS ly, max({y}) AS hy"
+    return f"""{_RESIDUALS},
+r AS (SELECT {ends} FROM e),
+b AS (SELECT CASE WHEN hx > lx THEN least(floor(({x} - lx) / ((hx - lx) / 50)), 49) ELSE 0 END AS bx,
+             CASE WHEN hy > ly THEN least(floor(({y} - ly) / ((hy - ly) / 50)), 49) ELSE 0 END AS byy FROM e, r)
+SELECT '{name}' AS graphique, CAST(bx AS INTEGER) AS bin_x, CAST(byy AS INTEGER) AS bin_y, count(*) AS count FROM b GROUP BY 2, 3"""
+
+
+@register("predicted_vs_actual", sql=_grid_sql("predit_reel", "reel", "prevu", same_range=True))
+def q_predicted_vs_actual(spark, sf_dir):
+    """Counts of predicted against actual price on one range for both axes, the square around y = x (V3)."""
+    return chartdata.prediction_grids(_residuals(spark, sf_dir), "reel", "prevu").where("graphique = 'predit_reel'")
+
+
+@register("residual_vs_predicted", sql=_grid_sql("residu_predit", "prevu", "residu"))
+def q_residual_vs_predicted(spark, sf_dir):
+    """Counts of residual against predicted price (V3)."""
+    return chartdata.prediction_grids(_residuals(spark, sf_dir), "reel", "prevu").where("graphique = 'residu_predit'")
+
+
+def _norm_ppf_sql(p: str) -> str:
+    """Wichura's rational functions in SQL, for probabilities that are not in the far tails."""
+    def ratio(part, r):
+        above, below = NORMAL_QUANTILE[part]
+        poly = lambda cs: " + ".join(f"{c!r}::DOUBLE * pow({r}, {k})" for k, c in enumerate(cs))
+        return f"(({poly(above)}) / ({poly(below)}))"
+    q, r = f"({p} - 0.5)", f"(sqrt(-ln(least({p}, 1 - {p}))) - 1.6)"
+    return f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {ratio('middle', f'(0.180625 - {q} * {q})')} ELSE sign({q}) * {ratio('tail', r)} END"
+
+
+@register("qq_points", sql=f"""{_RESIDUALS},
+pr AS (SELECT (i + 0.5::DOUBLE) / 200 AS prob, i FROM range(0, 200) r(i)),
+sq AS (SELECT quantile_cont(residu, list_transform(range(0, 200), lambda i: (i + 0.5::DOUBLE) / 200)) AS v FROM e),
+qp AS (SELECT pr.prob, sq.v[i + 1] AS sample_q, {_norm_ppf_sql('pr.prob')} AS theoretical_q FROM pr, sq)
+SELECT {r6('prob')} AS prob, {r6('sample_q')} AS sample_q, {r6('theoretical_q')} AS theoretical_q,
+       {r6('(SELECT regr_slope(sample_q, theoretical_q) FROM qp)')} AS pente, {r6('(SELECT regr_intercept(sample_q, theoretical_q) FROM qp)')} AS ordonnee FROM qp""")
 def q_qq_points(spark, sf_dir):
     """Normal Q-Q data of the district-median predictor residuals on a 200-point grid (V7)."""
     ds = district.impute_median(clean.drop_columns(built(spark, sf_dir), ["annee_trimestre"]))
@@ -1036,19 +1152,82 @@ def q_qq_points(spark, sf_dir):
     return chartdata.qq_points(res, "residu")
 
 
-@register("forecast_overview", sql=f"""WITH {_EVAL_CTE},
-fc AS (SELECT te.zone, te.annee_mois, fbm.yhat FROM te JOIN fbm USING (zone))
-SELECT zone, annee_mois, 'historique' AS kind, {r6('prix_median_m2')} AS value FROM p WHERE split = 'train'
-UNION ALL SELECT zone, annee_mois, 'reel' AS kind, {r6('prix_median_m2')} AS value FROM p WHERE split = 'test'
-UNION ALL SELECT zone, annee_mois, 'prevision' AS kind, {r6('yhat')} AS value FROM fc""")
+_INTERVAL_SQL = f"""okz AS (SELECT st.zone, st.n FROM st WHERE st.n >= {K.MIN_TRAIN_MONTHS} AND EXISTS (SELECT 1 FROM te WHERE te.zone = st.zone)),
+hz AS (SELECT max(step) AS h FROM te),
+cu AS (SELECT zone, n, unnest(range(1, h + {intervals.FOLDS})) AS cut, h FROM okz, hz),
+es AS (SELECT zone, n, cut, unnest(range(1, least(cut, h) + 1)) AS step FROM cu WHERE n - cut >= {K.MIN_TRAIN_MONTHS}),
+ey AS (SELECT es.*, tr.prix_median_m2 AS y FROM es JOIN tr ON tr.zone = es.zone AND tr.rk = es.cut - es.step + 1),
+bm AS (SELECT cu.zone, cu.cut, avg(tr.prix_median_m2) AS m FROM cu JOIN tr ON tr.zone = cu.zone AND tr.rk BETWEEN cu.cut + 1 AND cu.cut + 6 GROUP BY 1, 2),
+er AS (SELECT 'fallback' AS model, ey.zone, ey.cut, ey.step, abs(ey.y - bm.m) AS e FROM ey JOIN bm USING (zone, cut)
+       UNION ALL SELECT 'drift', ey.zone, ey.cut, ey.step,
+              abs(ey.y - (l.prix_median_m2 + ey.step * (l.prix_median_m2 - st.first_) / NULLIF(ey.n - ey.cut - 1, 0)))
+       FROM ey JOIN tr l ON l.zone = ey.zone AND l.rk = ey.cut + 1 JOIN st ON st.zone = ey.zone),
+ek AS (SELECT *, row_number() OVER (PARTITION BY model, zone, step ORDER BY cut) AS k FROM er WHERE e IS NOT NULL),
+hw AS (SELECT model, zone, step, count(*) AS nb_essais, list(e ORDER BY e)[CAST(ceil((count(*) + 1) * CAST({intervals.WIDTH} AS DOUBLE)) AS BIGINT)] AS demi
+       FROM ek WHERE k <= {intervals.FOLDS} GROUP BY 1, 2, 3),
+tm AS (SELECT zone, annee_mois, row_number() OVER ({_FEAT_W}) AS step FROM p WHERE split = 'test'),
+fi AS (SELECT b.model, b.zone, b.step, tm.annee_mois, b.yhat, b.yhat - demi AS lo, b.yhat + demi AS hi, coalesce(nb_essais, 0) AS nb_essais
+       FROM both_ b JOIN tm ON tm.zone = b.zone AND tm.step = b.step LEFT JOIN hw ON hw.model = b.model AND hw.zone = b.zone AND hw.step = b.step)"""
+
+
+def _two_models(spark, sf_dir):
+    """Panel, forecasts of the fallback and drift models with intervals, and their test metrics."""
+    target = "prix_median_m2"
+    p = split_panel_proxy(spark, sf_dir).checkpoint()  # a row per zone and month, read by every model and origin
+    models = {"fallback": panel.fallback_forecast, "drift": drift_forecast}
+    made, scores = [], []
+    for name, model in models.items():
+        fc = model(p, target).withColumn("model", F.lit(name))
+        made.append(fc.select("model", "zone", "step", "annee_mois", "yhat"))
+        scores.append(evaluate.align_forecast(fc, p, target).withColumn("model", F.lit(name)))
+    tested = intervals.back_test_panel(p, target, intervals.horizon_of(p))
+    widths = intervals.half_widths(intervals.per_zone_back_tests(tested, models, target))
+    metrics = evaluate.regression_metrics(scores[0].unionByName(scores[1]), ["model", "zone"])
+    return p, intervals.with_intervals(made[0].unionByName(made[1]), widths), metrics
+
+
+@register("forecast_intervals", sql=f"""WITH {_EVAL_CTE}, {_INTERVAL_SQL}
+SELECT model, zone, CAST(step AS INTEGER) AS step, annee_mois, {r6('yhat')} AS yhat, {r6('lo')} AS lo, {r6('hi')} AS hi,
+       CAST(nb_essais AS INTEGER) AS nb_essais FROM fi""")
+def q_forecast_intervals(spark, sf_dir):
+    """Fallback and drift forecasts with 80 % intervals from rolling-origin back-tests (V8, M9)."""
+    return _two_models(spark, sf_dir)[1]
+
+
+@register("forecast_overview", sql=f"""WITH {_EVAL_CTE}, {_INTERVAL_SQL},
+bz AS (SELECT model, arg_min(zone, (mape, zone)) AS zone FROM zm WHERE mape IS NOT NULL GROUP BY 1)
+SELECT NULL AS model, zone, annee_mois, CASE WHEN split = 'train' THEN 'historique' ELSE 'reel' END AS kind, {r6('prix_median_m2')} AS value,
+       CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, CAST(NULL AS BOOLEAN) AS meilleure_zone FROM p
+UNION ALL SELECT fi.model, fi.zone, annee_mois, 'prevision', {r6('yhat')}, {r6('lo')}, {r6('hi')}, bz.zone IS NOT NULL
+FROM fi LEFT JOIN bz ON bz.model = fi.model AND bz.zone = fi.zone""")
 def q_forecast_overview(spark, sf_dir):
-    """Per-zone history / actual / forecast long table for the overview figure (V8)."""
-    p, gate, fb = _eval_base(spark, sf_dir)
-    return chartdata.forecast_overview(p, fb, "prix_median_m2")
+    """Per-zone history, actual and forecasts of the simple models with intervals and the best zone, for the overview figure (V8)."""
+    p, forecasts, metrics = _two_models(spark, sf_dir)
+    return chartdata.forecast_overview(p, forecasts, intervals.best_zones(metrics), "prix_median_m2")
+
+
+@register("forecast_overview_models")
+def q_forecast_overview_models(spark, sf_dir):
+    """The overview with the seasonal ARIMA, seasonal-trend and boosted-tree forecasts, each with back-tested intervals (V8, M9)."""
+    target = "prix_median_m2"
+    p = split_panel_proxy(spark, sf_dir, extended=True).checkpoint()
+    tested = intervals.back_test_panel(p, target, intervals.horizon_of(p)).checkpoint()
+    made = {"sarima": (forecast.sarima_forecast(p, target), intervals.sarima_back_test(tested, target)),
+            "tendance_saison": (forecast.seasonal_trend_forecast(p, target), forecast.seasonal_trend_forecast(tested, target)),
+            "arbres": (forecast.gbt_forecast(p, target)[0], intervals.trees_back_test(tested, target))}
+    rows, errors, scores = [], [], []
+    for name, (fc, back) in made.items():
+        fc = fc.where("step IS NOT NULL").select("zone", "step", "annee_mois", "yhat").checkpoint()
+        rows.append(fc.withColumn("model", F.lit(name)))
+        errors.append(intervals.back_test_errors(back, tested, target).withColumn("model", F.lit(name)))
+        scores.append(evaluate.align_forecast(fc, p, target).withColumn("model", F.lit(name)))
+    forecasts = intervals.with_intervals(readers.union_periods(rows), intervals.half_widths(readers.union_periods(errors)))
+    metrics = evaluate.regression_metrics(readers.union_periods(scores), ["model", "zone"])
+    return chartdata.forecast_overview(p, forecasts, intervals.best_zones(metrics), target)
 
 
 # ---------------------------------------------------------- models ---------
-from realty_spark.operators import forecast  # noqa: E402
+
 
 
 @register("sarima_grid")

@@ -73,7 +73,7 @@ def proxy_sales(spark: SparkSession, sf_dir: str, zone_level: str = "region",
         F.col("l_quantity").alias("surface_reelle_bati"),
         F.col("p_size").cast("double").alias("nombre_pieces_principales"),
         "l_returnflag", "o_orderstatus", "c_mktsegment", "o_orderpriority", "p_type", "p_brand",
-        "l_discount", "l_tax", "p_retailprice", "l_linenumber",
+        "l_discount", "l_tax", "p_retailprice", "l_orderkey", "l_linenumber",
     )
 
 
@@ -91,7 +91,7 @@ SELECT CAST(o.o_orderdate AS DATE) AS date_mutation,
        l.l_quantity AS surface_reelle_bati,
        CAST(p.p_size AS DOUBLE) AS nombre_pieces_principales,
        l.l_returnflag, o.o_orderstatus, c.c_mktsegment, o.o_orderpriority, p.p_type, p.p_brand,
-       l.l_discount, l.l_tax, p.p_retailprice, l.l_linenumber
+       l.l_discount, l.l_tax, p.p_retailprice, l.l_orderkey, l.l_linenumber
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey

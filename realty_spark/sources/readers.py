@@ -8,8 +8,10 @@ stacked by name.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,26 +35,35 @@ METRICS_SCHEMA = ("model string, dataset string, zone string, n long, rmse doubl
                   "r2 double, mape double, params map<string,string>")
 
 
-def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The files of the given paths (one row per file; contents are not read)."""
-    listed = spark.read.format("binaryFile").load(list(paths)).select("path").collect()
-    return sorted(r["path"] for r in listed)
+def header_catalogue(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header): the first line of every file of the paths, from one distributed job.
+
+    The files' lines are read as raw text; of those in a file's first block
+    the earliest is kept, map-side combined, so a row per file is shuffled.
+    """
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"))
+    first = lines.withColumn("_at", F.monotonically_increasing_id()).where(F.col("_block") == 0)
+    return first.groupBy("path").agg(F.min_by("value", "_at").alias("header"))
+
+
+def _fields(header: str, sep: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([header.lstrip("\ufeff")], delimiter=sep), ()))
 
 
 def _read_by_name(spark: SparkSession, paths: Sequence[str], sep: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of all files, each file matched by its own header; a column that a file lacks is NULL there.
 
-    Files with equal headers are one scan with that header as explicit string
-    schema, checked against each file (``enforceSchema`` off).
+    Files are grouped by their headers (``header_catalogue``: a row per file
+    comes to the driver); a group is one scan with its header as explicit
+    string schema, so the number of jobs doesn't follow the number of files.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in _files(spark, paths):
-        line = spark.read.option("header", True).option("sep", sep).csv(path).columns  # the header alone is read
-        groups.setdefault(tuple(line), []).append(path)
+    for row in header_catalogue(spark, paths).orderBy("path").collect():
+        groups.setdefault(_fields(row["header"], sep), []).append(unquote(row["path"]))
     frames = []
     for header, files in groups.items():
         schema = StructType([StructField(c, StringType()) for c in header])
-        frame = spark.read.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", False).csv(files)
+        frame = spark.read.schema(schema).option("header", True).option("sep", sep).csv(files)
         frames.append(frame.select([F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns]))
     if not frames:
         return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))
@@ -110,5 +121,5 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-__all__ = ["read_geo_csv", "read_raw_txt", "canonical_raw", "read_dataset", "union_periods", "write_metrics",
+__all__ = ["header_catalogue", "read_geo_csv", "read_raw_txt", "canonical_raw", "read_dataset", "union_periods", "write_metrics",
            "read_metrics", "write_splits"]

@@ -4,11 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from realty_spark.plans import catalog
 from tests.conftest import SF_SMALL
 
-FAST = ["monthly_panel", "clean_sales", "district_quarter_median", "impute_median", "numeric_profile",
-        "kruskal_h", "spearman_target", "panel_features", "zone_metrics", "boxplot", "segment_errors",
-        "ingest_geo_csv", "ingest_raw_txt", "dataset_round_trip", "metrics_round_trip", "residual_histogram"]
+PAIRS = sorted(catalog.ORACLE)
 TABLES = "region nation customer supplier part orders lineitem".split()
 
 
@@ -43,7 +42,7 @@ def test_every_query_has_docstring():
         assert fn.__doc__, name
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", PAIRS)
 def test_oracle_pair(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)

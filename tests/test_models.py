@@ -126,22 +126,22 @@ def test_shapiro_normal_vs_skewed():
 
 def test_row_sample_is_bounded_seeded_and_takes_ties_one_by_one(spark):
     df = spark.range(60000).selectExpr("CASE WHEN id % 3 = 0 THEN 'unique' WHEN id % 3 = 1 THEN 'seven' ELSE 'small' END AS variable",
-                                       "CAST(CASE WHEN id % 3 = 0 THEN id WHEN id % 3 = 1 THEN id % 7 ELSE id END AS DOUBLE) AS x"
+                                       "CAST(CASE WHEN id % 3 = 0 THEN id WHEN id % 3 = 1 THEN id % 7 ELSE id END AS DOUBLE) AS x", "id"
                                        ).where("variable <> 'small' OR x < 200")
-    a = association.row_sample(df, ["variable"], size=500, seed=3).collect()
+    a = association.row_sample(df, ["variable"], ["id"], size=500, seed=3).collect()
     by = {}
     for r in a:
         by.setdefault(r.variable, []).append(r.x)
     assert {k: len(v) for k, v in by.items()} == {"unique": 500, "seven": 500, "small": 66}
     assert len(set(by["seven"])) == 7 and max(by["seven"].count(v) for v in range(7)) < 150
-    b = association.row_sample(df, ["variable"], size=500, seed=3).collect()
+    b = association.row_sample(df.repartition(7), ["variable"], ["id"], size=500, seed=3).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
 def test_sample_plan_joins_by_broadcast(spark):
-    df = spark.range(1000).selectExpr("CAST(id % 2 AS STRING) AS variable", "CAST(id AS DOUBLE) AS x")
-    plan = association.row_sample(df, ["variable"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    df = spark.range(100_000).selectExpr("CAST(id % 2 AS STRING) AS variable", "CAST(id AS DOUBLE) AS x", "id")
+    plan = association.row_sample(df, ["variable"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ExistingRDD" not in plan  # no checkpoint
 
 
 def test_large_degrees_of_freedom(spark):
@@ -264,3 +264,18 @@ def test_order_search_has_one_python_node_and_flags_one_best(spark):
         if r.zone == "a" and r.aic is not None:
             fit = forecast.fit_sarima(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq), scored=forecast.common_sample(72))
             assert abs(fit["aic"] - r.aic) < 1e-4 * abs(fit["aic"])
+
+
+def test_state_features_equal_the_panels(spark):
+    from realty_spark.operators.panel import panel_features
+    rng, rows = np.random.default_rng(6), []
+    for z, n in (("long", 40), ("short", 9)):
+        rows += [(z, dt.date(2000 + i // 12, i % 12 + 1, 1), None if (z, i) == ("long", 35) else float(rng.normal(100, 9))) for i in range(n)]
+    history = spark.createDataFrame(rows, "zone string, annee_mois date, prix_median_m2 double")
+    nxt = spark.createDataFrame([("long", dt.date(2003, 5, 1), None), ("short", dt.date(2000, 10, 1), None)], history.schema)
+    want = {r.zone: r for r in panel_features(history.unionByName(nxt), leak_free=True).join(nxt.select("zone", "annee_mois"), ["zone", "annee_mois"]).collect()}
+    got = forecast.state_features(forecast.last_values(history, "prix_median_m2").join(nxt.select("zone", "annee_mois"), "zone")).collect()
+    for r in got:
+        for c in forecast.GBT_FEATURES[1:] + ("complete",):
+            a, b = r[c], want[r.zone][c]
+            assert (a is None) == (b is None) and (a is None or math.isclose(a, b, rel_tol=1e-9)), (r.zone, c, a, b)

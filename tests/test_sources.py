@@ -22,7 +22,7 @@ def test_geo_csv_and_raw_txt(spark):
     columns = ["date_mutation", "code_departement", "valeur_fonciere", "surface_reelle_bati", "nombre_pieces_principales",
                "code_postal", "nom_commune", "numero_volume"]
     geo = readers.read_geo_csv(spark, [d + "/DVF_202*.csv"], columns)
-    out = B.build_dataset(geo, partitions=2).collect()
+    out = B.build_dataset(geo).collect()
     assert len(out) == 2                                  # Marseille is outside the department list
     paris = [r for r in out if r.code_departement == "75"][0]
     assert paris.valeur_fonciere == 250000.5 and paris.quartier_detaille == "Paris 05e"
@@ -57,3 +57,28 @@ def test_dataset_write_spreads_a_busy_date(spark, tmp_path):
     B.write_dataset(df, path, partitions=4)
     back = readers.read_dataset(spark, path)
     assert back.count() == 4000 and len(os.listdir(os.path.join(path, "annee=2024"))) >= 6
+
+
+def test_headers_of_many_files_take_as_many_jobs_as_of_few(spark, tmp_path):
+    jobs = {}
+    for n in (4, 200):
+        d = tmp_path / f"files {n}"
+        d.mkdir()
+        for i in range(n):
+            names = [["a", "b", "c"], ["c", "a"]][i % 2]
+            (d / f"part {i:03d}.csv").write_text(",".join(names) + "\n" + ",".join(f"{x}{i}" for x in names) + "\n")
+        spark.sparkContext.setJobGroup(f"headers {n}", "")
+        df = readers.read_geo_csv(spark, [str(d)], ["a", "b", "c"])
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers {n}"))
+        got = {(r.a, r.b, r.c) for r in df.collect()}
+        assert got == {(f"a{i}", None if i % 2 else f"b{i}", f"c{i}") for i in range(n)}
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs[200] <= jobs[4] + 2  # a longer list of files is listed by a job of its own
+
+
+def test_headers_with_quotes_marks_and_long_bodies(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\ufeffx,\"y, z\"\n" + "1,2\n" * 30_000)
+    (tmp_path / "b.csv").write_text("\"y, z\",x\n4,3\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = readers.read_geo_csv(spark, [str(tmp_path)], ["x", "y, z"]).groupBy("x", "y, z").count().collect()
+    assert {tuple(r) for r in got} == {("1", "2", 30_000), ("3", "4", 1)}
