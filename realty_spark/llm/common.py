@@ -38,7 +38,17 @@ def land(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: evaluated once, lineage cut, survives lost executors."""
     path = scratch_path(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    landed = df.sparkSession.read.schema(df.schema).parquet(path)
+    landed.landed_path = path
+    return landed
+
+
+def discard(*landed: DataFrame) -> None:
+    """Delete landed tables once all that reads them is landed itself."""
+    for df in landed:
+        jvm = df.sparkSession.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(df.landed_path)
+        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

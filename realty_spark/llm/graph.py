@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from realty_spark.llm.common import land
+from realty_spark.llm.common import discard, land
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,6 +35,9 @@ def components(pairs: DataFrame) -> DataFrame:
     """(node, component) for every node of the (a, b) pairs; component: the least node that it reaches."""
     edges = land(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     while not _is_star_forest(edges):
-        edges = land(_star(_star(edges, True), False), "edges")
-    return land(edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-                .union(edges.select("v", "v").distinct()), "components")
+        before, edges = edges, land(_star(_star(edges, True), False), "edges")
+        discard(before)
+    found = land(edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+                 .union(edges.select("v", "v").distinct()), "components")
+    discard(edges)
+    return found

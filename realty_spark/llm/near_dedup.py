@@ -4,7 +4,7 @@
    permutation splits the hash range into ``BANDS * ROWS`` bins; a bin's value
    is its least hash, and an empty bin takes the value of a filled bin chosen
    by a hash of (bin, attempt) that is alike for all documents.
-2. Documents with equal sets are one class; its least doc_id stands for it.
+2. Documents with equal sets are one class, named by a 128-bit hash of its set.
 3. Classes that agree in all ROWS bins of a band share a bucket.  Each bucket
    gives star edges only: from its centre, the class that shares most buckets,
    to each other class.  Edges are confirmed on full sets.
@@ -14,10 +14,11 @@
    both are linked with c shares at least ``k`` differences, and any
    |D(x)| - k + 1 differences of x contain one of y's.  Differences that all
    lie in one component cannot join two; they come first among the
-   |D(x)| - k + 1, then the rarest, so that few are left to join on, instead of
-   all pairs in a bucket.  Pairs that meet are dropped where the parities of
-   their sets, in ``PARITIES`` classes, differ in more classes than a linked
-   pair has different shingles; the rest are confirmed on full sets.
+   |D(x)| - k + 1, then the rarest.  Both sides number their differences in
+   this order; a pair meets in a difference only if its components differ and
+   what either side has left from there on could still make up the share that
+   the pair's own sizes ask for, which holds at a linked pair's first common
+   difference.  Few unlinked pairs meet; those that do are confirmed on full sets.
 5. Components of the confirmed links give each class its component.
 
 At similarity 0.85 a pair shares no band with probability (1 - 0.85^5)^26 =
@@ -25,9 +26,10 @@ At similarity 0.85 a pair shares no band with probability (1 - 0.85^5)^26 =
 
 Words are split by [^\\x20\\x09-\\x0D]+ after mapping A-Z to lower case; fewer
 words than a shingle form one shingle; without words (or text) the set is
-empty and linked with nothing.  Every input row gives one output row; rows that
-share a doc_id share its component.  Rows without doc_id are linked with
-nothing: component null, kept true.  An empty table gives no rows.
+empty and linked with nothing.  Every input row gives one output row.  Rows that
+share a doc_id are one document: their classes are linked with each other
+(unless ``by_id`` is false) and they share a component.  Rows without doc_id are
+linked with nothing: component null, kept true.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,18 +37,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from realty_spark.llm.common import id_text, land, read_table
+from realty_spark.llm.common import discard, id_text, join_small, land, read_table
 from realty_spark.llm.graph import components
 from realty_spark.llm.worker import tidied
 from realty_spark.llm.words import mix, shingle_set
 
 BANDS = 26
 ROWS = 5
-PARITIES = 256
-_P = [f"p{i}" for i in range(PARITIES // 64)]
 
 
 class Sketcher:
@@ -79,46 +79,59 @@ class Sketcher:
         return key.view(np.int64)
 
 
+def class_of(hashed: np.ndarray) -> bytes | None:
+    """The name of a set's class; None for the empty set."""
+    return xxhash.xxh3_128_digest(hashed.tobytes()) if len(hashed) else None
+
+
+def text_key(text: Column) -> Column:
+    """A hash that tells the rows of a doc_id apart by their texts."""
+    return F.xxhash64(text)
+
+
 def sketches(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, class_key, band_keys) of (doc_id, text) rows; class_key and band_keys are null for empty sets."""
+    """(doc_id, text_key, n_shingles, class_key, band_keys) of (doc_id, text) rows; class_key and band_keys are null for empty sets."""
     def run(batches):
         sk = Sketcher(bands, rows)
         for batch in batches:
             n, cls, keys = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 s = shingle_set(text, k)
                 n.append(len(s))
-                cls.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                cls.append(class_of(s))
                 keys.append(sk.band_keys(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
                                               pa.array(keys, pa.list_(pa.int64()))],
-                                             names=["doc_id", "n_shingles", "class_key", "band_keys"])
-    return docs.mapInArrow(tidied(run), "doc_id long, n_shingles long, class_key binary, band_keys array<long>")
+                                             names=["doc_id", "text_key", "n_shingles", "class_key", "band_keys"])
+    return docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text").mapInArrow(
+        tidied(run), "doc_id long, text_key long, n_shingles long, class_key binary, band_keys array<long>")
 
 
 def star_edges(classes: DataFrame) -> DataFrame:
-    """(c, x): in each bucket, its centre with each other member.  The centre shares most buckets; ties to the least id."""
-    rows = classes.select("rep", F.explode("band_keys").alias("key"))
+    """(c, x): in each bucket, its centre with each other member.  The centre shares most buckets; ties to the greatest key."""
+    rows = classes.select("class_key", F.explode("band_keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = land(shared, "shared")  # a plain shuffle on either side lets a crowded bucket's partition be split
     rows = land(rows.join(shared, "key"), "buckets")
-    degree = rows.groupBy("rep").agg(F.sum("size").alias("degree"))
-    ranked = rows.select("key", "rep").join(degree, "rep")
-    centre = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("least"))).alias("top")).select(
-        "key", (-F.col("top.least")).alias("c"))
+    degree = rows.groupBy("class_key").agg(F.sum("size").alias("degree"))
+    ranked = rows.select("key", "class_key").join(degree, "class_key")
+    centre = ranked.groupBy("key").agg(F.max(F.struct("degree", "class_key")).alias("top")).select("key", F.col("top.class_key").alias("c"))
     centre = land(centre, "centres")
-    return rows.select("key", F.col("rep").alias("x")).join(centre, "key").where("c <> x").select("c", "x").distinct()
+    edges = land(rows.select("key", F.col("class_key").alias("x")).join(centre, "key").where("c <> x").select("c", "x").distinct(), "stars")
+    discard(shared, rows, centre)
+    return edges
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(rep, items): the shingle hashes of the documents named in ``ids`` (rep), one row per id."""
+def full_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """(class_key, items): the shingle hashes of the named classes (class_key, rep), taken from the document rep of each."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
-                names=["rep", "items"])
-    wanted = docs.join(ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    return wanted.mapInArrow(tidied(run), "rep long, items binary")
+            sets = [shingle_set(t, k) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                             names=["class_key", "items"])
+    wanted = docs.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = wanted.mapInArrow(tidied(run), "class_key binary, items binary")
+    return sets.join(classes.select("class_key"), "class_key", "left_semi").dropDuplicates(["class_key"])
 
 
 def least_outside(size: int, centre: int, num: int, den: int) -> int:
@@ -133,24 +146,15 @@ def needed(diff: int, size: int, centre: int, num: int, den: int) -> int:
     return max(1, -(-(diff + other - reach) // 2))
 
 
-def parities(items: np.ndarray) -> np.ndarray:
-    """Whether each class of items (by their lowest bits) holds an odd number, as 64-bit integers.
-
-    Two sets differ in at least as many items as their parities differ in classes.
-    """
-    odd = np.bincount((items & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
-
-
 def confirm(edges: DataFrame, sets: DataFrame, num: int, den: int, differences: bool) -> DataFrame:
-    """(c, x, linked) for the edges; with ``differences`` also x's size, parities, differences from c and how many meet any partner's."""
-    left = sets.select(F.col("rep").alias("c"), F.col("items").alias("c_items"))
-    right = sets.select(F.col("rep").alias("x"), F.col("items").alias("x_items"))
+    """(c, x, linked) for the edges; with ``differences`` also x's size, differences from c and how many meet any partner's."""
+    left = sets.select(F.col("class_key").alias("c"), F.col("items").alias("c_items"))
+    right = sets.select(F.col("class_key").alias("x"), F.col("items").alias("x_items"))
     joined = edges.join(right, "x").join(left, "c").select("c", "x", "c_items", "x_items")
 
     def run(batches):
         for batch in batches:
-            linked, size, meeting, diffs, odd = [], [], [], [], []
+            linked, size, meeting, diffs = [], [], [], []
             for a, b in zip(batch.column(2), batch.column(3)):
                 a, b = np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64)
                 found = np.searchsorted(a, b)
@@ -163,16 +167,12 @@ def confirm(edges: DataFrame, sets: DataFrame, num: int, den: int, differences:
                     size.append(len(b))
                     diffs.append(diff)
                     meeting.append(len(diff) - needed(len(diff), len(b), len(a), num, den) + 1)
-                    odd.append(parities(b))
             columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())]
             if differences:
-                table = np.array(odd, dtype=np.int64).reshape(-1, len(_P))
-                columns += [pa.array(size, pa.int64()), pa.array(meeting, pa.int64()), pa.array(diffs, pa.list_(pa.int64())),
-                            *(pa.array(table[:, i].copy(), pa.int64()) for i in range(len(_P)))]
+                columns += [pa.array(size, pa.int64()), pa.array(meeting, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    names = ["c", "x", "linked"] + ["size", "meeting", "diff", *_P] * differences
-    more = ", size long, meeting long, diff array<long>" + "".join(f", {p} long" for p in _P)
-    return joined.mapInArrow(tidied(run), "c long, x long, linked boolean" + more * differences)
+    names = ["c", "x", "linked"] + ["size", "meeting", "diff"] * differences
+    return joined.mapInArrow(tidied(run), "c binary, x binary, linked boolean" + ", size long, meeting long, diff array<long>" * differences)
 
 
 def pairs_outside_stars(checked: DataFrame, component: DataFrame, num: int, den: int) -> DataFrame:
@@ -185,17 +185,24 @@ def pairs_outside_stars(checked: DataFrame, component: DataFrame, num: int, den:
     spanning = land(spanning, "spanning")
     held = (items.select("c", "x", "item").join(spanning, ["c", "item"]).groupBy("c", "x")
             .agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "item"))), lambda s: s["item"]).alias("held")))  # bounded by one text
-    rest = (F.col("meeting") - (F.size("diff") - F.size("held"))).cast("int")
-    rows = land(tagged.join(held, ["c", "x"]).withColumn("rest", F.greatest(rest, F.lit(0))).drop("diff", "meeting"), "held")
-    few = rows.select("c", F.col("x").alias("a"), F.col("component").alias("a_component"), F.col("size").alias("a_size"),
-                      *[F.col(p).alias(f"a_{p}") for p in _P], F.explode(F.slice("held", F.lit(1), F.col("rest"))).alias("item"))
-    every = rows.where("not linked").select("c", F.col("x").alias("b"), F.col("component").alias("b_component"), F.col("size").alias("b_size"),
-                                            *[F.col(p).alias(f"b_{p}") for p in _P], F.explode("held").alias("item"))
-    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in _P), F.lit(0))
-    most = F.expr(f"({den - num} * (a_size + b_size)) div {den + num}")
+    differ = F.size("diff")
+    rows = tagged.join(held, ["c", "x"]).withColumns({"differ": differ, "alone": differ - F.size("held"), "rest": F.greatest(
+        (F.col("meeting") - (differ - F.size("held"))).cast("int"), F.lit(0))}).drop("diff", "meeting")
+    rows = land(rows, "held")
+
+    def side(name: str, chosen: DataFrame, up_to: Column) -> DataFrame:
+        """A side's differences with how many it has left from each on, itself included."""
+        placed = chosen.select("c", F.col("x").alias(name), F.col("component").alias(f"{name}_component"), F.col("size").alias(f"{name}_size"),
+                               "differ", "alone", F.posexplode(F.slice("held", F.lit(1), up_to)).alias("place", "item"))
+        return placed.select("c", "item", name, f"{name}_component", f"{name}_size", F.col("differ").alias(f"{name}_differ"),
+                             (F.col("differ") - F.col("alone") - F.col("place")).alias(f"{name}_left"))
+    few, every = side("a", rows, F.col("rest")), side("b", rows.where("not linked"), F.size("held"))
+    most = F.expr(f"({den - num} * (a_size + b_size)) div {den + num}")  # differences between linked documents
     met = few.join(every, (few["c"] == every["c"]) & (few["item"] == every["item"]) & (F.col("a_component") != F.col("b_component"))
-                   & (differ <= most))
-    return met.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("x")).distinct()
+                   & (2 * F.least("a_left", "b_left") >= F.col("a_differ") + F.col("b_differ") - most))
+    pairs = land(met.select(F.least("a", "b").alias("c"), F.greatest("a", "b").alias("x")).distinct(), "late")
+    discard(tagged, spanning, rows)
+    return pairs
 
 
 def merged(first: DataFrame, late: DataFrame) -> DataFrame:
@@ -209,38 +216,50 @@ def merged(first: DataFrame, late: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): documents linked where den * |intersection| >= num * |union| of k-word shingles."""
+                    text_col: str = "text", bands: int = BANDS, rows: int = ROWS, by_id: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, text_key, class_key, root): documents linked where den * |intersection| >= num * |union| of k-word shingles.
+
+    ``root`` names the component by one of its classes.
+    """
     docs = id_text(docs, id_col, text_col)
-    base = land(sketches(docs, k, bands, rows), "sketches")
+    sketched = land(sketches(docs, k, bands, rows), "sketches")
+    named = sketched.where("class_key is not null and doc_id is not null")
+    classes = land(named.groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.first("band_keys").alias("band_keys")), "classes")
+    edges = star_edges(classes)
+    ids = land(edges.select(F.col("c").alias("class_key")).union(edges.select("x")).distinct().join(classes.select("class_key", "rep"), "class_key"), "candidates")
+    classes_of, base = land(classes.select("class_key", "rep"), "class-names"), land(sketched.drop("band_keys"), "rows")
+    discard(sketched, classes)
     named = base.where("class_key is not null and doc_id is not null")
-    classes = named.groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.first("band_keys").alias("band_keys"))
-    edges = land(star_edges(classes), "stars")
-    ids = land(edges.select(F.col("c").alias("rep")).union(edges.select(F.col("x").alias("rep"))).distinct(), "candidates")
-    sets = land(full_sets(docs, ids, k).dropDuplicates(["rep"]), "sets")
+    sets = land(full_sets(docs, ids, k), "sets")
     checked = land(confirm(edges, sets, num, den, differences=True), "confirmed")
+    discard(edges, ids)
     linked = checked.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b"))
+    if by_id:
+        several = named.groupBy("doc_id").agg(F.min("class_key").alias("a"), F.max("class_key").alias("b")).where("a <> b").select("doc_id", "a")
+        several = land(several, "repeated-ids")
+        linked = linked.union(join_small(named, several, ["doc_id"]).where("a <> class_key").select("a", "class_key").distinct())
     first = components(linked)
 
     more = pairs_outside_stars(checked, first, num, den)
-    late = confirm(land(more, "late"), sets, num, den, differences=False)
-    late = land(late.where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")), "late-links")
+    late = land(confirm(more, sets, num, den, differences=False).where("linked").select(F.col("c").alias("a"), F.col("x").alias("b")), "late-links")
     found = merged(first, late) if late.limit(1).count() else first
+    discard(sets, checked, more)
 
-    of_class = (classes.select("class_key", "rep")
-                .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-                .select("class_key", F.coalesce("component", "rep").alias("component_id")))
+    of_class = land(classes_of.join(found.withColumnRenamed("node", "class_key"), "class_key", "left")
+                    .withColumn("root", F.coalesce("component", "class_key")).drop("component"), "of-class")
+    least = of_class.groupBy("root").agg(F.min("rep").alias("component_id"))
+    of_class = of_class.join(least, "root").select("class_key", "component_id", "root")
+    columns = ["doc_id", "n_shingles", "component_id", "text_key", "class_key", "root"]
     single = base.where("class_key is null or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key", "class_key", F.lit(None).cast("binary").alias("root"))
     # a class may hold a third of all rows: only its key is joined, and skewed partitions of a join are split
-    out = named.select("doc_id", "n_shingles", "class_key").join(of_class, "class_key").select(
-        "doc_id", "n_shingles", "component_id").union(single)
+    out = named.join(of_class, "class_key").select(columns).union(single)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 100 * intersection >= 85 * union."""
-    return near_duplicates(read_table(spark, sf_dir, "documents"), k=3, num=85, den=100)
+    return near_duplicates(read_table(spark, sf_dir, "documents"), k=3, num=85, den=100).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 ORACLE = """

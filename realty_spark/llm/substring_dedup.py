@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from realty_spark.llm.common import id_text, land, read_table
+from realty_spark.llm.common import discard, id_text, land, read_table
 from realty_spark.llm.fm_index import least_document
 from realty_spark.llm.worker import tidied, tidy
 from realty_spark.llm.words import grams, hashes, split
@@ -189,17 +189,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
               .agg(F.collect_set(F.struct("anchor", "begin", "end")).alias("runs")))  # bounded by one text
     texts = keyed(docs.where("doc_id is not null")).join(wanted, "word_key").where("doc_id = rep")
     segs = land(segments(texts, window), "segments")
+    discard(base, shared)
 
     hot = (segs.groupBy("anchor", "segment_key").agg(F.lit(1).alias("one")).groupBy("anchor").agg(F.count("*").alias("n"))
            .where(F.col("n") > hot_segments).select("anchor"))
     hot = land(hot, "hot-anchors")
     if hot.limit(1).count():
-        segs = land(segs.join(hot, "anchor", "left_anti").select("word_key", "rep", "begin", "anchor", "words", "segment_key")
+        whole, segs = segs, land(segs.join(hot, "anchor", "left_anti").select("word_key", "rep", "begin", "anchor", "words", "segment_key")
                     .unionByName(single_windows(segs.join(hot, "anchor", "left_semi"), window)), "segments-cut")
+        discard(whole)
     distinct = segs.groupBy("anchor", "segment_key").agg(F.min("rep").alias("least_doc"), F.first("words").alias("words"))
     distinct = land(distinct.withColumn("n_words", F.length(F.regexp_replace(F.col("words").cast("string"), "[^ ]+", "")) + 1), "distinct")
     found = land(search_shards(distinct, window, shard_words), "found")
     removed = land(spans(segs, found, window), "spans")
+    discard(hot, segs, distinct, found)
 
     info = (classes.join(removed.select("word_key", "spans"), "word_key", "left")
             .where("rows > 1 or spans is not null").select("word_key", "rep", "spans"))

@@ -245,13 +245,29 @@ def test_marginals_match_enumeration():
         at += n
 
 
-def test_parities_never_exceed_the_difference():
-    r = np.random.default_rng(8)
-    for _ in range(200):
-        x, y = (np.unique(r.integers(0, 2 ** 63, r.integers(1, 400)).astype(np.uint64)) for _ in range(2))
-        y = np.unique(np.concatenate([x[r.random(len(x)) < 0.9], y[:r.integers(0, 20)]]))
-        apart = int(np.bitwise_count((near_dedup.parities(x) ^ near_dedup.parities(y)).view(np.uint64)).sum())
-        assert apart <= len(np.setxor1d(x, y))
+def test_rows_that_share_an_id_link_their_texts(spark):
+    x, y, z = (" ".join(edge.words(60, s)) for s in (21, 22, 23))
+    rows = [(5, x), (5, y), (6, x + " more"), (7, y + " more"), (9, z), (9, z), (8, z + " more")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(frame).collect()}
+    assert got == {(5, 5), (6, 5), (7, 5), (9, 8), (8, 8)}
+    apart = near_dedup.near_duplicates(frame, by_id=False).collect()
+    assert len({r.root for r in apart}) == 3 and {(r.doc_id, r.component_id) for r in apart} == got
+
+
+def test_pairs_meet_at_their_first_common_difference_alone_if_they_may_be_linked(spark):
+    """Brute force over random families: every linked pair outside the stars meets, few others do."""
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        t = list(base)
+        for _ in range(r.choice([1, 3, 5, 7])):
+            at = r.randrange(0, 110)
+            t[at:at + r.randrange(1, 3)] = [f"n{r.randrange(60)}"]
+        rows.append((i, " ".join(t)))
+    for k, num in ((5, 80), (3, 85)):
+        check_near(spark, rows, k, num, 100, spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
 
 
 def test_late_links_join_components(spark):
@@ -265,9 +281,10 @@ def test_pairs_outside_stars_are_found(spark):
     base = list(range(200))
     sets = {0: base, 1: base[:150] + [1000 + i for i in range(50)], 2: base[:152] + [1000 + i for i in range(48)], 3: base[:110] + [5000 + i for i in range(90)]}
     mixed = {i: np.unique(grams(hashes([b"s%d" % v for v in s]), 1)) for i, s in sets.items()}
-    frame = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in mixed.items()], "rep long, items binary")
-    edges = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "c long, x long")
+    key = {i: bytes([i]) for i in sets}
+    frame = spark.createDataFrame([(bytearray(key[i]), bytearray(v.tobytes())) for i, v in mixed.items()], "class_key binary, items binary")
+    edges = spark.createDataFrame([(bytearray(key[0]), bytearray(key[i])) for i in (1, 2, 3)], "c binary, x binary")
     checked = near_dedup.land(near_dedup.confirm(edges, frame, 85, 100, differences=True), "checked")
     assert checked.where("linked").count() == 0
-    none = spark.createDataFrame([], "node long, component long")
-    assert [tuple(r) for r in near_dedup.pairs_outside_stars(checked, none, 85, 100).collect()] == [(1, 2)]
+    none = spark.createDataFrame([], "node binary, component binary")
+    assert [(bytes(r.c), bytes(r.x)) for r in near_dedup.pairs_outside_stars(checked, none, 85, 100).collect()] == [(key[1], key[2])]
