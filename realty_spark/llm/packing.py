@@ -16,7 +16,6 @@ table gives no pieces.
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,34 +54,41 @@ def candidates(ends: np.ndarray, doc_ends: np.ndarray, total: int, window: int)
 
 
 def plan(at: list[int], penalty: list[float], window: int) -> list[int]:
-    """The cuts, ascending and ending at ``at[-1]``, of least padding plus penalties."""
-    total = at[-1]
-    best: list[float | None] = [None] * (total + 1)
-    came = [0] * (total + 1)
-    best[0] = 0.0
-    queue: deque[tuple[int, float]] = deque([(0, 0.0)])  # positions with ascending best + position
-    powers = [1 << k for k in range(window.bit_length()) if min(SHORTEST, window) <= 1 << k <= window]
-    for p, cost in zip(at, penalty):
-        while queue[0][0] < p - window:
-            queue.popleft()
-        prev, value = queue[0]
-        value += window - p
-        for w in powers:
-            if w > p:
-                break
-            b = best[p - w]
-            if b is not None and b < value:
-                value, prev = b, p - w
-        value += cost
-        best[p], came[p] = value, prev
-        v = value + p
-        while queue and queue[-1][1] >= v:
+    """The cuts, ascending and ending at ``at[-1]``, of least padding plus penalties; memory follows the candidates."""
+    places = np.concatenate([[0], np.asarray(at, dtype=np.int64)])
+    unpadded: list[list[int] | None] = [None] * len(places)  # where a window of a power of two begins that ends at a candidate
+    for w in (1 << k for k in range(window.bit_length()) if min(SHORTEST, window) <= 1 << k <= window):
+        begin = np.searchsorted(places, places - w)
+        for i in np.flatnonzero((places >= w) & (places[begin] == places - w)).tolist():
+            if unpadded[i] is None:
+                unpadded[i] = []
+            unpadded[i].append(int(begin[i]))
+    place = places.tolist()
+    best, came, key = [0.0], [0], [0.0]  # key: best + place
+    queue, head = [0], 0  # candidates within reach, their keys ascending; what lies before ``head`` has left it
+    for i in range(1, len(place)):
+        p = place[i]
+        while place[queue[head]] < p - window:
+            head += 1
+        prev = queue[head]
+        value = key[prev] + window - p
+        exact = unpadded[i]
+        if exact is not None:
+            for j in exact:
+                if best[j] < value:
+                    value, prev = best[j], j
+        value += penalty[i - 1]
+        best.append(value)
+        came.append(prev)
+        value += p
+        key.append(value)
+        while len(queue) > head and key[queue[-1]] >= value:
             queue.pop()
-        queue.append((p, v))
-    cuts = [total]
+        queue.append(i)
+    cuts = [len(place) - 1]
     while came[cuts[-1]]:
         cuts.append(came[cuts[-1]])
-    return cuts[::-1]
+    return [place[i] for i in cuts[::-1]]
 
 
 def pack_partition(batches: Iterator[pa.RecordBatch], tokenizer: str, window: int, sentence_penalty: float,
