@@ -16,7 +16,8 @@ input.
    their words, so that equal ones merge and no anchor fills a shard.
 4. Each shard builds one FM-index over its segments and streams them through
    it by backward search; the matching statistic, cut at ``window`` words,
-   gives the rows of each window and so its least document.
+   gives the rows of each window, and the index's documents in these rows its
+   least document.  A window that may repeat has its segments in one shard.
 5. Windows whose least document is smaller become spans of their document, and
    the spans' words go.
 
