@@ -41,6 +41,7 @@ BLOCK_QUERIES = 1024
 LINKS = 16  # per node in the upper layers; twice that in the lowest
 CANDIDATES = 64
 EF = 128
+STARTS = 16  # nodes above the lowest layer from which a beam starts, besides the one that the descent ends in
 EXPAND = 4  # beam nodes of a query that are expanded in one step
 ROWS = 512
 
@@ -83,11 +84,31 @@ def _links(points: np.ndarray, nodes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def islands(layer: np.ndarray) -> np.ndarray:
+    """The least node that each node is connected with by the links of a layer, in either direction."""
+    u, slot = np.nonzero(layer >= 0)
+    v = layer[u, slot]
+    label = np.arange(len(layer))
+    while True:
+        least = label.copy()
+        np.minimum.at(least, u, label[v])
+        np.minimum.at(least, v, label[u])
+        least = np.minimum(least, least[least])
+        if np.array_equal(least, label):
+            return label
+        label = least
+
+
 class Graph:
-    """A shard's graph: vectors, flat neighbour arrays from the lowest layer up, an entry node, and the ids of each node."""
+    """A shard's graph: vectors, flat neighbour arrays from the lowest layer up, an entry node, the beams' starts, and the ids of each node.
+
+    Clusters of more similar points than a node has links are islands of the
+    lowest layer.  The starts, the nodes above it and the least node of every
+    island without one, hold a node of each island, so none is out of reach.
+    """
 
-    def __init__(self, vectors: np.ndarray, layers: list[np.ndarray], entry: int, ids: np.ndarray, offsets: np.ndarray):
-        self.vectors, self.layers, self.entry, self.ids, self.offsets = vectors, layers, entry, ids, offsets
+    def __init__(self, vectors: np.ndarray, layers: list[np.ndarray], entry: int, starts: np.ndarray, ids: np.ndarray, offsets: np.ndarray):
+        self.vectors, self.layers, self.entry, self.starts, self.ids, self.offsets = vectors, layers, entry, starts, ids, offsets
         self.points = vectors.astype(np.float32)
 
     @classmethod
@@ -104,11 +125,13 @@ class Graph:
         unit = (mix(ids[offsets[:-1]].astype(np.uint64) + np.uint64(7)) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
         level = np.floor(-np.log(np.maximum(unit, 1e-300)) / np.log(LINKS)).astype(int)
         layers = [_links(lifted, np.flatnonzero(level >= l), 2 * LINKS if l == 0 else LINKS) for l in range(int(level.max()) + 1)]
-        return cls(distinct, layers, int(level.argmax()), ids, offsets)
+        island, above = islands(layers[0]), np.flatnonzero(level >= 1)
+        starts = np.union1d(above, np.setdiff1d(island, island[above]))
+        return cls(distinct, layers, int(level.argmax()), starts, ids, offsets)
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, vectors=self.vectors, entry=self.entry, ids=self.ids, offsets=self.offsets,
+        np.savez(out, vectors=self.vectors, entry=self.entry, starts=self.starts, ids=self.ids, offsets=self.offsets,
                  **{f"layer{i}": x for i, x in enumerate(self.layers)})
         return out.getvalue()
 
@@ -116,7 +139,7 @@ class Graph:
     def load(cls, blob: bytes) -> "Graph":
         z = np.load(io.BytesIO(blob))
         layers = [z[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in z.files))]
-        return cls(z["vectors"], layers, int(z["entry"]), z["ids"], z["offsets"])
+        return cls(z["vectors"], layers, int(z["entry"]), z["starts"], z["ids"], z["offsets"])
 
     def _descend(self, queries: np.ndarray) -> np.ndarray:
         at = np.full(len(queries), self.entry)
@@ -142,9 +165,17 @@ class Graph:
         beam = np.full((count, ef), -1, dtype=np.int64)
         sims = np.full((count, ef), -np.inf, dtype=np.float32)
         done = np.zeros((count, ef), dtype=bool)
-        beam[:, 0] = self._descend(queries)
-        sims[:, 0] = np.einsum("qd,qd->q", queries, self.points[beam[:, 0]])
-        met[np.arange(count), beam[:, 0]] = True
+        first = self._descend(queries)
+        near = queries @ self.points[self.starts].T
+        near[self.starts[None, :] == first[:, None]] = -np.inf
+        best_starts = np.argpartition(-near, min(STARTS, near.shape[1]) - 1, axis=1)[:, :min(STARTS, ef - 1)]
+        width = 1 + best_starts.shape[1]
+        beam[:, 0], beam[:, 1:width] = first, self.starts[best_starts]
+        sims[:, 0] = np.einsum("qd,qd->q", queries, self.points[first])
+        sims[:, 1:width] = np.take_along_axis(near, best_starts, axis=1)
+        beam[sims == -np.inf] = -1
+        q, slot = np.nonzero(beam >= 0)
+        met[q, beam[q, slot]] = True
         while True:
             waiting = np.where(done | (beam < 0), -np.inf, sims)
             pick = np.argpartition(-waiting, min(EXPAND, ef) - 1, axis=1)[:, :EXPAND]
