@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +47,33 @@ FAMILIES = {
     "iranian": ["fa", "ku", "ps"],
     "semitic": ["ar", "he"],
     "sino-tibetan": ["my", "zh"],
+    "japonic": ["ja"],
+    "koreanic": ["ko"],
+    "austroasiatic": ["km", "vi"],
+    "tai": ["lo", "th"],
+    "austronesian": ["id", "ms", "tl"],
+    "hellenic": ["el"],
 }
 _FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-_LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
-def family(lang: str) -> str:
-    """A language's family; a language that the table lacks is a family of its own."""
-    return _FAMILY_OF.get(lang, lang)
+def families(langs: Iterable[str]) -> dict[str, str]:
+    """The family of each language.
+
+    Languages that the table lacks are families of their own while they are
+    few; k of them form families of about the cube root of k, in alphabetical
+    order, so that the machines grow with k to the power 4/3 and not with its square.
+    """
+    unknown = sorted({v for v in langs if v not in _FAMILY_OF})
+    size = max(1, int(round(len(unknown) ** (1 / 3), 9)))
+    own = {v: unknown[i - i % size] for i, v in enumerate(unknown)}
+    return {v: _FAMILY_OF.get(v) or own[v] for v in langs}
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text holds a character of the categories L*."""
+    return any(map(str.isalpha, text))
 
 
 def features(text: str, dims: int = DIMS) -> np.ndarray:
@@ -128,9 +147,10 @@ class Hierarchy:
 
     def __init__(self, x: np.ndarray, langs: list[str]):
         langs = np.array(langs, dtype=object)
-        families = np.array([family(v) for v in langs], dtype=object)
-        self.top = OneVersusOne(x, families)
-        self.within = {f: OneVersusOne(x[families == f], langs[families == f]) for f in self.top.classes}
+        named = families(langs.tolist())
+        of = np.array([named[v] for v in langs], dtype=object)
+        self.top = OneVersusOne(x, of)
+        self.within = {f: OneVersusOne(x[of == f], langs[of == f]) for f in self.top.classes}
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         shares = self.top.shares(x)
@@ -163,7 +183,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def run(batches):
         for batch in batches:
-            rows = [(d, l, features(t).tobytes()) for d, l, t in zip(*(c.to_pylist() for c in batch.columns)) if _LETTER.search(t)]
+            rows = [(d, l, features(t).tobytes()) for d, l, t in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
                                               pa.array([r[2] for r in rows], pa.binary())], names=["doc_id", "lang", "x"])
     rows = sorted(texts.mapInArrow(run, "doc_id long, lang string, x binary").collect())
@@ -175,7 +195,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def classify(model: Hierarchy | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    known = [] if model is None else [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    known = [] if model is None else [i for i, t in enumerate(texts) if t and has_letter(t)]
     for at in range(0, len(known), 256):
         rows = known[at:at + 256]
         got, scores[rows] = model.predict(np.stack([features(texts[i]) for i in rows]))

@@ -22,8 +22,10 @@ with a licence; of several in one directory the greatest cosine, then the
 least path, counts.
 
 DataFrame functions only.  Null or empty text has no own licence; a null path
-has no directory and inherits nothing.  Every input row gives one output row;
-rows that share an id are scanned together as one file.
+has no directory and inherits nothing.  Every input row gives one output row
+and is a file of its own, also where ids are null or repeat.  A text with the
+BSD conditions on binary forms but none on names is BSD-2-Clause; the opening
+sentence alone stands for BSD-3-Clause.
 """
 
 from __future__ import annotations
@@ -115,9 +117,7 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold:
     units = lines.union(whole).select("id", "line", _terms(F.col("unit_text")).alias("terms"))
     hits = F.array_intersect("terms", F.array(*[F.lit(t) for t in sorted(idf)]))
     units = units.withColumn("hits", hits).where(F.size("hits") > 0)
-    covered = [sum((F.when(F.array_contains("hits", t), F.lit(v * v)).otherwise(F.lit(0.0)) for t, v in sorted(w.items())), F.lit(0.0))
-               for w in weights]
-    near = units.where(F.greatest(*covered) >= threshold * threshold - 1e-9).select("id", "line", "terms")
+    near = units.where(F.array_max(_covers(F.col("hits"), weights)) >= threshold * threshold - 1e-9).select("id", "line", "terms")
     return _best(near, weights, idf, other, threshold)
 
 
@@ -139,8 +139,12 @@ def _best(near: DataFrame, weights: list[dict[str, float]], idf: dict[str, float
     return best.select("id", (-F.col("top.less")).alias("template"), F.col("top.similarity").alias("similarity"))
 
 
-def _cover(terms: Column, weight: dict[str, float]) -> Column:
-    return sum((F.when(F.array_contains(terms, t), F.lit(v * v)).otherwise(F.lit(0.0)) for t, v in sorted(weight.items())), F.lit(0.0))
+def _covers(hits: Column, weights: list[dict[str, float]]) -> Column:
+    """For each template the squared weights of its terms among the distinct ``hits``, summed; a term is looked up once for all templates."""
+    squares = {t: [w.get(t, 0.0) ** 2 for w in weights] for t in sorted({t for w in weights for t in w})}
+    table = F.create_map(*[x for t, row in squares.items() for x in (F.lit(t), F.array(*map(F.lit, row)))])
+    none = F.array(*[F.lit(0.0)] * len(weights))
+    return F.aggregate(hits, none, lambda acc, t: F.zip_with(acc, table[t], lambda a, b: a + b))
 
 
 def run_licences(files: DataFrame, templates: list[tuple[str, str]], titles: list[tuple[str, str]], threshold: float) -> DataFrame:
@@ -155,8 +159,9 @@ def run_licences(files: DataFrame, templates: list[tuple[str, str]], titles: lis
     hits = F.array_intersect("terms", F.array(*[F.lit(t) for t in sorted(idf)]))
     pieces = pieces.withColumn("hits", hits).where(F.size("hits") > 0)
     least = threshold * threshold - 1e-9
-    found = F.array(*[F.when((_cover(F.col("hits"), w) >= least) & (F.lit(i < len(templates)) | F.col("named")), F.lit(i)) for i, w in enumerate(weights)])
-    near = pieces.withColumn("template", F.explode(F.array_compact(found)))
+    found = F.filter(F.transform(_covers(F.col("hits"), weights), lambda v, i: F.when((v >= least) & ((i < len(templates)) | F.col("named")), i)),
+                     lambda i: i.isNotNull())
+    near = pieces.withColumn("template", F.explode(found))
     words = F.element_at(F.array(*[F.array(*[F.lit(t) for t in sorted(w)]) for w in weights]), F.col("template") + 1)
     size = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("template") + 1)
     near = near.withColumn("words", words).withColumn("size", size)
@@ -164,24 +169,41 @@ def run_licences(files: DataFrame, templates: list[tuple[str, str]], titles: lis
     starts = F.filter(F.sequence(F.lit(1), F.least(F.size("terms"), F.lit(PIECE_TERMS))),
                       lambda at: F.array_contains("words", F.element_at("terms", at)))
     near = near.withColumn("begin", F.explode(starts)).withColumn("terms", F.expr("slice(terms, begin, size)"))
-    cover = F.lit(0.0)
-    for i, w in enumerate(weights):
-        cover = F.when(F.col("template") == i, _cover(F.col("terms"), w)).otherwise(cover)
+    of_run = F.array_intersect("terms", F.array(*[F.lit(t) for t in sorted(idf)]))
+    cover = F.element_at(_covers(of_run, weights), F.col("template") + 1)
     near = near.where(cover >= least).select("id", "of", "piece", "template", "begin", "terms")  # `of`: rows may share an id
     return _best(near, weights, idf, other, threshold)
 
 
+# Sentences that tell the BSD licences apart, as terms.
+BSD_BINARY = "redistributions in binary form must reproduce the above copyright notice"
+BSD_NAMES = "may be used to endorse or promote products derived from this software"
+
+
+def _two_clauses(own: DataFrame, files: DataFrame) -> DataFrame:
+    """A BSD licence whose text has the clause on binary forms but none on names is BSD-2-Clause; the opening sentence alone is not told apart."""
+    terms = F.concat(F.lit(" "), F.array_join(_terms(F.col("text")), " "), F.lit(" "))
+    two = terms.contains(f" {BSD_BINARY} ") & ~terms.contains(f" {BSD_NAMES} ")
+    bsd = own.where("licence = 'BSD-3-Clause'").join(files.select("id", "text").dropDuplicates(["id"]), "id")
+    told = bsd.select("id", F.when(two, "BSD-2-Clause").otherwise("BSD-3-Clause").alias("licence"), "similarity")
+    return own.where("licence <> 'BSD-3-Clause'").unionByName(told)
+
+
 def scan(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col: str = "text",
          templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
          kindred: list[tuple[str, str]] = KINDRED, titles: list[tuple[str, str]] = TITLES) -> DataFrame:
     """(id, path, licence, similarity, from_dir) of every file; from_dir is null for a file's own licence."""
     spark = files.sparkSession
-    files = files.select(files[id_col].alias("id"), files[path_col].alias("path"), files[text_col].alias("text"))
+    files = files.select(files[id_col].alias("given"), files[path_col].alias("path"), files[text_col].alias("text"))
+    # rows are told by their contents, so that null and repeated ids keep their licences
+    row = [F.struct(F.isnull(c), F.col(c)) for c in ("given", "path", "text")]
+    files = files.withColumn("id", F.struct(F.xxhash64(*row).alias("a"), F.xxhash64(F.lit(1), *row).alias("b")))
     names = F.broadcast(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(templates + kindred + titles)], "template int, licence string"))
     own = land(own_licences(files, templates, threshold).join(names, "template").select("id", "licence", "similarity"), "own")
     others = run_licences(files.join(own.select("id"), "id", "left_anti"), templates + kindred, titles, threshold)
     own = own.unionByName(land(others.join(names, "template").select("id", "licence", "similarity"), "own-runs"))
-    listed = files.select("id", "path").withColumn("dir", F.regexp_replace(F.col("path"), "/?[^/]*$", ""))
+    own = land(_two_clauses(own, files), "licences")
+    listed = files.select("id", "given", "path").withColumn("dir", F.regexp_replace(F.col("path"), "/?[^/]*$", ""))
     listed = listed.join(own, "id", "left")
 
     licence_files = listed.where(F.regexp_extract("path", "([^/]*)$", 1).rlike(LICENCE_NAME) & F.col("licence").isNotNull())
@@ -195,7 +217,7 @@ def scan(files: DataFrame, id_col: str = "id", path_col: str = "path", text_col:
     nearest = above.join(of_dir, "from_dir").groupBy("dir").agg(F.max(F.struct("depth", "from_dir", "inherited")).alias("near")).select(
         "dir", F.col("near.from_dir").alias("from_dir"), F.col("near.inherited").alias("inherited"))
     out = listed.join(nearest, "dir", "left")
-    return out.select("id", "path", F.coalesce("licence", "inherited").alias("licence"), "similarity",
+    return out.select(F.col("given").alias("id"), "path", F.coalesce("licence", "inherited").alias("licence"), "similarity",
                       F.when(F.col("licence").isNull(), F.col("from_dir")).alias("from_dir"))
 
 

@@ -70,29 +70,53 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return x, np.array([len(v) + 1.0 for v in lines])
 
 
-def marginals(odds: np.ndarray, sizes: np.ndarray, transition: np.ndarray) -> np.ndarray:
-    """P(good) of each line.  odds: the lines' log-odds of good, sequence after sequence; sizes: lines of each sequence."""
+def messages(odds: np.ndarray, sizes: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(emit, forward, backward, log of each forward step's sum) of sequences that follow each other; messages are scaled to sum one."""
     starts = np.cumsum(sizes) - sizes
     order = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[order], sizes[order]
     good = 1.0 / (1.0 + np.exp(-np.clip(odds, -30, 30)))
     emit = np.stack([1 - good, good], axis=1)
     move = np.exp(transition)
-    forward, backward = np.zeros_like(emit), np.ones_like(emit)
+    forward, backward, scale = np.zeros_like(emit), np.ones_like(emit), np.zeros(len(emit))
     longest = int(sizes[0]) if len(sizes) else 0
     alive = np.searchsorted(-sizes, -np.arange(longest), side="left")  # sequences longer than t
     for t in range(longest):
         at = starts[:alive[t]] + t
         f = emit[at] * (forward[at - 1] @ move) if t else emit[at]
-        forward[at] = f / f.sum(axis=1, keepdims=True)
+        total = f.sum(axis=1, keepdims=True)
+        forward[at], scale[at] = f / total, np.log(total[:, 0])
     for t in range(longest - 2, -1, -1):
         at = starts[:alive[t + 1]] + t
         b = (emit[at + 1] * backward[at + 1]) @ move.T
         backward[at] = b / b.sum(axis=1, keepdims=True)
+    return emit, forward, backward, scale
+
+
+def marginals(odds: np.ndarray, sizes: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """P(good) of each line.  odds: the lines' log-odds of good, sequence after sequence; sizes: lines of each sequence."""
+    _, forward, backward, _ = messages(odds, sizes, transition)
     p = forward * backward
     return p[:, 1] / p.sum(axis=1)
 
 
+def likelihood(odds: np.ndarray, y: np.ndarray, sizes: np.ndarray, weight: np.ndarray, transition: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The sequences' weighted log-likelihood and its derivatives in the lines' odds and in the transition; a sequence has one weight."""
+    first = np.cumsum(sizes) - sizes
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    inner = np.setdiff1d(np.arange(len(y)), first)
+    emit, forward, backward, scale = messages(odds, sizes, transition)
+    p = forward * backward
+    p = p / p.sum(axis=1, keepdims=True)
+    pair = forward[inner - 1, :, None] * np.exp(transition) * (emit[inner] * backward[inner])[:, None, :]
+    pair /= pair.sum(axis=(1, 2), keepdims=True)
+    seen = np.zeros_like(pair)
+    seen[np.arange(len(inner)), y[inner - 1], y[inner]] = 1
+    w = weight[of]
+    value = float((w * (np.log(emit[np.arange(len(y)), y]) - scale)).sum() + (w[inner] * transition[y[inner - 1], y[inner]]).sum())
+    return value, w * (y - p[:, 1]), (w[inner, None, None] * (seen - pair)).sum(axis=0)
+
+
 class Field:
     """Weights of good against bad for each feature, and of each move between the two labels."""
 
@@ -101,23 +125,12 @@ class Field:
         self.mean[-1], self.spread[-1] = 0.0, 1.0
         z = np.clip((x - self.mean) / self.spread, -8, 8)
         self.w, self.transition = np.zeros(x.shape[1]), np.zeros((2, 2))
-        first = np.zeros(len(y), dtype=bool)
-        first[np.cumsum(sizes) - sizes] = True
-        weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-        inner = np.flatnonzero(~first)
+        lines = y[np.cumsum(sizes) - sizes]  # a sequence's lines share its label
+        weight = np.where(lines == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
         m, v, k = np.zeros(len(self.w) + 4), np.zeros(len(self.w) + 4), 0
-        for _ in range(STEPS):  # Adam on the log-likelihood
-            odds = z @ self.w
-            p = marginals(odds, sizes, self.transition)
-            g = np.zeros(len(self.w) + 4)
-            g[:len(self.w)] = z.T @ (weight * (y - p)) / len(y) - L2 * self.w
-            if len(inner):  # the move's share is taken from the two marginals
-                a, b = np.stack([1 - p, p], axis=1)[inner - 1], np.stack([1 - p, p], axis=1)[inner]
-                pair = a[:, :, None] * b[:, None, :] * np.exp(self.transition)
-                pair /= pair.sum(axis=(1, 2), keepdims=True)
-                seen = np.zeros((len(inner), 2, 2))
-                seen[np.arange(len(inner)), y[inner - 1], y[inner]] = 1
-                g[len(self.w):] = ((weight[inner, None, None] * (seen - pair)).sum(axis=0) / len(y) - 0.05 * self.transition).ravel()
+        for _ in range(STEPS):  # Adam on the penalised log-likelihood
+            _, by_odds, by_move = likelihood(z @ self.w, y, sizes, weight, self.transition)
+            g = np.append(z.T @ by_odds / len(y) - L2 * self.w, (by_move / len(y) - 0.05 * self.transition).ravel())
             k += 1
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             step = 0.1 * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-9)

@@ -148,7 +148,7 @@ def test_substring_dedup_random(spark, hot, shard_words):
 def test_backward_search_counts_occurrences():
     r = np.random.default_rng(1)
     text = np.append(r.integers(1, 5, 300), 0)
-    index = fm_index.FMIndex(text, 5, (2, 3))
+    index = fm_index.FMIndex(text, np.zeros(len(text), dtype=np.int64), 5, 6)
     for _ in range(50):
         pattern = r.integers(1, 5, r.integers(1, 6))
         lo, hi = np.array([0]), np.array([len(text)])
@@ -158,6 +158,33 @@ def test_backward_search_counts_occurrences():
         assert hi[0] - lo[0] == count
 
 
+def test_streamed_texts_find_their_windows_in_the_index_alone():
+    r = random.Random(1)
+    for trial in range(25):
+        window, vocabulary = r.choice([1, 2, 3, 5, 8]), r.choice([2, 3, 20])
+        held = [np.array([r.randrange(1, vocabulary + 1) for _ in range(r.randrange(1, 30))]) for _ in range(r.randrange(1, 12))]
+        index = fm_index.FMIndex(np.concatenate([np.append(s, 0) for s in held]), np.repeat(np.arange(len(held)), [len(s) + 1 for s in held]),
+                                 vocabulary + 1, window)
+        streams = [np.array([r.choice([-1, *range(1, vocabulary + 1)]) for _ in range(r.randrange(1, 25))]) for _ in range(5)]
+        offsets, lo, hi = index.matches(streams)
+        for at, stream in zip(offsets, streams):
+            for i in range(len(stream)):
+                owners = sorted(d for d, s in enumerate(held) for k in range(len(s) - window + 1)
+                                if i + window <= len(stream) and (s[k:k + window] == stream[i:i + window]).all())
+                assert sorted(index.documents[lo[at + i]:hi[at + i]].tolist()) == owners
+
+
+def test_the_index_is_smaller_than_its_text():
+    r = random.Random(2)
+    words = [b"word%d" % i for i in range(3000)]
+    texts = [[r.choice(words) for _ in range(120)] for _ in range(500)]
+    number = {w: i + 1 for i, w in enumerate(words)}
+    ids = [np.array([number[w] for w in t]) for t in texts]
+    index = fm_index.FMIndex(np.concatenate([np.append(s, 0) for s in ids]), np.repeat(np.arange(500), 121), 3001, 50)
+    assert index.nbytes < sum(len(w) + 1 for t in texts for w in t)
+    assert not [v for v in vars(index).values() if isinstance(v, np.ndarray) and v.dtype == np.int64 and len(v) >= index.size]
+
+
 @pytest.fixture(scope="module")
 def sf(request):
     return "/root/testdata/sf0.01"
@@ -288,3 +315,42 @@ def test_pairs_outside_stars_are_found(spark):
     assert checked.where("linked").count() == 0
     none = spark.createDataFrame([], "node binary, component binary")
     assert [(bytes(r.c), bytes(r.x)) for r in near_dedup.pairs_outside_stars(checked, none, 85, 100).collect()] == [(key[1], key[2])]
+
+
+def test_line_field_gradient_matches_finite_differences():
+    r = np.random.default_rng(3)
+    sizes = np.array([4, 1, 6])
+    odds, transition, weight = r.normal(size=11), r.normal(size=(2, 2)), np.array([0.5, 2.0, 1.0])
+    y = np.repeat([1, 0, 1], sizes)
+    y[2] = 0
+    value, by_odds, by_move = quality.likelihood(odds, y, sizes, weight, transition)
+    for i in range(11):
+        up, down = odds.copy(), odds.copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        slope = (quality.likelihood(up, y, sizes, weight, transition)[0] - quality.likelihood(down, y, sizes, weight, transition)[0]) / 2e-6
+        assert abs(slope - by_odds[i]) < 1e-6
+    for i in range(4):
+        up, down = transition.ravel().copy(), transition.ravel().copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        slope = (quality.likelihood(odds, y, sizes, weight, up.reshape(2, 2))[0] - quality.likelihood(odds, y, sizes, weight, down.reshape(2, 2))[0]) / 2e-6
+        assert abs(slope - by_move.ravel()[i]) < 1e-6
+
+
+def test_texts_without_letters_have_no_language(spark):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog " * 5, "en"), ("le chat et le chien " * 5, "fr")] * 8)]
+                                 + [(90 + i, t, None) for i, t in enumerate(["½ ² Ⅷ ①", "12 + 3 = 15!", "½ chat"])], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, language.fit(docs)).collect()}
+    assert got[90] == got[91] == "und" and got[92] in ("en", "fr")
+
+
+def test_machines_of_many_unlisted_languages_stay_few():
+    langs = [f"x{i:03d}" for i in range(300)] + ["en", "de"]
+    named = language.families(langs)
+    members = {}
+    for v, f in named.items():
+        members.setdefault(f, []).append(v)
+    machines = len(members) * (len(members) - 1) // 2 + sum(len(m) * (len(m) - 1) // 2 for m in members.values())
+    assert named["en"] == named["de"] == "germanic" and max(map(len, members.values())) <= 8 and machines < 2500
+    assert len(set(language.families(["q1", "q2", "q3"]).values())) == 3

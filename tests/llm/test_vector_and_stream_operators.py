@@ -285,3 +285,13 @@ def test_query_matches_its_sql(spark, name):
     columns = [d[0] for d in res.description]
     assert sorted(columns) == sorted(df.columns)
     assert Counter(tuple(r[c] for c in columns) for r in got) == Counter(res.fetchall())
+
+
+def test_null_ids_keep_their_licence_and_bsd_has_two_kinds(spark):
+    binary = "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer.\n"
+    two = BSD[:BSD.index("3. ")] + binary
+    rows = [(None, "m/LICENSE", "Released under the MIT License."), (None, "m/a.py", "import os"), (None, "m/b.py", "import sys"), (3, "t/LICENSE", two),
+            (4, "t/x.py", "pass"), (5, "u/LICENSE", two + BSD[BSD.index("3. "):]), (5, "u/other", "nothing here")]
+    got = {(r.id, r.path): (r.licence, r.from_dir) for r in licences.scan(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    assert got == {(None, "m/LICENSE"): ("MIT", None), (None, "m/a.py"): ("MIT", "m"), (None, "m/b.py"): ("MIT", "m"), (3, "t/LICENSE"): ("BSD-2-Clause", None),
+                   (4, "t/x.py"): ("BSD-2-Clause", "t"), (5, "u/LICENSE"): ("BSD-3-Clause", None), (5, "u/other"): ("BSD-3-Clause", "u")}
