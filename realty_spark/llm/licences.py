@@ -184,8 +184,8 @@ def _two_clauses(own: DataFrame, files: DataFrame) -> DataFrame:
     """A BSD licence whose text has the clause on binary forms but none on names is BSD-2-Clause; the opening sentence alone is not told apart."""
     terms = F.concat(F.lit(" "), F.array_join(_terms(F.col("text")), " "), F.lit(" "))
     two = terms.contains(f" {BSD_BINARY} ") & ~terms.contains(f" {BSD_NAMES} ")
-    bsd = own.where("licence = 'BSD-3-Clause'").join(files.select("id", "text").dropDuplicates(["id"]), "id")
-    told = bsd.select("id", F.when(two, "BSD-2-Clause").otherwise("BSD-3-Clause").alias("licence"), "similarity")
+    bsd = own.where("licence = 'BSD-3-Clause'").join(files.select("id", "text"), "id")
+    told = bsd.dropDuplicates(["id"]).select("id", F.when(two, "BSD-2-Clause").otherwise("BSD-3-Clause").alias("licence"), "similarity")
     return own.where("licence <> 'BSD-3-Clause'").unionByName(told)
 
 

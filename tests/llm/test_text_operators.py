@@ -224,7 +224,7 @@ def test_many_languages_are_kept_with_high_scores(spark):
         rows += [(len(rows) + i, " ".join(r.choices(words, k=40)), lang) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
     model = language.fit(docs)
-    assert len(model.top.classes) == len(language.FAMILIES) == 10
+    assert len(model.top.classes) == len(language.FAMILIES) == 16
     assert {x.doc_id for x in language.keep_known(docs, model).collect()} == {i for i, *_ in rows}
     got = {x.doc_id: x for x in language.identify(docs, model).collect()}
     assert np.mean([got[i].lang_pred == lang for i, _, lang in rows]) > 0.97
