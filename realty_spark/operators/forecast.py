@@ -39,6 +39,7 @@ from realty_spark import constants as K
 from realty_spark.functions.distributions import norm_ppf_np
 from realty_spark.operators.evaluate import forecast_guard
 from realty_spark.operators.panel import fallback_forecast, series_gate, test_steps
+from realty_spark.session import ensure_checkpoint_dir
 
 
 # ----------------------------------------------------------- series carrier --
@@ -567,7 +568,6 @@ class PooledTrees:
         from pyspark.ml.feature import StringIndexer, VectorAssembler
 
         from realty_spark.operators.panel import chrono_split, panel_features
-        from realty_spark.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(history.sparkSession)
         self.indexer = StringIndexer(inputCol="zone", outputCol="zone_idx", stringOrderType="alphabetAsc", handleInvalid="keep").fit(zones.select("zone"))
         self.assembler = VectorAssembler(inputCols=list(GBT_FEATURES), outputCol="features")
@@ -619,9 +619,13 @@ def gbt_forecast(panel: DataFrame, target: str = "prix_median_m2", max_iter: int
     One Spark ML model for all zones (``PooledTrees``) instead of a per-zone
     loop.  Features are leak-free (statistics over strictly earlier months).
     Zones that fail the gate or have too few complete rows get one row that
-    says so.  Returns ``(forecast, importances)`` DataFrames.
+    says so.  The panel, a row per zone and month, is landed first, for every
+    step reads it and would otherwise aggregate the sales again.  Returns
+    ``(forecast, importances)`` DataFrames.
     """
     spark = panel.sparkSession
+    ensure_checkpoint_dir(spark)
+    panel = panel.select("split", "zone", "annee_mois", target).checkpoint()
     all_zones = series_gate(panel, target)
     gate = all_zones.where(F.col("status") == "ok")
     history = panel.where(F.col("split") == "train").select("zone", "annee_mois", target).join(gate.select("zone"), "zone")

@@ -279,3 +279,23 @@ def test_state_features_equal_the_panels(spark):
         for c in forecast.GBT_FEATURES[1:] + ("complete",):
             a, b = r[c], want[r.zone][c]
             assert (a is None) == (b is None) and (a is None or math.isclose(a, b, rel_tol=1e-9)), (r.zone, c, a, b)
+
+
+def _counted(df):
+    """The rows of ``df`` and an accumulator of how many were computed."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_boosted_trees_compute_their_panel_once(spark):
+    rows = [(z, dt.date(2000 + i // 12, i % 12 + 1, 1), "train" if i < 48 else "test", 100.0 + 7 * i % 31 + len(z))
+            for z in ("a", "bb") for i in range(50)]
+    p, seen = _counted(spark.createDataFrame(rows, "zone string, annee_mois date, split string, prix_median_m2 double"))
+    fc, imp = forecast.gbt_forecast(p, max_iter=2)
+    assert fc.where("status = 'ok'").count() == 4 and imp.count() == len(forecast.GBT_FEATURES)
+    assert seen.value <= 2 * len(rows)  # a checkpoint may compute its rows twice
