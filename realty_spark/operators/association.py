@@ -23,6 +23,7 @@ from realty_spark.functions.distributions import chi2_sf, corr_pvalue, f_sf, nor
 from realty_spark.functions.numeric import safe_corr, safe_div, significance_flag
 from realty_spark.operators.profile import to_long
 from realty_spark.operators.quantiles import average_rank, running_counts
+from realty_spark.session import scratch_path
 
 
 def category_long(df: DataFrame, columns: Sequence[str], target: str = "prix_m2") -> DataFrame:
@@ -309,9 +310,22 @@ def association_report(df: DataFrame, columns: Sequence[str], target: str = "pri
     return listed.join(a, "variable", "left").join(k, "variable", "left")
 
 
+def landed_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The named columns of ``df``, or all, written once as Parquet into the checkpoint folder and read back."""
+    kept = df.select(*dict.fromkeys(columns)) if columns else df
+    path = scratch_path(df.sparkSession, "report-rows")
+    kept.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(kept.schema).parquet(path)
+
+
 def correlation_report(df: DataFrame, columns: Sequence[str], target: str = "prix_m2",
                        partitions: int | None = None, normality: bool = True, row_key: Sequence[str] | None = None) -> DataFrame:
-    """Pearson, Spearman (with p) and, with ``normality``, the Shapiro flag per numeric column (reference layout)."""
+    """Pearson, Spearman (with p) and, with ``normality``, the Shapiro flag per numeric column (reference layout).
+
+    The columns that the tests read are landed first: five passes read them,
+    each of which would otherwise derive the rows anew.
+    """
+    df = landed_columns(df, None if normality and row_key is None else [*columns, target, *(row_key or ())])
     p = pearson(df, columns, target)
     s = spearman(df, columns, target, partitions=partitions).drop("n")
     if not normality:

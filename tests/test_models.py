@@ -299,3 +299,17 @@ def test_boosted_trees_compute_their_panel_once(spark):
     fc, imp = forecast.gbt_forecast(p, max_iter=2)
     assert fc.where("status = 'ok'").count() == 4 and imp.count() == len(forecast.GBT_FEATURES)
     assert seen.value <= 2 * len(rows)  # a checkpoint may compute its rows twice
+
+
+@pytest.mark.parametrize("row_key", [["id"], None])
+def test_correlation_report_computes_its_rows_once(spark, row_key):
+    rows = [(i, float(i % 17), None if i % 5 == 0 else float(i * i % 23), float(i % 29 + 3 * (i % 17))) for i in range(400)]
+    df, seen = _counted(spark.createDataFrame(rows, "id long, u double, w double, prix_m2 double"))
+    out = {r.variable: r for r in association.correlation_report(df, ["u", "w"], row_key=row_key).collect()}
+    assert seen.value == len(rows)
+    for c, k in (("u", 1), ("w", 2)):
+        whole = [(r[k], r[3]) for r in rows if r[k] is not None]
+        assert out[c].n == len(whole) and out[c].normal is not None
+        assert out[c].pearson == pytest.approx(np.corrcoef(*zip(*whole))[0, 1], abs=1e-12)
+        ranks = [[np.mean([i + 1 for i, y in enumerate(sorted(v)) if y == x]) for x in v] for v in zip(*whole)]
+        assert out[c].spearman == pytest.approx(np.corrcoef(*ranks)[0, 1], abs=1e-12)
