@@ -82,3 +82,14 @@ def test_headers_with_quotes_marks_and_long_bodies(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     got = readers.read_geo_csv(spark, [str(tmp_path)], ["x", "y, z"]).groupBy("x", "y, z").count().collect()
     assert {tuple(r) for r in got} == {("1", "2", 30_000), ("3", "4", 1)}
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path):
+    """The lines are streamed to their file's first before any aggregate, which would sort strings."""
+    for i in range(3):
+        (tmp_path / f"{i}.txt").write_text(f"a|b{i}\n" + f"{i}|x\n" * 25_000)
+    found = readers.header_catalogue(spark, [str(tmp_path), str(tmp_path / "1.txt")])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("MapInArrow") and plan.count("Aggregate") == 1
+    got = {os.path.basename(r.path): r.header for r in found.collect()}
+    assert got == {f"{i}.txt": f"a|b{i}" for i in range(3)}
