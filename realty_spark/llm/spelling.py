@@ -36,6 +36,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -44,6 +45,7 @@ from pyspark.sql import functions as F
 
 from realty_spark.llm.acceptor import Acceptor
 from realty_spark.llm.common import id_text, join_small, land, read_table
+from realty_spark.llm.worker import tidied
 
 MIN_CHARS = 7
 MIN_COUNT = 2
@@ -52,7 +54,8 @@ FACTOR = 10
 CROWDED = 2000
 DEPTH = 24
 LONG = 64
-HELD = 100_000  # counts that a task holds before it hands them on
+HELD = 50_000  # counts that a task holds before it hands them on
+TEXTS = 256  # texts that a task takes out of a batch at once
 _RUN = re.compile("[a-zÀ-ÿ]+")
 
 
@@ -72,21 +75,25 @@ def text_words(doc_id: int | None, text: str | None, min_chars: int, every: int)
     return out
 
 
-def vocabulary(docs: DataFrame, min_chars: int, min_count: int, every: int) -> DataFrame:
-    """(word, n) of (doc_id, text) rows; tasks count before the shuffle."""
+def counted_words(batches: Iterable[pa.RecordBatch], min_chars: int, every: int) -> Iterator[pa.RecordBatch]:
+    """(word, n) of (doc_id, text) batches, of which few texts are taken out at once."""
     def rows(counts: Counter[str]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
-
-    def run(batches):
-        held: Counter[str] = Counter()
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    held: Counter[str] = Counter()
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(at, TEXTS)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 held.update(text_words(doc_id, text, min_chars, every))
                 if len(held) > HELD:
                     yield rows(held)
                     held = Counter()
-        yield rows(held)
-    counts = docs.select("doc_id", "text").mapInArrow(run, "word string, n long")
+    yield rows(held)
+
+
+def vocabulary(docs: DataFrame, min_chars: int, min_count: int, every: int) -> DataFrame:
+    """(word, n) of (doc_id, text) rows; tasks count before the shuffle."""
+    counts = docs.select("doc_id", "text").mapInArrow(tidied(lambda batches: counted_words(batches, min_chars, every)), "word string, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
@@ -174,7 +181,7 @@ def hashed_pairs(words: DataFrame, rows: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
     names = ["head", "tail", "mark", "word", "n"]
     kinds = [pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.int64()]
-    met = meeting(rows.select("word", "first").mapInArrow(run, "head binary, tail binary, mark string, word binary, n long"), ["head", "tail"])
+    met = meeting(rows.select("word", "first").mapInArrow(tidied(run), "head binary, tail binary, mark string, word binary, n long"), ["head", "tail"])
     met = land(met.select("a", "b"), "hashed-pairs")
     ends = met.select(F.col("a").alias("own")).union(met.select("b")).distinct()
 
@@ -182,7 +189,7 @@ def hashed_pairs(words: DataFrame, rows: DataFrame) -> DataFrame:
         for batch in batches:
             own = [xxhash.xxh3_128_digest(w) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *batch.columns], names=["own", "word", "n"])
-    named = words.join(rows.select("word").distinct(), "word", "left_semi").select("word", "n").mapInArrow(digest, "own binary, word string, n long")
+    named = words.join(rows.select("word").distinct(), "word", "left_semi").select("word", "n").mapInArrow(tidied(digest), "own binary, word string, n long")
     named = land(named.join(ends, "own", "left_semi"), "hashed-words")
     out = (met.join(named.toDF("a", "aw", "an"), "a").join(named.toDF("b", "bw", "bn"), "b")
            .select(F.least("aw", "bw").alias("u"), F.col("aw"), F.col("an"), F.col("bw"), F.col("bn")))

@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -257,3 +259,15 @@ def test_covariance_products_leave_one_partial_sum_a_task(spark):
     b = np.random.default_rng(0).standard_normal((6, 3))
     assert np.allclose(cov.times(b), np.cov(x.T, bias=True) @ b, rtol=1e-10)
     assert np.isclose(cov.trace(), np.trace(np.cov(x.T, bias=True)), rtol=1e-10)
+
+
+def test_words_are_counted_without_taking_a_batch_out_at_once():
+    """A batch of 40 MB of texts leaves a task's Python memory small, and every text is counted."""
+    words = ["abcdefg", "hijklmno", "pqrstuvw", "abcdefgh"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array([f"{words[i % 4]} " + "." * 10_000 for i in range(4000)])], names=["doc_id", "text"])
+    tracemalloc.start()
+    got = list(spelling.counted_words([batch, batch.slice(0, 0)], 7, 1 << 40))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {w: n for b in got for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())} == dict.fromkeys(words, 1000)
+    assert peak < 10e6
