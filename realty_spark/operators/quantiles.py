@@ -27,7 +27,7 @@ they are), and offset by the ranges before them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ from realty_spark.session import ensure_checkpoint_dir
 ACCURACY = 10_000  # of the summary: ranks are within 1 / ACCURACY of a group's size
 SMALL = 10_000  # groups of so many values are bracketed by their extremes
 BROADCAST_ROWS = 200_000
+STRIDE = 16  # of a search among many quantiles
 
 _MOMENTS = {"count": F.count, "avg": F.avg, "stddev_samp": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum}
 
@@ -69,8 +70,14 @@ def _bracketed(long: DataFrame, gkeys: list[str], qs: Sequence[float], accuracy:
 def _cells(long: DataFrame, gkeys: list[str], brackets: DataFrame) -> DataFrame:
     """(group, _v, _inside, _before, _count, _n): values inside brackets, and what lies between brackets as one row each, counted on."""
     key = F.xxhash64(*gkeys)  # with a key of its own the join shuffles both sides, so that AQE can split a hot group
-    rows = long.withColumn("_key", key).join(brackets.withColumn("_key", key), [*gkeys, "_key"])
-    below = F.size(F.filter("_brackets", lambda b: b["lo"] <= F.col("_v")))
+    every = F.transform(F.filter("_brackets", lambda b, i: i % STRIDE == 0), lambda b: b["lo"])
+    rows = long.withColumn("_key", key).join(brackets.withColumn("_key", key).withColumn("_every", every), [*gkeys, "_key"])
+    # of many brackets every 16th is looked at first, then those up to the next
+    many = F.size("_brackets") > STRIDE
+    rows = rows.select(*gkeys, "_v", "_brackets", F.when(many, F.size(F.filter("_every", lambda lo: lo <= F.col("_v")))).otherwise(1).alias("_block"))
+    passed = F.greatest(F.col("_block") - 1, F.lit(0)) * STRIDE
+    part = F.when(many, F.slice("_brackets", passed + 1, STRIDE)).otherwise(F.col("_brackets"))
+    below = passed + F.size(F.filter(part, lambda b: b["lo"] <= F.col("_v")))
     marked = rows.select(*gkeys, "_v", "_brackets", below.alias("_below"))
     # both ends ascend, so a value lies in a bracket if it lies in the last that begins below it
     inside = F.when(F.col("_below") > 0, F.col("_v") <= F.get("_brackets", F.col("_below") - 1)["hi"]).otherwise(False)
@@ -83,6 +90,15 @@ def _cells(long: DataFrame, gkeys: list[str], brackets: DataFrame) -> DataFrame:
                         (F.sum("_count").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_count")).alias("_before"))
 
 
+def _with_reached(cells: DataFrame, name: str, qs: Sequence[float], reached: Callable[[Column], Column]) -> DataFrame:
+    """``cells`` with the number of the ascending ``qs`` that are ``reached``, a first part of them: blocks are counted by their first, then one block's."""
+    blocks = [F.array(*map(F.lit, qs[i:i + STRIDE])) for i in range(0, len(qs), STRIDE)]
+    block = F.size(F.filter(F.array(*map(F.lit, qs[::STRIDE])), reached))
+    within = F.size(F.filter(F.get(F.array(*blocks), F.col("_block") - 1), reached))
+    told = F.when(F.col("_block") > 0, (F.col("_block") - 1) * STRIDE + within).otherwise(0)
+    return cells.withColumn("_block", block).withColumn(name, told).drop("_block")
+
+
 def quantile_rows(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str], qs: Sequence[float],
                   accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
     """(keys, _var, q, _at): the quantile of index ``q`` in the ascending ``qs`` of each value column and group."""
@@ -90,15 +106,23 @@ def quantile_rows(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str],
     gkeys = [*keys, "_var"]
     cells = _cells(long, gkeys, _bracketed(long, gkeys, qs, accuracy, small))
 
-    def ends_of(q: Column, i: Column) -> Column:
-        pos = q * (F.col("_n") - 1)
-        return F.array(*[F.struct(i.alias("q"), pos.alias("pos"), F.lit(high).alias("high"), (F.ceil if high else F.floor)(pos).alias("rank"))
-                         for high in (False, True)])
-    targets = F.flatten(F.transform(F.array(*map(F.lit, qs)), ends_of))
-    met = F.filter(targets, lambda t: (t["rank"] >= F.col("_before")) & (t["rank"] < F.col("_before") + F.col("_count")))
+    pos = lambda q: q * (F.col("_n") - 1)
+    sides = {False: F.floor, True: F.ceil}
+
+    def below(high: bool, rank: Column) -> Callable[[Column], Column]:
+        return lambda q: sides[high](pos(q)) < rank
+    for high in sides:  # a cell's targets are those from the first whose rank it reaches to the first beyond it
+        cells = _with_reached(cells, f"_first_{high}", qs, below(high, F.col("_before")))
+        cells = _with_reached(cells, f"_beyond_{high}", qs, below(high, F.col("_before") + F.col("_count")))
+
+    def met(high: bool) -> Column:
+        first, beyond = F.col(f"_first_{high}"), F.col(f"_beyond_{high}")
+        own = F.when(beyond > first, F.sequence(first, beyond - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(own, lambda i: F.struct(i.alias("q"), F.lit(high).alias("high")))
     value = F.when(F.col("_inside"), F.col("_v")).otherwise(
         F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double"))
-    picked = cells.select(*gkeys, "_inside", "_v", F.explode(met).alias("_t")).select(*gkeys, "_t.*", value.alias("_v"))
+    found = cells.select(*gkeys, "_inside", "_v", "_n", F.explode(F.concat(*map(met, sides))).alias("_t"))
+    picked = found.select(*gkeys, "_t.*", pos(F.get(F.array(*map(F.lit, qs)), F.col("_t.q"))).alias("pos"), value.alias("_v"))
     ends = picked.groupBy(*gkeys, "q").agg(
         F.first("pos").alias("pos"), F.max(F.when(~F.col("high"), F.col("_v"))).alias("lo"), F.max(F.when(F.col("high"), F.col("_v"))).alias("hi"))
     return ends.select(*gkeys, "q", (F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))).alias("_at"))

@@ -123,3 +123,21 @@ def test_group_stats_without_keys_and_of_empty_tables(spark):
     empty = spark.createDataFrame([], "g string, v double")
     assert group_stats(empty, ["g"], {"med": ("v", 0.5)}, {"n": ("v", "count")}).count() == 0
     assert value_ranks(empty, ["g"], "v").count() == 0
+
+
+@pytest.mark.parametrize("n_probs", [15, 16, 17, 33, 200])
+def test_many_quantiles_of_ties_and_small_groups(spark, n_probs):
+    """Every quantile is exact wherever a search's blocks begin; no list of all targets is built for a cell."""
+    from realty_spark.operators.quantiles import quantile_rows
+    rng = np.random.default_rng(n_probs)
+    groups = {"tied": np.floor(rng.exponential(size=3000) * 4), "apart": rng.normal(size=2000), "few": np.array([2.0, 1.0, 1.0]), "one": np.array([7.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, v double").repartition(3)
+    probs = [(i + 0.5) / n_probs for i in range(n_probs)]
+    probs = [0.0, *probs[1:-1], 1.0]
+    for accuracy, small in ((1000, 10), (10_000, 10_000)):
+        rows = quantile_rows(df, ["g"], ["v"], probs, accuracy, small)
+        assert "flatten" not in rows._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r.g, r.q): r._at for r in rows.collect()}
+        assert len(got) == len(groups) * n_probs
+        for g, vs in groups.items():
+            np.testing.assert_allclose([got[g, i] for i in range(n_probs)], np.quantile(vs, probs), rtol=1e-12, atol=1e-12)
