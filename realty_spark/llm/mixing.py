@@ -9,7 +9,8 @@ more or less than its target, however long the stream is.
 
 The schedule is a table of one row per block.  Slots follow from one another,
 so one task makes it from the sources' block counts, in memory for the sources
-alone; rows find their slot by a join.
+alone, with the place in the stream of each block's first row; rows find their
+slot and position by a join.
 
 A source that has run out has no more blocks: the others go on within their
 windows, and slots in which none is released stay unused.  Sources of weight
@@ -154,6 +155,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[source_col].alias("source"),
                        F.struct(F.lit(1).alias("_"), *[docs[c] for c in payload or []]).alias("row"))
     rows = rows.withColumn("key", source_key("source"))
+    if payload:  # rows get their places by number, without the payload, which moves once for the join on the number
+        rows = land(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = {k: n for batch in batches for k, n in zip(*(c.to_pylist() for c in batch.columns))}
@@ -164,15 +167,23 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
         if period and target:
             target = quotas(target, period)[0]
         blocks = plan(target, {k: -(-n // block_docs) for k, n in count.items()})
+        first = 0  # place of the block's first row; blocks come in the order of their slots
         while part := list(islice(blocks, PLAN_ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*part))],
-                                             names=["key", "block", "release", "deadline", "slot"])
+            begins = []
+            for key, block, *_ in part:
+                begins.append(first)
+                first += min(block_docs, count[key] - block * block_docs)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate([*zip(*part), begins])],
+                                             names=["key", "block", "release", "deadline", "slot", "first"])
     counts = rows.groupBy("key").agg(F.count("*").alias("n")).repartition(1)  # a row per source
-    table = land(counts.mapInArrow(tidied(run), "key string, block long, release long, deadline long, slot long"), "plan")
-
-    ranked = number_rows(rows, ["key", "doc_id"], "nth", "key").withColumn("block", F.expr(f"nth div {block_docs}"))
-    placed = join_small(ranked, table, ["key", "block"]).select("doc_id", "source", "row", "nth", "block", "release", "deadline", "slot")
-    return number_rows(placed, ["slot", "nth"], "position").drop("nth")
+    table = land(counts.mapInArrow(tidied(run), "key string, block long, release long, deadline long, slot long, first long"), "plan")
+
+    order = ["key", "doc_id", *(["_row"] if payload else [])]
+    ranked = number_rows(rows.drop("row") if payload else rows, order, "nth", "key").withColumn("block", F.expr(f"nth div {block_docs}"))
+    placed = join_small(ranked, table, ["key", "block"]).withColumn("position", F.col("first") + F.col("nth") - F.col("block") * block_docs)
+    if payload:
+        placed = rows.select("_row", "row").join(placed, "_row")
+    return placed.select("doc_id", "source", "row", "block", "release", "deadline", "slot", "position")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

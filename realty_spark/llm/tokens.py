@@ -10,10 +10,14 @@ tokenizer, in one call, and the group's ids are gathered by chunk numbers.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import string
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import chain, compress
+from operator import attrgetter
 
 import numpy as np
 
@@ -21,10 +25,12 @@ END_ID = 0
 END = END_ID.to_bytes(4, "little")
 BLOCK = 50_000  # chunks of a long text taken at once
 GROUP = 200_000  # chunks of short texts whose ids are gathered together
-CACHE_CHUNKS = 800_000  # bound of the table; it is emptied between groups when it is full
+CACHE_CHUNKS = 800_000  # bound of the table; between groups, when it is full, chunks met once leave it
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]  # white space other than the space and the line break
 _TAIL = string.punctuation
+_LETTERS_END = "\u0250"  # all letters below are letters in every version of Unicode
+_ID = attrgetter("id")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -47,6 +53,20 @@ def _spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
 
 
+def _alphabet(path: str) -> str | None:
+    """The letters that stand for bytes 0 to 255, the line break for itself; None unless the pieces are words of letters with the space before and merges alone make their ids."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    pieces, model = said.get("pre_tokenizer") or {}, said["model"]
+    if said.get("normalizer") or said.get("truncation") or pieces.get("type") != "ByteLevel" or pieces.get("add_prefix_space") or not pieces.get("use_regex", True):
+        return None
+    if model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+        return None
+    hidden = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b >= 174)]  # the other bytes stand for themselves
+    shown = {b: chr(256 + i) for i, b in enumerate(hidden)} | {ord("\n"): "\n"}
+    return "".join(shown.get(b, chr(b)) for b in range(256))
+
+
 class _Numbers(dict):
     """Numbers of chunks, given as they are first met; ``new`` holds those not yet encoded."""
 
@@ -74,6 +94,7 @@ class Encoder:
         for piece, i in vocab.items():
             self.n_bytes[i] = len(piece)  # one character stands for one byte
             self.ends_sentence[i] = piece[-1] in ".!?" or "Ċ" in piece  # Ċ stands for a line break
+        self.alphabet, self.merged = _alphabet(path), self.tok.model.tokenize
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.bound = CACHE_CHUNKS
         self.tails: dict[str, int] = {}  # marks after a word, numbered
@@ -86,6 +107,20 @@ class Encoder:
         self.first = _Numbers(self.count)  # chunks at a text's beginning
         self.at, self.size = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
         self.ids, self.used = np.zeros(1 << 16, dtype="<u4"), 0
+        self.hits = np.zeros(0, dtype=np.int64)  # how often each chunk was met, halved whenever others went
+
+    def _thin(self) -> None:
+        """Only chunks met more than once stay in the table, and no more than half its bound."""
+        numbers = np.fromiter(self.inner.values(), dtype=np.int64, count=len(self.inner))
+        hits, most = self.hits[numbers], max(1, self.bound // 2)
+        stays = hits > (np.partition(hits, -most)[-most] if np.count_nonzero(hits > 1) > most else 1)
+        kept, numbers = list(compress(self.inner, stays.tolist())), numbers[stays]
+        sizes = self.size[numbers]
+        ids = self.ids[_spans(self.at[numbers], sizes)]
+        self._clear()
+        self.inner.update(zip(kept, range(len(kept))))
+        self.count[0], self.hits = len(kept), (hits[stays] + 1) // 2
+        self._put(np.arange(len(kept)), sizes, ids)
 
     def _plain(self, text: str) -> np.ndarray:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -140,15 +175,26 @@ class Encoder:
             self.tail_ids = np.append(self.tail_ids, ids)
 
     def _encode(self, new: list[str]) -> None:
-        """Encode chunks, each with its leading space, as one text, and cut the ids at the chunks' byte ends."""
-        if not new:
-            return
+        """Encode chunks, each with its leading space: words of letters by the merges alone, the others as one text."""
+        rest = new
+        if self.alphabet:
+            words, rest = [], []
+            for p in new:
+                (words if p.isalpha() and (p.isascii() or max(p) < _LETTERS_END) else rest).append(p)
+            if words:
+                pieces = charmap_decode((" " + "\n ".join(words)).encode(), "strict", self.alphabet)[0].split("\n")
+                ids = np.fromiter(map(_ID, chain.from_iterable(map(self.merged, pieces))), dtype="<u4")
+                self._cut(words, ids, np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+        if rest:
+            ids = np.asarray(self.tok.encode_batch_fast([" " + " ".join(rest)], add_special_tokens=False)[0].ids, dtype="<u4")
+            self._cut(rest, ids, np.fromiter(map(len, map(str.encode, rest)), dtype=np.int64, count=len(rest)) + 1)
+
+    def _cut(self, new: list[str], ids: np.ndarray, n_bytes: np.ndarray) -> None:
+        """Enter the ids of chunks, which follow each other, by the chunks' bytes."""
         numbers = np.fromiter(map(self.inner.__getitem__, new), dtype=np.int64, count=len(new))
-        ids = np.asarray(self.tok.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
-        token_ends = np.cumsum(self.n_bytes[ids])
-        chunk_ends = np.cumsum(np.fromiter(map(len, map(str.encode, new)), dtype=np.int64, count=len(new)) + 1)
+        token_ends, chunk_ends = np.cumsum(self.n_bytes[ids]), np.cumsum(n_bytes)
         cuts = np.searchsorted(token_ends, chunk_ends, side="left") + 1
-        if np.array_equal(token_ends[np.minimum(cuts, len(ids)) - 1], chunk_ends):
+        if len(ids) and np.array_equal(token_ends[np.minimum(cuts, len(ids)) - 1], chunk_ends):
             self._put(numbers, np.diff(cuts, prepend=0), ids[:cuts[-1]])
             return
         got = [self._plain(" " + p) for p in new]  # a tokenizer that merges over spaces
@@ -167,8 +213,11 @@ class Encoder:
         sizes = self.size[n]
         ends = np.cumsum(sizes)
         out = self.ids[_spans(self.at[n], sizes)]
+        hits = np.bincount(n, minlength=self.count[0])
+        hits[:len(self.hits)] += self.hits
+        self.hits = hits
         if self.count[0] > self.bound:
-            self._clear()
+            self._thin()
         return out, ends
 
     def _long(self, parts: list[str]) -> bytes:

@@ -48,6 +48,44 @@ def test_long_texts_between_short_ones(tok, monkeypatch):
         assert [np.frombuffer(b, "<u4").tolist() for b in e.batch(texts)] == want
 
 
+class NoText:
+    """A tokenizer that takes no text with a space between words."""
+
+    def __init__(self, tok):
+        self.tok = tok
+
+    def encode_batch_fast(self, texts, **options):
+        assert not any(" " in t.strip() for t in texts)
+        return self.tok.encode_batch_fast(texts, **options)
+
+
+def test_words_of_letters_are_merged_without_cutting_text(tok):
+    r = random.Random(8)
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    words = [c * n for c in letters for n in (1, 2)] + ["".join(r.choices(letters, k=r.randrange(1, 9))) for _ in range(3000)]
+    e = tokens.Encoder(tokens.default_tokenizer())
+    e.tok = NoText(e.tok)
+    text = " ".join(["start", *words])
+    assert np.frombuffer(next(iter(e.batch([text]))), "<u4").tolist() == plain(tok, text)
+    other = " ".join(["start", *(w + c for w in words[:500] for c in "\u4e2d\u0434\u00b2"), "x1", "don't"])
+    e = tokens.Encoder(tokens.default_tokenizer())
+    assert np.frombuffer(next(iter(e.batch([other]))), "<u4").tolist() == plain(tok, other)
+
+
+def test_frequent_chunks_stay_in_a_full_table(tok, monkeypatch):
+    monkeypatch.setattr(tokens, "GROUP", 50)
+    often, rare = edge.words(5, 1), iter([f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{i}" for i in range(2000)])
+    texts = [" ".join(["a", *often, *(next(rare) for _ in range(10)), *often]) for _ in range(100)]
+    e, met = tokens.Encoder(tokens.default_tokenizer()), []
+    e.bound = 40
+    monkeypatch.setattr(e, "_encode", lambda new, f=e._encode: met.extend(new) or f(new))
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.batch(texts)] == [plain(tok, t) for t in texts]
+    assert max(met.count(w) for w in often) == 1 and len(e.inner) < 40 + 100
+    e.bound = 2  # more chunks are frequent than may stay
+    assert [np.frombuffer(b, "<u4").tolist() for b in e.batch(texts)] == [plain(tok, t) for t in texts]
+    assert len(e.inner) < 2 + 100
+
+
 def test_token_files_round_trip(spark, tok, tmp_path, monkeypatch):
     path = f"{tmp_path}/shards"
     docs = edge.frame(spark)

@@ -165,6 +165,24 @@ def test_mixing_places_every_row(spark):
     assert mixing.mix(edge.frame(spark)).count() == len(edge.documents())
 
 
+def test_mixing_ranks_numbers_not_payload(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(r.choice([None, *range(200)]), r.choice(["big", "big", "big", "small", None]), f"t{k}") for k in range(500)]
+    ranked, joined = [], []
+    number, join = mixing.number_rows, mixing.join_small
+    monkeypatch.setattr(mixing, "number_rows", lambda df, *a: ranked.append(df.columns) or number(df, *a))
+    monkeypatch.setattr(mixing, "join_small", lambda left, small, on, **k: joined.append(left.columns) or join(left, small, on, max_rows=3, **k))
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4), payload=["text"], block_docs=3).collect()
+    assert len(ranked) == 1 and not any("row" in c for c in ranked + joined)  # texts are sorted and joined by nothing but their number
+    got.sort(key=lambda g: g.position)
+    assert [g.position for g in got] == list(range(500))
+    assert Counter((g.doc_id, g.source, g["row"]["text"]) for g in got) == Counter(rows)
+    assert [(g.slot, g.block) for g in got] == sorted((g.slot, g.block) for g in got)
+    for own in ([g for g in got if g.source == name] for name in ("big", "small", None)):
+        assert [g.block for g in own] == [k // 3 for k in range(len(own))]
+        assert [(g.doc_id is not None, g.doc_id or 0) for g in own] == sorted((g.doc_id is not None, g.doc_id or 0) for g in own)
+
+
 def test_licences(spark):
     rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/x/one.py", "import os"), (3, "a/x/two.py", "# Licensed under CC BY-NC 4.0.\ncode"),
             (4, "b/three.py", "nothing"), (5, "a/x/y/COPYING.txt", "This work is licensed under the GNU General Public License, version 3.\nmore text"),
